@@ -36,6 +36,14 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
   FROM (SELECT symbol, "timestamp", close, lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS p FROM smooth_bars)"""),
     "states": (("returns",), f"""
   SELECT symbol, "timestamp", close, ret, {STATE_CASE} AS state FROM returns"""),
+    "features": (("states",), """
+  SELECT symbol, "timestamp", market_state, target_state, r AS ret_lag_0,
+         lag(r, 1) OVER w AS ret_lag_1, lag(r, 2) OVER w AS ret_lag_2, lag(r, 5) OVER w AS ret_lag_5,
+         lag(r, 10) OVER w AS ret_lag_10, lag(r, 20) OVER w AS ret_lag_20
+  FROM (SELECT symbol, "timestamp", state AS market_state, lead(state) OVER w AS target_state,
+               close / lag(close) OVER w - 1 AS r
+        FROM states WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp"))
+  WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp")"""),
     "part_lines": ((), """
   SELECT concat('P', l_partkey) AS symbol, l_shipdate AS "timestamp", round(l_extendedprice * 100) AS price,
          l_orderkey, l_linenumber, l_quantity FROM lineitem"""),
