@@ -127,9 +127,9 @@ def status(spark, sf_dir):
 
 
 @query("a07_time_window", f"""SELECT symbol, min("timestamp") AS first_ts, max("timestamp") AS last_ts FROM segment_bars GROUP BY symbol
-HAVING min("timestamp") < TIMESTAMP '1992-01-02' OR max("timestamp") > TIMESTAMP '1998-07-30'""", uses="segment_bars")
+HAVING min("timestamp") < TIMESTAMP '1995-01-02' OR max("timestamp") > TIMESTAMP '2001-12-30'""", uses="segment_bars")
 def time_window(spark, sf_dir):
-    return quality.outside_window(fx.segment_bars(spark, sf_dir), "1992-01-02", "1998-07-30")
+    return quality.outside_window(fx.segment_bars(spark, sf_dir), "1995-01-02", "2001-12-30")
 
 
 @query("a08_distinct_keys", f"""SELECT 'symbol' AS part, count(DISTINCT symbol) AS n FROM coerced_rows
@@ -193,13 +193,13 @@ def stems(spark, sf_dir):
 
 
 @query("f03_dates", """SELECT o_orderkey, strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS next_day,
-       strftime(least(o_orderdate, TIMESTAMP '1995-06-30'), '%Y-%m-%d') AS capped,
-       CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-12-31') AS BIGINT) AS days_left FROM orders""")
+       strftime(least(o_orderdate, TIMESTAMP '1998-06-30'), '%Y-%m-%d') AS capped,
+       CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-12-31') AS BIGINT) AS days_left FROM orders""")
 def dates(spark, sf_dir):
     day = F.to_date(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return fx.table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.date_format(F.date_add(day, 1), "yyyy-MM-dd").alias("next_day"),
-        F.date_format(F.least(day, F.lit("1995-06-30").cast("date")), "yyyy-MM-dd").alias("capped"),
-        F.datediff(F.lit("1998-12-31").cast("date"), day).cast("bigint").alias("days_left"),
+        F.date_format(F.least(day, F.lit("1998-06-30").cast("date")), "yyyy-MM-dd").alias("capped"),
+        F.datediff(F.lit("2001-12-31").cast("date"), day).cast("bigint").alias("days_left"),
     )

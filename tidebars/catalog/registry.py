@@ -12,7 +12,7 @@ from tidebars.catalog.sql import using
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-_MODULES = ("cleaning", "windows", "averages", "model")
+_MODULES = ("cleaning", "landing", "storage", "windows", "averages", "model", "jobs")
 
 
 def query(name: str, sql: str | None = None, uses: str = ""):

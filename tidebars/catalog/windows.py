@@ -117,9 +117,9 @@ def last_states(spark, sf_dir):
 
 
 @query("p09_time_range", f"""SELECT {BAR} FROM segment_bars
-WHERE "timestamp" >= TIMESTAMP '1994-03-01' AND "timestamp" <= TIMESTAMP '1996-02-29'""", uses="segment_bars")
+WHERE "timestamp" >= TIMESTAMP '1996-03-01' AND "timestamp" <= TIMESTAMP '2000-02-29'""", uses="segment_bars")
 def time_range(spark, sf_dir):
-    return in_range(fx.segment_bars(spark, sf_dir), "1994-03-01", "1996-02-29")
+    return in_range(fx.segment_bars(spark, sf_dir), "1996-03-01", "2000-02-29")
 
 
 @query("p10_one_symbol", f"SELECT {BAR} FROM segment_bars WHERE symbol = 'MACHINERY'", uses="segment_bars")
@@ -138,9 +138,9 @@ def listed_values(spark, sf_dir):
 
 
 @query("p14_trailing_year", f"""SELECT {BAR} FROM segment_bars
-WHERE "timestamp" >= TIMESTAMP '1998-07-01' - INTERVAL 365 DAY AND "timestamp" <= TIMESTAMP '1998-07-01'""", uses="segment_bars")
+WHERE "timestamp" >= TIMESTAMP '2001-07-01' - INTERVAL 365 DAY AND "timestamp" <= TIMESTAMP '2001-07-01'""", uses="segment_bars")
 def trailing_year(spark, sf_dir):
-    end = dt.datetime(1998, 7, 1)
+    end = dt.datetime(2001, 7, 1)
     return in_range(fx.segment_bars(spark, sf_dir), end - dt.timedelta(days=365), end)
 
 
@@ -172,11 +172,11 @@ def universe(spark, sf_dir):
 
 
 @query("f04_zone_free_times", """SELECT o_orderkey, o_orderdate + INTERVAL 1 DAY AS next_ts,
-       o_orderdate + INTERVAL 1 DAY > TIMESTAMP '1998-06-30 20:00:00' AS up_to_date FROM orders""")
+       o_orderdate + INTERVAL 1 DAY > TIMESTAMP '2001-06-30 20:00:00' AS up_to_date FROM orders""")
 def zone_free(spark, sf_dir):
     from tidebars.sources.tables import as_time
 
-    run_end = as_time("1998-06-30T22:00:00+02:00")
+    run_end = as_time("2001-06-30T22:00:00+02:00")
     following = F.col("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
     return fx.table(spark, sf_dir, "orders").select(
         "o_orderkey", following.alias("next_ts"), (following > F.lit(run_end).cast("timestamp_ntz")).alias("up_to_date")
