@@ -87,13 +87,15 @@ def read_universe(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(strip(F.col("value")).alias("symbol")).filter(F.length("symbol") > 0).distinct()
 
 
-def candidates(universe: DataFrame) -> DataFrame:
-    """(symbol, source_rank, pos, stem): the file stems that may hold a symbol, in order of trial."""
-    tried = universe.select("symbol", F.posexplode(candidate_stems(F.col("symbol"))).alias("pos", "stem"))
-    bare = universe.select("symbol", F.lit(0).alias("pos"), F.lower("symbol").alias("stem"))
-    return tried.withColumn("source_rank", F.lit(PRIMARY)).unionByName(
-        bare.withColumn("source_rank", F.lit(SECONDARY))
+def candidates(universe: DataFrame, *keep: str) -> DataFrame:
+    """(symbol, source_rank, pos, stem, ...): the file stems that may hold a symbol, in order of trial."""
+    def tries(rank: int, stems: Column) -> Column:
+        return F.transform(stems, lambda s, i: F.struct(F.lit(rank).alias("source_rank"), i.alias("pos"), s.alias("stem")))
+
+    everything = F.concat(
+        tries(PRIMARY, candidate_stems(F.col("symbol"))), tries(SECONDARY, F.array(F.lower("symbol")))
     )
+    return universe.select("symbol", *keep, F.explode(everything).alias("c")).select("symbol", *keep, "c.*")
 
 
 def fetch_plan(universe: DataFrame, latest: DataFrame, run_end, default_start: str | None = DEFAULT_START) -> DataFrame:
@@ -126,67 +128,55 @@ def chunks(plan: DataFrame) -> DataFrame:
     )
 
 
-def _in_range(lo: str, hi: str) -> Column:
-    ts = F.col("_ts")
-    return (F.col(lo).isNull() | (ts >= F.col(lo))) & (F.col(hi).isNull() | (ts <= F.col(hi)))
+def targets(plan: DataFrame) -> DataFrame:
+    """The candidates of every planned symbol with its range and the number of chunks to fill."""
+    days = F.datediff(F.col("end_ts").cast("date"), F.col("start_ts").cast("date"))
+    pieces = F.when(days > CHUNK_DAYS, F.floor(days / (CHUNK_DAYS + 1)) + 1).otherwise(F.lit(1))
+    return candidates(plan.withColumn("n_chunks", pieces), "start_ts", "end_ts", "n_chunks")
+
 
+def _in_range() -> Column:
+    ts, lo, hi = F.col("_ts"), F.col("start_ts"), F.col("end_ts")
+    return ts.isNotNull() & (lo.isNull() | (ts >= lo)) & (hi.isNull() | (ts <= hi))
 
-def choose_sources(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """(symbol, source_rank, pos): the one file each symbol is read from; symbols without one are absent.
+
+def choose_sources(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The one file each symbol is read from, as rows of ``wanted``; symbols without one are absent.
 
     The first primary candidate with rows in the range wins. Failing that the secondary source is
     taken if every chunk of the range has rows. A primary file with an unreadable date is passed over.
-    Sources are never mixed.
+    Sources are never mixed. Rows are counted before anything of theirs is shuffled.
     """
-    text = T.StringType()
-    dated = rows.select("stem", "source_rank", "timestamp", to_bar_time(F.col("timestamp"), text).alias("_ts"))
-    wanted = candidates(plan).join(plan, "symbol")
-    primary = (
-        dated.filter(F.col("source_rank") == PRIMARY)
-        .join(wanted.filter(F.col("source_rank") == PRIMARY).drop("source_rank"), "stem")
-        .groupBy("symbol", "pos")
-        .agg(
-            F.count_if(_in_range("start_ts", "end_ts")).alias("n"),
-            F.bool_and(F.col("_ts").isNotNull() | (F.coalesce(strip(F.col("timestamp")), F.lit("")) == "")).alias("readable"),
-        )
-        .filter((F.col("n") > 0) & F.col("readable"))
-        .groupBy("symbol")
-        .agg(F.min("pos").alias("pos"))
-        .withColumn("source_rank", F.lit(PRIMARY))
-    )
-    pieces = chunks(plan).withColumn("stem", F.lower("symbol"))
-    # A row meets the chunk of its own day, found by arithmetic: an equality join, not a range join.
-    day = F.col("_ts").cast("date")
-    secondary_rows = (
-        dated.filter(F.col("source_rank") == SECONDARY)
-        .join(plan.withColumn("stem", F.lower("symbol")), "stem")
-        .filter(_in_range("start_ts", "end_ts"))
-    )
-    long_range = F.datediff(F.col("end_ts").cast("date"), F.col("start_ts").cast("date")) > CHUNK_DAYS
-    chunk_of = F.when(
-        long_range, F.floor(F.datediff(day, F.col("start_ts").cast("date")) / (CHUNK_DAYS + 1)).cast("int")
+    blank = F.coalesce(strip(F.col("timestamp")), F.lit("")) == ""
+    # A row meets its chunk by arithmetic on its day, so there is no range join.
+    chunk = F.when(
+        F.col("n_chunks") > 1,
+        F.floor(F.datediff(F.col("_ts").cast("date"), F.col("start_ts").cast("date")) / (CHUNK_DAYS + 1)),
     ).otherwise(F.lit(0))
-    filled = secondary_rows.groupBy("symbol", chunk_of.alias("chunk")).agg(F.count(F.lit(1)).alias("n"))
-    secondary = (
-        pieces.join(filled, ["symbol", "chunk"], "left")
-        .groupBy("symbol")
-        .agg(F.bool_and(F.coalesce("n", F.lit(0)) > 0).alias("complete"))
-        .filter("complete")
-        .select("symbol", F.lit(0).alias("pos"), F.lit(SECONDARY).alias("source_rank"))
-        .join(primary.select("symbol"), "symbol", "left_anti")
-    )
-    return primary.select("symbol", "source_rank", "pos").unionByName(
-        secondary.select("symbol", "source_rank", "pos")
+    file = ["symbol", "source_rank", "pos", "stem", "start_ts", "end_ts", "n_chunks"]
+    per_chunk = (
+        rows.select("stem", "source_rank", "timestamp", _row_time().alias("_ts"))
+        .join(wanted, ["stem", "source_rank"])
+        .groupBy(*file, F.when(_in_range(), chunk).alias("chunk"))
+        .agg(F.bool_or(F.col("_ts").isNull() & ~blank).alias("unreadable"))
     )
+    per_file = per_chunk.groupBy(*file).agg(F.count("chunk").alias("filled"), F.bool_or("unreadable").alias("unreadable"))
+    usable = F.when(
+        F.col("source_rank") == PRIMARY, (F.col("filled") > 0) & ~F.col("unreadable")
+    ).otherwise(F.col("filled") == F.col("n_chunks"))
+    first = F.min_by(F.struct("source_rank", "pos", "stem", "start_ts", "end_ts"), F.struct("source_rank", "pos"))
+    return per_file.filter(usable).groupBy("symbol").agg(first.alias("f")).select("symbol", "f.*")
+
+
+def _row_time() -> Column:
+    return to_bar_time(F.col("timestamp"), T.StringType())
 
 
 def fetch(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Text bars of the planned symbols from their chosen file, within the planned range."""
-    chosen = choose_sources(rows, plan)
-    picked = chosen.join(candidates(plan), ["symbol", "source_rank", "pos"]).join(plan, "symbol")
-    dated = rows.withColumn("_ts", to_bar_time(F.col("timestamp"), T.StringType()))
     return (
-        dated.join(picked, ["stem", "source_rank"])
-        .filter(_in_range("start_ts", "end_ts"))
+        rows.withColumn("_ts", _row_time())
+        .join(choose_sources(rows, targets(plan)).drop("pos"), ["stem", "source_rank"])
+        .filter(_in_range())
         .select("symbol", "timestamp", "open", "high", "low", "close", "volume", "source_rank", *LINE_ORDER)
     )

@@ -79,8 +79,11 @@ class TableStore:
         versions = sorted(n for n in names if n.endswith(".json") and not n.startswith((".", "_")))
         if not versions:
             return {"version": -1, "tables": {name: {} for name in TABLE_SCHEMAS}}
-        text = self.spark.read.text(f"{self.root}/_manifests/{versions[-1]}", wholetext=True).first().value
-        return json.loads(text)
+        stream = self._fs.open(self._path(f"{self.root}/_manifests/{versions[-1]}"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _publish(self, version: int, tables: dict) -> None:
         jvm = self.spark._jvm
