@@ -38,9 +38,14 @@ class Runs:
     def rows(self, start: int, end: int) -> WindowSpec:
         return self.window.rowsBetween(start, end)
 
+    @property
+    def split(self) -> bool:
+        """Whether some symbol was cut into segments."""
+        return "_seg" in self.keys
+
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop the borrowed rows and helper columns."""
-        if "_seg" not in self.keys:
+        if not self.split:
             return df
         return df.filter("_own").drop("_seg", "_own")
 

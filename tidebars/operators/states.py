@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from tidebars.functions.scalars import classify_return, pct_change, period_return
 from tidebars.operators.runs import ordered_runs
 from tidebars.schema import FEATURE_COLS, LAGS
 
+FEATURE_TABLE = ["symbol", "timestamp", "market_state", *FEATURE_COLS, "target_state", "history"]
+
 
 def period_returns(df: DataFrame, segment_rows: int | None = None) -> DataFrame:
     """Add ``ret``: change against the previous close; null on the first row of a symbol."""
@@ -22,14 +24,11 @@ def with_states(df: DataFrame, segment_rows: int | None = None) -> DataFrame:
 
 
 def last_states(df: DataFrame, n: int = 5, state: str = "new_state") -> DataFrame:
-    """The last ``n`` states of every symbol, numbered 1 for the newest.
-
-    ``n`` largest rows per symbol are kept by a bounded aggregate on each input partition first, so
-    only those reach the ranking.
-    """
+    """The last ``n`` states of every symbol, numbered 1 for the newest."""
     candidates = df.filter(F.col(state).isNotNull()).select("symbol", "timestamp", F.col(state).alias("state"))
     newest = Window.partitionBy("symbol").orderBy(F.desc("timestamp"))
-    # row_number() <= n is pushed below the shuffle by Catalyst (window group limit).
+    # Catalyst applies the limit on each input partition first (window group limit), so at most n rows
+    # per symbol and task are shuffled.
     return (
         candidates.withColumn("recency", F.row_number().over(newest))
         .filter(F.col("recency") <= n)
@@ -37,6 +36,20 @@ def last_states(df: DataFrame, n: int = 5, state: str = "new_state") -> DataFram
     )
 
 
+def _add_features(df: DataFrame, w: WindowSpec, state: str) -> DataFrame:
+    """Lagged returns, next state and ``history`` over one window order, so over one sort."""
+    returns = df.select(
+        "*",
+        pct_change(F.col("close"), F.lag("close").over(w)).alias("_ret"),
+        F.lag("close", max(LAGS) + 1).over(w).isNotNull().alias("history"),
+        F.lead(state).over(w).alias("target_state"),
+    )
+    return returns.select(
+        "*",
+        *[(F.col("_ret") if k == 0 else F.lag("_ret", k).over(w)).alias(c) for k, c in zip(LAGS, FEATURE_COLS)],
+    )
+
+
 def lag_features(df: DataFrame, state: str = "market_state", segment_rows: int | None = None) -> DataFrame:
     """(symbol, timestamp, market_state, ret_lag_0.. ret_lag_20, target_state, history) for every bar.
 
@@ -45,20 +58,25 @@ def lag_features(df: DataFrame, state: str = "market_state", segment_rows: int |
     """
     slim = df.select("symbol", "timestamp", "close", F.col(state).alias("market_state"))
     runs = ordered_runs(slim, back=max(LAGS) + 1, ahead=1, segment_rows=segment_rows)
+    return runs.finish(_add_features(runs.df, runs.window, "market_state")).select(*FEATURE_TABLE)
+
+
+def classified_features(df: DataFrame, labels: str = "fresh", segment_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """States and features of bars in one pass: the feature table with ``ret`` and ``new_state``.
+
+    The model's labels are the ``fresh`` states, or the ``stored`` ones the bars came with. Also
+    tells whether a symbol was large enough to be split.
+    """
+    slim = df.select("symbol", "timestamp", "close", "market_state")
+    runs = ordered_runs(slim, back=max(LAGS) + 1, ahead=1, segment_rows=segment_rows)
     w = runs.window
-    returns = runs.df.select(
-        "*",
-        pct_change(F.col("close"), F.lag("close").over(w)).alias("_ret"),
-        F.lag("close", max(LAGS) + 1).over(w).isNotNull().alias("history"),
-        F.lead("market_state").over(w).alias("target_state"),
-    )
-    lagged = returns.select(
-        "*",
-        *[(F.col("_ret") if k == 0 else F.lag("_ret", k).over(w)).alias(c) for k, c in zip(LAGS, FEATURE_COLS)],
-    )
-    return runs.finish(lagged).select(
-        "symbol", "timestamp", "market_state", *FEATURE_COLS, "target_state", "history"
+    classified = runs.df.withColumn("ret", period_return(F.col("close"), F.lag("close").over(w))).withColumn(
+        "new_state", classify_return(F.col("ret"))
     )
+    if labels == "fresh":
+        classified = classified.withColumn("market_state", F.coalesce("new_state", "market_state"))
+    out = runs.finish(_add_features(classified, w, "market_state"))
+    return out.select(*FEATURE_TABLE, "ret", "new_state"), runs.split
 
 
 def training_rows(features: DataFrame) -> DataFrame:

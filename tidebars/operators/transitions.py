@@ -153,15 +153,16 @@ def _fit_large(rows: DataFrame, classes: dict[str, list[str]]) -> list[tuple]:
     ]
 
 
-def fit_transitions(features: DataFrame, segment_rows: int | None = None) -> DataFrame:
+def fit_transitions(features: DataFrame, segment_rows: int | None = None, any_large: bool = True) -> DataFrame:
     """(symbol, classes, weights, status, n, dropped): one row per symbol of ``features``.
 
+    ``any_large=False`` says that no symbol was found large before, which saves the check.
     ``status`` is "ok", "single_class" or "no_data"; ``n`` counts training rows and ``dropped`` the
     rows left out because a zero close made a feature undefined.
     """
     spark = features.sparkSession
     rows = training_rows(features).select("symbol", "timestamp", *FEATURE_COLS, "target_state")
-    hot, _ = hot_symbols(rows, segment_rows)
+    hot = hot_symbols(rows, segment_rows)[0] if any_large else []
     names = [h.symbol for h in hot]
     small = rows if not hot else rows.join(
         F.broadcast(spark.createDataFrame([(s,) for s in names], "symbol string")), "symbol", "left_anti"

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 from tidebars.operators.joins import apply_states, new_rows, restrict, upsert_averages
 from tidebars.operators.moving_averages import check_storable, standard_averages
 from tidebars.operators.quality import coerce, gate, keep_first
-from tidebars.operators.states import lag_features, last_states, with_states
+from tidebars.operators.states import classified_features, last_states, with_states
 from tidebars.operators.transitions import fit_transitions, transition_probs
-from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, STATE_WINDOW_DAYS
+from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, MA_COLS, STANDARD_PERIODS, STATE_WINDOW_DAYS
 from tidebars.sources import landing as landed
-from tidebars.sources.tables import Commit, TableStore, as_time, latest_times
+from tidebars.sources.tables import Commit, TableStore, as_time, in_range, latest_times
 
 
 @dataclass(frozen=True)
@@ -80,16 +80,49 @@ def historical_backfill(store: TableStore, landing: str, universe: DataFrame, ru
     return ingest_rows(store, rows, universe, run_end, default_start)
 
 
-def refresh_averages(store: TableStore, universe: DataFrame | None = None, periods=None) -> JobResult:
-    """Recompute the stored averages of the listed symbols from their full raw history."""
+def stale_years(store_rows: DataFrame, raw: DataFrame) -> DataFrame:
+    """(symbol, year) from which on averages are missing: the first year holding a raw bar without them.
+
+    Raw bars never change, and an average depends on earlier bars only, so a stored average stays right
+    until an older bar is inserted, which then is the one without averages. Two counts per symbol and
+    year tell, without joining rows.
+    """
+    year = F.year("timestamp").alias("year")
+    have = store_rows.dropna(subset=MA_COLS).groupBy("symbol", year).agg(F.count(F.lit(1)).alias("n_done"))
+    want = raw.groupBy("symbol", year).agg(F.count(F.lit(1)).alias("n_raw"))
+    lacking = want.join(have, ["symbol", "year"], "left").filter(F.coalesce("n_done", F.lit(0)) < F.col("n_raw"))
+    return lacking.groupBy("symbol").agg(F.min("year").alias("year"))
+
+
+def refresh_averages(store: TableStore, universe: DataFrame | None = None, periods=None,
+                     rebuild: bool = False) -> JobResult:
+    """Bring the stored averages of the listed symbols up to date with their raw history.
+
+    Only the years from the first bar without averages on are rewritten; ``rebuild`` recomputes all.
+    Averages always start from the first raw bar, of which only key and close are read for the years
+    that stay.
+    """
     periods = check_storable(periods)
     base = store.manifest()
     raw = restrict(store._rows(base, "raw_bars"), universe)
-    averages = standard_averages(raw, periods)
-    columns = [c for c in averages.columns if c not in BAR_COLS]
-    merged = upsert_averages(store._rows(base, "bars"), averages, columns)
-    commit = store.commit(replaces={"bars": merged}, base=base)
-    have = raw.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    commit, first_year = None, None
+    if not rebuild and periods == STANDARD_PERIODS:
+        stale = stale_years(store._rows(base, "bars"), raw).persist(StorageLevel.MEMORY_AND_DISK)
+        first_year = stale.agg(F.min("year")).first()[0]
+        current = first_year is None
+        raw = raw.join(stale.select("symbol"), "symbol", "left_semi")
+    else:
+        current = False
+    if not current:
+        averages = standard_averages(raw, periods)
+        bars = store._rows(base, "bars")
+        if first_year is not None:
+            first_day = dt.datetime(first_year, 1, 1)
+            averages = in_range(averages, start=first_day)
+            bars = store._rows(base, "bars", start=first_day)
+        columns = [c for c in averages.columns if c not in BAR_COLS]
+        commit = store.commit(replaces={"bars": upsert_averages(bars, averages, columns)}, base=base)
+    have = restrict(store._rows(base, "raw_bars"), universe).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
     listed = have if universe is None else universe.select("symbol").distinct().join(have, "symbol", "left")
     status = listed.select(
         "symbol", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNotNull().alias("ok"),
@@ -100,10 +133,14 @@ def refresh_averages(store: TableStore, universe: DataFrame | None = None, perio
 
 @dataclass(frozen=True)
 class TransformResult(JobResult):
-    """``status`` is that of the model; ``recent`` holds the last five states of every symbol."""
+    """``status`` is that of the model per symbol; ``transitions`` is the stored matrix."""
 
     transitions: DataFrame
-    recent: DataFrame
+    window: DataFrame
+
+    def recent_states(self, n: int = 5) -> DataFrame:
+        """The last states of every symbol in this run, computed when asked for."""
+        return last_states(with_states(self.window), n)
 
 
 def transform_states(store: TableStore, universe: DataFrame | None, run_end, labels: str = "fresh") -> TransformResult:
@@ -117,27 +154,23 @@ def transform_states(store: TableStore, universe: DataFrame | None, run_end, lab
     start = end - dt.timedelta(days=STATE_WINDOW_DAYS)
     base = store.manifest()
     window = restrict(store._rows(base, "bars", start=start, end=end), universe)
-    classified = with_states(window.select(*KEY, "close", "market_state")).persist(StorageLevel.MEMORY_AND_DISK)
-    labelled = classified if labels == "stored" else classified.withColumn(
-        "market_state", F.coalesce("new_state", "market_state")
-    )
-    features = lag_features(labelled).persist(StorageLevel.MEMORY_AND_DISK)
+    features, any_large = classified_features(window, labels)
+    # Read by the fit, the scoring and the state update.
+    features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    models = fit_transitions(features, any_large=any_large).persist(StorageLevel.MEMORY_AND_DISK)
+    # The states touch only the years of the window: those years are rewritten, others stay.
+    whole_years = store._rows(base, "bars", start=dt.datetime(start.year, 1, 1),
+                              end=dt.datetime(end.year, 12, 31, 23, 59, 59, 999999))
+    replaces = {
+        "bars": apply_states(whole_years, features),
+        "transition_probs": transition_probs(features, models),
+    }
     try:
-        models = fit_transitions(features)
-        models = models.persist(StorageLevel.MEMORY_AND_DISK)
-        # The states touch only the years of the window: those years are rewritten, others stay.
-        whole_years = store._rows(base, "bars", start=dt.datetime(start.year, 1, 1),
-                                  end=dt.datetime(end.year, 12, 31, 23, 59, 59, 999999))
-        replaces = {
-            "bars": apply_states(whole_years, classified),
-            "transition_probs": transition_probs(features, models),
-        }
-        recent = last_states(classified).persist(StorageLevel.MEMORY_AND_DISK)
-        status = models.select("symbol", "n", (F.col("status") == "ok").alias("ok"), F.col("status").alias("reason"))
-        status = status.persist(StorageLevel.MEMORY_AND_DISK)
-        recent.count(), status.count()
         commit = store.commit(replaces=replaces, base=base)
     finally:
         features.unpersist()
-        classified.unpersist()
-    return TransformResult(commit, status, store.read("transition_probs"), recent)
+    status = models.select(
+        "symbol", "n", (F.col("status") == "ok").alias("ok"),
+        F.when(F.col("status") != "ok", F.col("status")).alias("reason"), "dropped",
+    )
+    return TransformResult(commit, status, store.read("transition_probs"), window.select(*KEY, "close"))
