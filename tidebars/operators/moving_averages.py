@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidebars.functions import kernels
 from tidebars.operators.runs import ordered_runs
 from tidebars.schema import STANDARD_PERIODS
+from tidebars.session import ship_package
 
 KINDS = ("sma", "ema", "wma")
 
@@ -55,6 +56,7 @@ def add_averages(df: DataFrame, wanted: dict[str, tuple[str, str, int]],
         ])
         return runs.finish(out)
 
+    ship_package(df.sparkSession)
     placed = runs.df.withColumn("_pos", F.row_number().over(runs.window))
     kept = [f for f in placed.schema.fields if f.name != "_pos"]
     schema = T.StructType(kept + [T.StructField(name, T.DoubleType()) for name in wanted])

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidebars.operators.runs import hot_symbols
 from tidebars.operators.states import scoring_rows, training_rows
 from tidebars.schema import FEATURE_COLS
+from tidebars.session import ship_package
 
 MODEL_SCHEMA = "symbol string, classes array<string>, weights array<array<double>>, status string"
 TOLERANCE = 1e-10
@@ -161,6 +162,7 @@ def fit_transitions(features: DataFrame, segment_rows: int | None = None, any_la
     rows left out because a zero close made a feature undefined.
     """
     spark = features.sparkSession
+    ship_package(spark)
     rows = training_rows(features).select("symbol", "timestamp", *FEATURE_COLS, "target_state")
     hot = hot_symbols(rows, segment_rows)[0] if any_large else []
     names = [h.symbol for h in hot]
@@ -211,16 +213,17 @@ def transition_probs(features: DataFrame, models: DataFrame) -> DataFrame:
     means = state_probabilities(features, models).groupBy("symbol", "from_state", "to_state").agg(
         F.avg("prob").alias("prob")
     )
-    scored = means.select("symbol").distinct()
-    cells = (
-        models.filter(F.col("status") == "ok")
-        .join(scored, "symbol", "left_semi")
-        .select("symbol", "classes", F.explode("classes").alias("from_state"))
-        .select("symbol", "from_state", F.explode("classes").alias("to_state"))
+    # At most one entry per pair of the few states, so a row per symbol holds the whole matrix.
+    lookup = means.groupBy("symbol").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("from_state", "to_state"), "prob"))).alias("_means")
     )
-    return cells.join(means, ["symbol", "from_state", "to_state"], "left").select(
-        "symbol", "from_state", "to_state", F.coalesce("prob", F.lit(0.0)).alias("prob")
+    cells = (
+        models.filter(F.col("status") == "ok").join(lookup, "symbol")
+        .select("symbol", "classes", "_means", F.explode("classes").alias("from_state"))
+        .select("symbol", "_means", "from_state", F.explode("classes").alias("to_state"))
     )
+    cell = F.try_element_at("_means", F.struct("from_state", "to_state"))
+    return cells.select("symbol", "from_state", "to_state", F.coalesce(cell, F.lit(0.0)).alias("prob"))
 
 
 def matrix_view(probs: DataFrame) -> DataFrame:

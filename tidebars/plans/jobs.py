@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidebars.operators.joins import apply_states, new_rows, restrict, upsert_averages
 from tidebars.operators.moving_averages import check_storable, standard_averages
-from tidebars.operators.quality import coerce, gate, keep_first
+from tidebars.operators.quality import coerce, gate, judge, keep_first
 from tidebars.operators.states import classified_features, last_states, with_states
 from tidebars.operators.transitions import fit_transitions, transition_probs
 from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, MA_COLS, STANDARD_PERIODS, STATE_WINDOW_DAYS
@@ -26,11 +26,6 @@ class JobResult:
     status: DataFrame
 
 
-def clean_batch(rows: DataFrame, order: tuple[str, ...], universe: DataFrame | None = None):
-    """Coerce, keep the first copy of each key, gate per symbol: (bars, status)."""
-    return gate(keep_first(coerce(rows, order), *order), universe)
-
-
 def insert_bars(store: TableStore, bars: DataFrame) -> Commit:
     """Insert-only sink to both bar tables in one commit; stored rows never change."""
     base = store.manifest()
@@ -48,23 +43,27 @@ def ingest_rows(store: TableStore, rows: DataFrame, universe: DataFrame, run_end
     """Plan, choose sources, clean and insert the landed ``rows`` of the listed symbols."""
     run_end = as_time(run_end)
     plan = landed.fetch_plan(universe, latest_times(store.read("raw_bars")), run_end, default_start)
-    # Every later step reads the plan (one row per symbol); the batch is read by gate and both inserts.
+    # The plan has a row per symbol and every step reads it; the cleaned batch is read by the report and
+    # both inserts. Counting fills the caches, so that later joins are planned with their true sizes.
     plan = plan.persist(StorageLevel.MEMORY_AND_DISK)
     fetched = landed.fetch(rows, plan)
     cleaned = keep_first(coerce(fetched, tuple(landed.LINE_ORDER)), *landed.LINE_ORDER)
     cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
+    report = judge(cleaned).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        bars, status = gate(cleaned, plan)
+        report.count()
+        bars, status = gate(cleaned, plan, report)
         current = universe.select("symbol").join(plan.select("symbol"), "symbol", "left_anti").select(
             "symbol", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("ok"), F.lit("up to date").alias("reason")
         )
-        status_rows = status.unionByName(current).persist(StorageLevel.MEMORY_AND_DISK)
-        status_rows.count()
+        # The plan is relative to what is stored now, so the status is fixed before the insert.
+        status = status.unionByName(current).persist(StorageLevel.MEMORY_AND_DISK)
+        status.count()
         commit = insert_bars(store, bars)
     finally:
-        cleaned.unpersist()
-        plan.unpersist()
-    return JobResult(commit, status_rows)
+        for cached in (report, cleaned, plan):
+            cached.unpersist()
+    return JobResult(commit, status)
 
 
 def daily_increment(store: TableStore, landing: str, universe: DataFrame, run_end) -> JobResult:
@@ -158,6 +157,7 @@ def transform_states(store: TableStore, universe: DataFrame | None, run_end, lab
     # Read by the fit, the scoring and the state update.
     features = features.persist(StorageLevel.MEMORY_AND_DISK)
     models = fit_transitions(features, any_large=any_large).persist(StorageLevel.MEMORY_AND_DISK)
+    models.count()
     # The states touch only the years of the window: those years are rewritten, others stay.
     whole_years = store._rows(base, "bars", start=dt.datetime(start.year, 1, 1),
                               end=dt.datetime(end.year, 12, 31, 23, 59, 59, 999999))

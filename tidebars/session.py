@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,21 @@ def get_session(app: str = "tidebars", master: str | None = None, **conf) -> Spa
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, wherever the driver was started."""
+    _ship(spark.sparkContext.applicationId, spark.sparkContext)
+
+
+@functools.cache
+def _ship(_application: str, context) -> None:
+    package = pathlib.Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidebars-py-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 

@@ -20,6 +20,9 @@ from tidebars.schema import BAR_COLS, MA_COLS, TABLE_SCHEMAS
 
 WHOLE = "all"
 
+# Averages hardly ever repeat, so building dictionaries for them is wasted work.
+WRITE_OPTIONS = {"compression": "zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in MA_COLS}}
+
 
 class CommitError(RuntimeError):
     """A commit was refused; the tables are as they were."""
@@ -177,7 +180,8 @@ class TableStore:
                 df.withColumn("year", F.year("timestamp"))
                 .hint("rebalance", "year", "symbol")
                 .sortWithinPartitions("year", "symbol", "timestamp")
-                .write.partitionBy("year")
+                .write.options(**WRITE_OPTIONS)
+                .partitionBy("year")
                 .parquet(f"{self.root}/{folder}")
             )
             listed = self._fs.listStatus(self._path(f"{self.root}/{folder}"))
