@@ -141,15 +141,15 @@ def distinct_keys(spark, sf_dir):
 
 
 def _two_frames(spark, sf_dir):
-    """Clean bars of the even days first, then dirty text rows of all days without the high."""
-    bars = fx.segment_bars(spark, sf_dir).filter(F.dayofmonth("timestamp") % 2 == 0).withColumn("ordinal", F.lit(0).cast("bigint"))
+    """Clean bars of the early years first, then dirty text rows of all years."""
+    bars = fx.segment_bars(spark, sf_dir).filter(F.year("timestamp") <= 1998).withColumn("ordinal", F.lit(0).cast("bigint"))
     as_text = [F.col("symbol"), F.date_format("timestamp", "yyyy-MM-dd").alias("timestamp")]
     first = bars.select(*as_text, *[F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close", "volume")], "ordinal")
     return [first, fx.dirty_rows(spark, sf_dir)]
 
 
 @query("u01_concat", """SELECT part, count(*) AS n, count(high) AS with_high, count(symbol) AS with_symbol FROM (
-  SELECT 0 AS part, symbol, CAST(high AS VARCHAR) AS high FROM segment_bars WHERE day("timestamp") % 2 = 0
+  SELECT 0 AS part, symbol, CAST(high AS VARCHAR) AS high FROM segment_bars WHERE year("timestamp") <= 1998
   UNION ALL SELECT 1, symbol, NULL FROM dirty_rows) GROUP BY part""", uses="segment_bars dirty_rows")
 def concat(spark, sf_dir):
     first, second = _two_frames(spark, sf_dir)
@@ -160,7 +160,7 @@ def concat(spark, sf_dir):
 
 
 @query("u02_combine_and_clean", f"""SELECT {BAR} FROM (
-  SELECT 0 AS part, 0 AS ordinal, {BAR} FROM segment_bars WHERE day("timestamp") % 2 = 0
+  SELECT 0 AS part, 0 AS ordinal, {BAR} FROM segment_bars WHERE year("timestamp") <= 1998
   UNION ALL SELECT 1, ordinal, {BAR} FROM coerced_rows)
 QUALIFY row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY part, ordinal) = 1
 ORDER BY symbol, "timestamp" """, uses="segment_bars coerced_rows")

@@ -68,11 +68,13 @@ def _typed(rows: DataFrame) -> DataFrame:
     return coerce(rows.withColumn("symbol", F.col("stem")), ("stem",)).drop("symbol")
 
 
-@query("s01_primary_scan", _union_sql("primary"), uses="segment_bars")
+@query("s01_primary_scan", f"""{_union_sql("primary")}
+UNION ALL SELECT 'furniture.us', "timestamp" - INTERVAL 20 YEAR, open, high, low, close, volume + 8000 FROM segment_bars WHERE symbol = 'FURNITURE'
+UNION ALL SELECT 'household.us', "timestamp", open, high, low, close, volume + 9000 FROM segment_bars
+WHERE symbol = 'HOUSEHOLD' AND strftime("timestamp", '%m-%d') <> '01-02'""", uses="segment_bars")
 def primary_scan(spark, sf_dir):
     path = f"{land_scenario(spark, sf_dir)}/primary"
-    rows = landed.scan_landing(spark, path, landed.PRIMARY_LAYOUT, landed.PRIMARY)
-    return _typed(rows.filter(~F.col("stem").isin("furniture.us", "household.us")))
+    return _typed(landed.scan_landing(spark, path, landed.PRIMARY_LAYOUT, landed.PRIMARY))
 
 
 @query("s03_secondary_scan", _union_sql("secondary"), uses="segment_bars")

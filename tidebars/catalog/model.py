@@ -57,6 +57,68 @@ def first_round_sums(spark, sf_dir):
     return sums.select("symbol", "label", *[F.round(F.col(n), 6).alias(n) for n in _NAMES])
 
 
+_RULED = " + ".join(f"c.i * {k + 1} / 10.0::DOUBLE * {x}" for k, x in enumerate(_X))
+_AT_WEIGHTS = ["sum(greatest(-m, 0.0) + ln(1.0::DOUBLE + exp(-abs(m))))"] + [f"sum(-y * miss * {x})" for x in _X] + [
+    f"sum(miss * (1.0::DOUBLE - miss) * {_X[i]} * {_X[j]})" for i in range(len(_X)) for j in range(i, len(_X))
+]
+
+
+@query("m03_sums_at_weights", f"""SELECT symbol, label, {", ".join(f"round({s}, 6) AS {n}" for s, n in zip(_AT_WEIGHTS, _NAMES))}
+FROM (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(m)) AS miss FROM (
+  SELECT f.*, c.label, CASE WHEN f.target_state = c.label THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y, y * ({_RULED}) AS m
+  FROM (SELECT * FROM features WHERE {COMPLETE}) f
+  JOIN (SELECT symbol, target_state AS label, row_number() OVER (PARTITION BY symbol ORDER BY target_state) AS i
+        FROM (SELECT DISTINCT symbol, target_state FROM features WHERE {COMPLETE})) c USING (symbol)))
+GROUP BY symbol, label""", uses="features")
+def sums_at_weights(spark, sf_dir):
+    features = state_features(spark, sf_dir)
+    ruled = ruled_models(features).select(
+        "symbol", F.explode(F.arrays_zip(F.col("classes").alias("label"), F.col("weights").alias("w"))).alias("m")
+    ).select("symbol", "m.label", "m.w")
+    sums = tr.model_sums(st.training_rows(features), ruled)
+    return sums.select("symbol", "label", *[F.round(F.col(n), 6).alias(n) for n in _NAMES])
+
+
+def _per_label(models):
+    """(symbol, label, w) of every fitted model; two classes have one, for the later class."""
+    labels = F.when(F.size("classes") == 2, F.slice("classes", 2, 1)).otherwise(F.col("classes"))
+    return models.select("symbol", F.explode(F.arrays_zip(labels.alias("label"), F.col("weights").alias("w"))).alias("m")).select(
+        "symbol", "m.label", "m.w"
+    )
+
+
+_CLASSES = f"""SELECT symbol, target_state AS label, count(*) OVER (PARTITION BY symbol) AS k,
+  row_number() OVER (PARTITION BY symbol ORDER BY target_state) AS i
+  FROM (SELECT DISTINCT symbol, target_state FROM tick_features WHERE {COMPLETE})"""
+
+
+@query("m03_fit_is_optimal", f"""SELECT symbol, label, {", ".join(f"0.0::DOUBLE AS g{i}" for i in range(len(_X)))}
+FROM ({_CLASSES}) WHERE k > 2 OR (k = 2 AND i = 2)""", uses="tick_features")
+def fit_is_optimal(spark, sf_dir):
+    """The penalised gradient at the fitted weights; the objective is strictly convex, so zero proves the fit."""
+    features = tick_features(spark, sf_dir)
+    weights = _per_label(tr.fit_transitions(features))
+    sums = tr.model_sums(st.training_rows(features), weights).join(weights, ["symbol", "label"])
+    return sums.select("symbol", "label", *[
+        F.abs(F.round(F.col(f"g{i}") + F.col("w")[i], 5)).alias(f"g{i}") for i in range(tr.N_WEIGHTS)
+    ])
+
+
+def tick_features(spark, sf_dir):
+    labelled = st.with_states(fx.tick_bars(spark, sf_dir)).withColumnRenamed("new_state", "market_state")
+    return st.lag_features(labelled)
+
+
+@query("m05_row_sums", f"""SELECT c.symbol, c.label AS from_state, CASE WHEN s.symbol IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS total,
+       c.k AS n FROM ({_CLASSES}) c LEFT JOIN (
+  SELECT DISTINCT symbol, market_state FROM tick_features WHERE ret_lag_20 IS NOT NULL AND market_state IS NOT NULL) s
+ON s.symbol = c.symbol AND s.market_state = c.label""", uses="tick_features")
+def row_sums(spark, sf_dir):
+    features = tick_features(spark, sf_dir)
+    probs = tr.transition_probs(features, tr.fit_transitions(features))
+    return probs.groupBy("symbol", "from_state").agg(F.round(F.sum("prob"), 9).alias("total"), F.count("prob").alias("n"))
+
+
 @query("m03_fitted_models")
 def fitted(spark, sf_dir):
     models = tr.fit_transitions(state_features(spark, sf_dir))
@@ -111,9 +173,7 @@ def state_pairs(spark, sf_dir):
 
 @query("m05_transition_matrix")
 def transition_matrix(spark, sf_dir):
-    bars = fx.tick_bars(spark, sf_dir)
-    labelled = st.with_states(bars).withColumnRenamed("new_state", "market_state")
-    features = st.lag_features(labelled)
+    features = tick_features(spark, sf_dir)
     return tr.transition_probs(features, tr.fit_transitions(features)).withColumn("prob", F.round("prob", 6))
 
 

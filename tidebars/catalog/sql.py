@@ -54,6 +54,14 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
   FROM part_lines GROUP BY symbol, "timestamp" """),
     "tick_bars": ((), """
   SELECT event_type AS symbol, ts AS "timestamp", round(value * 100) AS close, 1 AS volume FROM events"""),
+    "tick_features": (("tick_bars",), f"""
+  SELECT symbol, "timestamp", market_state, lead(market_state) OVER w AS target_state, r AS ret_lag_0,
+         lag(r, 1) OVER w AS ret_lag_1, lag(r, 2) OVER w AS ret_lag_2, lag(r, 5) OVER w AS ret_lag_5,
+         lag(r, 10) OVER w AS ret_lag_10, lag(r, 20) OVER w AS ret_lag_20
+  FROM (SELECT *, {STATE_CASE} AS market_state FROM (
+    SELECT symbol, "timestamp", CASE WHEN p = 0 THEN 0.0 ELSE (close - p) / p END AS ret, close / nullif(p, 0) - 1 AS r
+    FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS p FROM tick_bars)))
+  WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp")"""),
     "dirty_rows": (("order_rows",), """
   SELECT CASE WHEN ordinal % 41 = 0 THEN concat('  ', symbol, chr(9)) WHEN ordinal % 43 = 0 THEN NULL
               ELSE symbol END AS symbol,

@@ -132,14 +132,14 @@ def existing_keys(spark, sf_dir):
 
 @query("j02_full_outer", f"""SELECT coalesce(b.symbol, a.symbol) AS symbol, coalesce(b."timestamp", a."timestamp") AS "timestamp",
        coalesce(b.open, a.open) AS open, coalesce(b.volume, a.volume) AS volume, a.sma_5, a.wma_5
-FROM (SELECT * FROM part_bars WHERE volume % 3 <> 0) b FULL JOIN (
-  SELECT {BAR}, {sma_sql(5)} AS sma_5, {wma_sql(5)} AS wma_5 FROM part_bars WHERE volume % 4 <> 0) a
+FROM (SELECT * FROM part_bars WHERE volume > 10) b FULL JOIN (
+  SELECT {BAR}, {sma_sql(5)} AS sma_5, {wma_sql(5)} AS wma_5 FROM part_bars WHERE volume < 40) a
 ON a.symbol = b.symbol AND a."timestamp" = b."timestamp" """, uses="part_bars")
 def full_outer(spark, sf_dir):
     bars = fx.part_bars(spark, sf_dir)
-    averages = standard_averages(bars.filter(F.col("volume") % 4 != 0), [5])
+    averages = standard_averages(bars.filter(F.col("volume") < 40), [5])
     empty = {c: F.lit(None).cast("double") for c in ("sma_5", "ema_5", "wma_5")}
-    merged = joins.upsert_averages(bars.filter(F.col("volume") % 3 != 0).withColumns(empty), averages, list(empty))
+    merged = joins.upsert_averages(bars.filter(F.col("volume") > 10).withColumns(empty), averages, list(empty))
     return merged.select("symbol", "timestamp", "open", "volume", "sma_5", "wma_5")
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tidebars.catalog import fixtures as fx
 from tidebars.catalog.registry import query
 from tidebars.catalog.sql import BAR
+from tidebars.functions.times import time_literal
 from tidebars.operators import states as st
 from tidebars.operators.joins import nonempty_columns, restrict
 from tidebars.operators.moving_averages import standard_averages
+from tidebars.operators.runs import ordered_runs
 from tidebars.plans.views import day_bounds
 from tidebars.schema import FEATURE_COLS, MA_COLS
 from tidebars.sources.tables import in_range, latest_times
@@ -92,8 +94,6 @@ def complete_rows(spark, sf_dir):
 @query("o02_chronological", """SELECT symbol, "timestamp", close, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp") AS rn
 FROM part_bars""", uses="part_bars")
 def chronological(spark, sf_dir):
-    from tidebars.operators.runs import ordered_runs
-
     runs = ordered_runs(fx.part_bars(spark, sf_dir))
     numbered = runs.df.withColumn("rn", F.row_number().over(runs.window).cast("bigint"))
     return runs.finish(numbered).select("symbol", "timestamp", "close", "rn")
@@ -174,10 +174,8 @@ def universe(spark, sf_dir):
 @query("f04_zone_free_times", """SELECT o_orderkey, o_orderdate + INTERVAL 1 DAY AS next_ts,
        o_orderdate + INTERVAL 1 DAY > TIMESTAMP '2001-06-30 20:00:00' AS up_to_date FROM orders""")
 def zone_free(spark, sf_dir):
-    from tidebars.sources.tables import as_time
-
-    run_end = as_time("2001-06-30T22:00:00+02:00")
+    run_end = time_literal("2001-06-30T22:00:00+02:00")
     following = F.col("o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
     return fx.table(spark, sf_dir, "orders").select(
-        "o_orderkey", following.alias("next_ts"), (following > F.lit(run_end).cast("timestamp_ntz")).alias("up_to_date")
+        "o_orderkey", following.alias("next_ts"), (following > run_end).alias("up_to_date")
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+from tidebars.functions.times import as_time
 from tidebars.operators.joins import apply_states, new_rows, restrict, upsert_averages
 from tidebars.operators.moving_averages import check_storable, standard_averages
 from tidebars.operators.quality import coerce, gate, judge, keep_first
@@ -15,7 +16,7 @@ from tidebars.operators.states import classified_features, last_states, with_sta
 from tidebars.operators.transitions import fit_transitions, transition_probs
 from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, MA_COLS, STANDARD_PERIODS, STATE_WINDOW_DAYS
 from tidebars.sources import landing as landed
-from tidebars.sources.tables import Commit, TableStore, as_time, in_range, latest_times
+from tidebars.sources.tables import Commit, TableStore, in_range, latest_times
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,6 @@ def insert_bars(store: TableStore, bars: DataFrame) -> Commit:
 def ingest_rows(store: TableStore, rows: DataFrame, universe: DataFrame, run_end,
                 default_start: str | None = DEFAULT_START) -> JobResult:
     """Plan, choose sources, clean and insert the landed ``rows`` of the listed symbols."""
-    run_end = as_time(run_end)
     plan = landed.fetch_plan(universe, latest_times(store.read("raw_bars")), run_end, default_start)
     # The plan has a row per symbol and every step reads it; the cleaned batch is read by the report and
     # both inserts. Counting fills the caches, so that later joins are planned with their true sizes.

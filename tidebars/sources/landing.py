@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.errors import AnalysisException
 
 from tidebars.functions.scalars import candidate_stems, strip, to_bar_time
+from tidebars.functions.times import time_literal
 from tidebars.operators.quality import normalize_headers
 from tidebars.schema import CHUNK_DAYS, DEFAULT_START
 
@@ -101,7 +102,7 @@ def candidates(universe: DataFrame, *keep: str) -> DataFrame:
 def fetch_plan(universe: DataFrame, latest: DataFrame, run_end, default_start: str | None = DEFAULT_START) -> DataFrame:
     """(symbol, start_ts, end_ts): from the day after the latest stored bar, or ``default_start``, to
     the day of the run. Symbols already up to date are left out; a null start means open."""
-    end = F.lit(run_end).cast("timestamp_ntz")
+    end = time_literal(run_end)
     following = F.col("latest") + F.expr("INTERVAL 1 DAY")
     planned = universe.select("symbol").join(latest.select("symbol", "latest"), "symbol", "left")
     return planned.filter(F.col("latest").isNull() | (following <= end)).select(

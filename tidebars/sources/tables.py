@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidebars.functions.times import as_time, time_literal
 from tidebars.operators.quality import duplicate_sample
 from tidebars.schema import BAR_COLS, MA_COLS, TABLE_SCHEMAS
 
@@ -28,23 +29,12 @@ class CommitError(RuntimeError):
     """A commit was refused; the tables are as they were."""
 
 
-def as_time(value) -> dt.datetime | None:
-    """Datetime of an ISO text, date or datetime; zone-aware values are read as UTC."""
-    if value is None:
-        return None
-    if isinstance(value, str):
-        value = dt.datetime.fromisoformat(value)
-    elif not isinstance(value, dt.datetime):
-        value = dt.datetime.combine(value, dt.time.min)
-    return value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
-
-
 def in_range(df: DataFrame, start=None, end=None) -> DataFrame:
     """Inclusive time range, either bound optional."""
     if start is not None:
-        df = df.filter(F.col("timestamp") >= F.lit(as_time(start)).cast("timestamp_ntz"))
+        df = df.filter(F.col("timestamp") >= time_literal(start))
     if end is not None:
-        df = df.filter(F.col("timestamp") <= F.lit(as_time(end)).cast("timestamp_ntz"))
+        df = df.filter(F.col("timestamp") <= time_literal(end))
     return df
 
 
