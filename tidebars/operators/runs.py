@@ -15,9 +15,10 @@ import bisect
 import itertools
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from tidebars.functions.scalars import epoch_micros
+from tidebars.session import small_frame
 
 MIN_SEGMENT_ROWS = 2_000_000
 MAX_SEGMENTS = 10_000
@@ -67,7 +68,7 @@ def ordered_runs(df: DataFrame, back: int = 0, ahead: int = 0,
     bucketed, counts = _bucket(with_time, hot, target)
     placement = _place(counts, target, back, ahead)
     schema = "symbol string, _bucket long, _places array<struct<_seg:int,_own:boolean>>"
-    places = df.sparkSession.createDataFrame(placement, schema)
+    places = small_frame(df.sparkSession, placement, schema)
     whole = F.array(F.struct(F.lit(0).alias("_seg"), F.lit(True).alias("_own")))
     spread = (
         bucketed.join(F.broadcast(places), ["symbol", "_bucket"], "left")
@@ -111,7 +112,7 @@ def _bucket(df: DataFrame, hot, target: int):
     df = df.withColumn("_bucket", F.lit(None).cast("long"))
     settled: dict[tuple[str, int], int] = {}
     while grid:
-        cells = spark.createDataFrame(grid, "_sym string, _old long, _lo long, _width long")
+        cells = small_frame(spark, grid, "_sym string, _old long, _lo long, _width long")
         inside = (F.col("symbol") == F.col("_sym")) & F.col("_bucket").eqNullSafe(F.col("_old"))
         cut = F.col("_lo") + F.floor((F.col("_t") - F.col("_lo")) / F.col("_width")) * F.col("_width")
         df = (
@@ -152,18 +153,18 @@ def _place(counts: dict[tuple[str, int], int], target: int, back: int, ahead: in
                 seg, filled = seg + 1, 0
             seg_of.append(seg)
             filled += n
-        places = [[(s, True)] for s in seg_of]
+        places = [[{"_seg": s, "_own": True}] for s in seg_of]
         for i in range(1, len(buckets)):
             if seg_of[i] == seg_of[i - 1]:
                 continue
             need, j = back, i - 1
             while need > 0 and j >= 0:
-                places[j].append((seg_of[i], False))
+                places[j].append({"_seg": seg_of[i], "_own": False})
                 need -= buckets[j][1]
                 j -= 1
             need, j = ahead, i
             while need > 0 and j < len(buckets):
-                places[j].append((seg_of[i - 1], False))
+                places[j].append({"_seg": seg_of[i - 1], "_own": False})
                 need -= buckets[j][1]
                 j += 1
         placement.extend((symbol, b, p) for (b, _), p in zip(buckets, places))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidebars.operators.runs import hot_symbols
 from tidebars.operators.states import scoring_rows, training_rows
 from tidebars.schema import FEATURE_COLS
-from tidebars.session import ship_package
+from tidebars.session import ship_package, small_frame
 
 MODEL_SCHEMA = "symbol string, classes array<string>, weights array<array<double>>, status string"
 TOLERANCE = 1e-10
@@ -137,7 +137,7 @@ def _fit_large(rows: DataFrame, classes: dict[str, list[str]]) -> list[tuple]:
         if not active:
             break
         # At most 10,000 hot symbols (runs.hot_symbols) of a few classes each: a bounded broadcast.
-        weights = F.broadcast(spark.createDataFrame(active, "symbol string, label string, w array<double>"))
+        weights = F.broadcast(small_frame(spark, active, "symbol string, label string, w array<double>"))
         for r in model_sums(rows, weights).collect():
             model = models[r.symbol, r.label]
             upper = np.zeros((N_WEIGHTS, N_WEIGHTS))
@@ -165,19 +165,15 @@ def fit_transitions(features: DataFrame, segment_rows: int | None = None, any_la
     ship_package(spark)
     rows = training_rows(features).select("symbol", "timestamp", *FEATURE_COLS, "target_state")
     hot = hot_symbols(rows, segment_rows)[0] if any_large else []
-    names = [h.symbol for h in hot]
-    small = rows if not hot else rows.join(
-        F.broadcast(spark.createDataFrame([(s,) for s in names], "symbol string")), "symbol", "left_anti"
-    )
+    listed = F.broadcast(small_frame(spark, [(h.symbol,) for h in hot], "symbol string"))
+    small = rows.join(listed, "symbol", "left_anti") if hot else rows
     models = small.drop("timestamp").groupBy("symbol").applyInPandas(_fit_group, MODEL_SCHEMA)
     if hot:
-        large = rows.join(
-            F.broadcast(spark.createDataFrame([(s,) for s in names], "symbol string")), "symbol", "left_semi"
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        large = rows.join(listed, "symbol", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
         found = large.groupBy("symbol").agg(F.array_sort(F.collect_set("target_state")).alias("c")).collect()
         fitted = _fit_large(large, {r.symbol: list(r.c) for r in found})
         large.unpersist()
-        models = models.unionByName(spark.createDataFrame(fitted, MODEL_SCHEMA))
+        models = models.unionByName(small_frame(spark, fitted, MODEL_SCHEMA))
     undefined = F.col("history") & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in FEATURE_COLS])
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*FEATURE_COLS, "target_state"]])
     counts = features.groupBy("symbol").agg(F.count_if(complete).alias("n"), F.count_if(undefined).alias("dropped"))

@@ -9,7 +9,9 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def get_session(app: str = "tidebars", master: str | None = None, **conf) -> SparkSession:
@@ -44,6 +46,14 @@ def _ship(_application: str, context) -> None:
     context.addPyFile(archive)
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A frame of a few driver-side rows that Spark holds as a local relation: no job, known size."""
+    declared = T.StructType.fromDDL(schema)
+    names = declared.names
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows], schema=to_arrow_schema(declared))
+    return spark.createDataFrame(table, declared)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
