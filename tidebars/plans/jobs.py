@@ -104,23 +104,24 @@ def refresh_averages(store: TableStore, universe: DataFrame | None = None, perio
     periods = check_storable(periods)
     base = store.manifest()
     raw = restrict(store._rows(base, "raw_bars"), universe)
-    commit, first_year = None, None
-    if not rebuild and periods == STANDARD_PERIODS:
-        stale = stale_years(store._rows(base, "bars"), raw).persist(StorageLevel.MEMORY_AND_DISK)
-        first_year = stale.agg(F.min("year")).first()[0]
-        current = first_year is None
-        raw = raw.join(stale.select("symbol"), "symbol", "left_semi")
-    else:
-        current = False
-    if not current:
+    bars, commit, stale = store._rows(base, "bars"), None, None
+    if rebuild or periods != STANDARD_PERIODS:
         averages = standard_averages(raw, periods)
-        bars = store._rows(base, "bars")
+    else:
+        stale = stale_years(bars, raw).persist(StorageLevel.MEMORY_AND_DISK)
+        first_year = stale.agg(F.min("year")).first()[0]
+        averages = None
         if first_year is not None:
             first_day = dt.datetime(first_year, 1, 1)
-            averages = in_range(averages, start=first_day)
             bars = store._rows(base, "bars", start=first_day)
+            history = raw.select(*KEY, "close").join(stale.select("symbol"), "symbol", "left_semi")
+            fresh = in_range(standard_averages(history), start=first_day)
+            averages = fresh.join(store._rows(base, "raw_bars", start=first_day).drop("close"), KEY)
+    if averages is not None:
         columns = [c for c in averages.columns if c not in BAR_COLS]
         commit = store.commit(replaces={"bars": upsert_averages(bars, averages, columns)}, base=base)
+    if stale is not None:
+        stale.unpersist()
     have = restrict(store._rows(base, "raw_bars"), universe).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
     listed = have if universe is None else universe.select("symbol").distinct().join(have, "symbol", "left")
     status = listed.select(
