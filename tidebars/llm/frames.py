@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidebars.session import scratch_dir
 
@@ -46,15 +47,34 @@ def with_results(df: DataFrame, inputs: list[str], build: Callable[..., Column],
     return beside(df, inputs, build).select(*keep, *(F.col(f"made.{r}").alias(r) for r in results))
 
 
+def appended(df: DataFrame, inputs: list[str], make: Callable[..., tuple], fields: str, rows: int = 256) -> DataFrame:
+    """All columns of ``df``, then ``fields``, which ``make`` computes from the Arrow arrays of ``inputs``, ``rows`` rows at a
+    time. A column of ``df`` that is called like a field, in whatever case, gives way to it."""
+    added = T.StructType.fromDDL(fields)
+    flat, places = _places(df), [df.columns.index(n) for n in inputs if _place(df, n)]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                columns = [*part.columns, *make(*(part.column(p) for p in places))]
+                yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(part.columns))] + added.names)
+
+    made = flat.mapInArrow(run, T.StructType([*flat.schema.fields, *added.fields]))
+    taken = {n.lower() for n in added.names}
+    keep = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in taken]
+    return made.select(*keep, *added.names)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: it cuts the lineage, outlives lost executors and
     is computed once."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
