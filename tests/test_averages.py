@@ -6,6 +6,7 @@ import pytest
 
 from tidebars.catalog import fixtures as fx
 from tidebars.operators import moving_averages as ma
+from tidebars.operators.runs import symbol_sizes
 
 DAY = dt.datetime(2020, 1, 1)
 
@@ -48,7 +49,7 @@ def test_matches_pandas_across_batches_and_segments(spark, segment_rows):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 137)
     try:
-        out = ma.standard_averages(df, segment_rows=segment_rows).toPandas().sort_values(["symbol", "timestamp"])
+        out = ma.standard_averages(df, sizes=segment_rows and symbol_sizes(df, segment_rows)).toPandas().sort_values(["symbol", "timestamp"])
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert len(out) == sum(lengths.values())
@@ -92,3 +93,36 @@ def test_long_and_display_forms(spark, sf_dir):
     assert long.count() == 2 * n
     shown = ma.display_averages(bars, [3])
     assert {"disp_sma_3", "disp_ema_3"} <= set(shown.columns)
+
+
+@pytest.mark.parametrize("per_batch", [2, 3, 10_000])
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_one_rule_for_missing_values_and_no_leak(spark, per_batch, bad):
+    """A row without a finite value counts in no frame, has no averages, and leaves other symbols alone."""
+    series = {"A": [5, 6, 7, 8], "B": [1, bad, 3, 4], "C": [2, 2, 9]}
+    rows = [(s, DAY + dt.timedelta(days=i), None if v is None else float(v), 1) for s, vs in series.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, close double, volume long").coalesce(1)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+    for k, v in zip(old, (per_batch, 1)):
+        spark.conf.set(k, v)
+    try:
+        jvm = ma.add_averages(df, {"s": ("sma", "close", 3)})
+        kernel = ma.add_averages(df, {"s": ("sma", "close", 3), "e": ("ema", "close", 3), "w": ("wma", "close", 2)})
+        for s in series:
+            assert column(jvm, "s", s) == column(kernel, "s", s)
+        assert column(kernel, "s", "B") == [1.0, None, 2.0, pytest.approx(8 / 3)]
+        assert column(kernel, "e", "B") == [1.0, None, 2.0, 3.0] and column(kernel, "e", "A") == [5.0, 5.5, 6.25, 7.125]
+        assert column(kernel, "e", "C") == [2.0, 2.0, 5.5]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_known_averages_are_gone_on_from(spark):
+    rng = np.random.default_rng(4)
+    df = frame(spark, {"A": 50 + 10 * rng.random(300), "B": [3.0, 4.0]})
+    whole = ma.add_averages(df, {"e": ("ema", "close", 20)})
+    known = whole.withColumnRenamed("e", "k").selectExpr("symbol", "timestamp", "close", "volume", "CASE WHEN timestamp < '2020-08-01' THEN k END AS k")
+    again = ma.add_averages(known.filter("timestamp >= '2020-07-20'"), {"e": ("ema", "close", 20)}, known={"e": "k"})
+    got = column(again, "e")
+    assert got == pytest.approx(column(whole, "e")[-len(got):], rel=1e-12)

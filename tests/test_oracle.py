@@ -1,15 +1,10 @@
-"""Registered queries against their SQL on the smallest tables; TEST_ALL=1 takes every one."""
-
-import os
+"""Every registered query against its SQL on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as contract
 from oracle import compare, connect
-
-QUICK = ["p04_numbers", "a02_keep_first", "s04_source_choice", "s12_insert_both", "w03_lagged_returns", "w10_averages_by_period",
-         "m03_first_round_sums", "j04_state_pairs", "d03_states"]
-NAMES = list(contract.queries()) if os.environ.get("TEST_ALL") else QUICK
+from tidebars.catalog import registry
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +12,16 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, con, sf_dir, name):
-    ok, message = compare(spark, con, name, contract.queries()[name], contract.oracle_sql().get(name), sf_dir)
+    ok, message = compare(spark, con, name, registry.QUERIES[name], registry.SQL.get(name), sf_dir)
     assert ok, message
 
 
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(registry.SQL)
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["symbol", "timestamp", "close", "ret", "new_state", "sma_20"]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tidebars.catalog import fixtures as fx
 from tidebars.functions.scalars import epoch_micros
 from tidebars.operators import states as st
-from tidebars.operators.runs import ordered_runs
+from tidebars.operators import moving_averages as ma, runs as rn
+from tidebars.operators.runs import ordered_runs, symbol_sizes
 from tidebars.schema import FEATURE_COLS
 
 
@@ -41,7 +42,7 @@ def test_split_frames_equal_whole_ones(spark, segment_rows):
     df = uneven_bars(spark)
 
     def frames(n):
-        runs = ordered_runs(df, back=25, ahead=3, segment_rows=n)
+        runs = ordered_runs(df, back=25, ahead=3, sizes=symbol_sizes(df, n))
         w = runs.window
         out = runs.df.select(
             "*",
@@ -61,8 +62,8 @@ def test_split_frames_equal_whole_ones(spark, segment_rows):
 
 def test_states_and_features_do_not_depend_on_the_split(spark):
     df = uneven_bars(spark)
-    assert rows_of(st.with_states(df)) == rows_of(st.with_states(df, segment_rows=100))
-    whole, split = st.classified_features(df)[0], st.classified_features(df, segment_rows=100)[0]
+    assert rows_of(st.with_states(df)) == rows_of(st.with_states(df, symbol_sizes(df, 100)))
+    whole, split = st.classified_features(df), st.classified_features(df, sizes=symbol_sizes(df, 100))
     key = ["symbol", "timestamp", *FEATURE_COLS, "new_state", "target_state"]
     as_text = lambda d: sorted(str(tuple(r)) for r in d.select(*key).collect())
     assert as_text(whole) == as_text(split)
@@ -71,7 +72,7 @@ def test_states_and_features_do_not_depend_on_the_split(spark):
 def test_one_pass_features_equal_the_stepwise_ones(spark, sf_dir):
     bars = fx.smooth_bars(spark, sf_dir).withColumn("market_state", F.lit(None).cast("string"))
     stepwise = st.lag_features(st.with_states(bars), state="new_state")
-    at_once = st.classified_features(bars)[0].select(*stepwise.columns)
+    at_once = st.classified_features(bars).select(*stepwise.columns)
     assert at_once.exceptAll(stepwise).count() == 0 and stepwise.exceptAll(at_once).count() == 0
 
 
@@ -96,3 +97,14 @@ def test_state_bounds(spark, r, state):
 
     df = spark.createDataFrame([(r,)], "r double")
     assert df.select(classify_return(F.col("r"))).first()[0] == state
+
+
+def test_chained_operators_share_one_look_at_the_sizes(spark, monkeypatch):
+    df = uneven_bars(spark)
+    looked = []
+    monkeypatch.setattr(rn, "symbol_sizes", lambda d, n=None: looked.append(1) or symbol_sizes(d, n))
+    sizes = symbol_sizes(df)
+    out = st.with_states(df, sizes).transform(ma.moving_average("close", 5, sizes=sizes)).transform(ma.moving_average("close", 9, "ema", sizes=sizes))
+    assert not looked and out.count() == df.count()
+    st.with_states(df)
+    assert len(looked) == 1

@@ -46,7 +46,7 @@ def test_fit_matches_a_dense_solution(features):
 def test_large_symbols_get_the_same_models(features):
     small = {r.symbol: r for r in tr.fit_transitions(features).collect()}
     n = sorted(r.n for r in small.values())
-    large = {r.symbol: r for r in tr.fit_transitions(features, segment_rows=n[2]).collect()}
+    large = {r.symbol: r for r in tr.fit_transitions(features, group_rows=n[2]).collect()}
     assert set(small) == set(large)
     for s in small:
         assert small[s].classes == large[s].classes and small[s].status == large[s].status
@@ -107,3 +107,33 @@ def test_matrix_view_has_class_order(spark):
     view = tr.matrix_view(tr.transition_probs(f, tr.fit_transitions(f))).first()
     assert view.states == ["Slight Up", "Stable", "Strong Up"]
     np.testing.assert_allclose(np.array(view.matrix).sum(axis=1), 1.0)
+
+
+@pytest.mark.parametrize("group_rows", [None, 10])
+def test_a_fit_that_does_not_converge_is_said_so(spark, monkeypatch, group_rows):
+    f = tiny(spark, ["Slight Up", "Stable", "Strong Up"] * 8)
+    monkeypatch.setattr(tr, "MAX_ROUNDS", 2)
+    monkeypatch.setattr(tr, "_fit_group", lambda pdf, fit=tr._fit_group: fit(pdf))
+    if group_rows is None:
+        rows = st.training_rows(f).toPandas()
+        assert tr._fit_group(rows).status.tolist() == ["not_converged"]
+        return
+    models = tr.fit_transitions(f, group_rows=group_rows)
+    row = models.first()
+    assert row.status == "not_converged" and row.weights == []
+    assert tr.transition_probs(f, models).count() == 0
+
+
+def test_all_sigmoids_underflow(spark):
+    f = tiny(spark, ["Slight Up", "Stable", "Strong Up"])
+    weights = [[0.0] * 6 + [-2000.0], [0.0] * 6 + [-2000.0], [0.0] * 6 + [-3000.0]]
+    models = spark.createDataFrame([("T", ["Slight Up", "Stable", "Strong Up"], weights, "ok")], tr.MODEL_SCHEMA)
+    probs = {(r.timestamp, r.to_state): r.prob for r in tr.state_probabilities(f, models).collect()}
+    assert probs[0, "Slight Up"] == pytest.approx(0.5) and probs[0, "Strong Up"] == pytest.approx(0.0)
+
+
+def test_no_group_is_larger_than_the_limit(features):
+    assert tr.GROUP_ROWS <= 200_000
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(tr, "GROUP_ROWS", 5)
+        assert {r.status for r in tr.fit_transitions(features).collect()} <= {"ok", "single_class"}

@@ -144,3 +144,17 @@ def average_columns(spark, sf_dir):
     return counts.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in names
     ])).alias("r")).select("r.*")
+
+
+_FULL = "SELECT * FROM part_bars WHERE volume % 7 <> 0"
+
+
+@query("w05_missing_values", f"""SELECT p.symbol, p."timestamp", a.sma_3, a.sma_50, a.wma_5 FROM part_bars p LEFT JOIN (
+  SELECT symbol, "timestamp", {sma_sql(3)} AS sma_3, {sma_sql(50)} AS sma_50, {wma_sql(5)} AS wma_5 FROM ({_FULL})) a
+ON a.symbol = p.symbol AND a."timestamp" = p."timestamp" """, uses="part_bars")
+def missing_values(spark, sf_dir):
+    """Bars without a close count in no frame, on the short path (SMA 3) and on the other."""
+    bars = fx.part_bars(spark, sf_dir).withColumn("close", F.when(F.col("volume") % 7 != 0, F.col("close")))
+    short = ma.add_averages(bars, {"sma_3": ("sma", "close", 3)})
+    out = ma.add_averages(short, {"sma_50": ("sma", "close", 50), "wma_5": ("wma", "close", 5)})
+    return out.select("symbol", "timestamp", "sma_3", "sma_50", "wma_5")

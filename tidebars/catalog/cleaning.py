@@ -10,7 +10,10 @@ from tidebars.catalog.sql import BAR, STATE_CASE
 from tidebars.functions import scalars
 from tidebars.operators import quality
 from tidebars.operators.states import with_states
+from tidebars.plans.views import ordered
 from tidebars.schema import BAR_COLS
+from tidebars.sources.landing import next_day
+
 
 def _vendor_frame(spark, sf_dir):
     """Bars under vendor headers, with a column that has to go."""
@@ -117,8 +120,8 @@ def column_types(spark, sf_dir):
        CASE WHEN p.n IS NULL THEN 'empty' ELSE p.reason END AS reason
 FROM (SELECT DISTINCT symbol FROM faulty UNION SELECT upper(n_name) FROM nation) l LEFT JOIN (
   SELECT symbol, count(*) AS n,
-         CASE WHEN bool_or(low < 0) THEN 'Price columns contain negative values'
-              WHEN bool_or(volume < 0) THEN 'volume contains negative values' END AS reason
+         CASE WHEN bool_or(low < 0) THEN 'negative_price'
+              WHEN bool_or(volume < 0) THEN 'negative_volume' END AS reason
   FROM faulty GROUP BY symbol) p ON l.symbol = p.symbol""", uses="faulty")
 def status(spark, sf_dir):
     bars = _faulty_bars(spark, sf_dir)
@@ -136,7 +139,7 @@ def time_window(spark, sf_dir):
 UNION ALL SELECT 'timestamp', count(DISTINCT "timestamp") FROM coerced_rows""", uses="coerced_rows")
 def distinct_keys(spark, sf_dir):
     rows = quality.coerce(fx.dirty_rows(spark, sf_dir))
-    parts = [rows.select(c).distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("part"), "n") for c in ("symbol", "timestamp")]
+    parts = [quality.distinct_values(rows, c).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("part"), "n") for c in ("symbol", "timestamp")]
     return parts[0].unionByName(parts[1])
 
 
@@ -171,7 +174,7 @@ def combine(spark, sf_dir):
 
 @query("o01_sorted", f"SELECT {BAR} FROM segment_bars ORDER BY symbol, \"timestamp\"", uses="segment_bars")
 def sorted_bars(spark, sf_dir):
-    return fx.segment_bars(spark, sf_dir).orderBy("symbol", "timestamp")
+    return ordered(fx.segment_bars(spark, sf_dir))
 
 
 @query("f01_state_counts", f"""SELECT symbol, {STATE_CASE} AS state, count(*) AS n
@@ -181,15 +184,13 @@ def state_counts(spark, sf_dir):
     return states.groupBy("symbol", F.col("new_state").alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f02_stems", """SELECT c_mktsegment AS symbol, lower(c_mktsegment) AS low,
-       regexp_matches(lower(c_name) || '.us', '\\.(us|de|pl|jp)$') AS has_suffix, count(*) AS n FROM customer GROUP BY ALL""")
+@query("f02_stems", """SELECT symbol, CASE WHEN regexp_matches(low, '\\.(us|de|pl|jp)$') THEN low ELSE low || '.us|' || low END AS stems, count(*) AS n
+FROM (SELECT c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '.Jp' ELSE '' END AS symbol, lower(symbol) AS low FROM customer) GROUP BY ALL""")
 def stems(spark, sf_dir):
-    customer = fx.table(spark, sf_dir, "customer")
-    suffixed = F.concat(F.lower("c_name"), F.lit(".us"))
-    return customer.groupBy(
-        F.col("c_mktsegment").alias("symbol"), F.lower("c_mktsegment").alias("low"),
-        suffixed.rlike(scalars.EXCHANGE_SUFFIX_PATTERN).alias("has_suffix"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    suffix = F.when(F.col("c_custkey") % 2 == 0, ".Jp").otherwise("")
+    names = fx.table(spark, sf_dir, "customer").select(F.concat("c_mktsegment", suffix).alias("symbol"))
+    tries = F.array_join(scalars.candidate_stems(F.col("symbol")), "|").alias("stems")
+    return names.groupBy("symbol", tries).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("f03_dates", """SELECT o_orderkey, strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS next_day,
@@ -199,7 +200,7 @@ def dates(spark, sf_dir):
     day = F.to_date(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return fx.table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.date_format(F.date_add(day, 1), "yyyy-MM-dd").alias("next_day"),
+        F.date_format(next_day(day), "yyyy-MM-dd").alias("next_day"),
         F.date_format(F.least(day, F.lit("1998-06-30").cast("date")), "yyyy-MM-dd").alias("capped"),
         F.datediff(F.lit("2001-12-31").cast("date"), day).cast("bigint").alias("days_left"),
     )

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from tidebars.catalog import fixtures as fx
 from tidebars.catalog.landing import _CHOSEN, land_scenario
 from tidebars.catalog.registry import query
-from tidebars.catalog.sql import BAR
+from tidebars.catalog.sql import STATE_CASE
 from tidebars.catalog.storage import averages_sql, filled_store, new_store, whole_ema
 from tidebars.plans import jobs
-from tidebars.schema import MA_COLS
 from tidebars.session import scratch_dir
+from tidebars.sources.tables import cell_place
 from tidebars.streaming.ingest import stream_increment
 
 
@@ -102,13 +102,13 @@ def refresh_new_years(spark, sf_dir):
     before = store.manifest()["tables"]["bars"]
     jobs.refresh_averages(store)
     after = store.manifest()["tables"]["bars"]
-    if any(before[y] != after[y] for y in before if int(y) <= 1999):
+    if any(before[y] != after[y] for y in before if cell_place(y)[0] <= 1999):
         raise AssertionError("a year without new bars was rewritten")
     return whole_ema(store.wide().drop("market_state"))
 
 
 @query("w12_refresh_status", """SELECT symbol, count(*) AS n, true AS ok, CAST(NULL AS VARCHAR) AS reason FROM cent_bars GROUP BY symbol
-UNION ALL SELECT upper(n_name), 0, false, 'no raw data' FROM nation""", uses="cent_bars")
+UNION ALL SELECT upper(n_name), 0, false, 'no_raw_bars' FROM nation""", uses="cent_bars")
 def refresh_status(spark, sf_dir):
     names = fx.table(spark, sf_dir, "nation").select(F.upper("n_name").alias("symbol"))
     return jobs.refresh_averages(filled_store(spark, sf_dir), _universe(spark, sf_dir).unionByName(names)).status
@@ -142,7 +142,76 @@ def recent(spark, sf_dir):
     return result.recent_states().withColumn("recency", F.col("recency").cast("bigint"))
 
 
-@query("s16_transitions")
+# Training labels of the window and, for each pair of them, whether the first is ever current.
+_PAIRS = f"""FROM (WITH win AS (SELECT symbol, "timestamp", close FROM smooth_bars
+  WHERE "timestamp" >= TIMESTAMP '2001-06-01' - INTERVAL 365 DAY AND "timestamp" <= TIMESTAMP '2001-06-01'), labelled AS (
+  SELECT symbol, "timestamp", close, {STATE_CASE} AS state, r FROM (SELECT *, (close - p) / p AS ret, close / p - 1 AS r FROM (
+    SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS p FROM win))), lagged AS (
+  SELECT symbol, state, lead(state) OVER w AS target, lag(r, 20) OVER w AS oldest FROM labelled
+  WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp")), classes AS (
+  SELECT DISTINCT symbol, target FROM lagged WHERE oldest IS NOT NULL AND target IS NOT NULL), known AS (
+  SELECT * FROM classes WHERE symbol IN (SELECT symbol FROM classes GROUP BY symbol HAVING count(*) > 1))
+SELECT a.symbol, a.target AS from_state, b.target AS to_state,
+       NOT EXISTS (SELECT 1 FROM lagged l WHERE l.symbol = a.symbol AND l.state = a.target AND l.oldest IS NOT NULL) AS never_current
+FROM known a JOIN known b ON a.symbol = b.symbol)"""
+
+
+def _stored_pairs(store):
+    return store.read("transition_probs").select("symbol", "from_state", "to_state", (F.col("prob") == 0).alias("never_current"))
+
+
+@query("s16_transitions", _PAIRS, uses="smooth_bars")
 def transitions(spark, sf_dir):
-    _, result = _transformed(spark, sf_dir)
-    return result.transitions.withColumn("prob", F.round("prob", 6))
+    store, _ = _transformed(spark, sf_dir)
+    return _stored_pairs(store)
+
+
+@query("s16_two_universes", f"FROM ({_PAIRS}) WHERE symbol IN ('BUILDING', 'MACHINERY')", uses="smooth_bars")
+def two_universes(spark, sf_dir):
+    """Two runs on one symbol each; the first one's matrix stays."""
+    store, bars = new_store(spark), fx.smooth_bars(spark, sf_dir)
+    store.commit(appends={"raw_bars": bars, "bars": bars})
+    for symbol in ("BUILDING", "MACHINERY"):
+        listed = bars.select("symbol").filter(F.col("symbol") == symbol).distinct()
+        jobs.transform_states(store, listed, "2001-06-01")
+    return _stored_pairs(store)
+
+
+@query("d03_status", """SELECT symbol, count(*) FILTER ("timestamp" >= TIMESTAMP '2001-06-01' - INTERVAL 365 DAY AND "timestamp" <= TIMESTAMP '2001-06-01') > 0 AS held,
+  CAST(NULL AS VARCHAR) AS absent FROM smooth_bars GROUP BY symbol UNION ALL SELECT upper(n_name), false, 'no_bars' FROM nation""", uses="smooth_bars")
+def transform_status(spark, sf_dir):
+    store, bars = new_store(spark), fx.smooth_bars(spark, sf_dir)
+    store.commit(appends={"raw_bars": bars, "bars": bars})
+    names = fx.table(spark, sf_dir, "nation").select(F.upper("n_name").alias("symbol"))
+    status = jobs.transform_states(store, _universe(spark, sf_dir).unionByName(names), "2001-06-01").status
+    absent = F.when(F.col("reason") == "no_bars", F.col("reason")).alias("absent")
+    return status.select("symbol", (F.coalesce("reason", F.lit("")) != "no_bars").alias("held"), absent)
+
+
+@query("d04_append_day", averages_sql(), uses="cent_bars")
+def append_days(spark, sf_dir):
+    """Averages are stored up to a day, then the last days come in one by one and go on from what is stored."""
+    store, bars = new_store(spark), fx.cent_bars(spark, sf_dir)
+    last = [r[0] for r in bars.select("timestamp").distinct().orderBy(F.desc("timestamp")).limit(2).collect()][::-1]
+    store.commit(appends={t: bars.filter(F.col("timestamp") < last[0]) for t in ("raw_bars", "bars")})
+    jobs.refresh_averages(store)
+    for day in last:
+        jobs.insert_bars(store, bars.filter(F.col("timestamp") == day))
+        jobs.refresh_averages(store)
+    return whole_ema(store.wide().drop("market_state"))
+
+
+@query("d01_stream_in_parts", """SELECT symbol, "timestamp", close FROM segment_bars WHERE symbol IN ('AUTOMOBILE', 'BUILDING')""", uses="segment_bars")
+def stream_in_parts(spark, sf_dir):
+    """Tickers in several parts each, the later days in the parts that arrive first; a second run brings one ticker more."""
+    folder, store, check = scratch_dir(spark, "landing"), new_store(spark), scratch_dir(spark, "stream")
+    bars = fx.segment_bars(spark, sf_dir).filter("symbol IN ('AUTOMOBILE', 'BUILDING')").persist()
+    text = [F.date_format("timestamp", "yyyy-MM-dd").alias("Date"), *[F.col(c.lower()).cast("string").alias(c) for c in ("Open", "High", "Low", "Close", "Volume")]]
+    universe = bars.select("symbol").distinct()
+    for symbol in ("BUILDING", "AUTOMOBILE"):
+        own = bars.filter(F.col("symbol") == symbol)
+        for part, cut in (("late", "timestamp >= '1999-01-01'"), ("early", "timestamp < '1999-01-01'")):
+            own.filter(cut).select(*text).write.option("header", "true").csv(f"{folder}/primary/{part}/ticker={symbol.lower()}.us")
+        stream_increment(store, folder, universe, "2001-12-31T23:50:00", check).awaitTermination()
+    bars.unpersist()
+    return store.read("bars").select("symbol", "timestamp", "close")

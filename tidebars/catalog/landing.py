@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidebars.catalog import fixtures as fx
 from tidebars.catalog.registry import query
-from tidebars.catalog.sql import BAR
 from tidebars.operators.quality import coerce
+from tidebars.plans import jobs
 from tidebars.session import scratch_dir
 from tidebars.sources import landing as landed
+from tidebars.sources.tables import TableStore
 
 START, END = "1995-01-01", "2001-12-31"
 
@@ -74,13 +75,13 @@ UNION ALL SELECT 'household.us', "timestamp", open, high, low, close, volume + 9
 WHERE symbol = 'HOUSEHOLD' AND strftime("timestamp", '%m-%d') <> '01-02'""", uses="segment_bars")
 def primary_scan(spark, sf_dir):
     path = f"{land_scenario(spark, sf_dir)}/primary"
-    return _typed(landed.scan_landing(spark, path, landed.PRIMARY_LAYOUT, landed.PRIMARY))
+    return _typed(landed.scan_landing(spark, path, landed.PRIMARY))
 
 
 @query("s03_secondary_scan", _union_sql("secondary"), uses="segment_bars")
 def secondary_scan(spark, sf_dir):
     path = f"{land_scenario(spark, sf_dir)}/secondary"
-    return _typed(landed.scan_landing(spark, path, landed.SECONDARY_LAYOUT, landed.SECONDARY))
+    return _typed(landed.scan_landing(spark, path, landed.SECONDARY))
 
 
 _NAMES_SQL = "SELECT DISTINCT c_mktsegment || CASE WHEN c_nationkey % 3 = 0 THEN '.DE' WHEN c_nationkey % 3 = 1 THEN '.X' ELSE '' END AS symbol FROM customer"
@@ -105,7 +106,7 @@ def _scenario_plan(spark, sf_dir, start=START):
 
 
 def _fetched(spark, sf_dir, start=START):
-    rows = landed.scan_sources(spark, land_scenario(spark, sf_dir))
+    rows = landed.landed_rows(landed.scan_sources(spark, land_scenario(spark, sf_dir)))
     fetched = landed.fetch(rows, _scenario_plan(spark, sf_dir, start))
     return coerce(fetched, ("source_rank",))
 
@@ -180,3 +181,40 @@ def next_start(spark, sf_dir):
 def up_to_date(spark, sf_dir):
     customer = fx.table(spark, sf_dir, "customer").select(F.col("c_name").alias("symbol"))
     return customer.join(_plan(spark, sf_dir), "symbol", "left_anti")
+
+
+@query("s04_bad_file", """SELECT symbol, "timestamp", close, CAST(NULL AS VARCHAR) AS reason FROM segment_bars WHERE symbol IN ('AUTOMOBILE', 'BUILDING')
+UNION ALL SELECT 'FURNITURE', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), 'unreadable_file'
+UNION ALL SELECT 'HOUSEHOLD', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), 'empty'
+UNION ALL SELECT 'MACHINERY', CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), 'unreadable_file'""", uses="segment_bars")
+def bad_file(spark, sf_dir):
+    """One file without data, one with a wrong header and one that is empty, beside files with usual and swapped columns."""
+    folder, bars = scratch_dir(spark, "landing"), fx.segment_bars(spark, sf_dir)
+    cells = {"Date": F.date_format("timestamp", "yyyy-MM-dd"), "Open": F.col("open"), "High": F.col("high"), "Low": F.col("low"),
+             "Close": F.col("close"), "Volume": F.col("volume")}
+    for ticker, order in (("automobile.us", ["Date", "Open", "High", "Low", "Close", "Volume"]), ("building", ["Volume", "Close", "Low", "High", "Open", "Date"])):
+        own = bars.filter(F.col("symbol") == ticker.split(".")[0].upper())
+        names = [("Datetime" if n == "Date" and ticker == "building" else n) for n in order]
+        own.select(*[cells[n].cast("string").alias(m) for n, m in zip(order, names)]).write.option("header", "true").csv(f"{folder}/primary/ticker={ticker}")
+    for ticker, text in (("furniture.us", "No data"), ("machinery.us", "a,b,c\n1,2,3"), ("household.us", "")):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/primary/ticker={ticker}")
+    universe = fx.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("symbol")).distinct()
+    store = TableStore(spark, scratch_dir(spark, "tables")).initialize()
+    result = jobs.daily_increment(store, folder, universe, END)
+    stored = store.read("bars").select("symbol", "timestamp", "close", F.lit(None).cast("string").alias("reason"))
+    failed = result.status.filter("reason IS NOT NULL").select("symbol", F.lit(None).cast("timestamp_ntz").alias("timestamp"),
+                                                               F.lit(None).cast("double").alias("close"), "reason")
+    return stored.unionByName(failed)
+
+
+@query("a02_parts_in_order", """SELECT symbol, "timestamp", close FROM segment_bars WHERE symbol = 'BUILDING'""", uses="segment_bars")
+def parts_in_order(spark, sf_dir):
+    """A ticker in two parts with the same days: the first part counts, though the second is larger."""
+    folder, bars = scratch_dir(spark, "landing"), fx.segment_bars(spark, sf_dir).filter("symbol = 'BUILDING'")
+    text = [F.date_format("timestamp", "yyyy-MM-dd").alias("Date"), *[F.col(c.lower()).cast("string").alias(c) for c in ("Open", "High", "Low")]]
+    for part, close, padding in (("a", F.col("close"), ""), ("b", F.lit(-1.0), " " * 40)):
+        own = bars.select(*text, close.cast("string").alias("Close"), F.concat("volume", F.lit(padding)).alias("Volume"))
+        own.coalesce(1).write.option("header", "true").option("ignoreTrailingWhiteSpace", "false").csv(f"{folder}/primary/{part}/ticker=building")
+    store = TableStore(spark, scratch_dir(spark, "tables")).initialize()
+    jobs.daily_increment(store, folder, bars.select("symbol").distinct(), END)
+    return store.read("raw_bars").select("symbol", "timestamp", "close")

@@ -96,8 +96,11 @@ _CLASSES = f"""SELECT symbol, target_state AS label, count(*) OVER (PARTITION BY
 FROM ({_CLASSES}) WHERE k > 2 OR (k = 2 AND i = 2)""", uses="tick_features")
 def fit_is_optimal(spark, sf_dir):
     """The penalised gradient at the fitted weights; the objective is strictly convex, so zero proves the fit."""
-    features = tick_features(spark, sf_dir)
-    weights = _per_label(tr.fit_transitions(features))
+    return _slopes(tick_features(spark, sf_dir))
+
+
+def _slopes(features, group_rows=None):
+    weights = _per_label(tr.fit_transitions(features, group_rows))
     sums = tr.model_sums(st.training_rows(features), weights).join(weights, ["symbol", "label"])
     return sums.select("symbol", "label", *[
         F.abs(F.round(F.col(f"g{i}") + F.col("w")[i], 5)).alias(f"g{i}") for i in range(tr.N_WEIGHTS)
@@ -119,14 +122,22 @@ def row_sums(spark, sf_dir):
     return probs.groupBy("symbol", "from_state").agg(F.round(F.sum("prob"), 9).alias("total"), F.count("prob").alias("n"))
 
 
-@query("m03_fitted_models")
+@query("m03_fitted_models", f"""SELECT f.symbol, 'ok' AS status, f.n, 0::BIGINT AS dropped, c.label FROM (
+  SELECT symbol, count(*) AS n FROM features WHERE {COMPLETE} GROUP BY symbol) f JOIN (
+  SELECT symbol, target_state AS label, count(*) OVER (PARTITION BY symbol) AS k,
+         row_number() OVER (PARTITION BY symbol ORDER BY target_state) AS i
+  FROM (SELECT DISTINCT symbol, target_state FROM features WHERE {COMPLETE})) c ON c.symbol = f.symbol
+WHERE k > 2 OR (k = 2 AND i = 2)""", uses="features")
 def fitted(spark, sf_dir):
     models = tr.fit_transitions(state_features(spark, sf_dir))
-    return models.select(
-        "symbol", "status", "n", "dropped",
-        F.explode(F.arrays_zip(F.col("classes").alias("label"), F.col("weights").alias("w"))).alias("m"),
-    ).select("symbol", "status", "n", "dropped", "m.label",
-             *[F.round(F.col("m.w")[i], 6).alias(f"w{i}") for i in range(tr.N_WEIGHTS)])
+    return models.join(_per_label(models), "symbol").select("symbol", "status", "n", "dropped", "label")
+
+
+@query("m03_large_fit_is_optimal", f"""SELECT symbol, label, {", ".join(f"0.0::DOUBLE AS g{i}" for i in range(len(_X)))}
+FROM ({_CLASSES}) WHERE k > 2 OR (k = 2 AND i = 2)""", uses="tick_features")
+def large_fit_is_optimal(spark, sf_dir):
+    """As ``m03_fit_is_optimal`` with a group limit so low that all symbols count as large."""
+    return _slopes(tick_features(spark, sf_dir), group_rows=10)
 
 
 def ruled_models(features):
@@ -171,18 +182,25 @@ def state_pairs(spark, sf_dir):
     return tr.transition_probs(features, ruled_models(features)).withColumn("prob", F.round("prob", 9))
 
 
-@query("m05_transition_matrix")
+@query("m05_transition_matrix", f"""SELECT a.symbol, a.label AS from_state, b.label AS to_state, s.symbol IS NULL AS never_current
+FROM ({_CLASSES}) a JOIN ({_CLASSES}) b ON a.symbol = b.symbol LEFT JOIN (
+  SELECT DISTINCT symbol, market_state FROM tick_features WHERE ret_lag_20 IS NOT NULL AND market_state IS NOT NULL) s
+ON s.symbol = a.symbol AND s.market_state = a.label""", uses="tick_features")
 def transition_matrix(spark, sf_dir):
     features = tick_features(spark, sf_dir)
-    return tr.transition_probs(features, tr.fit_transitions(features)).withColumn("prob", F.round("prob", 6))
+    probs = tr.transition_probs(features, tr.fit_transitions(features))
+    return probs.select("symbol", "from_state", "to_state", (F.col("prob") == 0).alias("never_current"))
 
 
-@query("m06_matrix_view")
+@query("m06_matrix_view", f"""FROM ({_SCORED}, cells AS (SELECT a.symbol, a.i AS line, b.i AS place, coalesce(round(avg(s.prob), 9), 0.0) AS prob
+  FROM classes a JOIN classes b ON a.symbol = b.symbol
+  LEFT JOIN scored s ON s.symbol = a.symbol AND s.from_state = a.to_state AND s.to_state = b.to_state GROUP BY ALL)
+SELECT c.symbol, n.states, c.line, c.place, c.prob FROM cells c JOIN (
+  SELECT symbol, string_agg(to_state, '|' ORDER BY to_state) AS states FROM classes GROUP BY symbol) n ON n.symbol = c.symbol)""", uses="features")
 def matrix(spark, sf_dir):
-    bars = fx.segment_bars(spark, sf_dir)
-    labelled = st.with_states(bars).withColumnRenamed("new_state", "market_state")
-    features = st.lag_features(labelled)
-    view = tr.matrix_view(tr.transition_probs(features, tr.fit_transitions(features)))
-    return view.select("symbol", F.array_join("states", "|").alias("states"),
-                       F.posexplode("matrix").alias("line", "probs")).select(
-        "symbol", "states", "line", F.array_join(F.transform("probs", lambda p: F.round(p, 6).cast("string")), "|").alias("probs"))
+    features = state_features(spark, sf_dir)
+    view = tr.matrix_view(tr.transition_probs(features, ruled_models(features)))
+    lines = view.select("symbol", F.array_join("states", "|").alias("states"), F.posexplode("matrix").alias("line", "probs"))
+    cells = lines.select("symbol", "states", "line", F.posexplode("probs").alias("place", "prob"))
+    return cells.select("symbol", "states", (F.col("line") + 1).cast("bigint").alias("line"), (F.col("place") + 1).cast("bigint").alias("place"),
+                        F.round("prob", 9).alias("prob"))

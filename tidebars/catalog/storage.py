@@ -187,5 +187,6 @@ def live_view(spark, sf_dir):
 def stored_view(spark, sf_dir):
     store = filled_store(spark, sf_dir)
     jobs.refresh_averages(store)
-    bars, _ = views.stored_averages_view(store, "FURNITURE")
-    return whole_ema(bars.drop("symbol", "market_state"))
+    bars, filled = views.stored_averages_view(store, "FURNITURE")
+    names = [r.column_name for r in filled.collect()]
+    return whole_ema(bars.select(*[c for c in BAR_COLS if c != "symbol"], *[c for c in MA_COLS if c in names]))

@@ -11,12 +11,12 @@ from tidebars.catalog.registry import query
 from tidebars.catalog.sql import BAR
 from tidebars.functions.times import time_literal
 from tidebars.operators import states as st
-from tidebars.operators.joins import nonempty_columns, restrict
+from tidebars.operators.joins import matching, nonempty_columns, restrict
 from tidebars.operators.moving_averages import standard_averages
 from tidebars.operators.runs import ordered_runs
 from tidebars.plans.views import day_bounds
 from tidebars.schema import FEATURE_COLS, MA_COLS
-from tidebars.sources.tables import in_range, latest_times
+from tidebars.sources.tables import in_range, latest_times, one_symbol
 
 FEATURES = ", ".join(FEATURE_COLS)
 
@@ -123,8 +123,8 @@ def time_range(spark, sf_dir):
 
 
 @query("p10_one_symbol", f"SELECT {BAR} FROM segment_bars WHERE symbol = 'MACHINERY'", uses="segment_bars")
-def one_symbol(spark, sf_dir):
-    return fx.segment_bars(spark, sf_dir).filter(F.col("symbol") == "MACHINERY")
+def symbol_rows(spark, sf_dir):
+    return one_symbol(fx.segment_bars(spark, sf_dir), "MACHINERY")
 
 
 @query("p11_listed_values", f"""SELECT {BAR} FROM segment_bars WHERE symbol IN ('MACHINERY', 'BUILDING')
@@ -133,8 +133,8 @@ def listed_values(spark, sf_dir):
     days = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("o_orderdate").cast("timestamp_ntz").alias("timestamp")
     )
-    bars = fx.segment_bars(spark, sf_dir).filter(F.col("symbol").isin("MACHINERY", "BUILDING"))
-    return bars.join(days, "timestamp", "left_semi")
+    listed = spark.createDataFrame([("MACHINERY",), ("BUILDING",)], "symbol string")
+    return matching(restrict(fx.segment_bars(spark, sf_dir), listed), days, "timestamp")
 
 
 @query("p14_trailing_year", f"""SELECT {BAR} FROM segment_bars

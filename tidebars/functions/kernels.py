@@ -50,9 +50,10 @@ def wma(sums, pos, period):
     return sums[period][1] / (n * (n + 1) / 2.0)
 
 
-def ema(x, pos, period, carry):
+def ema(x, pos, period, carry, known=None):
     """Exponential average seeded by each run's first value; ``carry`` continues an open run.
 
+    ``known`` holds values that are settled already, NaN elsewhere; later rows go on from them.
     Solves ``e[n] = decay * e[n-1] + u[n]`` for the whole batch by doubling the reach of every row.
     """
     alpha = 2.0 / (period + 1.0)
@@ -60,12 +61,17 @@ def ema(x, pos, period, carry):
     first = pos == 1
     e = np.where(first, x, alpha * x)
     link = np.where(first, 0.0, decay)
-    if not first[0]:
+    if known is not None:
+        settled = ~np.isnan(known)
+        e = np.where(settled, known, e)
+        link = np.where(settled, 0.0, link)
+    if link[0]:
         e[0] += decay * carry
         link[0] = 0.0
     reach = 1
     while reach < len(x) and link.any():
-        e[reach:] += link[reach:] * e[:-reach].copy()
+        # where, not a product: a row of another run may hold NaN, and 0 * NaN is NaN
+        e[reach:] += np.where(link[reach:] != 0.0, link[reach:] * e[:-reach], 0.0)
         shifted = np.zeros_like(link)
         shifted[reach:] = link[:-reach]
         link = link * shifted

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 # Accepted number and ISO timestamp texts.
-NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 ISO_PATTERN = r"^\s*\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?\s*$"
 
 # Symbol suffixes that already name an exchange.
@@ -22,7 +22,7 @@ def strip(c: Column) -> Column:
 
 
 def to_number(c: Column, dtype: T.DataType) -> Column:
-    """Double value of a column; unparsable text and NaN become null."""
+    """Double value of a column; unparsable text and NaN become null, infinities stay for the gate to report."""
     if isinstance(dtype, T.StringType):
         # The pattern admits no text for NaN; the cast ignores surrounding white space.
         return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))

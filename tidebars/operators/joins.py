@@ -49,9 +49,12 @@ def apply_states(bars: DataFrame, states: DataFrame) -> DataFrame:
 
 def restrict(df: DataFrame, universe: DataFrame | None) -> DataFrame:
     """Rows of the listed symbols."""
-    if universe is None:
-        return df
-    return df.join(universe.select("symbol"), "symbol", "left_semi").select(*df.columns)
+    return df if universe is None else matching(df, universe, "symbol")
+
+
+def matching(df: DataFrame, listed: DataFrame, *columns: str) -> DataFrame:
+    """Rows of ``df`` whose values in ``columns`` are listed."""
+    return df.join(listed.select(*columns), list(columns), "left_semi").select(*df.columns)
 
 
 def nonempty_columns(df: DataFrame, columns: list[str]) -> DataFrame:

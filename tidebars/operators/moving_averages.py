@@ -4,6 +4,9 @@ All averages of a frame come from one shuffle and one sort by (symbol, timestamp
 stream through an Arrow kernel that keeps only the last ``max(period)`` values and one number per
 exponential average, so memory does not grow with the length of a symbol. Windows of built-in
 functions give the same values but cost about seven times as much (README, "Measured choices").
+
+A row in which an averaged column is null, NaN or infinite is left out: it counts in no frame and its
+averages are null.
 """
 
 from __future__ import annotations
@@ -13,10 +16,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidebars.functions import kernels
-from tidebars.operators.runs import ordered_runs
+from tidebars.operators.runs import SymbolSizes, ordered_runs
 from tidebars.schema import STANDARD_PERIODS
 from tidebars.session import ship_package
 
@@ -37,9 +40,13 @@ def _check_periods(periods) -> list[int]:
     return periods
 
 
-def add_averages(df: DataFrame, wanted: dict[str, tuple[str, str, int]],
-                 segment_rows: int | None = None) -> DataFrame:
-    """Add the columns ``{name: (kind, value column, period)}``; same-named columns are replaced."""
+def add_averages(df: DataFrame, wanted: dict[str, tuple[str, str, int]], sizes: SymbolSizes | None = None,
+                 known: dict[str, str] | None = None) -> DataFrame:
+    """Add the columns ``{name: (kind, value column, period)}``; same-named columns are replaced.
+
+    ``known`` names, for exponential averages, columns with values that are settled already: where they
+    are not null they are taken, and later rows go on from them.
+    """
     wanted = {name: (kind.lower(), col, int(p)) for name, (kind, col, p) in wanted.items()}
     for kind, _, _ in wanted.values():
         if kind not in KINDS:
@@ -47,23 +54,31 @@ def add_averages(df: DataFrame, wanted: dict[str, tuple[str, str, int]],
     _check_periods(p for _, _, p in wanted.values())
 
     back = max(ema_reach(p) if kind == "ema" else p - 1 for kind, _, p in wanted.values())
-    runs = ordered_runs(df.drop(*wanted), back=back, segment_rows=segment_rows)
+    runs = ordered_runs(df.drop(*wanted), back=back, sizes=sizes)
     sources = sorted({col for _, col, _ in wanted.values()})
-    if all(kind == "sma" for kind, _, _ in wanted.values()) and sum(p for _, _, p in wanted.values()) <= 64:
+    # Rows left out form runs of their own, behind the same shuffle and sort.
+    sound = F.lit(True)
+    for col in sources:
+        value = F.col(col).cast("double")
+        sound = sound & F.coalesce((F.abs(value) < float("inf")) & ~F.isnan(value), F.lit(False))
+    rows = runs.df.withColumn("_sound", sound)
+    window = Window.partitionBy(*runs.keys, "_sound").orderBy("timestamp")
+    if not known and all(kind == "sma" for kind, _, _ in wanted.values()) and sum(p for _, _, p in wanted.values()) <= 64:
         # Short plain averages alone stay in the JVM.
-        out = runs.df.select("*", *[
-            F.avg(col).over(runs.rows(-(p - 1), 0)).alias(name) for name, (_, col, p) in wanted.items()
+        out = rows.select("*", *[
+            F.when(F.col("_sound"), F.avg(col).over(window.rowsBetween(-(p - 1), 0))).alias(name)
+            for name, (_, col, p) in wanted.items()
         ])
-        return runs.finish(out)
+        return runs.finish(out.drop("_sound"))
 
     ship_package(df.sparkSession)
-    placed = runs.df.withColumn("_pos", F.row_number().over(runs.window))
+    placed = rows.withColumn("_pos", F.when(F.col("_sound"), 1).otherwise(-1) * F.row_number().over(window)).drop("_sound")
     kept = [f for f in placed.schema.fields if f.name != "_pos"]
     schema = T.StructType(kept + [T.StructField(name, T.DoubleType()) for name in wanted])
-    return runs.finish(placed.mapInArrow(_kernel(wanted, sources), schema))
+    return runs.finish(placed.mapInArrow(_kernel(wanted, sources, known or {}), schema))
 
 
-def _kernel(wanted, sources) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _kernel(wanted, sources, known) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     framed = {c: sorted({p for k, col, p in wanted.values() if col == c and k != "ema"}) for c in sources}
     smoothed = {c: sorted({p for k, col, p in wanted.values() if col == c and k == "ema"}) for c in sources}
     keep = max((max(p) for p in framed.values() if p), default=1) - 1
@@ -76,10 +91,12 @@ def _kernel(wanted, sources) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             if batch.num_rows == 0:
                 continue
             pos = batch.column("_pos").to_numpy(zero_copy_only=False).astype(np.int64)
+            left_out = pos < 0
+            pos = np.abs(pos)
             all_pos = np.concatenate([tail_pos, pos])
             done = {}
             for c in sources:
-                x = batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+                x = np.where(left_out, 0.0, batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64))
                 if framed[c]:
                     joined = np.concatenate([tail[c], x])
                     sums = kernels.trailing_sums(joined, all_pos, framed[c])
@@ -88,7 +105,9 @@ def _kernel(wanted, sources) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                         done["wma", c, p] = kernels.wma(sums, all_pos, p)[len(tail_pos):]
                     tail[c] = joined[-keep:] if keep else joined[:0]
                 for p in smoothed[c]:
-                    e = kernels.ema(x, pos, p, carry.get((c, p), 0.0))
+                    settled = [batch.column(known[n]).to_numpy(zero_copy_only=False).astype(np.float64)
+                               for n, spec in wanted.items() if spec == ("ema", c, p) and n in known]
+                    e = kernels.ema(x, pos, p, carry.get((c, p), 0.0), *settled[:1])
                     carry[c, p] = e[-1]
                     done["ema", c, p] = e
             if keep and any(framed.values()):
@@ -96,25 +115,25 @@ def _kernel(wanted, sources) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             columns = [batch.column(n) for n in batch.schema.names if n != "_pos"]
             names = [n for n in batch.schema.names if n != "_pos"]
             yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(done[spec]) for spec in wanted.values()], names=names + list(wanted)
+                columns + [pa.array(done[spec], mask=left_out) for spec in wanted.values()], names=names + list(wanted)
             )
 
     return run
 
 
-def moving_average(column: str, period: int, kind: str = "sma", name: str | None = None):
+def moving_average(column: str, period: int, kind: str = "sma", name: str | None = None, sizes: SymbolSizes | None = None):
     """One average by name (``sma`` / ``ema`` / ``wma`` in any case), for ``df.transform``."""
     if kind.lower() not in KINDS:
         raise ValueError(f"unknown moving average kind: {kind}")
     out = name or f"{kind.lower()}_{period}"
-    return lambda df: add_averages(df, {out: (kind, column, period)})
+    return lambda df: add_averages(df, {out: (kind, column, period)}, sizes)
 
 
-def standard_averages(df: DataFrame, periods=None, segment_rows: int | None = None) -> DataFrame:
-    """The storable columns ``sma_p ema_p wma_p`` of the close for every period."""
+def standard_averages(df: DataFrame, periods=None, sizes: SymbolSizes | None = None, known: dict[str, str] | None = None) -> DataFrame:
+    """The storable columns ``sma_p ema_p wma_p`` of the close for every period; ``known`` as in ``add_averages``."""
     periods = _check_periods(periods or STANDARD_PERIODS)
     wanted = {f"{kind}_{p}": (kind, "close", p) for kind in KINDS for p in periods}
-    return add_averages(df, wanted, segment_rows)
+    return add_averages(df, wanted, sizes, known)
 
 
 def averages_by_period(df: DataFrame, periods=None) -> DataFrame:

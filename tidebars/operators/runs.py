@@ -7,6 +7,9 @@ dropped afterwards, and the result is the same as that of the plain window.
 
 What reaches the driver is bounded: ``target`` is at least 1/10,000 of all rows, so there are at most
 10,000 hot symbols and a fixed number of histogram buckets, which also bounds the broadcast maps.
+
+Finding the hot symbols is a job. Operators that follow each other on the same bars share one
+``symbol_sizes`` (their ``sizes`` argument) instead of running it each.
 """
 
 from __future__ import annotations
@@ -51,16 +54,24 @@ class Runs:
         return df.filter("_own").drop("_seg", "_own")
 
 
-def ordered_runs(df: DataFrame, back: int = 0, ahead: int = 0,
-                 segment_rows: int | None = None) -> Runs:
+@dataclass(frozen=True)
+class SymbolSizes:
+    """The symbols with more than ``target`` rows, as (symbol, n, lo, hi) rows."""
+
+    hot: list
+    target: int
+    forced: bool = False
+
+
+def ordered_runs(df: DataFrame, back: int = 0, ahead: int = 0, sizes: SymbolSizes | None = None) -> Runs:
     """Prepare ``df`` for windows per symbol that reach ``back`` / ``ahead`` rows.
 
-    (symbol, timestamp) must be unique. ``segment_rows`` forces the segment size (tests).
+    (symbol, timestamp) must be unique. ``sizes``: what ``symbol_sizes`` found for the same rows.
     """
-    hot, target = hot_symbols(df, segment_rows)
+    sizes = sizes or symbol_sizes(df)
     # A segment much shorter than its borrowed rows would mostly recompute its neighbours.
-    target = max(target, 8 * (back + ahead)) if segment_rows is None else target
-    hot = [h for h in hot if h.n > target]
+    target = sizes.target if sizes.forced else max(sizes.target, 8 * (back + ahead))
+    hot = [h for h in sizes.hot if h.n > target]
     if not hot:
         return Runs(df, ("symbol",))
 
@@ -78,8 +89,8 @@ def ordered_runs(df: DataFrame, back: int = 0, ahead: int = 0,
     return Runs(spread, ("symbol", "_seg"))
 
 
-def hot_symbols(df: DataFrame, segment_rows: int | None = None):
-    """Symbols with more rows than one segment should hold, as (symbol, n, lo, hi) rows, and that size."""
+def symbol_sizes(df: DataFrame, segment_rows: int | None = None) -> SymbolSizes:
+    """Symbols with more rows than one segment should hold. ``segment_rows`` forces that size (tests)."""
     sizes = df.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("timestamp").alias("lo"),
@@ -89,13 +100,13 @@ def hot_symbols(df: DataFrame, segment_rows: int | None = None):
         totals = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("largest")).first()
         target = max(MIN_SEGMENT_ROWS, (totals.n or 0) // MAX_SEGMENTS)
         if (totals.largest or 0) <= target:
-            return [], target
+            return SymbolSizes([], target)
     else:
         target = segment_rows
     hot = sizes.filter(F.col("n") > target).select(
         "symbol", "n", epoch_micros(F.col("lo")).alias("lo"), epoch_micros(F.col("hi")).alias("hi")
     )
-    return hot.collect(), target
+    return SymbolSizes(hot.collect(), target, segment_rows is not None)
 
 
 def _bucket(df: DataFrame, hot, target: int):

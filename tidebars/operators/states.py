@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from tidebars.functions.scalars import classify_return, pct_change, period_return
-from tidebars.operators.runs import ordered_runs
+from tidebars.operators.runs import SymbolSizes, ordered_runs
 from tidebars.schema import FEATURE_COLS, LAGS
 
 FEATURE_TABLE = ["symbol", "timestamp", "market_state", *FEATURE_COLS, "target_state", "history"]
 
 
-def period_returns(df: DataFrame, segment_rows: int | None = None) -> DataFrame:
+def period_returns(df: DataFrame, sizes: SymbolSizes | None = None) -> DataFrame:
     """Add ``ret``: change against the previous close; null on the first row of a symbol."""
-    runs = ordered_runs(df, back=1, segment_rows=segment_rows)
+    runs = ordered_runs(df, back=1, sizes=sizes)
     out = runs.df.withColumn("ret", period_return(F.col("close"), F.lag("close").over(runs.window)))
     return runs.finish(out)
 
 
-def with_states(df: DataFrame, segment_rows: int | None = None) -> DataFrame:
+def with_states(df: DataFrame, sizes: SymbolSizes | None = None) -> DataFrame:
     """Add ``ret`` and ``new_state``; both null on the first row, which never gets a state."""
-    return period_returns(df, segment_rows).withColumn("new_state", classify_return(F.col("ret")))
+    return period_returns(df, sizes).withColumn("new_state", classify_return(F.col("ret")))
 
 
 def last_states(df: DataFrame, n: int = 5, state: str = "new_state") -> DataFrame:
@@ -50,25 +50,24 @@ def _add_features(df: DataFrame, w: WindowSpec, state: str) -> DataFrame:
     )
 
 
-def lag_features(df: DataFrame, state: str = "market_state", segment_rows: int | None = None) -> DataFrame:
+def lag_features(df: DataFrame, state: str = "market_state", sizes: SymbolSizes | None = None) -> DataFrame:
     """(symbol, timestamp, market_state, ret_lag_0.. ret_lag_20, target_state, history) for every bar.
 
     ``history`` says that enough earlier bars exist; a feature that is null in spite of it comes from
     a zero close. ``target_state`` is the state of the next bar.
     """
     slim = df.select("symbol", "timestamp", "close", F.col(state).alias("market_state"))
-    runs = ordered_runs(slim, back=max(LAGS) + 1, ahead=1, segment_rows=segment_rows)
+    runs = ordered_runs(slim, back=max(LAGS) + 1, ahead=1, sizes=sizes)
     return runs.finish(_add_features(runs.df, runs.window, "market_state")).select(*FEATURE_TABLE)
 
 
-def classified_features(df: DataFrame, labels: str = "fresh", segment_rows: int | None = None) -> tuple[DataFrame, bool]:
+def classified_features(df: DataFrame, labels: str = "fresh", sizes: SymbolSizes | None = None) -> DataFrame:
     """States and features of bars in one pass: the feature table with ``ret`` and ``new_state``.
 
-    The model's labels are the ``fresh`` states, or the ``stored`` ones the bars came with. Also
-    tells whether a symbol was large enough to be split.
+    The model's labels are the ``fresh`` states, or the ``stored`` ones the bars came with.
     """
     slim = df.select("symbol", "timestamp", "close", "market_state")
-    runs = ordered_runs(slim, back=max(LAGS) + 1, ahead=1, segment_rows=segment_rows)
+    runs = ordered_runs(slim, back=max(LAGS) + 1, ahead=1, sizes=sizes)
     w = runs.window
     classified = runs.df.withColumn("ret", period_return(F.col("close"), F.lag("close").over(w))).withColumn(
         "new_state", classify_return(F.col("ret"))
@@ -76,7 +75,7 @@ def classified_features(df: DataFrame, labels: str = "fresh", segment_rows: int
     if labels == "fresh":
         classified = classified.withColumn("market_state", F.coalesce("new_state", "market_state"))
     out = runs.finish(_add_features(classified, w, "market_state"))
-    return out.select(*FEATURE_TABLE, "ret", "new_state"), runs.split
+    return out.select(*FEATURE_TABLE, "ret", "new_state")
 
 
 def training_rows(features: DataFrame) -> DataFrame:

@@ -4,9 +4,12 @@ For every symbol and class a one-against-rest logistic model minimises
 ``|w|^2 / 2 + sum log(1 + exp(-y w.x))`` over six lagged returns and a constant, the constant being
 penalised like the rest. Two classes need one model, for the later class.
 
-Symbols of ordinary size are fitted within one group each, after a single shuffle. A symbol too large
-for that (see ``runs.hot_symbols``) is fitted by rounds of partially aggregated gradient and Hessian
-sums over its rows, which stay where they are.
+Symbols of up to ``GROUP_ROWS`` training rows are fitted within one group each, after a single shuffle.
+Larger ones, of which there may be any number, are fitted by rounds of partially aggregated gradient and
+Hessian sums over their rows; a row for each model holds where its iteration stands.
+
+A fit counts as done when the gradient is zero for all practical purposes, not when steps get short. One
+that does not get there in ``MAX_ROUNDS`` has the status ``not_converged``, no weights and no matrix.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidebars.operators.runs import hot_symbols
 from tidebars.operators.states import scoring_rows, training_rows
 from tidebars.schema import FEATURE_COLS
-from tidebars.session import ship_package, small_frame
+from tidebars.session import scratch_dir, ship_package
 
 MODEL_SCHEMA = "symbol string, classes array<string>, weights array<array<double>>, status string"
+#: Training rows of a symbol that one task fits at most, whatever the size of the table.
+GROUP_ROWS = 200_000
+#: Largest slope left over, as a share of the loss.
 TOLERANCE = 1e-10
 MAX_ROUNDS = 100
 N_WEIGHTS = len(FEATURE_COLS) + 1
@@ -61,21 +66,23 @@ def _sums(x, y, w):
 class NewtonSteps:
     """Newton iteration with step halving, fed with sums from wherever they were computed."""
 
-    def __init__(self):
-        self.w = np.zeros(N_WEIGHTS)
+    def __init__(self, w=None, kept=None, step=None):
+        self.w = np.zeros(N_WEIGHTS) if w is None else np.array(w)
         self.done = False
-        self._kept = None
-        self._step = None
+        self.kept = kept
+        self.step = step
 
     def update(self, loss, gradient, hessian):
-        if self._kept is not None and loss > self._kept[1] + 1e-9 * (1.0 + abs(self._kept[1])):
-            self._step = self._step / 2.0
-            self.w = self._kept[0] - self._step
+        self.done = bool(np.abs(gradient).max() <= TOLERANCE * max(100.0, loss))
+        if self.done:
+            return
+        if self.kept is not None and loss > self.kept[1] + 1e-9 * (1.0 + abs(self.kept[1])):
+            self.step = self.step / 2.0
+            self.w = self.kept[0] - self.step
         else:
-            self._kept = (self.w, loss)
-            self._step = np.linalg.solve(hessian, gradient)
-            self.w = self.w - self._step
-        self.done = bool(np.abs(self._step).max() < TOLERANCE)
+            self.kept = (self.w, loss)
+            self.step = np.linalg.solve(hessian, gradient)
+            self.w = self.w - self.step
 
 
 def _positive_classes(classes: list[str]) -> list[str]:
@@ -86,17 +93,19 @@ def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     x = np.column_stack([pdf[FEATURE_COLS].to_numpy(dtype=float), np.ones(len(pdf))])
     target = pdf["target_state"].to_numpy()
     classes = sorted(set(target))
-    weights = []
-    if len(classes) > 1:
-        for label in _positive_classes(classes):
-            y = np.where(target == label, 1.0, -1.0)
-            steps = NewtonSteps()
-            for _ in range(MAX_ROUNDS):
-                steps.update(*_sums(x, y, steps.w))
-                if steps.done:
-                    break
-            weights.append(steps.w.tolist())
-    status = "ok" if len(classes) > 1 else "single_class"
+    weights, status = [], "ok" if len(classes) > 1 else "single_class"
+    for label in _positive_classes(classes) if len(classes) > 1 else []:
+        y = np.where(target == label, 1.0, -1.0)
+        steps = NewtonSteps()
+        for _ in range(MAX_ROUNDS):
+            steps.update(*_sums(x, y, steps.w))
+            if steps.done:
+                break
+        weights.append(steps.w.tolist())
+        if not steps.done:
+            status = "not_converged"
+    if status != "ok":
+        weights = []
     return pd.DataFrame({"symbol": [pdf["symbol"].iloc[0]], "classes": [classes], "weights": [weights], "status": [status]})
 
 
@@ -128,55 +137,85 @@ def model_sums(rows: DataFrame, weights: DataFrame) -> DataFrame:
     return placed.groupBy("symbol", "label").agg(F.sum(loss).alias("loss"), *gradient, *hessian)
 
 
-def _fit_large(rows: DataFrame, classes: dict[str, list[str]]) -> list[tuple]:
-    """Fit the few symbols too large for one group; only their sums come to the driver."""
-    spark = rows.sparkSession
-    models = {(s, c): NewtonSteps() for s, cs in classes.items() if len(cs) > 1 for c in _positive_classes(cs)}
-    for _ in range(MAX_ROUNDS):
-        active = [(s, c, m.w.tolist()) for (s, c), m in models.items() if not m.done]
-        if not active:
-            break
-        # At most 10,000 hot symbols (runs.hot_symbols) of a few classes each: a bounded broadcast.
-        weights = F.broadcast(small_frame(spark, active, "symbol string, label string, w array<double>"))
-        for r in model_sums(rows, weights).collect():
-            model = models[r.symbol, r.label]
+_STANDING = "symbol string, label string, w array<double>, kept_w array<double>, kept_loss double, step array<double>, done boolean"
+
+
+def _advance(batches):
+    """One Newton step of every model from its sums and its standing."""
+    for pdf in batches:
+        out = []
+        for r in pdf.to_dict("records"):
+            kept = None if r["kept_w"] is None else (np.array(r["kept_w"]), r["kept_loss"])
+            model = NewtonSteps(r["w"], kept, None if r["step"] is None else np.array(r["step"]))
             upper = np.zeros((N_WEIGHTS, N_WEIGHTS))
             for i in range(N_WEIGHTS):
                 for j in range(i, N_WEIGHTS):
                     upper[i, j] = r[f"h{i}_{j}"]
             hessian = upper + np.triu(upper, 1).T + np.eye(N_WEIGHTS)
             gradient = model.w + np.array([r[f"g{i}"] for i in range(N_WEIGHTS)])
-            model.update(r.loss + 0.5 * model.w @ model.w, gradient, hessian)
-    return [
-        (s, cs, [models[s, c].w.tolist() for c in _positive_classes(cs)] if len(cs) > 1 else [],
-         "ok" if len(cs) > 1 else "single_class")
-        for s, cs in classes.items()
-    ]
-
-
-def fit_transitions(features: DataFrame, segment_rows: int | None = None, any_large: bool = True) -> DataFrame:
+            model.update(r["loss"] + 0.5 * model.w @ model.w, gradient, hessian)
+            at, loss = model.kept if model.kept else (model.w, None)
+            step = None if model.step is None else model.step.tolist()
+            out.append((r["symbol"], r["label"], model.w.tolist(), at.tolist(), loss, step, model.done))
+        yield pd.DataFrame(out, columns=["symbol", "label", "w", "kept_w", "kept_loss", "step", "done"])
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _fit_large(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Models of the symbols in ``classes``, by rounds over their ``rows``. Where each model stands is a row of a table in
+    the shared folder, so any number of symbols may be large and nothing of theirs comes to the driver."""
+    labels = F.when(F.size("classes") == 2, F.slice("classes", 2, 1)).when(F.size("classes") > 2, F.col("classes"))
+    nothing = {"kept_w": "array<double>", "kept_loss": "double", "step": "array<double>"}
+    standing = _written(classes.select("symbol", F.explode(labels).alias("label")).select(
+        "symbol", "label", F.array(*[F.lit(0.0)] * N_WEIGHTS).alias("w"),
+        *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()], F.lit(False).alias("done")), "standing")
+    for _ in range(MAX_ROUNDS):
+        open_ = standing.filter(~F.col("done"))
+        if open_.isEmpty():
+            break
+        sums = model_sums(rows, open_.select("symbol", "label", "w"))
+        moved = open_.join(sums, ["symbol", "label"]).mapInPandas(_advance, _STANDING)
+        standing = _written(standing.filter("done").unionByName(moved), "standing")
+    # one row per class, of which there are five at most
+    fitted = standing.groupBy("symbol").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("label", "w"))), lambda m: m["w"]).alias("weights"),
+        F.bool_and("done").alias("done"))
+    status = F.when(F.size("classes") < 2, "single_class").when(F.col("done"), "ok").otherwise("not_converged")
+    none = F.array().cast("array<array<double>>")
+    return classes.join(fitted, "symbol", "left").select(
+        "symbol", "classes", F.when(F.col("done"), F.col("weights")).otherwise(none).alias("weights"), status.alias("status"))
+
+
+def fit_transitions(features: DataFrame, group_rows: int | None = None) -> DataFrame:
     """(symbol, classes, weights, status, n, dropped): one row per symbol of ``features``.
 
-    ``any_large=False`` says that no symbol was found large before, which saves the check.
-    ``status`` is "ok", "single_class" or "no_data"; ``n`` counts training rows and ``dropped`` the
-    rows left out because a zero close made a feature undefined.
+    ``status`` is "ok", "single_class", "not_converged" or "no_data"; ``n`` counts training rows and
+    ``dropped`` the rows left out because a zero close made a feature undefined. ``group_rows`` may lower
+    ``GROUP_ROWS``.
     """
-    spark = features.sparkSession
-    ship_package(spark)
+    ship_package(features.sparkSession)
+    limit = min(group_rows or GROUP_ROWS, GROUP_ROWS)
     rows = training_rows(features).select("symbol", "timestamp", *FEATURE_COLS, "target_state")
-    hot = hot_symbols(rows, segment_rows)[0] if any_large else []
-    listed = F.broadcast(small_frame(spark, [(h.symbol,) for h in hot], "symbol string"))
-    small = rows.join(listed, "symbol", "left_anti") if hot else rows
-    models = small.drop("timestamp").groupBy("symbol").applyInPandas(_fit_group, MODEL_SCHEMA)
-    if hot:
-        large = rows.join(listed, "symbol", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
-        found = large.groupBy("symbol").agg(F.array_sort(F.collect_set("target_state")).alias("c")).collect()
-        fitted = _fit_large(large, {r.symbol: list(r.c) for r in found})
-        large.unpersist()
-        models = models.unionByName(small_frame(spark, fitted, MODEL_SCHEMA))
     undefined = F.col("history") & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in FEATURE_COLS])
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*FEATURE_COLS, "target_state"]])
-    counts = features.groupBy("symbol").agg(F.count_if(complete).alias("n"), F.count_if(undefined).alias("dropped"))
+    counts = _written(features.groupBy("symbol").agg(
+        F.count_if(complete).alias("n"), F.count_if(undefined).alias("dropped"),
+        F.array_sort(F.collect_set(F.when(complete, F.col("target_state")))).alias("found")), "model-counts")
+    large = counts.filter(F.col("n") > limit)
+    any_large = not large.isEmpty()
+    small = rows.join(large.select("symbol"), "symbol", "left_anti") if any_large else rows
+    models = small.drop("timestamp").groupBy("symbol").applyInPandas(_fit_group, MODEL_SCHEMA)
+    if any_large:
+        own = rows.join(large.select("symbol"), "symbol", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            models = models.unionByName(_fit_large(own, large.select("symbol", F.col("found").alias("classes"))))
+        finally:
+            own.unpersist()
     return counts.join(models, "symbol", "left").select(
         "symbol", "classes", "weights", F.coalesce("status", F.lit("no_data")).alias("status"), "n", "dropped"
     )
@@ -189,11 +228,13 @@ def state_probabilities(features: DataFrame, models: DataFrame) -> DataFrame:
     """(symbol, timestamp, from_state, to_state, prob) for every complete row and class."""
     fitted = models.filter(F.col("status") == "ok").select("symbol", "classes", "weights")
     rows = scoring_rows(features).join(fitted, "symbol")
-    sigmoid = F.transform("weights", lambda w: 1.0 / (1.0 + F.exp(-_dot(w))))
-    rows = rows.withColumn("_p", sigmoid)
+    # Logarithms of the sigmoids, so that shares stay defined where all sigmoids underflow.
+    rows = rows.withColumn("_z", F.transform("weights", _dot))
+    rows = rows.withColumn("_l", F.transform("_z", lambda z: F.least(z, F.lit(0.0)) - F.log1p(F.exp(-F.abs(z)))))
+    rows = rows.withColumn("_p", F.transform("_l", lambda v: F.exp(v - F.array_max("_l"))))
     total = F.aggregate("_p", F.lit(0.0), lambda a, b: a + b)
-    two = F.array(1.0 - F.element_at("_p", 1), F.element_at("_p", 1))
-    shares = F.when(F.size("classes") == 2, two).otherwise(F.transform("_p", lambda p: p / total))
+    later = 1.0 / (1.0 + F.exp(-F.element_at("_z", 1)))
+    shares = F.when(F.size("classes") == 2, F.array(1.0 - later, later)).otherwise(F.transform("_p", lambda p: p / total))
     scored = rows.select("symbol", "timestamp", F.col("market_state").alias("from_state"),
                          F.explode(F.arrays_zip(F.col("classes").alias("to_state"), shares.alias("prob"))).alias("s"))
     return scored.select("symbol", "timestamp", "from_state", F.col("s.to_state").alias("to_state"), F.col("s.prob").alias("prob"))

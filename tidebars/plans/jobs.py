@@ -6,17 +6,18 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidebars.functions.times import as_time
 from tidebars.operators.joins import apply_states, new_rows, restrict, upsert_averages
 from tidebars.operators.moving_averages import check_storable, standard_averages
-from tidebars.operators.quality import coerce, gate, judge, keep_first
+from tidebars.operators.quality import clean, gate, judge
 from tidebars.operators.states import classified_features, last_states, with_states
 from tidebars.operators.transitions import fit_transitions, transition_probs
 from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, MA_COLS, STANDARD_PERIODS, STATE_WINDOW_DAYS
 from tidebars.sources import landing as landed
-from tidebars.sources.tables import Commit, TableStore, in_range, latest_times
+from tidebars.session import small_frame
+from tidebars.sources.tables import Commit, TableStore, cell_place, latest_times
 
 
 @dataclass(frozen=True)
@@ -39,94 +40,152 @@ def insert_bars(store: TableStore, bars: DataFrame) -> Commit:
     return store.commit(appends=appends, base=base)
 
 
-def ingest_rows(store: TableStore, rows: DataFrame, universe: DataFrame, run_end,
-                default_start: str | None = DEFAULT_START) -> JobResult:
-    """Plan, choose sources, clean and insert the landed ``rows`` of the listed symbols."""
-    plan = landed.fetch_plan(universe, latest_times(store.read("raw_bars")), run_end, default_start)
-    # The plan has a row per symbol and every step reads it; the cleaned batch is read by the report and
-    # both inserts. Counting fills the caches, so that later joins are planned with their true sizes.
-    plan = plan.persist(StorageLevel.MEMORY_AND_DISK)
-    fetched = landed.fetch(rows, plan)
-    cleaned = keep_first(coerce(fetched, tuple(landed.LINE_ORDER)), *landed.LINE_ORDER)
-    cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    report = judge(cleaned).persist(StorageLevel.MEMORY_AND_DISK)
+def ingest_lines(store: TableStore, lines: DataFrame, universe: DataFrame, run_end,
+                 default_start: str | None = DEFAULT_START) -> JobResult:
+    """Plan, choose sources, clean and insert the landed ``lines`` of the listed symbols."""
+    # The plan has a row per symbol and every step reads it; the lines of its files are read for their
+    # headers, the choice and the fetch; the cleaned batch by the report and both inserts.
+    caches = []
+
+    def held(df: DataFrame) -> DataFrame:
+        caches.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
     try:
+        plan = held(landed.fetch_plan(universe, latest_times(store.read("raw_bars")), run_end, default_start))
+        wanted = landed.targets(plan)
+        own = held(landed.wanted_lines(lines, wanted))
+        cleaned = held(clean(landed.fetch(landed.landed_rows(own), plan), *landed.LINE_ORDER))
+        report = held(judge(cleaned))
+        # Counting fills the caches, so that later joins are planned with their true sizes.
         report.count()
         bars, status = gate(cleaned, plan, report)
+        unreadable = landed.unreadable_files(own).join(wanted, ["stem", "source_rank"]).select("symbol").distinct()
+        status = status.join(unreadable.withColumn("_bad", F.lit(True)), "symbol", "left").withColumn(
+            "reason", F.when((F.col("reason") == "empty") & F.col("_bad"), "unreadable_file").otherwise(F.col("reason"))
+        ).drop("_bad")
         current = universe.select("symbol").join(plan.select("symbol"), "symbol", "left_anti").select(
-            "symbol", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("ok"), F.lit("up to date").alias("reason")
+            "symbol", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("ok"), F.lit("up_to_date").alias("reason")
         )
-        # The plan is relative to what is stored now, so the status is fixed before the insert.
-        status = status.unionByName(current).persist(StorageLevel.MEMORY_AND_DISK)
-        status.count()
+        # The plan is relative to what is stored now, so the status is written before the insert.
+        status = store.note("ingest", status.unionByName(current))
         commit = insert_bars(store, bars)
     finally:
-        for cached in (report, cleaned, plan):
+        for cached in reversed(caches):
             cached.unpersist()
     return JobResult(commit, status)
 
 
 def daily_increment(store: TableStore, landing: str, universe: DataFrame, run_end) -> JobResult:
     """Insert everything landed since each symbol's latest stored bar; unknown symbols from the start."""
-    rows = landed.scan_sources(store.spark, landing)
-    return ingest_rows(store, rows, universe, run_end, default_start=None)
+    lines = landed.scan_sources(store.spark, landing)
+    return ingest_lines(store, lines, universe, run_end, default_start=None)
 
 
 def historical_backfill(store: TableStore, landing: str, universe: DataFrame, run_end,
                         default_start: str = DEFAULT_START) -> JobResult:
     """As the daily increment, with an explicit first day for unknown symbols."""
-    rows = landed.scan_sources(store.spark, landing)
-    return ingest_rows(store, rows, universe, run_end, default_start)
+    lines = landed.scan_sources(store.spark, landing)
+    return ingest_lines(store, lines, universe, run_end, default_start)
 
 
-def stale_years(store_rows: DataFrame, raw: DataFrame) -> DataFrame:
-    """(symbol, year) from which on averages are missing: the first year holding a raw bar without them.
+def stale_symbols(raw: DataFrame, bars: DataFrame) -> DataFrame:
+    """(symbol, since): the first raw bar of a symbol without stored averages.
 
     Raw bars never change, and an average depends on earlier bars only, so a stored average stays right
-    until an older bar is inserted, which then is the one without averages. Two counts per symbol and
-    year tell, without joining rows.
+    until an older bar is inserted, which then is the one without averages.
+    """
+    done = bars.dropna(subset=MA_COLS).select(*KEY)
+    return raw.select(*KEY).join(done, KEY, "left_anti").groupBy("symbol").agg(F.min("timestamp").alias("since"))
+
+
+def _last_before(store: TableStore, base: dict, stale: DataFrame, first: dict[int, int], n: int) -> DataFrame:
+    """Key and close of the last ``n`` raw bars of each stale symbol before it gets stale.
+
+    Cells are read backwards from the year before, twice as many years each time, and only those of
+    buckets with a symbol that has fewer bars so far.
     """
-    year = F.year("timestamp").alias("year")
-    have = store_rows.dropna(subset=MA_COLS).groupBy("symbol", year).agg(F.count(F.lit(1)).alias("n_done"))
-    want = raw.groupBy("symbol", year).agg(F.count(F.lit(1)).alias("n_raw"))
-    lacking = want.join(have, ["symbol", "year"], "left").filter(F.coalesce("n_done", F.lit(0)) < F.col("n_raw"))
-    return lacking.groupBy("symbol").agg(F.min("year").alias("year"))
+    cells = base["tables"]["raw_bars"]
+    below, span, needy, found = {b: y + 1 for b, y in first.items()}, 2, stale, None
+    while below:
+        near = [c for c in cells for y, b in [cell_place(c)] if b in below and below[b] - span <= y < below[b]]
+        rows = store.cell_rows(base, "raw_bars", near).select(*KEY, "close").join(needy, "symbol").filter(
+            F.col("timestamp") < F.col("since")).select(*KEY, "close")
+        found = rows if found is None else found.unionByName(rows)
+        below = {b: y - span for b, y in below.items()}
+        older = {b for c in cells for y, b in [cell_place(c)] if b in below and y < below[b]}
+        if not older:
+            break
+        counts = found.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+        needy = stale.join(counts, "symbol", "left").filter(F.coalesce("n", F.lit(0)) < n).select("symbol", "since")
+        wanting = store.buckets_of(needy, base)
+        below, span = {b: y for b, y in below.items() if b in older & wanting}, 2 * span
+    newest = Window.partitionBy("symbol").orderBy(F.desc("timestamp"))
+    return found.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
+
+
+def _refresh_stale(store: TableStore, base: dict, universe: DataFrame | None) -> Commit | None:
+    """Averages from each symbol's first bar without them on, going on from the stored ones before it.
+
+    Only cells whose raw bars changed since a refresh saw them are looked through, and only cells with a
+    stale bar, or a later one of its bucket, are rewritten.
+    """
+    spark, parts = store.spark, base["tables"]["raw_bars"]
+    noted = {r.cell: list(r.raw_parts) for r in store._rows(base, "averaged_cells").collect()}  # a row per cell
+    changed = [c for c, p in parts.items() if noted.get(c) != p]
+    if not changed:
+        return None
+    raw = restrict(store.cell_rows(base, "raw_bars", changed), universe)
+    stale = stale_symbols(raw, store.cell_rows(base, "bars", changed)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bucket = store.bucket("symbol", base).alias("bucket")
+        first = {r.bucket: r.year for r in stale.groupBy(bucket).agg(F.min(F.year("since")).alias("year")).collect()}
+        replaces = {}
+        if universe is None:
+            replaces["averaged_cells"] = small_frame(spark, sorted(parts.items()), "cell string, raw_parts array<string>")
+        if first:
+            touched = [c for c in {*parts, *base["tables"]["bars"]} for y, b in [cell_place(c)] if y >= first.get(b, 10**9)]
+            later = store.cell_rows(base, "raw_bars", touched).join(stale, "symbol").filter(F.col("timestamp") >= F.col("since"))
+            settled = [f"ema_{p}" for p in STANDARD_PERIODS]
+            known = {c: f"known_{c}" for c in settled}
+            before = _last_before(store, base, stale, first, max(STANDARD_PERIODS) - 1)
+            years = before.groupBy(store.bucket("symbol", base).alias("bucket")).agg(F.min(F.year("timestamp")).alias("year"))
+            lowest = {r.bucket: r.year for r in years.collect()}
+            held = [c for c in base["tables"]["bars"] for y, b in [cell_place(c)] if lowest.get(b, 10**9) <= y <= first.get(b, 0)]
+            stored = store.cell_rows(base, "bars", held).select(*KEY, *[F.col(c).alias(known[c]) for c in settled])
+            before = before.join(stored, KEY, "left").withColumn("fresh", F.lit(False))
+            rows = later.select(*BAR_COLS, F.lit(True).alias("fresh")).unionByName(before, allowMissingColumns=True)
+            averages = standard_averages(rows, known=known).filter("fresh").drop("fresh", *known.values())
+            columns = [c for c in averages.columns if c not in BAR_COLS]
+            replaces["bars"] = upsert_averages(store.cell_rows(base, "bars", touched), averages, columns)
+        return store.commit(replaces=replaces, base=base) if replaces else None
+    finally:
+        stale.unpersist()
 
 
 def refresh_averages(store: TableStore, universe: DataFrame | None = None, periods=None,
                      rebuild: bool = False) -> JobResult:
     """Bring the stored averages of the listed symbols up to date with their raw history.
 
-    Only the years from the first bar without averages on are rewritten; ``rebuild`` recomputes all.
-    Averages always start from the first raw bar, of which only key and close are read for the years
-    that stay.
+    The daily case goes on from what is stored (see ``_refresh_stale``); ``rebuild``, or a choice of
+    periods, recomputes whole histories of the listed symbols.
     """
     periods = check_storable(periods)
     base = store.manifest()
-    raw = restrict(store._rows(base, "raw_bars"), universe)
-    bars, commit, stale = store._rows(base, "bars"), None, None
+    buckets = None if universe is None else store.buckets_of(universe, base)
+    raw = restrict(store._rows(base, "raw_bars", buckets=buckets), universe)
     if rebuild or periods != STANDARD_PERIODS:
         averages = standard_averages(raw, periods)
-    else:
-        stale = stale_years(bars, raw).persist(StorageLevel.MEMORY_AND_DISK)
-        first_year = stale.agg(F.min("year")).first()[0]
-        averages = None
-        if first_year is not None:
-            first_day = dt.datetime(first_year, 1, 1)
-            bars = store._rows(base, "bars", start=first_day)
-            history = raw.select(*KEY, "close").join(stale.select("symbol"), "symbol", "left_semi")
-            fresh = in_range(standard_averages(history), start=first_day)
-            averages = fresh.join(store._rows(base, "raw_bars", start=first_day).drop("close"), KEY)
-    if averages is not None:
         columns = [c for c in averages.columns if c not in BAR_COLS]
+        bars = store._rows(base, "bars", buckets=buckets)
         commit = store.commit(replaces={"bars": upsert_averages(bars, averages, columns)}, base=base)
-    if stale is not None:
-        stale.unpersist()
-    have = restrict(store._rows(base, "raw_bars"), universe).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        commit = _refresh_stale(store, base, universe)
+    have = raw.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
     listed = have if universe is None else universe.select("symbol").distinct().join(have, "symbol", "left")
     status = listed.select(
         "symbol", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNotNull().alias("ok"),
-        F.when(F.col("n").isNull(), "no raw data").alias("reason"),
+        F.when(F.col("n").isNull(), "no_raw_bars").alias("reason"),
     )
     return JobResult(commit, status)
 
@@ -146,6 +205,7 @@ class TransformResult(JobResult):
 def transform_states(store: TableStore, universe: DataFrame | None, run_end, labels: str = "fresh") -> TransformResult:
     """Classify the trailing 365 days, store the states, fit the model, store its matrix.
 
+    Without a ``universe`` all symbols are in the run, and the stored matrices are those of this run.
     ``labels="fresh"`` trains on the states of this run; ``"stored"`` on those stored before it.
     """
     if labels not in ("fresh", "stored"):
@@ -153,25 +213,36 @@ def transform_states(store: TableStore, universe: DataFrame | None, run_end, lab
     end = as_time(run_end)
     start = end - dt.timedelta(days=STATE_WINDOW_DAYS)
     base = store.manifest()
-    window = restrict(store._rows(base, "bars", start=start, end=end), universe)
-    features, any_large = classified_features(window, labels)
+    buckets = None if universe is None else store.buckets_of(universe, base)
+    window = restrict(store._rows(base, "bars", start=start, end=end, buckets=buckets), universe)
     # Read by the fit, the scoring and the state update.
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)
-    models = fit_transitions(features, any_large=any_large).persist(StorageLevel.MEMORY_AND_DISK)
-    models.count()
-    # The states touch only the years of the window: those years are rewritten, others stay.
-    whole_years = store._rows(base, "bars", start=dt.datetime(start.year, 1, 1),
-                              end=dt.datetime(end.year, 12, 31, 23, 59, 59, 999999))
-    replaces = {
-        "bars": apply_states(whole_years, features),
-        "transition_probs": transition_probs(features, models),
-    }
+    features = classified_features(window, labels).persist(StorageLevel.MEMORY_AND_DISK)
+    models = None
     try:
+        models = fit_transitions(features).persist(StorageLevel.MEMORY_AND_DISK)
+        known = models.select(
+            "symbol", "n", (F.col("status") == "ok").alias("ok"),
+            F.when(F.col("status") != "ok", F.col("status")).alias("reason"), "dropped",
+        )
+        if universe is not None:
+            nothing = {"n": F.lit(0), "ok": F.lit(False), "dropped": F.lit(0)}
+            known = universe.select("symbol").distinct().join(known, "symbol", "left").withColumn(
+                "reason", F.when(F.col("n").isNull(), "no_bars").otherwise(F.col("reason"))
+            ).withColumns({c: F.coalesce(c, v) for c, v in nothing.items()})
+        status = store.note("transform", known.select("symbol", "n", "ok", "reason", "dropped"))
+        # The states touch only the years of the window, in buckets with a bar in it: other cells stay.
+        bars = {b for b in store.buckets_of(features.select("symbol").distinct(), base)}
+        whole_years = store._rows(base, "bars", start=dt.datetime(start.year, 1, 1),
+                                  end=dt.datetime(end.year, 12, 31, 23, 59, 59, 999999), buckets=bars)
+        # A symbol of this run keeps no older matrix, one of another run keeps its own.
+        matrix = transition_probs(features, models)
+        if universe is not None:
+            others = store._rows(base, "transition_probs").join(universe.select("symbol"), "symbol", "left_anti")
+            matrix = matrix.unionByName(others)
+        replaces = {"bars": apply_states(whole_years, features), "transition_probs": matrix}
         commit = store.commit(replaces=replaces, base=base)
     finally:
         features.unpersist()
-    status = models.select(
-        "symbol", "n", (F.col("status") == "ok").alias("ok"),
-        F.when(F.col("status") != "ok", F.col("status")).alias("reason"), "dropped",
-    )
+        if models is not None:
+            models.unpersist()
     return TransformResult(commit, status, store.read("transition_probs"), window.select(*KEY, "close"))

@@ -10,18 +10,14 @@ PRICE_COLS = ["open", "high", "low", "close"]
 NUMERIC_COLS = PRICE_COLS + ["volume"]
 KEY = ["symbol", "timestamp"]
 
-# Periods with stored columns, and the periods offered by the on-the-fly view.
+# Periods with stored columns, and the usual periods of the on-the-fly view.
 STANDARD_PERIODS = [5, 10, 20, 50, 100, 200]
-DISPLAY_PERIODS = [3, 7, 14, 21, 30, 60, 90]
 DEFAULT_DISPLAY_PERIODS = [7, 21, 60]
 
 # Return lags used as model features.
 LAGS = [0, 1, 2, 5, 10, 20]
 FEATURE_COLS = [f"ret_lag_{k}" for k in LAGS]
 
-# Market states.
-STATES = ["Strong Up", "Slight Up", "Stable", "Slight Down", "Strong Down"]
-
 MAX_SYMBOL_LENGTH = 10
 DEFAULT_START = "1980-01-01"
 STATE_WINDOW_DAYS = 365
@@ -61,8 +57,14 @@ TRANSITIONS_SCHEMA = T.StructType(
     ]
 )
 
+# Cells whose bars had all averages when their raw bars lay in the folders named.
+AVERAGED_SCHEMA = T.StructType(
+    [T.StructField("cell", T.StringType()), T.StructField("raw_parts", T.ArrayType(T.StringType()))]
+)
+
 TABLE_SCHEMAS = {
     "raw_bars": RAW_BARS_SCHEMA,
     "bars": BARS_SCHEMA,
     "transition_probs": TRANSITIONS_SCHEMA,
+    "averaged_cells": AVERAGED_SCHEMA,
 }

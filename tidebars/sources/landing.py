@@ -2,16 +2,21 @@
 
 Layout: ``<landing>/primary`` and ``<landing>/secondary`` hold one CSV per ticker (``aapl.us.csv``)
 or one folder per ticker (``ticker=aapl.us/part-*.csv``).
+
+A file is read by its own first line, whatever the order of its columns. One whose first line does not
+name a time and the five value columns is unusable: it yields no rows and leaves other files alone.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 from tidebars.functions.scalars import candidate_stems, strip, to_bar_time
 from tidebars.functions.times import time_literal
-from tidebars.operators.quality import normalize_headers
+from tidebars.operators.quality import TIME_HEADERS, VENDOR_HEADERS
 from tidebars.schema import CHUNK_DAYS, DEFAULT_START
 
 # CSV headers of the two vendor layouts.
@@ -19,13 +24,13 @@ PRIMARY_LAYOUT = ["Date", "Open", "High", "Low", "Close", "Volume"]
 SECONDARY_LAYOUT = ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
 PRIMARY, SECONDARY = 0, 1
 
-# Order of lines within one landed file: block, then line.
-LINE_ORDER = ["block", "line"]
-
-
-def text_schema(columns: list[str]) -> T.StructType:
-    """Every CSV column as text: types are decided by the quality stage, never inferred."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+# Columns of a file that are looked at; vendor files have eight at most.
+WIDEST = 16
+# Order of landed lines: file, block of it, line.
+LINE_ORDER = ["path", "block", "line"]
+CSV_OPTIONS = {"header": "false", "recursiveFileLookup": "true"}
+FILE_SCHEMA = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(WIDEST)])
+LINES = "cells array<string>, path string, stem string, block bigint, source_rank int"
 
 
 def _stem(path: Column) -> Column:
@@ -36,45 +41,66 @@ def _stem(path: Column) -> Column:
     return F.lower(F.when(folder != "", folder).otherwise(file))
 
 
-def with_origin(df: DataFrame) -> DataFrame:
-    """File rows with their ticker stem and the offset of their block."""
-    return df.select("*", _stem(F.col("_metadata.file_path")).alias("stem"),
-                     F.col("_metadata.file_block_start").alias("block"))
+def file_lines(raw: DataFrame, rank: int) -> DataFrame:
+    """Lines of files read with ``FILE_SCHEMA``, as text cells, with their file, ticker stem and block."""
+    path = F.col("_metadata.file_path")
+    return raw.select(F.array(*FILE_SCHEMA.names).alias("cells"), path.alias("path"), _stem(path).alias("stem"),
+                      F.col("_metadata.file_block_start").alias("block"), F.lit(rank).alias("source_rank"))
 
 
-CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "recursiveFileLookup": "true"}
-
-
-def scan_landing(spark: SparkSession, path: str, layout: list[str], rank: int) -> DataFrame:
-    """Text rows of one source with ``stem``, ``source_rank`` and the line order; no folder, no rows."""
-    schema = text_schema(layout)
+def scan_lines(spark: SparkSession, path: str, rank: int) -> DataFrame:
+    """Lines of one source; no folder, no lines."""
     try:
-        raw = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+        raw = spark.read.schema(FILE_SCHEMA).options(**CSV_OPTIONS).csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        raw = spark.createDataFrame([], schema)
-        origin = raw.select("*", F.lit("").alias("stem"), F.lit(0).cast("bigint").alias("block"))
-    else:
-        origin = with_origin(raw)
-    return landed_rows(origin, rank)
-
-
-def landed_rows(origin: DataFrame, rank: int) -> DataFrame:
-    """Normalised text bars of one source (no symbol yet)."""
-    return normalize_headers(origin, keep=("stem", "block")).withColumn("source_rank", F.lit(rank))
+        return spark.createDataFrame([], LINES)
+    return file_lines(raw, rank)
 
 
-def number_lines(rows: DataFrame) -> DataFrame:
+def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line``, increasing within a block of a file; apply before anything that shuffles."""
-    return rows.withColumn("line", F.monotonically_increasing_id())
+    return lines.withColumn("line", F.monotonically_increasing_id())
 
 
 def scan_sources(spark: SparkSession, landing: str) -> DataFrame:
-    """Both landed sources, stacked with their rank; source names follow the folder names."""
-    primary = scan_landing(spark, f"{landing}/primary", PRIMARY_LAYOUT, PRIMARY)
-    secondary = scan_landing(spark, f"{landing}/secondary", SECONDARY_LAYOUT, SECONDARY)
-    return number_lines(primary.unionByName(secondary))
+    """Numbered lines of both landed sources; source names follow the folder names."""
+    primary = scan_lines(spark, f"{landing}/primary", PRIMARY)
+    return number_lines(primary.unionByName(scan_lines(spark, f"{landing}/secondary", SECONDARY)))
+
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """First line of every file and where it has each bar column, 0 where it lacks it."""
+    first = lines.filter(F.col("block") == 0).groupBy("path", "stem", "source_rank").agg(F.min_by("cells", "line").alias("head"))
+    names = F.transform("head", lambda c: F.regexp_replace(c, r"^[\ufeff\s]+|\s+$", ""))
+    at = lambda wanted: F.coalesce(F.array_position(F.col("names"), wanted), F.lit(0)).cast("int")
+    time = F.coalesce(*[F.nullif(at(h), F.lit(0)) for h in TIME_HEADERS], F.lit(0))
+    places = {bar: at(vendor).alias(bar) for vendor, bar in VENDOR_HEADERS.items()}
+    return first.withColumn("names", names).select(
+        "path", "stem", "source_rank", "head", F.struct(time.alias("timestamp"), *places.values()).alias("at"))
+
+
+def _readable() -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"at.{c}") > 0 for c in ("timestamp", *VENDOR_HEADERS.values())])
+
+
+def landed_rows(lines: DataFrame) -> DataFrame:
+    """Text bars of the readable files among numbered ``lines`` (no symbol yet)."""
+    heads = _heads(lines).filter(_readable()).select("path", "head", "at")
+    rows = lines.join(heads, "path").filter(~F.col("cells").eqNullSafe(F.col("head")))
+    bar = [F.element_at("cells", F.col(f"at.{c}")).alias(c) for c in ("timestamp", *VENDOR_HEADERS.values())]
+    return rows.select(*bar, "stem", "source_rank", *LINE_ORDER)
+
+
+def unreadable_files(lines: DataFrame) -> DataFrame:
+    """(path, stem, source_rank) of the files whose first line is no bar header."""
+    return _heads(lines).filter(~_readable()).select("path", "stem", "source_rank")
+
+
+def scan_landing(spark: SparkSession, path: str, rank: int) -> DataFrame:
+    """Text bars of one source."""
+    return landed_rows(number_lines(scan_lines(spark, path, rank)))
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
@@ -112,28 +138,42 @@ def fetch_plan(universe: DataFrame, latest: DataFrame, run_end, default_start: s
     )
 
 
+def next_day(day: Column, n: int = 1) -> Column:
+    return F.date_add(day.cast("date"), n)
+
+
+def _days() -> Column:
+    return F.datediff(F.col("end_ts").cast("date"), F.col("start_ts").cast("date"))
+
+
+def _chunk_count() -> Column:
+    """Chunks of a range: one if it is short or open."""
+    return F.when(_days() > CHUNK_DAYS, F.floor(_days() / (CHUNK_DAYS + 1)) + 1).otherwise(F.lit(1)).cast("int")
+
+
+def _chunk_number(day: Column) -> Column:
+    """The chunk of a day in the range, so that rows meet their chunk without a range join."""
+    past = F.datediff(day.cast("date"), F.col("start_ts").cast("date"))
+    return F.when(F.col("n_chunks") > 1, F.floor(past / (CHUNK_DAYS + 1))).otherwise(F.lit(0)).cast("int")
+
+
 def chunks(plan: DataFrame) -> DataFrame:
     """Inclusive chunks of at most 1825 days after their first day; one chunk for a short or open range."""
-    days = F.datediff(F.col("end_ts").cast("date"), F.col("start_ts").cast("date"))
-    first, last = F.col("start_ts").cast("date"), F.col("end_ts").cast("date")
-    starts = F.when(days > CHUNK_DAYS, F.expr(
-        f"sequence(cast(start_ts as date), cast(end_ts as date), interval {CHUNK_DAYS + 1} days)"
-    )).otherwise(F.array(first))
-    return plan.select("symbol", days.alias("_days"), last.alias("_last"),
-                       F.posexplode(starts).alias("chunk", "_start")).select(
-        "symbol",
-        "chunk",
-        F.col("_start").cast("timestamp_ntz").alias("chunk_start"),
-        F.when(F.col("_days") > CHUNK_DAYS, F.least(F.date_add("_start", CHUNK_DAYS), F.col("_last")))
-        .otherwise(F.col("_last")).cast("timestamp_ntz").alias("chunk_end"),
-    )
+    numbered = plan.withColumn("n_chunks", _chunk_count()).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
+    start = next_day(F.col("start_ts"), F.col("chunk") * (CHUNK_DAYS + 1))
+    last = F.col("end_ts").cast("date")
+    end = F.when(F.col("n_chunks") > 1, F.least(next_day(start, CHUNK_DAYS), last)).otherwise(last)
+    return numbered.select("symbol", "chunk", start.cast("timestamp_ntz").alias("chunk_start"), end.cast("timestamp_ntz").alias("chunk_end"))
 
 
 def targets(plan: DataFrame) -> DataFrame:
     """The candidates of every planned symbol with its range and the number of chunks to fill."""
-    days = F.datediff(F.col("end_ts").cast("date"), F.col("start_ts").cast("date"))
-    pieces = F.when(days > CHUNK_DAYS, F.floor(days / (CHUNK_DAYS + 1)) + 1).otherwise(F.lit(1))
-    return candidates(plan.withColumn("n_chunks", pieces), "start_ts", "end_ts", "n_chunks")
+    return candidates(plan.withColumn("n_chunks", _chunk_count()), "start_ts", "end_ts", "n_chunks")
+
+
+def wanted_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Lines of the files that may be read, so that no others are parsed further."""
+    return lines.join(wanted.select("stem", "source_rank").distinct(), ["stem", "source_rank"], "left_semi").select(*lines.columns)
 
 
 def _in_range() -> Column:
@@ -149,16 +189,11 @@ def choose_sources(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     Sources are never mixed. Rows are counted before anything of theirs is shuffled.
     """
     blank = F.coalesce(strip(F.col("timestamp")), F.lit("")) == ""
-    # A row meets its chunk by arithmetic on its day, so there is no range join.
-    chunk = F.when(
-        F.col("n_chunks") > 1,
-        F.floor(F.datediff(F.col("_ts").cast("date"), F.col("start_ts").cast("date")) / (CHUNK_DAYS + 1)),
-    ).otherwise(F.lit(0))
     file = ["symbol", "source_rank", "pos", "stem", "start_ts", "end_ts", "n_chunks"]
     per_chunk = (
         rows.select("stem", "source_rank", "timestamp", _row_time().alias("_ts"))
         .join(wanted, ["stem", "source_rank"])
-        .groupBy(*file, F.when(_in_range(), chunk).alias("chunk"))
+        .groupBy(*file, F.when(_in_range(), _chunk_number(F.col("_ts"))).alias("chunk"))
         .agg(F.bool_or(F.col("_ts").isNull() & ~blank).alias("unreadable"))
     )
     per_file = per_chunk.groupBy(*file).agg(F.count("chunk").alias("filled"), F.bool_or("unreadable").alias("unreadable"))

@@ -1,25 +1,32 @@
 """Snapshot tables on plain parquet with one atomic commit over several tables.
 
-Bars are written in yearly folders below a folder per version. A manifest lists, for every table and
-year, the folders that make up the current state. An insert adds folders to a year, an update writes
-the touched years anew, and neither changes a file that a reader may be using. Publishing a manifest
-is one rename that fails if the version exists, so all tables of a commit appear together or not at
-all, a job that dies leaves only unlisted folders, and of two writers the later one fails.
+Bars lie in cells of a year and a bucket of symbols, in folders below a folder per version. A manifest
+lists, for every table and cell, the folders that make up the current state. An insert adds a folder to
+the cells it touches, and merges a cell that has too many; an update writes the touched cells anew, and
+neither changes a file that a reader may be using. One symbol is read from its bucket alone. Publishing
+a manifest is one rename that fails if the version exists, so all tables of a commit appear together or
+not at all, a job that dies leaves only unlisted folders, and of two writers the later one fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidebars.functions.times import as_time, time_literal
 from tidebars.operators.quality import duplicate_sample
-from tidebars.schema import BAR_COLS, MA_COLS, TABLE_SCHEMAS
+from tidebars.schema import BAR_COLS, KEY, MA_COLS, TABLE_SCHEMAS
 
 WHOLE = "all"
+WHOLE_TABLES = ("transition_probs", "averaged_cells")
+
+BUCKETS = 16  # of symbols; a store keeps the number it was made with
+MOST_PARTS = 8  # folders of a cell before an insert merges them
 
 # Averages hardly ever repeat, so building dictionaries for them is wasted work.
 WRITE_OPTIONS = {"compression": "zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in MA_COLS}}
@@ -38,6 +45,16 @@ def in_range(df: DataFrame, start=None, end=None) -> DataFrame:
     return df
 
 
+def one_symbol(df: DataFrame, symbol: str) -> DataFrame:
+    return df.filter(F.col("symbol") == symbol)
+
+
+def cell_place(cell: str) -> tuple[int, int]:
+    """(year, bucket) of a cell."""
+    year, bucket = cell.split("/")
+    return int(year), int(bucket)
+
+
 def latest_times(raw_bars: DataFrame) -> DataFrame:
     """Latest stored timestamp of every symbol."""
     return raw_bars.groupBy("symbol").agg(F.max("timestamp").alias("latest"))
@@ -50,7 +67,7 @@ class Commit:
 
 
 class TableStore:
-    """The tables ``raw_bars``, ``bars`` and ``transition_probs`` below one root folder."""
+    """The tables ``raw_bars``, ``bars``, ``transition_probs`` and ``averaged_cells`` below one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -60,10 +77,10 @@ class TableStore:
 
     # -- manifest ---------------------------------------------------------------------------
 
-    def initialize(self) -> "TableStore":
-        """Create the tables, empty, unless they exist."""
+    def initialize(self, buckets: int = BUCKETS) -> "TableStore":
+        """Create the tables, empty, unless they exist. Take more ``buckets`` the more symbols there are."""
         if self.manifest()["version"] < 0:
-            self._publish(0, {name: {} for name in TABLE_SCHEMAS})
+            self._publish(0, {name: {} for name in TABLE_SCHEMAS}, buckets)
         return self
 
     def manifest(self) -> dict:
@@ -71,19 +88,19 @@ class TableStore:
         names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
         versions = sorted(n for n in names if n.endswith(".json") and not n.startswith((".", "_")))
         if not versions:
-            return {"version": -1, "tables": {name: {} for name in TABLE_SCHEMAS}}
+            return {"version": -1, "buckets": BUCKETS, "tables": {name: {} for name in TABLE_SCHEMAS}}
         stream = self._fs.open(self._path(f"{self.root}/_manifests/{versions[-1]}"))
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _publish(self, version: int, tables: dict) -> None:
+    def _publish(self, version: int, tables: dict, buckets: int) -> None:
         jvm = self.spark._jvm
         final = self._path(f"{self.root}/_manifests/{version:010d}.json")
         draft = self._path(f"{self.root}/_manifests/_draft-{version:010d}-{id(self)}-{dt.datetime.now().timestamp()}")
         out = self._fs.create(draft, True)
-        out.write(bytearray(json.dumps({"version": version, "tables": tables}, indent=1).encode()))
+        out.write(bytearray(json.dumps({"version": version, "buckets": buckets, "tables": tables}, indent=1).encode()))
         out.close()
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             final.toUri(), self.spark._jsc.hadoopConfiguration()
@@ -96,27 +113,42 @@ class TableStore:
 
     # -- reading ----------------------------------------------------------------------------
 
+    def bucket(self, symbol: Column | str, manifest: dict) -> Column:
+        return F.pmod(F.xxhash64(symbol), F.lit(manifest["buckets"])).cast("int")
+
+    def buckets_of(self, symbols: DataFrame, manifest: dict) -> set[int]:
+        """The buckets that hold the listed symbols, of which there are few."""
+        return {r[0] for r in symbols.select(self.bucket("symbol", manifest)).distinct().collect()}
+
     def read(self, table: str, symbol: str | None = None, start=None, end=None) -> DataFrame:
-        """Rows of a table; the year folders outside the range are not even listed.
+        """Rows of a table; cells of other years and other buckets are not even listed.
 
         The declared schema is applied on read: older files with a narrower volume are widened and
         columns they lack are null.
         """
         return self._rows(self.manifest(), table, symbol, start, end)
 
-    def _rows(self, manifest: dict, table: str, symbol=None, start=None, end=None) -> DataFrame:
+    def _rows(self, manifest: dict, table: str, symbol=None, start=None, end=None, buckets: set[int] | None = None) -> DataFrame:
         lo, hi = as_time(start), as_time(end)
-        paths = [
-            f"{self.root}/{p}"
-            for year, parts in sorted(manifest["tables"][table].items())
-            for p in parts
-            if year == WHOLE or ((lo is None or int(year) >= lo.year) and (hi is None or int(year) <= hi.year))
-        ]
-        schema = TABLE_SCHEMAS[table]
-        df = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         if symbol is not None:
-            df = df.filter(F.col("symbol") == symbol)
-        return in_range(df, start, end)
+            place = self.spark.range(1).select(self.bucket(F.lit(symbol), manifest)).first()[0]
+            buckets = {place} if buckets is None else buckets & {place}
+
+        def wanted(cell: str) -> bool:
+            if cell == WHOLE:
+                return True
+            year, bucket = cell_place(cell)
+            return (lo is None or year >= lo.year) and (hi is None or year <= hi.year) and (buckets is None or bucket in buckets)
+
+        df = self.cell_rows(manifest, table, filter(wanted, manifest["tables"][table]))
+        return in_range(df if symbol is None else one_symbol(df, symbol), start, end)
+
+    def cell_rows(self, manifest: dict, table: str, cells: Iterable[str]) -> DataFrame:
+        """The rows of some cells of a table; cells that it lacks have none."""
+        parts = manifest["tables"][table]
+        paths = [f"{self.root}/{p}" for cell in sorted(cells) for p in parts.get(cell, [])]
+        schema = TABLE_SCHEMAS[table]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def wide(self, symbol: str | None = None, start=None, end=None) -> DataFrame:
         """Bars with state and all stored averages."""
@@ -128,54 +160,77 @@ class TableStore:
                replaces: dict[str, DataFrame] | None = None, base: dict | None = None) -> Commit:
         """Write new folders for every table given and publish them together.
 
-        ``appends`` adds rows. ``replaces`` holds the complete new rows of every year it touches.
-        ``base`` is the manifest the caller computed from; publishing fails if it is no longer current.
+        ``appends`` adds rows with new keys. ``replaces`` holds the complete new rows of every cell it
+        touches. A key that would then be there twice refuses the commit. ``base`` is the manifest the
+        caller computed from; publishing fails if it is no longer current.
         """
         base = base or self.manifest()
         version = base["version"] + 1
-        tables = {name: {y: list(p) for y, p in parts.items()} for name, parts in base["tables"].items()}
-        rows = {}
+        state = {"buckets": base["buckets"], "tables": {n: {c: list(p) for c, p in parts.items()} for n, parts in base["tables"].items()}}
+        tables, rows = state["tables"], {}
         for name, df in (appends or {}).items():
-            written, rows[name] = self._stage(name, df, version)
-            repeated = duplicate_sample(self._staged(name, written)).collect() if rows[name] else []
-            if repeated:
-                raise CommitError(f"{name}: repeated keys, e.g. {repeated}")
-            for year, path in written.items():
-                tables.setdefault(name, {}).setdefault(year, []).append(path)
+            written, rows[name] = self._stage(name, df, version, state)
+            if rows[name]:
+                fresh = self._staged(name, written)
+                self._refuse_copies(name, fresh)
+                stored = self.cell_rows(state, name, written).select(*KEY)
+                self._refuse_copies(name, fresh.select(*KEY).join(stored, KEY, "left_semi"), most=0)
+            for cell, path in written.items():
+                tables.setdefault(name, {}).setdefault(cell, []).append(path)
+            full = [c for c in written if len(tables[name][c]) > MOST_PARTS]
+            if full:
+                merged, _ = self._stage(name, self.cell_rows(state, name, full), version, state)
+                tables[name].update({c: [p] for c, p in merged.items()})
         for name, df in (replaces or {}).items():
-            written, rows[name] = self._stage(name, df, version)
-            if name != "transition_probs":
-                old = {y: tables[name].get(y, []) for y in written}
-                before = self._rows({"tables": {name: old}}, name).count()
+            written, rows[name] = self._stage(name, df, version, state)
+            if name not in WHOLE_TABLES:
+                self._refuse_copies(name, self._staged(name, written))
+                before = self.cell_rows(state, name, written).count()
                 if rows[name] < before:
                     raise CommitError(f"{name}: {rows[name]} rows would replace {before}")
-            for year, path in written.items():
-                tables.setdefault(name, {})[year] = [path]
-        self._publish(version, tables)
+            for cell, path in written.items():
+                tables.setdefault(name, {})[cell] = [path]
+        self._publish(version, tables, base["buckets"])
         return Commit(version, rows)
 
+    def _refuse_copies(self, name: str, df: DataFrame, most: int = 1) -> None:
+        repeated = duplicate_sample(df, most=most).collect()
+        if repeated:
+            raise CommitError(f"{name}: repeated keys, e.g. {repeated}")
+
     def _staged(self, name: str, written: dict[str, str]) -> DataFrame:
-        return self._rows({"tables": {name: {y: [p] for y, p in written.items()}}}, name)
+        return self.cell_rows({"tables": {name: {c: [p] for c, p in written.items()}}}, name, written)
 
-    def _stage(self, name: str, df: DataFrame, version: int) -> tuple[dict[str, str], int]:
-        """Write one table's rows to an own folder; return its year folders and the row count."""
+    def _stage(self, name: str, df: DataFrame, version: int, manifest: dict) -> tuple[dict[str, str], int]:
+        """Write one table's rows to an own folder; return its cell folders and the row count."""
         folder = f"{name}/v={version:010d}-{dt.datetime.now().strftime('%H%M%S%f')}"
         df = df.select(*[f.name for f in TABLE_SCHEMAS[name].fields if f.name in df.columns])
-        if name == "transition_probs":
-            df.sortWithinPartitions("symbol").write.parquet(f"{self.root}/{folder}")
+        if name in WHOLE_TABLES:
+            df.sortWithinPartitions(df.columns[0]).write.parquet(f"{self.root}/{folder}")
             written = {WHOLE: folder}
         else:
-            # Rebalancing lets AQE split the files of a hot symbol and merge those of small ones.
+            # Rebalancing lets AQE split the files of a hot cell and merge those of small ones.
             (
-                df.withColumn("year", F.year("timestamp"))
-                .hint("rebalance", "year", "symbol")
-                .sortWithinPartitions("year", "symbol", "timestamp")
+                df.withColumns({"year": F.year("timestamp"), "bucket": self.bucket("symbol", manifest)})
+                .hint("rebalance", "year", "bucket")
+                .sortWithinPartitions("year", "bucket", "symbol", "timestamp")
                 .write.options(**WRITE_OPTIONS)
-                .partitionBy("year")
+                .partitionBy("year", "bucket")
                 .parquet(f"{self.root}/{folder}")
             )
-            listed = self._fs.listStatus(self._path(f"{self.root}/{folder}"))
-            names = [s.getPath().getName() for s in listed]
-            written = {n.split("=", 1)[1]: f"{folder}/{n}" for n in names if n.startswith("year=")}
+            written = {}
+            for status in self._fs.globStatus(self._path(f"{self.root}/{folder}/year=*/bucket=*")) or []:
+                year, bucket = (p.split("=", 1)[1] for p in status.getPath().toString().rsplit("/", 2)[1:])
+                written[f"{year}/{bucket}"] = f"{folder}/year={year}/bucket={bucket}"
         # What counts is what the files hold; parquet footers tell without reading rows.
         return written, self._staged(name, written).count()
+
+    def make_folder(self, path: str) -> None:
+        folder = self._path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def note(self, label: str, df: DataFrame) -> DataFrame:
+        """``df`` written below the root and read again: the report of a job, which holds no cache."""
+        path = f"{self.root}/_reports/{label}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -8,26 +8,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidebars.plans.jobs import ingest_rows
+from tidebars.plans.jobs import ingest_lines
 from tidebars.sources import landing as landed
 from tidebars.sources.tables import TableStore
 
 
-def _stream(store: TableStore, path: str, layout: list[str], rank: int, files_per_batch: int | None) -> DataFrame:
-    reader = store.spark.readStream.schema(landed.text_schema(layout)).options(**landed.CSV_OPTIONS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return landed.landed_rows(landed.with_origin(reader.csv(path)), rank)
+def _stream(store: TableStore, path: str, rank: int) -> DataFrame:
+    store.make_folder(path)  # a source that has no folder yet may get one later
+    raw = store.spark.readStream.schema(landed.FILE_SCHEMA).options(**landed.CSV_OPTIONS).csv(path)
+    return landed.file_lines(raw, rank)
 
 
 def stream_increment(store: TableStore, landing: str, universe: DataFrame, run_end, checkpoint: str,
-                     default_start: str | None = None, files_per_batch: int | None = None):
-    """Start the stream over all files available now; returns the query, which ends by itself."""
-    primary = _stream(store, f"{landing}/primary", landed.PRIMARY_LAYOUT, landed.PRIMARY, files_per_batch)
-    secondary = _stream(store, f"{landing}/secondary", landed.SECONDARY_LAYOUT, landed.SECONDARY, files_per_batch)
+                     default_start: str | None = None):
+    """Start the stream over all files available now; returns the query, which ends by itself.
+
+    All files that arrived since the last run form one batch: what a symbol is read from, and from which
+    day on, is decided over all of its files. The report of each batch is kept below the store's root.
+    """
+    primary = _stream(store, f"{landing}/primary", landed.PRIMARY)
+    secondary = _stream(store, f"{landing}/secondary", landed.SECONDARY)
 
     def insert(batch: DataFrame, _: int) -> None:
-        ingest_rows(store, landed.number_lines(batch), universe, run_end, default_start)
+        ingest_lines(store, landed.number_lines(batch), universe, run_end, default_start)
 
     return (
         primary.unionByName(secondary)
