@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidebars.llm.frames import appended
+from tidebars.llm.frames import appended, prepare
 from tidebars.llm.pieces import Memo, keys, part, pieces
-from tidebars.session import ship_package
 
 #: Ids whose bytes are looked up at a time.
 _STRIDE = 1 << 18
@@ -161,7 +160,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids``. ``path``: the vocabulary file, at the same place on every machine."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def make(texts: pa.Array):
         ids = [vocabulary(path).encode(t) for t in texts.to_pylist()]
@@ -172,7 +171,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``docs`` with ``decoded``, the text of ``ids``; null ids count as none."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def make(column: pa.Array):
         return (pa.array([vocabulary(path).decode(i) for i in column.to_pylist()], pa.string()),)
@@ -182,7 +181,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` and ``decoded``, in one pass."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def make(texts: pa.Array):
         words = vocabulary(path)

@@ -17,8 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidebars.llm.frames import beside, pick, restore, settle, with_results
-from tidebars.session import ship_package
+from tidebars.llm.frames import beside, pick, prepare, restore, settle, with_results
 
 WINDOW = 13
 #: Characters of test items whose windows a task holds at a time; more items are scanned for in several passes.
@@ -122,7 +121,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     from pyspark.sql.types import _parse_datatype_string
 
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     arrow_type = to_arrow_type(_parse_datatype_string(FOUND))
     results = ["n_words", "n_hit", "items", "hits"]
     out = docs

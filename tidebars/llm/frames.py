@@ -7,7 +7,10 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidebars.session import scratch_dir
+from tidebars.session import scratch_dir, ship_package
+
+#: Rows that a Python worker gets at a time; a row holds a whole text.
+BATCH_ROWS = 1_000
 
 
 def _places(df: DataFrame) -> DataFrame:
@@ -66,6 +69,14 @@ def appended(df: DataFrame, inputs: list[str], make: Callable[..., tuple], field
     return made.select(*keep, *added.names)
 
 
+def prepare(spark: SparkSession) -> None:
+    """Give the Python workers this package, and small batches."""
+    ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

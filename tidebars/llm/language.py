@@ -19,8 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidebars.llm.frames import held_out, pick, with_results
-from tidebars.session import ship_package
+from tidebars.llm.frames import held_out, pick, prepare, with_results
 
 #: Texts learnt from, and landmarks, about, over all languages; both are shared out evenly and chosen by a hash of text and id.
 SAMPLE, LANDMARKS = 3_000, 96
@@ -120,7 +119,7 @@ def _gram_rows(batches):
 def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
                   landmarks: int = LANDMARKS) -> LanguageModel:
     """Learn from the texts with a language that are not held out, ``sample`` of them at most, about."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = pick(docs, doc_id, text, lang).toDF("id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.filter(~held_out(F.col("id"))).select("lang", "text", F.xxhash64("id", "text").alias("hash"))
     counted = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
@@ -166,7 +165,7 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     sent = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(_RESULT)

@@ -25,8 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidebars.llm.decontamination import words_of
-from tidebars.llm.frames import pick, with_results
-from tidebars.session import ship_package
+from tidebars.llm.frames import pick, prepare, with_results
 
 SHINGLE, CONTAINED, MISS = 5, 0.8, 1e-6
 #: Templates are held by every task; more characters of them than this are refused.
@@ -168,7 +167,7 @@ def find_licenses(docs: DataFrame, templates: DataFrame | None = None, text: str
     from pyspark.sql.types import _parse_datatype_string
 
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     own = [(name, text_.encode()) for name, text_ in TEMPLATES]
     if templates is not None:
         given = pick(templates, license_id, license_text).toDF("name", "text").filter("name IS NOT NULL AND text IS NOT NULL")

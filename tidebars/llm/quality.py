@@ -20,8 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidebars.llm.frames import beside, held_out, pick, restore, settle, with_results
-from tidebars.session import ship_package
+from tidebars.llm.frames import beside, held_out, pick, prepare, restore, settle, with_results
 
 #: Labelled rows that are learnt from, about; more are thinned by a hash of their id.
 SAMPLE = 30_000
@@ -139,7 +138,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import array_to_vector
 
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     sample = _sample(docs, labels, doc_id, text, label, bound)
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
@@ -161,7 +160,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
 
 def score(docs: DataFrame, model: QualityRules, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: label 1 is likelier) and ``predicted`` (1 from 0.5 on)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     scored = with_results(docs, [text], lambda t: F.struct(statistics_column(t).alias("score")), ["score"])
     scored = with_results(scored, ["score"], lambda made: F.struct(model.score_column(made).alias("score")), ["score"])
@@ -170,6 +169,6 @@ def score(docs: DataFrame, model: QualityRules, text: str = "text") -> DataFrame
 
 def keep_good(docs: DataFrame, model: QualityRules, text: str = "text") -> DataFrame:
     """The documents that score 0.5 or more."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     flat = beside(docs, [text], statistics_column)
     return restore(flat.filter(model.score_column(F.col("made")) >= 0.5), docs.columns)

@@ -26,8 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidebars.llm.components import connected
-from tidebars.llm.frames import beside, pick, restore, settle
-from tidebars.session import ship_package
+from tidebars.llm.frames import beside, pick, prepare, restore, settle
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -159,7 +158,7 @@ def near_pairs(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 
 def _prints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = pick(docs, doc_id, text).toDF("doc_id", "text")
     return settle(rows.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("print")), "prints")
 

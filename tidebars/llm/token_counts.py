@@ -17,9 +17,8 @@ import math
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidebars.llm.frames import with_results
+from tidebars.llm.frames import prepare, with_results
 from tidebars.llm.pieces import Memo, keys, part, pieces
-from tidebars.session import ship_package
 
 #: Nodes that a trie may have before a new one is begun.
 MOST_NODES = 300_000
@@ -102,7 +101,7 @@ def _counter(path: str) -> Counter:
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``n_pieces`` and ``n_tokens``. ``path``: the rank file, at the same place on every machine."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     @F.arrow_udf(_RESULT)
     def count(texts: pa.Array) -> pa.Array:

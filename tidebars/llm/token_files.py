@@ -24,9 +24,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidebars.llm.frames import pick, settle
+from tidebars.llm.frames import pick, prepare, settle
 from tidebars.llm.pieces import keys, part
-from tidebars.session import ship_package
 
 #: Ids in a file; a longer document has a file of its own.
 IDS_PER_FILE = 2_000_000
@@ -238,7 +237,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int | Non
     every document. Counts and starts reach the driver as one number for each vocabulary entry and each task.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     size = max(_tokenizer(path).get_vocab_size(), (end_id or 0) + 1)
     if size > VOCABULARY_BOUND:
         raise ValueError(f"a vocabulary of {size} is over {VOCABULARY_BOUND}")
@@ -268,7 +267,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int | Non
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers)
     of every document in the files of ``folder``."""
-    ship_package(spark)
+    prepare(spark)
     files, base = _filesystem(folder)
     with files.open_input_stream(f"{base}/_ranks") as source:
         id_of = spark.sparkContext.broadcast(np.frombuffer(source.read(), dtype="<u4"))

@@ -21,8 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidebars.llm.frames import pick, settle
-from tidebars.session import ship_package
+from tidebars.llm.frames import pick, prepare, settle
 
 #: Vectors in a block, queries in a batch (about).
 BLOCK, BATCH = 8_192, 1_024
@@ -159,7 +158,7 @@ def top_k(table: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id"
           block: int = BLOCK, batch: int = BATCH) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best partners, among all rows, of the rows whose id ``every`` divides."""
     spark = table.sparkSession
-    ship_package(spark)
+    prepare(spark)
     vectors = whole_vectors(table, vec_id, vector, scale)
     blocks = settle(vectors.mapInArrow(_pack_blocks(block), PACKED).withColumn("place", F.monotonically_increasing_id()), "vector-blocks")
     asked = settle(vectors.filter(F.col("vec_id") % every == 0).distinct(), "vector-queries")
