@@ -194,4 +194,6 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     own = f"c{docs.columns.index(doc_id)}"
     kept = F.col("made") == F.col("kept_print"), F.col(own).eqNullSafe(F.col("kept_id"))
     chosen = marked.join(first, kept[0] & kept[1], "left_semi")
-    return restore(chosen.dropDuplicates(["made", own]), docs.columns)
+    if not prints.groupBy("doc_id", "print").count().filter("count > 1").isEmpty():
+        chosen = chosen.dropDuplicates(["made", own])
+    return restore(chosen, docs.columns)
