@@ -41,7 +41,7 @@ def part(key: str) -> str:
 class Memo(dict):
     """``make(key)`` by key. It keeps two generations of ``limit`` short keys and makes the rest again."""
 
-    def __init__(self, make, limit: int = 300_000, longest: int = 64):
+    def __init__(self, make, limit: int = 150_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 
