@@ -102,7 +102,7 @@ class TextEncoder:
     byte-level BPE, go to the library whole. Two generations of ``limit`` parts are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 300_000, longest: int = 64, together: int = 64):
+    def __init__(self, path: str, limit: int = 500_000, longest: int = 64, together: int = 64):
         self.library, self.limit, self.longest, self.together = _tokenizer(path), limit, longest, together
         spec = json.loads(self.library.to_str())
         before = spec["pre_tokenizer"] or {}
