@@ -4,7 +4,7 @@ For every symbol and class a one-against-rest logistic model minimises
 ``|w|^2 / 2 + sum log(1 + exp(-y w.x))`` over six lagged returns and a constant, the constant being
 penalised like the rest. Two classes need one model, for the later class.
 
-Symbols of up to ``GROUP_ROWS`` training rows are fitted within one group each, after a single shuffle.
+Symbols of up to ``GROUP_ROWS`` training rows are fitted whole, many side by side, after a single shuffle.
 Larger ones, of which there may be any number, are fitted by rounds of partially aggregated gradient and
 Hessian sums over their rows; a row for each model holds where its iteration stands.
 
@@ -32,6 +32,13 @@ GROUP_ROWS = 200_000
 TOLERANCE = 1e-10
 MAX_ROUNDS = 100
 N_WEIGHTS = len(FEATURE_COLS) + 1
+#: Rows of whole symbols that a task fits side by side, unless one symbol has more.
+TOGETHER = 20_000
+
+#: Rows and columns of an upper triangle, and for each entry of the square its place in it.
+_UPPER = np.triu_indices(N_WEIGHTS)
+_MIRROR = np.zeros((N_WEIGHTS, N_WEIGHTS), dtype=int)
+_MIRROR[_UPPER] = _MIRROR.T[_UPPER] = np.arange(len(_UPPER[0]))
 
 
 def classes_per_symbol(features: DataFrame) -> DataFrame:
@@ -53,36 +60,46 @@ def label_codes(features: DataFrame) -> DataFrame:
 # -- fitting -----------------------------------------------------------------------------------
 
 
-def _sums(x, y, w):
-    """Objective, gradient and Hessian of one model at ``w``."""
-    margin = y * (x @ w)
-    miss = 0.5 * (1.0 - np.tanh(0.5 * margin))
-    loss = 0.5 * w @ w + np.logaddexp(0.0, -margin).sum()
-    gradient = w - x.T @ (y * miss)
-    hessian = np.eye(len(w)) + (x * (miss * (1.0 - miss))[:, None]).T @ x
-    return loss, gradient, hessian
+def newton_step(w, kept_w, kept_loss, step, loss, gradient, hessian):
+    """One round of many models, a row each: the same four and whether a model is done.
+
+    A step that raised the loss is halved and taken again from the weights kept before it.
+    """
+    done = np.abs(gradient).max(axis=1) <= TOLERANCE * np.maximum(100.0, loss)
+    worse = ~done & (loss > kept_loss + 1e-9 * (1.0 + np.abs(kept_loss)))
+    on = ~done & ~worse
+    step = np.where(worse[:, None], step / 2.0, step)
+    step[on] = np.linalg.solve(hessian[on], gradient[on][:, :, None])[:, :, 0]
+    kept_w, kept_loss = np.where(on[:, None], w, kept_w), np.where(on, loss, kept_loss)
+    return np.where(done[:, None], w, kept_w - step), kept_w, kept_loss, step, done
 
 
-class NewtonSteps:
-    """Newton iteration with step halving, fed with sums from wherever they were computed."""
+def _square(upper: np.ndarray) -> np.ndarray:
+    """Hessians from their upper triangles, a row each, the penalty included."""
+    return upper[:, _MIRROR] + np.eye(N_WEIGHTS)
 
-    def __init__(self, w=None, kept=None, step=None):
-        self.w = np.zeros(N_WEIGHTS) if w is None else np.array(w)
-        self.done = False
-        self.kept = kept
-        self.step = step
 
-    def update(self, loss, gradient, hessian):
-        self.done = bool(np.abs(gradient).max() <= TOLERANCE * max(100.0, loss))
-        if self.done:
-            return
-        if self.kept is not None and loss > self.kept[1] + 1e-9 * (1.0 + abs(self.kept[1])):
-            self.step = self.step / 2.0
-            self.w = self.kept[0] - self.step
-        else:
-            self.kept = (self.w, loss)
-            self.step = np.linalg.solve(hessian, gradient)
-            self.w = self.w - self.step
+def _fit_models(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of a model for each run of ``sizes`` rows, and whether its iteration ended."""
+    weights, ended = np.zeros((len(sizes), N_WEIGHTS)), np.zeros(len(sizes), dtype=bool)
+    still, products = np.arange(len(sizes)), x[:, _UPPER[0]] * x[:, _UPPER[1]]
+    state = np.zeros_like(weights), np.zeros_like(weights), np.full(len(sizes), np.inf), np.zeros_like(weights)
+    for _ in range(MAX_ROUNDS):
+        w, starts = state[0], np.cumsum(sizes) - sizes
+        margin = y * np.einsum("ij,ij->i", x, np.repeat(w, sizes, axis=0))
+        miss = 0.5 * (1.0 - np.tanh(0.5 * margin))
+        loss = 0.5 * np.einsum("ij,ij->i", w, w) + np.add.reduceat(np.logaddexp(0.0, -margin), starts)
+        gradient = w - np.add.reduceat(x * (y * miss)[:, None], starts)
+        hessian = _square(np.add.reduceat(products * (miss * (1.0 - miss))[:, None], starts))
+        *state, done = newton_step(*state, loss, gradient, hessian)
+        weights[still], ended[still] = state[0], done
+        if done.all():
+            break
+        if done.any():
+            rows = np.repeat(~done, sizes)
+            x, y, products = x[rows], y[rows], products[rows]
+            state, still, sizes = [s[~done] for s in state], still[~done], sizes[~done]
+    return weights, ended
 
 
 def _positive_classes(classes: list[str]) -> list[str]:
@@ -90,23 +107,39 @@ def _positive_classes(classes: list[str]) -> list[str]:
 
 
 def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Models of a group of whole symbols, the rows of each one after the other."""
     x = np.column_stack([pdf[FEATURE_COLS].to_numpy(dtype=float), np.ones(len(pdf))])
-    target = pdf["target_state"].to_numpy()
-    classes = sorted(set(target))
-    weights, status = [], "ok" if len(classes) > 1 else "single_class"
-    for label in _positive_classes(classes) if len(classes) > 1 else []:
-        y = np.where(target == label, 1.0, -1.0)
-        steps = NewtonSteps()
-        for _ in range(MAX_ROUNDS):
-            steps.update(*_sums(x, y, steps.w))
-            if steps.done:
-                break
-        weights.append(steps.w.tolist())
-        if not steps.done:
-            status = "not_converged"
-    if status != "ok":
-        weights = []
-    return pd.DataFrame({"symbol": [pdf["symbol"].iloc[0]], "classes": [classes], "weights": [weights], "status": [status]})
+    symbols, targets = pdf["symbol"].to_numpy(), pdf["target_state"].to_numpy()
+    starts = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1])))
+    sizes = np.diff(np.append(starts, len(symbols)))
+    classes = [sorted(set(targets[a : a + n])) for a, n in zip(starts, sizes)]
+    labels = [_positive_classes(c) if len(c) > 1 else [] for c in classes]
+    weights, status = [[] for _ in classes], ["ok" if len(c) > 1 else "single_class" for c in classes]
+    for k in range(max(map(len, labels))):
+        own = np.array([len(names) > k for names in labels])
+        rows, wanted = np.repeat(own, sizes), np.array([names[k] for names in labels if len(names) > k], dtype=object)
+        y = np.where(targets[rows] == np.repeat(wanted, sizes[own]), 1.0, -1.0)
+        for place, w, ended in zip(np.flatnonzero(own), *_fit_models(x[rows], y, sizes[own])):
+            weights[place].append(w.tolist())
+            status[place] = status[place] if ended else "not_converged"
+    weights = [w if s == "ok" else [] for w, s in zip(weights, status)]
+    return pd.DataFrame({"symbol": symbols[starts], "classes": classes, "weights": weights, "status": status})
+
+
+def _fit_sorted(batches):
+    """Models of symbols whose rows come sorted, about ``TOGETHER`` rows of whole symbols at a time."""
+    held, n = [], 0
+    for pdf in batches:
+        held, n = [*held, pdf], n + len(pdf)
+        if n < TOGETHER:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        ready = int((rows["symbol"] != rows["symbol"].iloc[-1]).sum())
+        held, n = [rows.iloc[ready:]], n - ready
+        if ready:
+            yield _fit_group(rows.iloc[:ready])
+    if n:
+        yield _fit_group(pd.concat(held, ignore_index=True))
 
 
 def _inputs() -> list[Column]:
@@ -143,21 +176,15 @@ _STANDING = "symbol string, label string, w array<double>, kept_w array<double>,
 def _advance(batches):
     """One Newton step of every model from its sums and its standing."""
     for pdf in batches:
-        out = []
-        for r in pdf.to_dict("records"):
-            kept = None if r["kept_w"] is None else (np.array(r["kept_w"]), r["kept_loss"])
-            model = NewtonSteps(r["w"], kept, None if r["step"] is None else np.array(r["step"]))
-            upper = np.zeros((N_WEIGHTS, N_WEIGHTS))
-            for i in range(N_WEIGHTS):
-                for j in range(i, N_WEIGHTS):
-                    upper[i, j] = r[f"h{i}_{j}"]
-            hessian = upper + np.triu(upper, 1).T + np.eye(N_WEIGHTS)
-            gradient = model.w + np.array([r[f"g{i}"] for i in range(N_WEIGHTS)])
-            model.update(r["loss"] + 0.5 * model.w @ model.w, gradient, hessian)
-            at, loss = model.kept if model.kept else (model.w, None)
-            step = None if model.step is None else model.step.tolist()
-            out.append((r["symbol"], r["label"], model.w.tolist(), at.tolist(), loss, step, model.done))
-        yield pd.DataFrame(out, columns=["symbol", "label", "w", "kept_w", "kept_loss", "step", "done"])
+        if len(pdf) == 0:
+            continue
+        w, kept_w, step = (np.stack(pdf[c]).astype(float) for c in ("w", "kept_w", "step"))
+        gradient = w + pdf[[f"g{i}" for i in range(N_WEIGHTS)]].to_numpy(dtype=float)
+        hessian = _square(pdf[[f"h{i}_{j}" for i, j in zip(*_UPPER)]].to_numpy(dtype=float))
+        loss = pdf["loss"].to_numpy(dtype=float) + 0.5 * np.einsum("ij,ij->i", w, w)
+        made = newton_step(w, kept_w, pdf["kept_loss"].to_numpy(dtype=float), step, loss, gradient, hessian)
+        columns = dict(zip(("w", "kept_w", "kept_loss", "step", "done"), made))
+        yield pd.DataFrame({"symbol": pdf["symbol"], "label": pdf["label"]} | {c: list(v) for c, v in columns.items()})
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -170,10 +197,10 @@ def _fit_large(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Models of the symbols in ``classes``, by rounds over their ``rows``. Where each model stands is a row of a table in
     the shared folder, so any number of symbols may be large and nothing of theirs comes to the driver."""
     labels = F.when(F.size("classes") == 2, F.slice("classes", 2, 1)).when(F.size("classes") > 2, F.col("classes"))
-    nothing = {"kept_w": "array<double>", "kept_loss": "double", "step": "array<double>"}
+    zeros = F.array(*[F.lit(0.0)] * N_WEIGHTS)
     standing = _written(classes.select("symbol", F.explode(labels).alias("label")).select(
-        "symbol", "label", F.array(*[F.lit(0.0)] * N_WEIGHTS).alias("w"),
-        *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()], F.lit(False).alias("done")), "standing")
+        "symbol", "label", zeros.alias("w"), zeros.alias("kept_w"), F.lit(float("inf")).alias("kept_loss"), zeros.alias("step"),
+        F.lit(False).alias("done")), "standing")
     for _ in range(MAX_ROUNDS):
         open_ = standing.filter(~F.col("done"))
         if open_.isEmpty():
@@ -209,7 +236,7 @@ def fit_transitions(features: DataFrame, group_rows: int | None = None) -> DataF
     large = counts.filter(F.col("n") > limit)
     any_large = not large.isEmpty()
     small = rows.join(large.select("symbol"), "symbol", "left_anti") if any_large else rows
-    models = small.drop("timestamp").groupBy("symbol").applyInPandas(_fit_group, MODEL_SCHEMA)
+    models = small.drop("timestamp").repartition("symbol").sortWithinPartitions("symbol").mapInPandas(_fit_sorted, MODEL_SCHEMA)
     if any_large:
         own = rows.join(large.select("symbol"), "symbol", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
         try:

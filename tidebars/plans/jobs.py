@@ -14,7 +14,7 @@ from tidebars.operators.moving_averages import check_storable, standard_averages
 from tidebars.operators.quality import clean, gate, judge
 from tidebars.operators.states import classified_features, last_states, with_states
 from tidebars.operators.transitions import fit_transitions, transition_probs
-from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, MA_COLS, STANDARD_PERIODS, STATE_WINDOW_DAYS
+from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, STANDARD_PERIODS, STATE_WINDOW_DAYS
 from tidebars.sources import landing as landed
 from tidebars.session import small_frame
 from tidebars.sources.tables import Commit, TableStore, cell_place, latest_times
@@ -93,9 +93,10 @@ def stale_symbols(raw: DataFrame, bars: DataFrame) -> DataFrame:
     """(symbol, since): the first raw bar of a symbol without stored averages.
 
     Raw bars never change, and an average depends on earlier bars only, so a stored average stays right
-    until an older bar is inserted, which then is the one without averages.
+    until an older bar is inserted, which then is the one without averages. The three averages of a period
+    are stored together, so one of them tells.
     """
-    done = bars.dropna(subset=MA_COLS).select(*KEY)
+    done = bars.dropna(subset=[f"sma_{p}" for p in STANDARD_PERIODS]).select(*KEY)
     return raw.select(*KEY).join(done, KEY, "left_anti").groupBy("symbol").agg(F.min("timestamp").alias("since"))
 
 
@@ -137,6 +138,7 @@ def _refresh_stale(store: TableStore, base: dict, universe: DataFrame | None) ->
         return None
     raw = restrict(store.cell_rows(base, "raw_bars", changed), universe)
     stale = stale_symbols(raw, store.cell_rows(base, "bars", changed)).persist(StorageLevel.MEMORY_AND_DISK)
+    caches = [stale]
     try:
         bucket = store.bucket("symbol", base).alias("bucket")
         first = {r.bucket: r.year for r in stale.groupBy(bucket).agg(F.min(F.year("since")).alias("year")).collect()}
@@ -148,7 +150,9 @@ def _refresh_stale(store: TableStore, base: dict, universe: DataFrame | None) ->
             later = store.cell_rows(base, "raw_bars", touched).join(stale, "symbol").filter(F.col("timestamp") >= F.col("since"))
             settled = [f"ema_{p}" for p in STANDARD_PERIODS]
             known = {c: f"known_{c}" for c in settled}
-            before = _last_before(store, base, stale, first, max(STANDARD_PERIODS) - 1)
+            # Read for the years it spans, for the sizes of the symbols and by the kernel.
+            before = _last_before(store, base, stale, first, max(STANDARD_PERIODS) - 1).persist(StorageLevel.MEMORY_AND_DISK)
+            caches.append(before)
             years = before.groupBy(store.bucket("symbol", base).alias("bucket")).agg(F.min(F.year("timestamp")).alias("year"))
             lowest = {r.bucket: r.year for r in years.collect()}
             held = [c for c in base["tables"]["bars"] for y, b in [cell_place(c)] if lowest.get(b, 10**9) <= y <= first.get(b, 0)]
@@ -160,7 +164,8 @@ def _refresh_stale(store: TableStore, base: dict, universe: DataFrame | None) ->
             replaces["bars"] = upsert_averages(store.cell_rows(base, "bars", touched), averages, columns)
         return store.commit(replaces=replaces, base=base) if replaces else None
     finally:
-        stale.unpersist()
+        for cached in caches:
+            cached.unpersist()
 
 
 def refresh_averages(store: TableStore, universe: DataFrame | None = None, periods=None,
