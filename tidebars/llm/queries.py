@@ -76,7 +76,7 @@ def coded_digests(coded: DataFrame) -> DataFrame:
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     docs = pick(documents(spark, sf_dir), "doc_id", "text")
-    return coded_digests(bpe.round_trip(docs, path or public_tokenizers.path(BYTE_BPE)))
+    return coded_digests(bpe.round_trip(docs, path or public_tokenizers.path(BYTE_BPE), remembered=2 * bpe.REMEMBERED))
 
 
 @query
