@@ -79,7 +79,7 @@ class Counter:
 
     def __init__(self, path: str):
         self.trie = PieceTrie(read_ranks(path))
-        self.known = Memo(self._part)
+        self.known = Memo(self._part, limit=300_000)
 
     def _part(self, key: str) -> int:
         own = sorted(pieces(part(key)))
