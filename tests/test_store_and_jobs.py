@@ -293,6 +293,23 @@ def test_sparse_symbols_get_whole_frames(spark, store):
     assert last.sma_200 == pytest.approx(sum(range(100, 300)) / 200) and last.sma_50 == pytest.approx(sum(range(250, 300)) / 50)
 
 
+def test_a_late_old_bar_and_a_new_day_of_another_symbol_of_the_bucket(spark):
+    """The look-back of each symbol ends at its own first stale bar, however far apart they are."""
+    stores = [TableStore(spark, scratch_dir(spark, "case")).initialize(buckets=1) for _ in "ab"]
+    early = bars(spark, {"A": range(1, 1801), "B": range(5000, 6500)})
+    rest = bars(spark, {"A": [7]}, first=dt.datetime(2020, 9, 1, 12)).unionAll(bars(spark, {"B": [9000]}, first=dt.datetime(2024, 3, 1)))
+    rest = rest.unionAll(bars(spark, {"C": range(1, 40)}, first=dt.datetime(2020, 3, 1)))
+    for t in stores:
+        jobs.insert_bars(t, early)
+    jobs.refresh_averages(stores[0])
+    for t in stores:
+        jobs.insert_bars(t, rest)
+    jobs.refresh_averages(stores[0])
+    jobs.refresh_averages(stores[1], rebuild=True)
+    smooth = {c: F.round(c, 6) for c in MA_COLS if c.startswith("ema")}
+    assert contents(stores[0].wide().withColumns(smooth)) == contents(stores[1].wide().withColumns(smooth))
+
+
 def test_matrices_of_other_universes_stay(spark, sf_dir, store):
     smooth = fx.smooth_bars(spark, sf_dir)
     store.commit(appends={"raw_bars": smooth, "bars": smooth})

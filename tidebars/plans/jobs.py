@@ -100,14 +100,14 @@ def stale_symbols(raw: DataFrame, bars: DataFrame) -> DataFrame:
     return raw.select(*KEY).join(done, KEY, "left_anti").groupBy("symbol").agg(F.min("timestamp").alias("since"))
 
 
-def _last_before(store: TableStore, base: dict, stale: DataFrame, first: dict[int, int], n: int) -> DataFrame:
+def _last_before(store: TableStore, base: dict, stale: DataFrame, latest: dict[int, int], n: int) -> DataFrame:
     """Key and close of the last ``n`` raw bars of each stale symbol before it gets stale.
 
-    Cells are read backwards from the year before, twice as many years each time, and only those of
-    buckets with a symbol that has fewer bars so far.
+    Cells are read backwards from the ``latest`` year in which a symbol of the bucket gets stale, twice as
+    many years each time, and only those of buckets with a symbol that has fewer bars so far.
     """
     cells = base["tables"]["raw_bars"]
-    below, span, needy, found = {b: y + 1 for b, y in first.items()}, 2, stale, None
+    below, span, needy, found = {b: y + 1 for b, y in latest.items()}, 2, stale, None
     while below:
         near = [c for c in cells for y, b in [cell_place(c)] if b in below and below[b] - span <= y < below[b]]
         rows = store.cell_rows(base, "raw_bars", near).select(*KEY, "close").join(needy, "symbol").filter(
@@ -141,7 +141,9 @@ def _refresh_stale(store: TableStore, base: dict, universe: DataFrame | None) ->
     caches = [stale]
     try:
         bucket = store.bucket("symbol", base).alias("bucket")
-        first = {r.bucket: r.year for r in stale.groupBy(bucket).agg(F.min(F.year("since")).alias("year")).collect()}
+        year = F.year("since")
+        spans = stale.groupBy(bucket).agg(F.min(year).alias("first"), F.max(year).alias("latest")).collect()
+        first, latest = {r.bucket: r.first for r in spans}, {r.bucket: r.latest for r in spans}
         replaces = {}
         if universe is None:
             replaces["averaged_cells"] = small_frame(spark, sorted(parts.items()), "cell string, raw_parts array<string>")
@@ -151,11 +153,11 @@ def _refresh_stale(store: TableStore, base: dict, universe: DataFrame | None) ->
             settled = [f"ema_{p}" for p in STANDARD_PERIODS]
             known = {c: f"known_{c}" for c in settled}
             # Read for the years it spans, for the sizes of the symbols and by the kernel.
-            before = _last_before(store, base, stale, first, max(STANDARD_PERIODS) - 1).persist(StorageLevel.MEMORY_AND_DISK)
+            before = _last_before(store, base, stale, latest, max(STANDARD_PERIODS) - 1).persist(StorageLevel.MEMORY_AND_DISK)
             caches.append(before)
             years = before.groupBy(store.bucket("symbol", base).alias("bucket")).agg(F.min(F.year("timestamp")).alias("year"))
             lowest = {r.bucket: r.year for r in years.collect()}
-            held = [c for c in base["tables"]["bars"] for y, b in [cell_place(c)] if lowest.get(b, 10**9) <= y <= first.get(b, 0)]
+            held = [c for c in base["tables"]["bars"] for y, b in [cell_place(c)] if lowest.get(b, 10**9) <= y <= latest.get(b, 0)]
             stored = store.cell_rows(base, "bars", held).select(*KEY, *[F.col(c).alias(known[c]) for c in settled])
             before = before.join(stored, KEY, "left").withColumn("fresh", F.lit(False))
             rows = later.select(*BAR_COLS, F.lit(True).alias("fresh")).unionByName(before, allowMissingColumns=True)
