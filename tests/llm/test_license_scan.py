@@ -62,6 +62,14 @@ def test_own_templates_and_none(spark):
     assert {tuple(r.licenses) for r in ls.find_licenses(docs, templates.limit(0)).collect()} == {()}
 
 
+def test_rights_reserved_line(spark, sf_dir):
+    docs = odd_documents(spark, ["some words. ALL rights\nreserved", "all rights are reserved", "Released under the MIT License. All rights reserved."])
+    found = {r.doc_id: r.licenses for r in ls.find_licenses(docs).collect() if r.licenses}
+    assert found == {0: ["LicenseRef-All-Rights-Reserved"], 2: ["LicenseRef-All-Rights-Reserved", "MIT"]}
+    planted = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("text LIKE '%All rights reserved.%'")
+    assert all(r.licenses for r in ls.find_licenses(planted).collect())
+
+
 def test_bands_keep_their_promise():
     for t, s in ((2, 2), (3, 4), (8, 8), (17, 32), (60, 64)):
         least = 0.8 * t / (2 * s + 0.2 * t)

@@ -49,6 +49,7 @@ TEMPLATES = (
                 " later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
             " provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
             " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation"
