@@ -310,6 +310,21 @@ def test_a_late_old_bar_and_a_new_day_of_another_symbol_of_the_bucket(spark):
     assert contents(stores[0].wide().withColumns(smooth)) == contents(stores[1].wide().withColumns(smooth))
 
 
+def test_bars_without_a_usable_close_do_not_shorten_the_look_back(spark):
+    odd = {20: float("nan"), 100: float("inf"), 150: float("-inf"), 300: float("nan")}
+    closes = [odd.get(i, float(i)) for i in range(366)]
+    stores = [TableStore(spark, scratch_dir(spark, "case")).initialize(buckets=1) for _ in "ab"]
+    for t in stores:
+        jobs.insert_bars(t, bars(spark, {"A": closes}))
+    jobs.refresh_averages(stores[0])
+    for t in stores:
+        jobs.insert_bars(t, bars(spark, {"A": [500]}, first=dt.datetime(2021, 1, 1)))
+    jobs.refresh_averages(stores[0])
+    jobs.refresh_averages(stores[1], rebuild=True)
+    smooth = {c: F.round(c, 6) for c in MA_COLS if c.startswith("ema")}
+    assert contents(stores[0].wide().withColumns(smooth)) == contents(stores[1].wide().withColumns(smooth))
+
+
 def test_matrices_of_other_universes_stay(spark, sf_dir, store):
     smooth = fx.smooth_bars(spark, sf_dir)
     store.commit(appends={"raw_bars": smooth, "bars": smooth})

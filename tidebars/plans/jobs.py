@@ -101,7 +101,7 @@ def stale_symbols(raw: DataFrame, bars: DataFrame) -> DataFrame:
 
 
 def _last_before(store: TableStore, base: dict, stale: DataFrame, latest: dict[int, int], n: int) -> DataFrame:
-    """Key and close of the last ``n`` raw bars of each stale symbol before it gets stale.
+    """Key and close of the last ``n`` raw bars that averages count (``add_averages``) of each stale symbol before it gets stale.
 
     Cells are read backwards from the ``latest`` year in which a symbol of the bucket gets stale, twice as
     many years each time, and only those of buckets with a symbol that has fewer bars so far.
@@ -111,7 +111,7 @@ def _last_before(store: TableStore, base: dict, stale: DataFrame, latest: dict[i
     while below:
         near = [c for c in cells for y, b in [cell_place(c)] if b in below and below[b] - span <= y < below[b]]
         rows = store.cell_rows(base, "raw_bars", near).select(*KEY, "close").join(needy, "symbol").filter(
-            F.col("timestamp") < F.col("since")).select(*KEY, "close")
+            (F.col("timestamp") < F.col("since")) & (F.abs("close") < float("inf")) & ~F.isnan("close")).select(*KEY, "close")
         found = rows if found is None else found.unionByName(rows)
         below = {b: y - span for b, y in below.items()}
         older = {b for c in cells for y, b in [cell_place(c)] if b in below and y < below[b]}
