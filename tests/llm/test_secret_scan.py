@@ -80,6 +80,16 @@ def test_redaction(spark):
     assert s.redact_secrets(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("letters, kind", [("0123456789abcdefghijklmnopqrstuvwxyz", "entropy_base36"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "entropy_base32")])
+def test_bare_tokens_of_one_letter_case(spark, letters, kind):
+    tokens = ["".join(random.Random(i).choices(letters, k=40)) for i in range(20)]
+    docs = odd_documents(spark, [f"the key {t} was left here" for t in tokens] + ["a" * 30 + "9z", "Z" * 30 + "9"])
+    found = {r.doc_id: [(x.kind, x.start, x.end) for x in r.secrets] for r in s.find_secrets(docs).collect() if r.secrets}
+    assert set(found) == set(range(20)) and all(k == kind for spans in found.values() for k, _, _ in spans)
+    clean = {r.doc_id: r.text for r in s.redact_secrets(docs).collect()}
+    assert all("[secret]" in clean[i] for i in range(20))
+
+
 def test_windows_are_entropies():
     for c in s.CLASSES:
         assert 0 < c.bits < math.log2(c.window) and len(c.steps) == c.window + 1

@@ -62,6 +62,8 @@ CLASSES = (
     EntropyClass("entropy_hex", r"[0-9A-Fa-f]{24,}", ("[0-9]", "[A-Fa-f]"), ("0123456789abcdef", "          ABCDEF"), 24, 2.9),
     EntropyClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", ("[0-9]", "[A-Z]", "[a-z]"),
                  ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", " " * 62 + "-_"), 20, 3.7),
+    EntropyClass("entropy_base36", r"[0-9a-z]{20,}", ("[0-9]", "[g-z]"), ("0123456789abcdefghijklmnopqrstuvwxyz", ""), 20, 3.6),
+    EntropyClass("entropy_base32", r"[0-9A-Z]{20,}", ("[0-9]", "[G-Z]"), ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""), 20, 3.6),
 )
 KINDS = tuple(k for k, _ in BASE) + tuple(c.kind for c in CLASSES)
 RESULTS = ["n_assign", "n_access", "n_hex", "spans"]
