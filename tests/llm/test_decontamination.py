@@ -50,6 +50,15 @@ def test_against_brute_force(spark, benchmark, block_chars):
     assert got == expected
 
 
+def test_copies_of_an_item_are_held_once(spark, benchmark, monkeypatch):
+    copies = spark.range(500).selectExpr("cast(1 AS bigint) AS item_id", f"'{ITEM}' AS text")
+    docs, more = odd_documents(spark, TEXTS), benchmark.unionAll(copies)
+    got = rows(d.find_contamination(docs, more, block_chars=1000), "doc_id", "n_words", "n_hit", "items")
+    assert got == sorted(((r.doc_id, *brute(r.text, ITEMS)) for r in docs.collect()), key=repr)
+    monkeypatch.setattr(d, "WindowSet", lambda items, window: len(items))
+    assert list(d._blocks(more, "item_id", "text", 13, 1000)) == [sum(i is not None and t is not None for i, t in ITEMS)]
+
+
 def test_removal_and_clashing_columns(spark, benchmark):
     docs = clashing(odd_documents(spark, TEXTS), "n_words", "hits", "made")
     whole = d.decontaminate(docs, benchmark)

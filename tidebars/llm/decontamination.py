@@ -103,11 +103,11 @@ def _scan(block, arrow_type):
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_chars: int):
-    """The window sets, one at a time. Items are dealt to blocks by a hash of their id and text."""
+    """The window sets, one at a time. Items are dealt to blocks by a hash of their id and text, repeated ones once."""
     items = pick(benchmark, item_id, text).toDF("item", "text").filter("item IS NOT NULL AND text IS NOT NULL")
-    chars = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    items = items.select(F.col("item").cast("string").alias("item"), F.col("text").cast("binary").alias("data")).distinct()
+    chars = items.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
     count = max(1, -(-chars // block_chars))
-    items = items.select(F.col("item").cast("string").alias("item"), F.col("text").cast("binary").alias("data"))
     for number in range(count):
         part = items.filter(F.pmod(F.xxhash64("item", "data"), F.lit(count)) == number) if count > 1 else items
         yield WindowSet([(r.item, bytes(r.data)) for r in part.collect()], window)
