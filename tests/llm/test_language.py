@@ -83,6 +83,13 @@ def test_scores_are_kernel_values_times_weights(spark):
     assert model.scores([lg.grams(t) for t, _ in own]) == pytest.approx(expected, abs=2e-3)
 
 
+def test_every_one_of_many_languages_is_learnt(spark):
+    rows = [(100 * k + i, "word" if k < 300 or not i else "12 34", f"l{k}") for k in range(301) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {f"l{k}" for k in range(301) if not is_held_out(100 * k)} | {f"l{k}" for k in range(300)}
+    assert set(lg.fit_languages(docs, sample=300).languages) == kept
+
+
 def test_odd_rows(spark, learnt):
     docs = clashing(odd_documents(spark, ["ka to mi", "123 !!", "schungheit"]), "lang_pred", "Score", "LANG_")
     rows = {(r.doc_id, r.text): r for r in lg.identify(docs, learnt[1]).collect()}

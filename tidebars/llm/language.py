@@ -17,12 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidebars.llm.frames import held_out, pick, prepare, with_results
 
 #: Texts learnt from, and landmarks, about, over all languages; both are shared out evenly and chosen by a hash of text and id.
 SAMPLE, LANDMARKS = 3_000, 96
+#: Texts of each language that are learnt from however many languages there are, or all where it has fewer.
+LEAST = 20
 RIDGE = 1e-3
 #: Texts scored by one product.
 BATCH = 128
@@ -101,9 +103,16 @@ def _kernel(terms: np.ndarray, marks: np.ndarray, sizes: np.ndarray, own: np.nda
     return marks[_places(terms, own)].sum(axis=0, dtype=np.float64) / np.sqrt(max(1, len(own)) * sizes)
 
 
-def _by_language(rows: DataFrame, counts: dict[str, int], bound: int) -> DataFrame:
-    """About ``bound`` rows, as many of each language where there are enough, by a hash."""
+def _by_language(rows: DataFrame, counts: dict[str, int], bound: int, least: int = 0) -> DataFrame:
+    """About ``bound`` rows, as many of each language where there are enough, by a hash.
+
+    Shares so small that a language could draw fewer than ``least`` give way to the first rows by hash, those with a
+    letter before others: ``least`` of each language, or more if the bound allows.
+    """
     each = max(1, bound // max(1, len(counts)))
+    if each < 3 * least:
+        order = Window.partitionBy("lang").orderBy(F.col("text").rlike(r"\p{L}").desc(), "hash")
+        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(least, each)).drop("rank")
     share = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, each / n) * (1 << 30))))))
     return rows.filter(F.pmod("hash", F.lit(1 << 30)) < share[F.col("lang")])
 
@@ -118,7 +127,7 @@ def _gram_rows(batches):
 
 def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
                   landmarks: int = LANDMARKS) -> LanguageModel:
-    """Learn from the texts with a language that are not held out, ``sample`` of them at most, about."""
+    """Learn from the texts with a language that are not held out, ``sample`` of them at most, about, or ``LEAST`` of each language."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc_id, text, lang).toDF("id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.filter(~held_out(F.col("id"))).select("lang", "text", F.xxhash64("id", "text").alias("hash"))
@@ -149,16 +158,19 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
                     values = _kernel(*sent.value, own)
                     yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), pa.array([values.tolist()])], names=["lang", "values"])
 
-    told = _by_language(rows, counts, sample).select("lang", "text").mapInArrow(kernel_rows, "lang string, values array<double>").collect()
+    told = _by_language(rows, counts, sample, LEAST).select("lang", "text").mapInArrow(kernel_rows, "lang string, values array<double>").collect()
     told = sorted((r["lang"], tuple(r["values"])) for r in told)
     languages = sorted({t[0] for t in told})
     values = np.array([t[1] for t in told])
-    target = np.array([[t[0] == name for name in languages] for t in told], dtype=float)
-    weight = (1 / target.sum(axis=0))[target.argmax(axis=1)]  # each language weighs as much
+    place = {name: i for i, name in enumerate(languages)}
+    numbers = np.array([place[t[0]] for t in told])
+    weight = (1 / np.bincount(numbers))[numbers]  # each language weighs as much
+    target = np.zeros((values.shape[1], len(languages)))
+    np.add.at(target.T, numbers, values * weight[:, None])
     among = (marks.T.astype(np.float64) @ marks) / np.sqrt(np.outer(sizes, sizes))
     left = values.T @ (values * weight[:, None]) + RIDGE * len(languages) * among
     left += 1e-9 * np.trace(left) / len(left) * np.eye(len(left))
-    solved = np.linalg.solve(left, values.T @ (target * weight[:, None]))
+    solved = np.linalg.solve(left, target)
     return LanguageModel(languages, terms, (marks @ (solved / np.sqrt(sizes)[:, None])).astype(np.float32))
 
 
