@@ -2,9 +2,10 @@ import datetime as dt
 import os
 
 import pytest
+from oracle import compare, connect
 from pyspark.sql import functions as F
 
-from tidebars.catalog import fixtures as fx
+from tidebars.catalog import fixtures as fx, registry
 from tidebars.plans import jobs, views
 from tidebars.schema import MA_COLS
 from tidebars.session import scratch_dir
@@ -325,6 +326,14 @@ def test_bars_without_a_usable_close_do_not_shorten_the_look_back(spark):
     assert contents(stores[0].wide().withColumns(smooth)) == contents(stores[1].wide().withColumns(smooth))
 
 
+def test_a_wrong_stored_probability_shows(spark, sf_dir, monkeypatch):
+    right, con = jobs.transition_probs, connect(sf_dir)
+    monkeypatch.setattr(jobs, "transition_probs", lambda *a: right(*a).withColumn("prob", F.col("prob") * 0.9))
+    registry.load()
+    equal = {n: compare(spark, con, n, registry.QUERIES[n], registry.SQL[n], sf_dir)[0] for n in registry.QUERIES if n.startswith("s16")}
+    assert [n for n in equal if not equal[n]] == ["s16_row_sums", "s16_two_universes_row_sums"]
+
+
 def test_matrices_of_other_universes_stay(spark, sf_dir, store):
     smooth = fx.smooth_bars(spark, sf_dir)
     store.commit(appends={"raw_bars": smooth, "bars": smooth})

@@ -166,15 +166,40 @@ def transitions(spark, sf_dir):
     return _stored_pairs(store)
 
 
-@query("s16_two_universes", f"FROM ({_PAIRS}) WHERE symbol IN ('BUILDING', 'MACHINERY')", uses="smooth_bars")
-def two_universes(spark, sf_dir):
-    """Two runs on one symbol each; the first one's matrix stays."""
+# The stored probabilities of a state that is ever current add up to one, those of another are all zero.
+_ROW_SUMS = f"""SELECT symbol, from_state, CASE WHEN any_value(never_current) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS total, count(*) AS n
+FROM ({_PAIRS}) GROUP BY symbol, from_state"""
+
+
+def _stored_row_sums(store):
+    probs = store.read("transition_probs")
+    return probs.groupBy("symbol", "from_state").agg(F.round(F.sum("prob"), 9).alias("total"), F.count("prob").alias("n"))
+
+
+@query("s16_row_sums", _ROW_SUMS, uses="smooth_bars")
+def stored_row_sums(spark, sf_dir):
+    store, _ = _transformed(spark, sf_dir)
+    return _stored_row_sums(store)
+
+
+def _two_universes(spark, sf_dir):
     store, bars = new_store(spark), fx.smooth_bars(spark, sf_dir)
     store.commit(appends={"raw_bars": bars, "bars": bars})
     for symbol in ("BUILDING", "MACHINERY"):
         listed = bars.select("symbol").filter(F.col("symbol") == symbol).distinct()
         jobs.transform_states(store, listed, "2001-06-01")
-    return _stored_pairs(store)
+    return store
+
+
+@query("s16_two_universes", f"FROM ({_PAIRS}) WHERE symbol IN ('BUILDING', 'MACHINERY')", uses="smooth_bars")
+def two_universes(spark, sf_dir):
+    """Two runs on one symbol each; the first one's matrix stays."""
+    return _stored_pairs(_two_universes(spark, sf_dir))
+
+
+@query("s16_two_universes_row_sums", f"FROM ({_ROW_SUMS}) WHERE symbol IN ('BUILDING', 'MACHINERY')", uses="smooth_bars")
+def two_universes_row_sums(spark, sf_dir):
+    return _stored_row_sums(_two_universes(spark, sf_dir))
 
 
 @query("d03_status", """SELECT symbol, count(*) FILTER ("timestamp" >= TIMESTAMP '2001-06-01' - INTERVAL 365 DAY AND "timestamp" <= TIMESTAMP '2001-06-01') > 0 AS held,
