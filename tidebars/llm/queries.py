@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidebars.llm import bpe, decontamination, language, license_scan, quality, secret_scan, simhash, token_counts, token_files, top_k
+from tidebars.llm import (bpe, decontamination, language, license_scan, merkle, quality, secret_scan, simhash, token_counts,
+                          token_files, top_k)
 from tidebars.llm.frames import documents, held_out, pick
 from tidebars.session import scratch_dir
 
@@ -211,3 +212,19 @@ FROM doc LEFT JOIN matched USING (rid) GROUP BY rid, doc_id
 
 
 SQL["op10_licenses"] = _licenses_sql()
+
+
+#: What the manifest of the documents covers, in the order in which it is hashed.
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tampered leaf has one more in n_chars; the proofs are those of the untampered table."""
+    one_more = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    tampered = merkle.leaf_hash(*(one_more if f == "n_chars" else F.col(f) for f in LEAF_FIELDS))
+    manifest = merkle.manifest_of(documents(spark, sf_dir), LEAF_FIELDS, "lang", ["doc_id"], tampered=tampered)
+    proofs = manifest.leaves.select("tree", "idx", "doc_id", "leaf", "tampered").join(merkle.prove(manifest), ["tree", "idx"])
+    folded = merkle.fold(F.col("tampered"), F.col("path"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
