@@ -67,13 +67,12 @@ def test_query_equals_brute_force_on_the_whole_table(spark, sf_dir):
 
 
 @pytest.mark.parametrize("span_bits", [12, 2, 1])
-def test_odd_rows_in_spans_of_any_size(spark, folder, span_bits, monkeypatch):
-    monkeypatch.setattr(m, "SPAN_BITS", span_bits)
+def test_odd_rows_in_spans_of_any_size(spark, folder, span_bits):
     docs = odd_documents(spark, [f"text {i} é" for i in range(11)])
     nobody = docs.selectExpr("doc_id", "text", "cast(null AS string) AS lang", "source", "n_chars").limit(5)
     docs = docs.unionByName(nobody)
     docs.write.parquet(f"{folder}/documents.parquet")
-    got = rows(QUERIES["op13_merkle"](spark, folder), *COLUMNS)
+    got = rows(QUERIES["op13_merkle"](spark, folder, span_bits), *COLUMNS)
     assert got == brute([r.asDict() for r in docs.collect()])
     wide = m.manifest_of(clashing(docs, "leaf", "tree", "idx", "TEXT"), LEAF_FIELDS, "lang", ["doc_id"])
     assert {r.root for r in wide.root.collect()} == {g[3] for g in got}

@@ -86,36 +86,41 @@ def _grouped(batches, n_keys: int, size: int = 8_192) -> Iterator[tuple[tuple, l
         yield key, [r[n_keys:] for r in run]
 
 
-def _climb(batches):
+def _climb(span_bits: int):
     """From (tree, span, level, width, idx, digest) to the nodes above, up to the top of the span or of the tree."""
-    for (tree, span), run in _grouped(batches, 2):
-        level, width, first = run[0][0], run[0][1], run[0][2]
-        nodes, out = [r[3] for r in run], []
-        single = width <= 1 << SPAN_BITS
-        for _ in range(SPAN_BITS):
-            if single and len(nodes) == 1:
-                break
-            nodes = [digest(*nodes[i : i + 2]) for i in range(0, len(nodes), 2)]
-            level, first = level + 1, first >> 1
-            out += [(tree, level, first + i, d) for i, d in enumerate(nodes)]
-        if out:
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["tree", "level", "idx", "digest"])
-
-
-def _levels(leaves: DataFrame, label: str) -> DataFrame:
+    def run(batches):
+        for (tree, _), rows in _grouped(batches, 2):
+            level, width, first = rows[0][:3]
+            nodes, out = [r[3] for r in rows], []
+            whole = width <= 1 << span_bits
+            for _ in range(span_bits):
+                if whole and len(nodes) == 1:
+                    break
+                nodes = [digest(*nodes[i : i + 2]) for i in range(0, len(nodes), 2)]
+                level, first = level + 1, first >> 1
+                out += [(tree, level, first + i, d) for i, d in enumerate(nodes)]
+            if out:
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                                 names=["tree", "level", "idx", "digest"])
+
+    return run
+
+
+def _levels(leaves: DataFrame, span_bits: int, label: str) -> DataFrame:
     """``tree, level, idx, digest`` of all nodes of the trees with ``leaves(tree, width, idx, digest)``."""
     schema = "tree bigint, level int, idx bigint, digest string"
     found = leaves.select("tree", F.lit(0).alias("level"), "idx", "digest")
     widths, widest = leaves.select("tree", "width").distinct(), leaves.agg(F.max("width")).first()[0] or 0
     rows, level = leaves.select("tree", "width", "idx", "digest"), 0
     while widest > 1:
-        spans = rows.select("tree", F.shiftright("idx", SPAN_BITS).alias("span"), F.lit(level).alias("level"), "width", "idx", "digest")
-        built = settle(spans.repartition("tree", "span").sortWithinPartitions("tree", "span", "idx").mapInArrow(_climb, schema), label)
+        spans = rows.select("tree", F.shiftright("idx", span_bits).alias("span"), F.lit(level).alias("level"), "width", "idx", "digest")
+        built = settle(spans.repartition("tree", "span").sortWithinPartitions("tree", "span", "idx").mapInArrow(_climb(span_bits), schema), label)
         found = found.unionByName(built)
-        level, widest = level + SPAN_BITS, -(-widest >> SPAN_BITS)
-        widths = widths.filter(F.col("width") > 1 << SPAN_BITS).select(
-            "tree", F.shiftright(F.col("width") + ((1 << SPAN_BITS) - 1), SPAN_BITS).alias("width"))
+        widest = -(-widest >> span_bits)
+        level += span_bits
+        widths = widths.filter(F.col("width") > 1 << span_bits).select(
+            "tree", F.shiftright(F.col("width") + ((1 << span_bits) - 1), span_bits).alias("width"))
         rows = built.filter(F.col("level") == level).join(widths, "tree")
     return found
 
@@ -129,9 +134,10 @@ class Manifest:
     nodes: DataFrame
     trees: DataFrame
     root: DataFrame
+    span_bits: int = SPAN_BITS
 
 
-def build_manifest(rows: DataFrame, group: str, order: list[str]) -> Manifest:
+def build_manifest(rows: DataFrame, group: str, order: list[str], span_bits: int = SPAN_BITS) -> Manifest:
     """The trees over ``rows``, which have a column ``leaf`` (``leaf_hash``); other columns are carried along."""
     prepare(rows.sparkSession)
     rows = settle(rows, "merkle-rows")
@@ -139,14 +145,14 @@ def build_manifest(rows: DataFrame, group: str, order: list[str]) -> Manifest:
     trees = settle(trees.withColumnRenamed("idx", "tree"), "merkle-trees")
     placed = rows.join(trees.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
     leaves = settle(_numbered(placed, ["tree"], [*order, "leaf"], "merkle-order"), "merkle-leaves")
-    nodes = _levels(leaves.withColumnRenamed("leaf", "digest"), "merkle-nodes")
+    nodes = _levels(leaves.withColumnRenamed("leaf", "digest"), span_bits, "merkle-nodes")
     roots = nodes.join(trees.select("tree", "width"), "tree").filter((F.col("level") == _height(F.col("width"))) & (F.col("idx") == 0))
     trees = settle(trees.join(roots.select("tree", F.col("digest").alias("subroot")), "tree"), "merkle-subroots")
     count = trees.agg(F.count("*").alias("width"))
     top = trees.select(F.lit(TOP).cast("bigint").alias("tree"), F.col("tree").alias("idx"), F.col("subroot").alias("digest"))
-    upper = _levels(top.crossJoin(F.broadcast(count)), "merkle-top")  # the count is one row
+    upper = _levels(top.crossJoin(F.broadcast(count)), span_bits, "merkle-top")  # the count is one row
     root = upper.join(F.broadcast(count), F.col("level") == _height(F.col("width"))).select(F.col("digest").alias("root"))
-    return Manifest(leaves, nodes.unionByName(upper), trees, root)
+    return Manifest(leaves, nodes.unionByName(upper), trees, root, span_bits)
 
 
 def missing_coordinates(places: Iterable[int], width: int) -> list[tuple[int, int]]:
@@ -219,7 +225,7 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None) -> DataFrame:
     """
     leaves = (manifest.leaves if wanted is None else wanted).select("tree", "width", "idx", "leaf")
     groups = F.broadcast(manifest.trees.agg(F.count("*").alias("groups")))  # one row
-    leaves = leaves.crossJoin(groups).withColumn("span", F.shiftright("idx", SPAN_BITS))
+    leaves = leaves.crossJoin(groups).withColumn("span", F.shiftright("idx", manifest.span_bits))
     spans = leaves.select("tree", "span", "width", "groups", "idx").repartition("tree", "span").sortWithinPartitions("tree", "span")
     need = settle(spans.mapInArrow(_missing, "of_tree bigint, span bigint, tree bigint, level int, idx bigint"), "merkle-need")
     levels = [r.level for r in need.select("level").distinct().collect()]  # one for each doubling of the rows
@@ -241,9 +247,10 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: F.coalesce(s["before"], s["after"], F.lit(""))), "").cast("binary"), 256)
 
 
-def manifest_of(docs: DataFrame, fields: list[str], group: str, order: list[str], **more: Column) -> Manifest:
+def manifest_of(docs: DataFrame, fields: list[str], group: str, order: list[str], span_bits: int = SPAN_BITS,
+                **more: Column) -> Manifest:
     """The manifest of the rows of ``docs`` over ``fields``; ``more`` columns, of the fields by name, ride along."""
     rows = pick(docs, *dict.fromkeys([*fields, group, *order]))
     hashed = rows.select(*dict.fromkeys([group, *order]), leaf_hash(*(F.col(f) for f in fields)).alias("leaf"),
                          *(c.alias(n) for n, c in more.items()))
-    return build_manifest(hashed, group, order)
+    return build_manifest(hashed, group, order, span_bits)

@@ -219,11 +219,11 @@ LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
 @query
-def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op13_merkle(spark: SparkSession, sf_dir: str, span_bits: int = merkle.SPAN_BITS) -> DataFrame:
     """A tampered leaf has one more in n_chars; the proofs are those of the untampered table."""
     one_more = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
     tampered = merkle.leaf_hash(*(one_more if f == "n_chars" else F.col(f) for f in LEAF_FIELDS))
-    manifest = merkle.manifest_of(documents(spark, sf_dir), LEAF_FIELDS, "lang", ["doc_id"], tampered=tampered)
+    manifest = merkle.manifest_of(documents(spark, sf_dir), LEAF_FIELDS, "lang", ["doc_id"], span_bits, tampered=tampered)
     proofs = manifest.leaves.select("tree", "idx", "doc_id", "leaf", "tampered").join(merkle.prove(manifest), ["tree", "idx"])
     folded = merkle.fold(F.col("tampered"), F.col("path"))
     return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
