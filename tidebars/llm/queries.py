@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidebars.llm import (bpe, decontamination, language, license_scan, merkle, quality, secret_scan, simhash, token_counts,
-                          token_files, top_k)
+from tidebars.llm import (bpe, decontamination, language, license_scan, merkle, quality, secret_scan, simhash, spelling,
+                          token_counts, token_files, top_k)
 from tidebars.llm.frames import documents, held_out, pick
 from tidebars.session import scratch_dir
 
@@ -228,3 +228,8 @@ def op13_merkle(spark: SparkSession, sf_dir: str, span_bits: int = merkle.SPAN_B
     folded = merkle.fold(F.col("tampered"), F.col("path"))
     return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
                          folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(documents(spark, sf_dir), worn=199))
