@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidebars.llm import (bpe, decontamination, language, license_scan, merkle, quality, secret_scan, simhash, spelling,
-                          token_counts, token_files, top_k)
+                          suffix_dedup, token_counts, token_files, top_k)
 from tidebars.llm.frames import documents, held_out, pick
 from tidebars.session import scratch_dir
 
@@ -233,3 +233,9 @@ def op13_merkle(spark: SparkSession, sf_dir: str, span_bits: int = merkle.SPAN_B
 @query
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.vocabulary(documents(spark, sf_dir), worn=199))
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
