@@ -6,6 +6,7 @@ Windows are dealt to shards by content, so that equal windows meet and no pair o
 window is the least hash among its strings of ``GRAM`` bytes, and a run is a stretch of neighbouring windows of one key.
 
 1. A task writes its texts as files in the shared folder and lists the runs of each file, sorted by key.
+   Of runs that are equal within a file one is listed; all of them are repeats.
 2. The sorted lists of all files meet by ranges of keys. A run whose key is nowhere else holds no repeat. Runs that are equal
    from end to end (128-bit digests) are repeats as a whole, and one of them stands for all.
 3. The files are asked for the bytes of the runs that are left, each different run once; these are dealt to shards by key, or,
@@ -49,7 +50,7 @@ SHARD_BYTES, KEY_BYTES = 1 << 20, 1 << 17
 #: Run entries in a range of the key lists, about.
 RANGE_RUNS = 1 << 20
 
-_RUNS = np.dtype([("key", "<u8"), ("digest", "S16"), ("start", "<u4"), ("n", "<u2"), ("again", "u1")])
+_RUNS = np.dtype([("key", "<u8"), ("digest", "S16"), ("start", "<u4"), ("n", "<u2"), ("again", "u1"), ("copied", "u1")])
 _ASKED = np.dtype([("key", "<u8"), ("part", "<u4"), ("parts", "<u4"), ("start", "<u4"), ("n", "<u2"), ("known", "u1")])
 _SPANS = np.dtype([("start", "<u4"), ("n", "<u4")])
 _OWNED = np.dtype([("digest", "S16"), ("file", "<i8"), ("start", "<u4"), ("single", "u1")])
@@ -117,19 +118,40 @@ def list_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: in
     return runs[np.argsort(runs["key"], kind="stable")]
 
 
+def collapse_copies(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of each group of equal runs, marked as ``copied``; and the spans of all that have a copy here."""
+    keys = runs["key"]
+    near = np.concatenate(([False], keys[1:] == keys[:-1]))
+    near[:-1] |= near[1:]
+    some = np.flatnonzero(near)  # runs that share their key, in the order of keys
+    some = some[np.lexsort((runs["digest"][some], keys[some]))]
+    again = runs[some]
+    new = np.ones(len(some), dtype=bool)
+    new[1:] = (again["key"][1:] != again["key"][:-1]) | (again["digest"][1:] != again["digest"][:-1])
+    copies = np.diff(np.append(np.flatnonzero(new), len(some)))
+    spans = np.zeros(int(copies[copies > 1].sum()), dtype=_SPANS)
+    copied = again[np.repeat(copies, copies) > 1]
+    spans["start"], spans["n"] = copied["start"], copied["n"]
+    runs = runs.copy()
+    runs["copied"][some[new]] = copies > 1
+    listed = np.ones(len(runs), dtype=bool)
+    listed[some[~new]] = False
+    return runs[listed], spans
+
+
 def match_runs(runs: np.ndarray, length: int = LENGTH, key_bytes: int = KEY_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the runs of all files in a range of keys: which are repeats as a whole, which are to be asked for, and what to ask."""
     order = np.argsort(runs["key"], kind="stable")
     keys = runs["key"][order]
     fresh = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=bool)
     sizes = np.diff(np.append(np.flatnonzero(fresh), len(keys)))
-    left = order[(np.repeat(sizes, sizes) > 1) | (runs["again"][order] > 0)]
+    left = order[(np.repeat(sizes, sizes) > 1) | (runs["again"][order] > 0) | (runs["copied"][order] > 0)]
     left = left[np.lexsort((runs["digest"][left], runs["key"][left]))]
     some = runs[left]
     new_key = np.concatenate(([True], some["key"][1:] != some["key"][:-1])) if len(some) else np.zeros(0, dtype=bool)
     new = new_key | (np.concatenate(([True], some["digest"][1:] != some["digest"][:-1])) if len(some) else new_key)
     copies = np.diff(np.append(np.flatnonzero(new), len(some)))
-    whole = np.repeat(copies, copies) > 1
+    whole = np.repeat((copies > 1) | (np.maximum.reduceat(some["copied"], np.flatnonzero(new)) > 0 if len(some) else False), copies)
     of_key = np.cumsum(new_key) - 1
     kinds = np.bincount(of_key, weights=new, minlength=of_key[-1] + 1 if len(some) else 0)
     weight = np.bincount(of_key, weights=np.where(new, some["n"] + np.int64(length - 1), 0), minlength=len(kinds))
@@ -283,8 +305,9 @@ def _write_files(folder: str, length: int, gram: int, file_bytes: int):
             number = uuid.uuid4().int >> 65  # a positive long
             _put(folder, number, pa.array(docs, pa.int64()), pa.array(texts, pa.large_binary()))
             data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-            runs = list_runs(data, np.cumsum([len(t) for t in texts], dtype=np.int64), length, gram)
-            return _batch([(number, len(data), len(runs), runs.tobytes())], file=pa.int64(), n_bytes=pa.int64(), n_runs=pa.int64(), runs=pa.binary())
+            runs, spans = collapse_copies(list_runs(data, np.cumsum([len(t) for t in texts], dtype=np.int64), length, gram))
+            return _batch([(number, len(runs), runs.tobytes(), spans.tobytes())], file=pa.int64(), n_runs=pa.int64(), runs=pa.binary(),
+                          spans=pa.binary())
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -488,7 +511,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     prepare(spark)
     folder = scratch_dir(spark, "suffix-texts")
     rows = pick(docs, doc_id, text).toDF("doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    files = settle(rows.mapInArrow(_write_files(folder, length, gram, file_bytes), "file bigint, n_bytes bigint, n_runs bigint, runs binary"),
+    files = settle(rows.mapInArrow(_write_files(folder, length, gram, file_bytes), "file bigint, n_runs bigint, runs binary, spans binary"),
                    "suffix-runs")
     total, count = files.agg(F.coalesce(F.sum("n_runs"), F.lit(0)), F.count("*")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_RUNS))
@@ -505,6 +528,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                     "file bigint, spans binary, key bigint, range bigint, part bigint, windows binary"), "suffix-found")
     windows = found.filter("windows IS NOT NULL").select("key", "range", "part", "windows")
     merged = windows.repartition(parts, "key", "range").sortWithinPartitions("key", "range").mapInArrow(_merge, "file bigint, spans binary")
-    spans = files.select("file", F.lit(b"").alias("spans")).unionByName(matched.select("file", "spans")).unionByName(
+    spans = files.select("file", "spans").unionByName(matched.select("file", "spans")).unionByName(
         found.filter("spans IS NOT NULL").select("file", "spans")).unionByName(merged)
     return spans.repartition(by_file, "file").sortWithinPartitions("file").mapInArrow(_cut_texts(folder, length), RESULT)
