@@ -111,6 +111,7 @@ def list_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: in
         runs["key"], runs["start"], runs["n"] = keys[at], at + first, stop - at
         hashes.sort()
         runs["again"] = np.searchsorted(hashes, runs["key"], "right") - np.searchsorted(hashes, runs["key"], "left") > 1
+        runs["key"] *= _MIX[0]  # least values crowd at zero; their products spread over all ranges
         runs["digest"] = [hashlib.blake2b(view[a:b], digest_size=16).digest()
                           for a, b in zip((at + first).tolist(), (stop + first + length - 1).tolist())]
         held.append(runs)
