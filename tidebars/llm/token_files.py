@@ -14,6 +14,7 @@ runs again leaves the same files.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import struct
@@ -21,14 +22,17 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidebars.llm.frames import pick, prepare, settle
-from tidebars.llm.pieces import keys, part
+from tidebars.llm.pieces import part
 
 #: Ids in a file; a longer document has a file of its own.
 IDS_PER_FILE = 2_000_000
+#: Characters of texts that are encoded together.
+CHARS = 12_000_000
 #: Largest vocabulary whose counts a task holds.
 VOCABULARY_BOUND = 1 << 24
 
@@ -94,16 +98,41 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+class _Known:
+    """Ids of words, one behind the other, and the number of each word."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.ends, self.flat = np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
+
+    @property
+    def count(self) -> int:
+        return len(self.ends) - 1
+
+    def add(self, words: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+        self.numbers.update(zip(words, range(self.count, self.count + len(words))))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, one behind the other, and how many each has."""
+        starts, sizes = self.ends[numbers], self.ends[numbers + 1] - self.ends[numbers]
+        after = np.cumsum(sizes)
+        return self.flat[np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)], sizes
+
+
 class TextEncoder:
     """The tokenizers library, which sees each distinct part between spaces once while it is remembered.
 
-    Parts go to the library side by side, kept apart by a special token of the vocabulary: the library cuts texts there
-    before anything else. Texts that hold special tokens or unusual white space, and all texts if the file is not
-    byte-level BPE, go to the library whole. Two generations of ``limit`` parts are remembered.
+    Texts of plain white space (``pieces.keys``) are cut at spaces and line feeds, and the parts of many texts are numbered in
+    one pass, so that a part is looked up once for all of them. New parts go to the library as one text with spaces between
+    them, where a token that begins with a space begins a part; parts without a space before them are kept apart by a special
+    token, at which the library cuts a text before anything else. Texts that hold special tokens or unusual white space, and
+    all texts if the file is not byte-level BPE, go to the library whole. Two generations of ``limit`` parts are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 500_000, longest: int = 64, together: int = 64):
-        self.library, self.limit, self.longest, self.together = _tokenizer(path), limit, longest, together
+    def __init__(self, path: str, limit: int = 400_000, longest: int = 64, together: int = 64, chars: int = CHARS):
+        self.library, self.limit, self.longest, self.together, self.chars = _tokenizer(path), limit, longest, together, chars
         spec = json.loads(self.library.to_str())
         before = spec["pre_tokenizer"] or {}
         plain = before.get("type") == "ByteLevel" and not before["add_prefix_space"] and before["use_regex"]
@@ -111,38 +140,94 @@ class TextEncoder:
         plain &= not spec["normalizer"] and all(t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in added)
         self.special = [t["content"] for t in added]
         self.apart = added[0] if plain and added else None
-        self.known, self.old = {}, {}
+        names = self.library.get_vocab()
+        self.spaced = np.zeros(max(names.values(), default=0) + 1, dtype=bool)
+        self.spaced[[i for name, i in names.items() if name.startswith("\u0120")]] = True  # how byte-level files write a space
+        self.known, self.old = _Known(), _Known()
 
-    def _keys(self, text: str) -> list[str] | None:
-        if self.apart is None or any(s in text for s in self.special):
-            return None
-        return keys(text)
+    def _plain(self, text: str) -> bool:
+        """Whether ``pieces.keys`` can cut the text, and the library takes nothing in it for a special token."""
+        if self.apart is None or text[0] in " \n" or text[-1] in " \n" or not text.replace("\n", "").isprintable():
+            return False
+        return not any(s in text for s in ("  ", " \n", "\n ", "\n\n", *self.special))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parts(self, parts: list[str]) -> list[bytes]:
-        mark, out = struct.pack("<I", self.apart["id"]), []
-        for ids in self._whole([self.apart["content"].join(parts[i : i + self.together]) for i in range(0, len(parts), self.together)]):
-            values = np.frombuffer(ids, dtype="<u4")
-            cuts = [-4, *(4 * np.flatnonzero(values == self.apart["id"])).tolist(), len(ids)]
-            out += [ids[a + len(mark) : b] for a, b in zip(cuts, cuts[1:])]
-        return out
+    def _cut(self, parts: list[str], glue: str, first) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts and how many each has. ``first``: where a part begins among the ids."""
+        texts = [glue.join(parts[i : i + self.together]) for i in range(0, len(parts), self.together)]
+        ids = np.frombuffer(b"".join(self._whole(texts)), dtype="<u4")
+        at = np.flatnonzero(first(ids))
+        return ids, np.diff(np.append(at, len(ids)))
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, one behind the other, and how many each has."""
+        plain = [w[0] != "\n" for w in words]
+        ids, sizes = self._cut([part(w) for w, p in zip(words, plain) if p], "", lambda ids: self.spaced[ids])
+        if all(plain):
+            return ids, sizes
+        mark, glue = self.apart["id"], self.apart["content"]
+        odd, odd_sizes = self._cut([glue + part(w) for w, p in zip(words, plain) if not p], "", lambda ids: ids == mark)
+        both = _Known()
+        both.add([], sizes, ids)
+        both.add([], odd_sizes - 1, odd[odd != mark])
+        order = np.empty(len(words), dtype=np.int64)
+        order[np.flatnonzero(plain)] = np.arange(len(sizes))
+        order[np.flatnonzero(~np.array(plain))] = np.arange(len(sizes), len(words))
+        return both.gather(order)
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        numbers = np.fromiter(map(self.known.numbers.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        at = np.flatnonzero(numbers < 0)
+        fresh = [words[i] for i in at.tolist()]
+        before = np.fromiter(map(self.old.numbers.get, fresh, itertools.repeat(-1)), dtype=np.int64, count=len(fresh))
+        for some, ids_of in ((before >= 0, lambda w: self.old.gather(before[before >= 0])), (before < 0, self._learn)):
+            if some.any():
+                own = [fresh[i] for i in np.flatnonzero(some).tolist()]
+                ids, sizes = ids_of(own)
+                numbers[at[some]] = self.known.count + np.arange(len(own))
+                self.known.add(own, sizes, ids)
+        return numbers
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        # the words of pieces.keys, by one replacement and one cut of all texts
+        cut = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n \n") for t in texts], pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        numbers = self._numbers(words)[coded.indices.to_numpy()]
+        flat, sizes = self.known.gather(numbers)
+        after = np.concatenate(([0], np.cumsum(sizes)))[cut.offsets.to_numpy()]
+        for i in np.flatnonzero(pc.utf8_length(coded.dictionary).to_numpy() > self.longest).tolist():
+            del self.known.numbers[words[i]]
+        if len(self.known.numbers) > self.limit:
+            self.known, self.old = _Known(), self.known
+        return np.split(flat, after[1:-1])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        found = [self._keys(t) if t else [] for t in texts]
-        fresh = list(set().union(*(f for f in found if f)).difference(self.known))
-        new = [k for k in fresh if k not in self.old]
-        self.known.update((k, self.old[k]) for k in fresh if k in self.old)
-        self.known.update(zip(new, self._parts([part(k) for k in new])))
-        whole = iter(self._whole([t for t, f in zip(texts, found) if f is None]))
-        out = [next(whole) if f is None else b"".join(map(self.known.__getitem__, f)) for f in found]
-        for key in new:
-            if len(key) > self.longest:
-                del self.known[key]
-        if len(self.known) > self.limit:
-            self.known, self.old = {}, self.known
+        out, plain, held = [b""] * len(texts), [], 0
+        odd = []
+
+        def flush():
+            for i, ids in zip(plain, self._encode_plain([texts[i] for i in plain])):
+                out[i] = ids.tobytes()
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not self._plain(text):
+                odd.append(i)
+                continue
+            if plain and held + len(text) > self.chars:
+                flush()
+                plain, held = [], 0
+            plain.append(i)
+            held += len(text)
+        if plain:
+            flush()
+        for i, ids in zip(odd, self._whole([texts[i] for i in odd])):
+            out[i] = ids
         return out
 
 
@@ -152,6 +237,21 @@ def _encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
+def _together(batches):
+    """Ids and texts of many rows at a time."""
+    docs, texts, held = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            docs.append(doc)
+            texts.append(text.as_py())
+            held += len(texts[-1] or "")
+            if held >= CHARS:
+                yield docs, texts
+                docs, texts, held = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def _blocks(path: str, end_id: int | None, per_file: int, wide: str):
     tail = b"" if end_id is None else struct.pack("<I", end_id)
 
@@ -169,17 +269,15 @@ def _blocks(path: str, end_id: int | None, per_file: int, wide: str):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)],
                                               names=["part", "before", "n_ids", "docs", "nulls", "sizes", "ids"])
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                for doc, own in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist())):
-                    own += tail
-                    if ids and held + len(own) // 4 > per_file:
-                        yield block()
-                        docs, ids, held, before = [], [], 0, before + held
-                    docs.append(doc)
-                    ids.append(own)
-                    held += len(own) // 4
+        for rows in _together(batches):
+            for doc, own in zip(rows[0], encode(rows[1])):
+                own += tail
+                if ids and held + len(own) // 4 > per_file:
+                    yield block()
+                    docs, ids, held, before = [], [], 0, before + held
+                docs.append(doc)
+                ids.append(own)
+                held += len(own) // 4
         if docs:
             yield block()
 
