@@ -51,20 +51,27 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     values = np.ascontiguousarray(values, dtype="<u4")
     code = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     quads = np.concatenate((code, np.zeros(-len(code) % 4, dtype=np.uint8))).reshape(-1, 4)
-    control = quads @ np.array([1, 4, 16, 64], dtype=np.uint8)
-    return control.astype(np.uint8).tobytes(), values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
+    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    ends = np.cumsum(code + 1, dtype=np.int64)
+    starts, parts = ends - (code + 1), values.view(np.uint8).reshape(-1, 4)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
+    data[starts] = parts[:, 0]
+    for k in (1, 2, 3):
+        at = np.flatnonzero(code >= k)
+        data[starts[at] + k] = parts[at, k]
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The values of ``pack``."""
     quads = np.frombuffer(control, dtype=np.uint8)
     raw = np.concatenate((np.frombuffer(data, dtype=np.uint8), np.zeros(3, dtype=np.uint8)))
+    four = np.ndarray((max(0, len(raw) - 3),), dtype="<u4", buffer=raw, strides=(1,))  # the four bytes from each place on
     out, at = np.empty(count, dtype="<u4"), 0
     for first in range(0, count, _STRIDE):
         sizes = _SIZES[quads[first // 4 : (first + _STRIDE) // 4]].ravel()[: count - first]
         ends = at + np.cumsum(sizes, dtype=np.int64)
-        four = raw[(ends - sizes)[:, None] + np.arange(4)]
-        out[first : first + len(sizes)] = four.view("<u4").ravel() & _MASKS[sizes]
+        out[first : first + len(sizes)] = four[ends - sizes] & _MASKS[sizes]
         at = int(ends[-1])
     return out
 
