@@ -10,7 +10,7 @@ from tidebars.plans import jobs, views
 from tidebars.schema import MA_COLS
 from tidebars.session import scratch_dir
 from tidebars.sources import landing as landed
-from tidebars.sources.tables import CommitError, TableStore
+from tidebars.sources.tables import CommitError, TableStore, latest_times
 from tidebars.streaming.ingest import stream_increment
 
 DAY = dt.datetime(2020, 1, 1)
@@ -254,6 +254,7 @@ def test_a_stored_key_is_not_published_twice(spark, store):
 def test_cells_do_not_gather_folders_for_ever(spark, store):
     for day in range(12):
         store.commit(appends={"raw_bars": bars(spark, {"A": [day]}, first=DAY + dt.timedelta(days=day))})
+    jobs.compact(store)
     assert store.read("raw_bars").count() == 12
     assert max(len(p) for p in store.manifest()["tables"]["raw_bars"].values()) <= 8
 
@@ -354,3 +355,146 @@ def test_price_view_and_stored_view(spark, store):
     _, filled = views.stored_averages_view(store, "A")
     assert filled.count() == 0
     assert "disp_ema_21" in views.live_averages_view(store, "A").columns
+
+
+def listed(spark, *symbols):
+    return spark.createDataFrame([(x,) for x in symbols], "symbol string")
+
+
+def cells_changed(before, after):
+    return {c for c in after if after[c] != before.get(c)}
+
+
+def test_a_listed_refresh_opens_nothing_when_there_is_nothing_to_do_and_its_buckets_alone_otherwise(spark, store, monkeypatch):
+    names = [f"S{i}" for i in range(30)]
+    jobs.insert_bars(store, bars(spark, {s: range(1, 260) for s in names}))
+    universe = listed(spark, *names)
+    assert jobs.refresh_averages(store, universe).commit is not None
+    opened = []
+    part_rows = TableStore.part_rows
+    monkeypatch.setattr(TableStore, "part_rows", lambda self, table, parts: opened.extend(
+        (table, c, p) for c in parts for p in parts[c]) or part_rows(self, table, parts))
+    assert jobs.refresh_averages(store, universe).commit is None
+    assert {t for t, _, _ in opened} <= {"symbol_marks", "average_tails"}
+    old = store.manifest()["tables"]
+    jobs.insert_bars(store, bars(spark, {s: [7] for s in names}, first=dt.datetime(2021, 1, 1)))
+    before = store.manifest()["tables"]["bars"]
+    opened.clear()
+    jobs.refresh_averages(store, listed(spark, "S3"))
+    own = {c.split("/")[1] for t, c, _ in opened}
+    assert len(own) == 1
+    # neither the folders of the earlier years nor those of other buckets were looked into
+    assert not {p for t, c, p in opened if t in ("raw_bars", "bars")} & {p for t in ("raw_bars", "bars") for ps in old[t].values() for p in ps}
+    assert cells_changed(before, store.manifest()["tables"]["bars"]) == {f"2021/{own.pop()}"}
+    got = {r.symbol: r.sma_5 for r in store.wide(start="2021-01-01").collect()}
+    assert got.pop("S3") == pytest.approx((256 + 257 + 258 + 259 + 7) / 5) and set(got.values()) == {None}
+    jobs.refresh_averages(store, universe)
+    assert [r.sma_5 for r in store.wide(start="2021-01-01").collect()] == [pytest.approx(207.4)] * len(names)
+
+
+def test_tails_equal_those_of_whole_histories(spark):
+    stores = [TableStore(spark, scratch_dir(spark, "case")).initialize(buckets=2) for _ in "ab"]
+    closes = {"A": range(1, 500), "B": [5.0] * 40, "C": [float("nan"), 3, float("inf")]}
+    days = [{"A": [9], "C": [4]}, {"A": [8], "B": [7], "D": [1]}, {"A": [float("nan")], "B": [6]}, {"A": [2], "D": [3]}]
+    for t in stores:
+        jobs.insert_bars(t, bars(spark, closes))
+    jobs.refresh_averages(stores[0])
+    for i, day in enumerate(days):
+        for t in stores:
+            jobs.insert_bars(t, bars(spark, day, first=dt.datetime(2022, 1, 1 + i)))
+        jobs.refresh_averages(stores[0])
+    late = bars(spark, {"B": [100]}, first=dt.datetime(2020, 1, 10, 12))
+    for t in stores:
+        jobs.insert_bars(t, late)
+    jobs.refresh_averages(stores[0])
+    jobs.refresh_averages(stores[1], rebuild=True)
+    smooth = {c: F.round(c, 6) for c in MA_COLS if c.startswith("ema")}
+    assert contents(stores[0].wide().withColumns(smooth)) == contents(stores[1].wide().withColumns(smooth))
+    tails = [contents(t.read("average_tails").select("symbol", "until", "closes")) for t in stores]
+    assert tails[0] == tails[1] and len(tails[0]) == 4
+    assert jobs.refresh_averages(stores[0]).commit is None
+    assert stores[0].read("symbol_marks").filter("since IS NOT NULL").count() == 0
+
+
+def test_averages_of_bars_that_came_before_their_raw_bars(spark, store):
+    both = bars(spark, {"A": [1, 2, 3]})
+    store.commit(appends={"bars": both})
+    assert jobs.refresh_averages(store).commit is None
+    store.commit(appends={"raw_bars": both})
+    jobs.refresh_averages(store)
+    assert sorted(r.sma_5 for r in store.wide().collect()) == [1.0, 1.5, 2.0]
+
+
+def test_a_state_run_rewrites_no_average(spark, sf_dir, store):
+    smooth = fx.smooth_bars(spark, sf_dir)
+    jobs.insert_bars(store, smooth)
+    jobs.refresh_averages(store)
+    before, wide = store.manifest()["tables"], contents(store.wide().drop("market_state"))
+    jobs.transform_states(store, None, "2001-08-01")
+    after = store.manifest()["tables"]
+    assert after["bars"] == before["bars"] and after["bar_states"]
+    assert contents(store.wide().drop("market_state")) == wide
+    assert store.wide().filter("market_state IS NOT NULL").count() > 0
+    states = contents(store.read("bars").select("symbol", "timestamp", "market_state"))
+    jobs.refresh_averages(store, rebuild=True)
+    assert contents(store.read("bars").select("symbol", "timestamp", "market_state")) == states
+
+
+def test_states_that_come_with_bars_are_stored(spark, store):
+    states = bars(spark, {"A": [1, 2]}).withColumn("market_state", F.when(F.col("close") > 1, "Strong Up"))
+    store.commit(appends={"bars": states})
+    assert {r.close: r.market_state for r in store.read("bars").collect()} == {1.0: None, 2.0: "Strong Up"}
+
+
+def test_a_plan_reads_no_stored_bars(spark, store, landing, monkeypatch):
+    universe = landed.read_universe(spark, f"{landing}/tickers.txt")
+    jobs.historical_backfill(store, landing, universe, "2024-01-31", default_start="2024-01-01")
+    seen = []
+    plan = landed.fetch_plan
+    monkeypatch.setattr(jobs.landed, "fetch_plan", lambda u, latest, *a: seen.extend(latest.inputFiles()) or plan(u, latest, *a))
+    jobs.daily_increment(store, landing, universe, "2024-02-01T23:50:00")
+    assert any("/symbol_marks/" in f for f in seen) and all("/symbol_marks/" in f or f.endswith("tickers.txt") for f in seen)
+    kept = {r.symbol: r.latest for r in store.marks(universe).collect()}
+    assert kept == {r.symbol: r.latest for r in latest_times(store.read("raw_bars")).collect()}
+
+
+def test_only_the_files_of_listed_tickers_are_opened(spark, folder):
+    for i in range(50):
+        write_csv(folder, "primary", f"t{i}.us", [line("2024-01-02", i)])
+        write_csv(folder, "secondary", f"t{i}", [line("2024-01-02", i, adjusted=True)], adjusted=True)
+    write_csv(folder, "primary", "a[b]{c}.us", [line("2024-01-02", 1)])
+    wanted = landed.candidates(listed(spark, "T7", "A[B]{C}"))
+    files = landed.scan_sources(spark, folder, wanted).inputFiles()
+    assert {os.path.basename(f) for f in files} == {"t7.us.csv", "t7.csv", "a%5Bb%5D%7Bc%7D.us.csv"} or len(files) == 3
+    assert landed.scan_sources(spark, folder, wanted).filter("cells[0] = '2024-01-02'").count() == 3
+    assert landed.scan_sources(spark, folder, landed.candidates(listed(spark, "NONE"))).count() == 0
+
+
+def test_compaction_keeps_rows_and_settled_folders(spark, store):
+    names = [f"S{i}" for i in range(6)]
+    for day in range(10):
+        jobs.insert_bars(store, bars(spark, {s: [day] for s in names}, first=DAY + dt.timedelta(days=day)))
+        jobs.refresh_averages(store)
+    wide, most = contents(store.wide()), lambda: max(len(p) for t in ("raw_bars", "bars") for p in store.manifest()["tables"][t].values())
+    assert most() > 8
+    jobs.compact(store)
+    assert most() <= 8 and contents(store.wide()) == wide
+    held = {p for t in ("raw_bars", "bars") for ps in store.manifest()["tables"][t].values() for p in ps}
+    assert set(store.manifest()["settled"]) == held
+    assert jobs.refresh_averages(store).commit is None and jobs.compact(store) is None
+
+
+def test_buckets_can_grow(spark):
+    store = TableStore(spark, scratch_dir(spark, "case")).initialize(buckets=2)
+    names = [f"S{i}" for i in range(20)]
+    jobs.insert_bars(store, bars(spark, {s: range(1, 400) for s in names}))
+    jobs.refresh_averages(store)
+    jobs.transform_states(store, None, "2020-12-31")
+    wide = contents(store.wide())
+    jobs.rebucket(store, 64)
+    assert contents(store.wide()) == wide and store.manifest()["buckets"] == 64
+    assert len({c.split("/")[1] for c in store.manifest()["tables"]["bars"]}) > 2
+    assert jobs.refresh_averages(store).commit is None
+    jobs.insert_bars(store, bars(spark, {"S1": [3]}, first=dt.datetime(2021, 6, 1)))
+    jobs.refresh_averages(store, listed(spark, "S1"))
+    assert store.wide("S1", start="2021-06-01").first().sma_5 == pytest.approx((396 + 397 + 398 + 399 + 3) / 5)

@@ -240,3 +240,55 @@ def stream_in_parts(spark, sf_dir):
         stream_increment(store, folder, universe, "2001-12-31T23:50:00", check).awaitTermination()
     bars.unpersist()
     return store.read("bars").select("symbol", "timestamp", "close")
+
+
+@query("d04_append_day_listed", averages_sql(), uses="cent_bars")
+def append_days_listed(spark, sf_dir):
+    """As d04_append_day, for lists: a day's refresh of some symbols, then of the others, and one that finds nothing to do."""
+    store, bars = new_store(spark), fx.cent_bars(spark, sf_dir)
+    last = [r[0] for r in bars.select("timestamp").distinct().orderBy(F.desc("timestamp")).limit(2).collect()][::-1]
+    store.commit(appends={t: bars.filter(F.col("timestamp") < last[0]) for t in ("raw_bars", "bars")})
+    symbols, some = _universe(spark, sf_dir), F.col("symbol").isin("BUILDING", "MACHINERY")
+    jobs.refresh_averages(store, symbols)
+    for day in last:
+        jobs.insert_bars(store, bars.filter(F.col("timestamp") == day))
+        for listed in (symbols.filter(some), symbols.filter(~some)):
+            jobs.refresh_averages(store, listed)
+    if jobs.refresh_averages(store, symbols).commit is not None:
+        raise AssertionError("a refresh without new bars wrote something")
+    return whole_ema(store.wide().drop("market_state"))
+
+
+@query("d04_after_upkeep", averages_sql(), uses="cent_bars")
+def refresh_after_upkeep(spark, sf_dir):
+    """Days come in one by one, with the folders put together and the buckets dealt anew between them."""
+    store, bars = new_store(spark), fx.cent_bars(spark, sf_dir)
+    last = [r[0] for r in bars.select("timestamp").distinct().orderBy(F.desc("timestamp")).limit(3).collect()][::-1]
+    store.commit(appends={t: bars.filter(F.col("timestamp") < last[0]) for t in ("raw_bars", "bars")})
+    jobs.refresh_averages(store)
+    for day, upkeep in zip(last, (lambda: jobs.compact(store, most_parts=1), lambda: jobs.rebucket(store, 40), lambda: None)):
+        jobs.insert_bars(store, bars.filter(F.col("timestamp") == day))
+        jobs.refresh_averages(store)
+        upkeep()
+    return whole_ema(store.wide().drop("market_state"))
+
+
+@query("d03_states_after_upkeep", _YEAR_STATES, uses="smooth_bars")
+def states_after_upkeep(spark, sf_dir):
+    """States stored in two runs, then dealt to other buckets."""
+    store, _ = _transformed(spark, sf_dir)
+    jobs.transform_states(store, _universe(spark, sf_dir), "2001-06-01")
+    jobs.rebucket(store, 3)
+    return store.read("bars").select("symbol", "timestamp", "close", "market_state")
+
+
+@query("a01_kept_latest", """SELECT symbol, max("timestamp") AS latest, count(*) AS n, min("timestamp") FILTER ("timestamp" >= TIMESTAMP '1998-01-01') AS since
+FROM cent_bars GROUP BY symbol""", uses="cent_bars")
+def kept_latest(spark, sf_dir):
+    """The marks of every symbol: commits in two parts, the first with its averages."""
+    store, bars = new_store(spark), fx.cent_bars(spark, sf_dir)
+    early = F.col("timestamp") < "1998-01-01"
+    store.commit(appends={t: bars.filter(early) for t in ("raw_bars", "bars")})
+    jobs.refresh_averages(store)
+    jobs.insert_bars(store, bars)
+    return store.marks(_universe(spark, sf_dir))

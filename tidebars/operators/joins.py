@@ -47,6 +47,12 @@ def apply_states(bars: DataFrame, states: DataFrame) -> DataFrame:
     return joined.withColumn("market_state", F.coalesce("new_state", "market_state")).select(*bars.columns)
 
 
+def upsert_states(stored: DataFrame, states: DataFrame) -> DataFrame:
+    """Stored states, those of bars with a non-null ``new_state`` set anew, and the states of bars that had none."""
+    known = states.filter(F.col("new_state").isNotNull()).select(*KEY, "new_state")
+    return stored.join(known, KEY, "full_outer").select(*KEY, F.coalesce("new_state", "market_state").alias("market_state"))
+
+
 def restrict(df: DataFrame, universe: DataFrame | None) -> DataFrame:
     """Rows of the listed symbols."""
     return df if universe is None else matching(df, universe, "symbol")

@@ -40,13 +40,10 @@ RAW_BARS_SCHEMA = T.StructType(
     ]
 )
 
-BARS_SCHEMA = T.StructType(
-    [
-        *RAW_BARS_SCHEMA.fields,
-        T.StructField("market_state", T.StringType()),
-        *[T.StructField(c, T.DoubleType()) for c in MA_COLS],
-    ]
-)
+#: States lie in a table of their own, so that a state run rewrites no average; ``TableStore.read`` puts them beside the bars.
+BARS_SCHEMA = T.StructType([*RAW_BARS_SCHEMA.fields, *[T.StructField(c, T.DoubleType()) for c in MA_COLS]])
+
+STATES_SCHEMA = T.StructType([*RAW_BARS_SCHEMA.fields[:2], T.StructField("market_state", T.StringType())])
 
 TRANSITIONS_SCHEMA = T.StructType(
     [
@@ -57,14 +54,33 @@ TRANSITIONS_SCHEMA = T.StructType(
     ]
 )
 
-# Cells whose bars had all averages when their raw bars lay in the folders named.
-AVERAGED_SCHEMA = T.StructType(
-    [T.StructField("cell", T.StringType()), T.StructField("raw_parts", T.ArrayType(T.StringType()))]
+# A row for each symbol, kept up to date by every commit of raw bars: its latest bar, its number of bars, and the first bar
+# since averages were last brought up to date (null: there is none).
+MARKS_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("latest", T.TimestampNTZType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("since", T.TimestampNTZType()),
+    ]
+)
+
+# What the averages of a symbol go on from: its last averaged bar, the closes up to it that a frame may reach, the
+# exponential averages at it.
+TAILS_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("until", T.TimestampNTZType()),
+        T.StructField("closes", T.ArrayType(T.DoubleType())),
+        *[T.StructField(f"ema_{p}", T.DoubleType()) for p in STANDARD_PERIODS],
+    ]
 )
 
 TABLE_SCHEMAS = {
     "raw_bars": RAW_BARS_SCHEMA,
     "bars": BARS_SCHEMA,
+    "bar_states": STATES_SCHEMA,
     "transition_probs": TRANSITIONS_SCHEMA,
-    "averaged_cells": AVERAGED_SCHEMA,
+    "symbol_marks": MARKS_SCHEMA,
+    "average_tails": TAILS_SCHEMA,
 }

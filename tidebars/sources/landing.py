@@ -48,10 +48,31 @@ def file_lines(raw: DataFrame, rank: int) -> DataFrame:
                       F.col("_metadata.file_block_start").alias("block"), F.lit(rank).alias("source_rank"))
 
 
-def scan_lines(spark: SparkSession, path: str, rank: int) -> DataFrame:
-    """Lines of one source; no folder, no lines."""
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, stem) of the files of one source, from their listing alone; no folder, no files."""
     try:
-        raw = spark.read.schema(FILE_SCHEMA).options(**CSV_OPTIONS).csv(path)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, stem string")
+    return files.select("path", _stem(F.col("_metadata.file_path")).alias("stem"))
+
+
+def scan_lines(spark: SparkSession, path: str, rank: int, wanted: DataFrame | None = None) -> DataFrame:
+    """Lines of one source; no folder, no lines. ``wanted`` (stem, source_rank): only the files of these stems are opened.
+
+    The driver holds the paths that are read, as Spark itself does.
+    """
+    paths: str | list[str] = path
+    if wanted is not None:
+        stems = wanted.filter(F.col("source_rank") == rank).select("stem").distinct()
+        found = landed_files(spark, path).join(stems, "stem", "left_semi").select(F.regexp_replace("path", r"([\[\]{}*?\\])", r"\\$1"))
+        paths = [r[0] for r in found.collect()]
+        if not paths:
+            return spark.createDataFrame([], LINES)
+    try:
+        raw = spark.read.schema(FILE_SCHEMA).options(**CSV_OPTIONS).csv(paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -64,10 +85,11 @@ def number_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.monotonically_increasing_id())
 
 
-def scan_sources(spark: SparkSession, landing: str) -> DataFrame:
-    """Numbered lines of both landed sources; source names follow the folder names."""
-    primary = scan_lines(spark, f"{landing}/primary", PRIMARY)
-    return number_lines(primary.unionByName(scan_lines(spark, f"{landing}/secondary", SECONDARY)))
+def scan_sources(spark: SparkSession, landing: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Numbered lines of both landed sources, of the ``wanted`` (stem, source_rank) alone if given; source names follow the
+    folder names."""
+    primary = scan_lines(spark, f"{landing}/primary", PRIMARY, wanted)
+    return number_lines(primary.unionByName(scan_lines(spark, f"{landing}/secondary", SECONDARY, wanted)))
 
 
 def _heads(lines: DataFrame) -> DataFrame:

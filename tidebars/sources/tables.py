@@ -2,10 +2,15 @@
 
 Bars lie in cells of a year and a bucket of symbols, in folders below a folder per version. A manifest
 lists, for every table and cell, the folders that make up the current state. An insert adds a folder to
-the cells it touches, and merges a cell that has too many; an update writes the touched cells anew, and
-neither changes a file that a reader may be using. One symbol is read from its bucket alone. Publishing
-a manifest is one rename that fails if the version exists, so all tables of a commit appear together or
-not at all, a job that dies leaves only unlisted folders, and of two writers the later one fails.
+the cells it touches (``plans.jobs.compact`` puts folders together); an update writes the touched folders
+anew, and neither changes a file that a reader may be using. One symbol is read from its bucket alone.
+Publishing a manifest is one rename that fails if the version exists, so all tables of a commit appear
+together or not at all, a job that dies leaves only unlisted folders, and of two writers the later one fails.
+
+Tables with a row per symbol have a cell per bucket. One of them, ``symbol_marks``, is brought up to date by
+the same commit that adds raw bars, so the latest bar of a symbol and whether it has bars without averages
+are known without a look at the bars. The manifest also says which folders of bars are settled: every bar with a
+usable close in them has its averages.
 """
 
 from __future__ import annotations
@@ -13,20 +18,23 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidebars.functions.times import as_time, time_literal
+from tidebars.operators.joins import restrict
 from tidebars.operators.quality import duplicate_sample
 from tidebars.schema import BAR_COLS, KEY, MA_COLS, TABLE_SCHEMAS
 
 WHOLE = "all"
-WHOLE_TABLES = ("transition_probs", "averaged_cells")
+WHOLE_TABLES = ("transition_probs",)
+SYMBOL_TABLES = ("symbol_marks", "average_tails")
+BAR_TABLES = ("raw_bars", "bars", "bar_states")
+NO_YEAR = 0  # of the cells of a symbol table
 
-BUCKETS = 16  # of symbols; a store keeps the number it was made with
-MOST_PARTS = 8  # folders of a cell before an insert merges them
+BUCKETS = 16  # of symbols; ``plans.jobs.rebucket`` changes the number
 
 # Averages hardly ever repeat, so building dictionaries for them is wasted work.
 WRITE_OPTIONS = {"compression": "zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in MA_COLS}}
@@ -60,6 +68,19 @@ def latest_times(raw_bars: DataFrame) -> DataFrame:
     return raw_bars.groupBy("symbol").agg(F.max("timestamp").alias("latest"))
 
 
+def usable(close: Column) -> Column:
+    """Whether averages count a bar with this close."""
+    return F.coalesce((F.abs(close) < float("inf")) & ~F.isnan(close), F.lit(False))
+
+
+def _with_states(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The frames to write, with the states of bars in a frame of their own."""
+    bars = frames.get("bars")
+    if bars is None or "market_state" not in bars.columns:
+        return frames
+    return frames | {"bar_states": bars.filter(F.col("market_state").isNotNull()).select(*KEY, "market_state")}
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -67,7 +88,7 @@ class Commit:
 
 
 class TableStore:
-    """The tables ``raw_bars``, ``bars``, ``transition_probs`` and ``averaged_cells`` below one root folder."""
+    """The tables of ``schema.TABLE_SCHEMAS`` below one root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -80,7 +101,7 @@ class TableStore:
     def initialize(self, buckets: int = BUCKETS) -> "TableStore":
         """Create the tables, empty, unless they exist. Take more ``buckets`` the more symbols there are."""
         if self.manifest()["version"] < 0:
-            self._publish(0, {name: {} for name in TABLE_SCHEMAS}, buckets)
+            self._publish(0, {name: {} for name in TABLE_SCHEMAS}, buckets, [])
         return self
 
     def manifest(self) -> dict:
@@ -88,19 +109,21 @@ class TableStore:
         names = [s.getPath().getName() for s in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
         versions = sorted(n for n in names if n.endswith(".json") and not n.startswith((".", "_")))
         if not versions:
-            return {"version": -1, "buckets": BUCKETS, "tables": {name: {} for name in TABLE_SCHEMAS}}
+            return {"version": -1, "buckets": BUCKETS, "tables": {name: {} for name in TABLE_SCHEMAS}, "settled": []}
         stream = self._fs.open(self._path(f"{self.root}/_manifests/{versions[-1]}"))
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _publish(self, version: int, tables: dict, buckets: int) -> None:
+    def _publish(self, version: int, tables: dict, buckets: int, settled: Iterable[str]) -> None:
         jvm = self.spark._jvm
         final = self._path(f"{self.root}/_manifests/{version:010d}.json")
         draft = self._path(f"{self.root}/_manifests/_draft-{version:010d}-{id(self)}-{dt.datetime.now().timestamp()}")
         out = self._fs.create(draft, True)
-        out.write(bytearray(json.dumps({"version": version, "buckets": buckets, "tables": tables}, indent=1).encode()))
+        held = {p for cells in tables.values() for parts in cells.values() for p in parts}
+        content = {"version": version, "buckets": buckets, "tables": tables, "settled": sorted(held.intersection(settled))}
+        out.write(bytearray(json.dumps(content, indent=1).encode()))
         out.close()
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             final.toUri(), self.spark._jsc.hadoopConfiguration()
@@ -128,7 +151,9 @@ class TableStore:
         """
         return self._rows(self.manifest(), table, symbol, start, end)
 
-    def _rows(self, manifest: dict, table: str, symbol=None, start=None, end=None, buckets: set[int] | None = None) -> DataFrame:
+    def _rows(self, manifest: dict, table: str, symbol=None, start=None, end=None, buckets: set[int] | None = None,
+              states: bool = True) -> DataFrame:
+        """``read`` at a manifest; bars without their states if these are not asked for."""
         lo, hi = as_time(start), as_time(end)
         if symbol is not None:
             place = self.spark.range(1).select(self.bucket(F.lit(symbol), manifest)).first()[0]
@@ -138,59 +163,121 @@ class TableStore:
             if cell == WHOLE:
                 return True
             year, bucket = cell_place(cell)
-            return (lo is None or year >= lo.year) and (hi is None or year <= hi.year) and (buckets is None or bucket in buckets)
-
-        df = self.cell_rows(manifest, table, filter(wanted, manifest["tables"][table]))
-        return in_range(df if symbol is None else one_symbol(df, symbol), start, end)
+            timed = year == NO_YEAR or (lo is None or year >= lo.year) and (hi is None or year <= hi.year)
+            return timed and (buckets is None or bucket in buckets)
+
+        def rows(name: str) -> DataFrame:
+            df = self.cell_rows(manifest, name, filter(wanted, manifest["tables"].get(name, {})))
+            return in_range(df if symbol is None else one_symbol(df, symbol), start, end)
+
+        df = rows(table)
+        if table != "bars":
+            return df
+        if states and any(map(wanted, manifest["tables"].get("bar_states", {}))):
+            df = df.join(rows("bar_states"), KEY, "left")
+        else:
+            df = df.withColumn("market_state", F.lit(None).cast("string"))
+        return df.select(*BAR_COLS, "market_state", *MA_COLS)
 
     def cell_rows(self, manifest: dict, table: str, cells: Iterable[str]) -> DataFrame:
-        """The rows of some cells of a table; cells that it lacks have none."""
-        parts = manifest["tables"][table]
-        paths = [f"{self.root}/{p}" for cell in sorted(cells) for p in parts.get(cell, [])]
+        """The stored rows of some cells of a table; cells that it lacks have none."""
+        parts = manifest["tables"].get(table, {})
+        return self.part_rows(table, {cell: parts.get(cell, []) for cell in cells})
+
+    def part_rows(self, table: str, parts: dict[str, list[str]]) -> DataFrame:
+        """The stored rows of some folders of some cells."""
+        paths = [f"{self.root}/{p}" for cell in sorted(parts) for p in parts[cell]]
         schema = TABLE_SCHEMAS[table]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def marks(self, universe: DataFrame | None = None, manifest: dict | None = None) -> DataFrame:
+        """``symbol_marks`` of the listed symbols, read from their buckets."""
+        manifest = manifest or self.manifest()
+        buckets = None if universe is None else self.buckets_of(universe, manifest)
+        return restrict(self._rows(manifest, "symbol_marks", buckets=buckets), universe)
+
     def wide(self, symbol: str | None = None, start=None, end=None) -> DataFrame:
         """Bars with state and all stored averages."""
         return self.read("bars", symbol, start, end).select(*BAR_COLS, "market_state", *MA_COLS)
 
     # -- writing ----------------------------------------------------------------------------
 
-    def commit(self, appends: dict[str, DataFrame] | None = None,
-               replaces: dict[str, DataFrame] | None = None, base: dict | None = None) -> Commit:
+    def commit(self, appends: dict[str, DataFrame] | None = None, replaces: dict[str, DataFrame] | None = None,
+               base: dict | None = None, parts: dict[str, dict[str, list[str]]] | None = None,
+               then: Callable[[dict[str, DataFrame], dict], tuple[dict[str, DataFrame], set[str]]] | None = None,
+               ranged: bool = False) -> Commit:
         """Write new folders for every table given and publish them together.
 
-        ``appends`` adds rows with new keys. ``replaces`` holds the complete new rows of every cell it
-        touches. A key that would then be there twice refuses the commit. ``base`` is the manifest the
-        caller computed from; publishing fails if it is no longer current.
+        ``appends`` adds rows with new keys. ``replaces`` holds the complete new rows of every cell it touches, or of the
+        folders that ``parts`` names for its cells. A key that would then be there twice refuses the commit. ``base`` is the
+        manifest the caller computed from; publishing fails if it is no longer current. ``then`` makes further replaced tables
+        from the rows just written, by table, and the folders by table and cell; and names folders that are now settled. ``ranged`` lays replaced rows out by ranges of
+        (symbol, time), so that the files and row groups of a large cell hold few symbols each.
+
+        States that come with bars go to their own table; a state is set or changed, never taken away.
         """
         base = base or self.manifest()
         version = base["version"] + 1
         state = {"buckets": base["buckets"], "tables": {n: {c: list(p) for c, p in parts.items()} for n, parts in base["tables"].items()}}
-        tables, rows = state["tables"], {}
-        for name, df in (appends or {}).items():
+        tables, rows, fresh = state["tables"], {}, {}
+        for name, df in _with_states(appends or {}).items():
             written, rows[name] = self._stage(name, df, version, state)
+            fresh[name] = self._staged(name, written)
             if rows[name]:
-                fresh = self._staged(name, written)
-                self._refuse_copies(name, fresh)
+                self._refuse_copies(name, fresh[name])
                 stored = self.cell_rows(state, name, written).select(*KEY)
-                self._refuse_copies(name, fresh.select(*KEY).join(stored, KEY, "left_semi"), most=0)
+                self._refuse_copies(name, fresh[name].select(*KEY).join(stored, KEY, "left_semi"), most=0)
             for cell, path in written.items():
                 tables.setdefault(name, {}).setdefault(cell, []).append(path)
-            full = [c for c in written if len(tables[name][c]) > MOST_PARTS]
-            if full:
-                merged, _ = self._stage(name, self.cell_rows(state, name, full), version, state)
-                tables[name].update({c: [p] for c, p in merged.items()})
-        for name, df in (replaces or {}).items():
-            written, rows[name] = self._stage(name, df, version, state)
-            if name not in WHOLE_TABLES:
-                self._refuse_copies(name, self._staged(name, written))
-                before = self.cell_rows(state, name, written).count()
+        for name, df in _with_states(replaces or {}).items():
+            written, rows[name] = self._stage(name, df, version, state, ranged)
+            fresh[name] = self._staged(name, written)
+            kept = {}
+            if name in BAR_TABLES:
+                held = tables.get(name, {})
+                gone = (parts or {}).get(name) or {c: held.get(c, []) for c in written}
+                kept = {c: [p for p in held.get(c, []) if p not in gone.get(c, [])] for c in written}
+                self._refuse_copies(name, fresh[name])
+                if any(kept.values()):
+                    stored = self.part_rows(name, kept).select(*KEY)
+                    self._refuse_copies(name, stored.join(fresh[name].select(*KEY), KEY, "left_semi"), most=0)
+                before = self.part_rows(name, gone).count()
                 if rows[name] < before:
                     raise CommitError(f"{name}: {rows[name]} rows would replace {before}")
             for cell, path in written.items():
-                tables.setdefault(name, {})[cell] = [path]
-        self._publish(version, tables, base["buckets"])
+                tables.setdefault(name, {})[cell] = [*kept.get(cell, []), path]
+        more = {"symbol_marks": self._marked(state, fresh["raw_bars"])} if "raw_bars" in fresh and not ranged and rows["raw_bars"] else {}
+        settled = set(base["settled"])
+        if then:
+            further, done = then(fresh, tables)
+            more, settled = more | further, settled | done
+        for name, df in more.items():
+            written, _ = self._stage(name, df, version, state)
+            tables.setdefault(name, {}).update({cell: [path] for cell, path in written.items()})
+        self._publish(version, tables, base["buckets"], settled)
+        return Commit(version, rows)
+
+    def _marked(self, state: dict, added: DataFrame) -> DataFrame:
+        """``symbol_marks`` of the buckets of the raw bars ``added``."""
+        new = added.groupBy("symbol").agg(
+            F.max("timestamp").alias("latest"), F.count(F.lit(1)).alias("n"),
+            F.min(F.when(usable(F.col("close")), F.col("timestamp"))).alias("since"))
+        old = self._rows(state, "symbol_marks", buckets=self.buckets_of(new, state))
+        return old.unionByName(new).groupBy("symbol").agg(
+            F.max("latest").alias("latest"), F.sum("n").alias("n"), F.min("since").alias("since"))
+
+    def rewrite(self, buckets: int) -> Commit:
+        """The same rows with another number of buckets, in one commit."""
+        base = self.manifest()
+        version, state, rows = base["version"] + 1, {"buckets": buckets}, {}
+        tables = {name: {} for name in TABLE_SCHEMAS} | {n: base["tables"].get(n, {}) for n in WHOLE_TABLES}
+        for name in (*BAR_TABLES, *SYMBOL_TABLES):
+            whole = self.cell_rows(base, name, base["tables"].get(name, {}))
+            written, rows[name] = self._stage(name, whole, version, state, ranged=True)
+            if rows[name] != whole.count():
+                raise CommitError(f"{name}: {rows[name]} rows written of {whole.count()}")
+            tables[name] = {cell: [path] for cell, path in written.items()}
+        self._publish(version, tables, buckets, [])
         return Commit(version, rows)
 
     def _refuse_copies(self, name: str, df: DataFrame, most: int = 1) -> None:
@@ -201,7 +288,7 @@ class TableStore:
     def _staged(self, name: str, written: dict[str, str]) -> DataFrame:
         return self.cell_rows({"tables": {name: {c: [p] for c, p in written.items()}}}, name, written)
 
-    def _stage(self, name: str, df: DataFrame, version: int, manifest: dict) -> tuple[dict[str, str], int]:
+    def _stage(self, name: str, df: DataFrame, version: int, manifest: dict, ranged: bool = False) -> tuple[dict[str, str], int]:
         """Write one table's rows to an own folder; return its cell folders and the row count."""
         folder = f"{name}/v={version:010d}-{dt.datetime.now().strftime('%H%M%S%f')}"
         df = df.select(*[f.name for f in TABLE_SCHEMAS[name].fields if f.name in df.columns])
@@ -209,11 +296,13 @@ class TableStore:
             df.sortWithinPartitions(df.columns[0]).write.parquet(f"{self.root}/{folder}")
             written = {WHOLE: folder}
         else:
+            year = F.lit(NO_YEAR) if name in SYMBOL_TABLES else F.year("timestamp")
+            placed = df.withColumns({"year": year, "bucket": self.bucket("symbol", manifest)})
+            order = ["year", "bucket", *(c for c in KEY if c in df.columns)]
             # Rebalancing lets AQE split the files of a hot cell and merge those of small ones.
+            placed = placed.repartitionByRange(*order) if ranged else placed.hint("rebalance", "year", "bucket")
             (
-                df.withColumns({"year": F.year("timestamp"), "bucket": self.bucket("symbol", manifest)})
-                .hint("rebalance", "year", "bucket")
-                .sortWithinPartitions("year", "bucket", "symbol", "timestamp")
+                placed.sortWithinPartitions(*order)
                 .write.options(**WRITE_OPTIONS)
                 .partitionBy("year", "bucket")
                 .parquet(f"{self.root}/{folder}")

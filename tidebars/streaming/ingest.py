@@ -30,7 +30,7 @@ def stream_increment(store: TableStore, landing: str, universe: DataFrame, run_e
     secondary = _stream(store, f"{landing}/secondary", landed.SECONDARY)
 
     def insert(batch: DataFrame, _: int) -> None:
-        ingest_lines(store, landed.number_lines(batch), universe, run_end, default_start)
+        ingest_lines(store, lambda _: landed.number_lines(batch), universe, run_end, default_start)
 
     return (
         primary.unionByName(secondary)
