@@ -126,3 +126,23 @@ def test_known_averages_are_gone_on_from(spark):
     again = ma.add_averages(known.filter("timestamp >= '2020-07-20'"), {"e": ("ema", "close", 20)}, known={"e": "k"})
     got = column(again, "e")
     assert got == pytest.approx(column(whole, "e")[-len(got):], rel=1e-12)
+
+
+def test_exponential_averages_of_split_symbols_borrow_no_rows(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    closes = [float("nan") if i % 17 == 3 else float(v) for i, v in enumerate(rng.integers(1, 1000, 3000))]
+    df = frame(spark, {"A": closes, "B": list(rng.integers(1, 50, 700)), "C": [3.0]})
+    seen = []
+    right = ma.ordered_runs
+    monkeypatch.setattr(ma, "ordered_runs", lambda d, back=0, **how: seen.append(back) or right(d, back=back, **how))
+    wanted = {"e": ("ema", "close", 200), "f": ("ema", "close", 1), "g": ("ema", "volume", 9), "s": ("sma", "close", 30), "w": ("wma", "close", 30)}
+    split = ma.add_averages(df, wanted, symbol_sizes(df, 400))
+    assert seen == [29]
+    whole = ma.add_averages(df, wanted, symbol_sizes(df))
+    key = lambda r: (r.symbol, r.timestamp)
+    a, b = (sorted(d.collect(), key=key) for d in (split, whole))
+    assert split.columns == whole.columns and len(a) == len(b) == 3701
+    for x, y in zip(a, b):
+        assert key(x) == key(y)
+        for c in wanted:
+            assert (x[c] is None) == (y[c] is None) and (x[c] is None or x[c] == pytest.approx(y[c], rel=1e-12)), (c, x, y)

@@ -16,12 +16,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidebars.functions import kernels
-from tidebars.operators.runs import SymbolSizes, ordered_runs
+from tidebars.operators.runs import Runs, SymbolSizes, ordered_runs, symbol_sizes
 from tidebars.schema import STANDARD_PERIODS
-from tidebars.session import ship_package
+from tidebars.session import ship_package, small_frame
 
 KINDS = ("sma", "ema", "wma")
 
@@ -33,6 +33,61 @@ def ema_reach(period: int) -> int:
     return math.ceil(300 * math.log(10) / -math.log1p(-2.0 / (period + 1.0)))
 
 
+def _carries(runs: Runs, smoothed: list[tuple[str, int]]) -> DataFrame:
+    """``symbol, _seg, timestamp, _carry_0, ...``: the exponential averages at the last row before each segment, in the order of
+    ``smoothed`` (column, period).
+
+    A segment takes the average before it to ``decay ** rows`` of that plus a weighted sum of its own rows. The sums of
+    each segment are one aggregate; the chain over the segments, of which there are few, is followed on the driver.
+    """
+    w = Window.partitionBy(*runs.keys)
+    numbered = runs.df.filter("_own").withColumns(
+        {"_k": F.row_number().over(w.orderBy("timestamp")), "_m": F.count(F.lit(1)).over(w)})
+    decays = [1.0 - 2.0 / (p + 1.0) for _, p in smoothed]
+    sums = [F.sum(F.pow(F.lit(d), F.col("_m") - F.col("_k")) * F.col(c).cast("double")) * (1.0 - d) for (c, _), d in zip(smoothed, decays)]
+    firsts = [F.min_by(F.col(c).cast("double"), "_k") for c, _ in smoothed]
+    found = numbered.groupBy(*runs.keys).agg(
+        F.max("_m").alias("m"), F.max("timestamp").alias("last"), F.array(*sums).alias("sums"), F.array(*firsts).alias("firsts"))
+    out, symbol, carry, last = [], None, None, None
+    for r in sorted(found.collect(), key=lambda r: (r.symbol, r._seg)):  # as many rows as segments and symbols beside hot ones
+        if r.symbol != symbol:
+            symbol, carry = r.symbol, r.firsts  # seeded as if the first value had always been there
+        else:
+            out.append((r.symbol, r._seg, last, *carry))
+        carry = [d**r.m * e + s for d, e, s in zip(decays, carry, r.sums)]
+        last = r.last
+    columns = ", ".join(f"_carry_{i} double" for i in range(len(smoothed)))
+    return small_frame(runs.df.sparkSession, out, f"symbol string, _seg int, timestamp timestamp_ntz, {columns}")
+
+
+def _add_split(df: DataFrame, wanted: dict[str, tuple[str, str, int]], sizes: SymbolSizes, sound: Column) -> DataFrame | None:
+    """Averages where symbols are cut into segments: a segment borrows no row for its exponential averages, only what the
+    plain frames reach back to. None if no symbol is cut."""
+    back = max([1, *(p - 1 for kind, _, p in wanted.values() if kind != "ema")])
+    # Rows that count in no frame take no part, so that the borrowed ones are as many as frames need.
+    runs = ordered_runs(df.filter(sound).drop(*wanted), back=back, sizes=sizes)
+    if not runs.split:
+        return None
+    hot = [h.symbol for h in sizes.hot]
+    smoothed = sorted({(col, p) for kind, col, p in wanted.values() if kind == "ema"})
+    carries = _carries(Runs(runs.df.filter(F.col("symbol").isin(hot)), runs.keys), smoothed)
+    rows = runs.df.join(F.broadcast(carries), ["symbol", "_seg", "timestamp"], "left")
+    known = {name: f"_carry_{smoothed.index((col, p))}" for name, (kind, col, p) in wanted.items() if kind == "ema"}
+    rows = rows.select(*runs.df.columns, *sorted(set(known.values())))
+    done = runs.finish(_through_kernel(rows.withColumn("_sound", F.lit(True)), wanted, known, runs.keys)).drop(*known.values())
+    return done.unionByName(df.filter(~sound).drop(*wanted), allowMissingColumns=True)
+
+
+def _through_kernel(rows: DataFrame, wanted: dict[str, tuple[str, str, int]], known: dict[str, str], keys: tuple[str, ...]) -> DataFrame:
+    """``rows`` with the wanted columns; rows that are not ``_sound`` form runs of their own, behind the same shuffle and sort."""
+    ship_package(rows.sparkSession)
+    window = Window.partitionBy(*keys, "_sound").orderBy("timestamp")
+    placed = rows.withColumn("_pos", F.when(F.col("_sound"), 1).otherwise(-1) * F.row_number().over(window)).drop("_sound")
+    kept = [f for f in placed.schema.fields if f.name != "_pos"]
+    schema = T.StructType(kept + [T.StructField(name, T.DoubleType()) for name in wanted])
+    return placed.mapInArrow(_kernel(wanted, sorted({col for _, col, _ in wanted.values()}), known), schema)
+
+
 def _check_periods(periods) -> list[int]:
     periods = sorted(set(int(p) for p in periods))
     if not periods or periods[0] < 1:
@@ -53,29 +108,28 @@ def add_averages(df: DataFrame, wanted: dict[str, tuple[str, str, int]], sizes:
             raise ValueError(f"unknown moving average kind: {kind}")
     _check_periods(p for _, _, p in wanted.values())
 
-    back = max(ema_reach(p) if kind == "ema" else p - 1 for kind, _, p in wanted.values())
-    runs = ordered_runs(df.drop(*wanted), back=back, sizes=sizes)
     sources = sorted({col for _, col, _ in wanted.values()})
-    # Rows left out form runs of their own, behind the same shuffle and sort.
     sound = F.lit(True)
     for col in sources:
         value = F.col(col).cast("double")
         sound = sound & F.coalesce((F.abs(value) < float("inf")) & ~F.isnan(value), F.lit(False))
+    sizes = sizes or symbol_sizes(df)
+    if sizes.hot and not known and any(kind == "ema" for kind, _, _ in wanted.values()):
+        split = _add_split(df, wanted, sizes, sound)
+        if split is not None:
+            return split
+    back = max(ema_reach(p) if kind == "ema" else p - 1 for kind, _, p in wanted.values())
+    runs = ordered_runs(df.drop(*wanted), back=back, sizes=sizes)
     rows = runs.df.withColumn("_sound", sound)
-    window = Window.partitionBy(*runs.keys, "_sound").orderBy("timestamp")
     if not known and all(kind == "sma" for kind, _, _ in wanted.values()) and sum(p for _, _, p in wanted.values()) <= 64:
         # Short plain averages alone stay in the JVM.
+        window = Window.partitionBy(*runs.keys, "_sound").orderBy("timestamp")
         out = rows.select("*", *[
             F.when(F.col("_sound"), F.avg(col).over(window.rowsBetween(-(p - 1), 0))).alias(name)
             for name, (_, col, p) in wanted.items()
         ])
         return runs.finish(out.drop("_sound"))
-
-    ship_package(df.sparkSession)
-    placed = rows.withColumn("_pos", F.when(F.col("_sound"), 1).otherwise(-1) * F.row_number().over(window)).drop("_sound")
-    kept = [f for f in placed.schema.fields if f.name != "_pos"]
-    schema = T.StructType(kept + [T.StructField(name, T.DoubleType()) for name in wanted])
-    return runs.finish(placed.mapInArrow(_kernel(wanted, sources, known or {}), schema))
+    return runs.finish(_through_kernel(rows, wanted, known or {}, runs.keys))
 
 
 def _kernel(wanted, sources, known) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
