@@ -108,3 +108,19 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
 
     ok, message = compare(spark, connect(sf_dir), name, QUERIES[name], SQL[name], sf_dir)
     assert ok, message
+
+
+def test_a_text_of_very_many_matches(spark):
+    """A list of check sums: time must not grow with the square of the matches."""
+    import time
+
+    dice = random.Random(8)
+    words = ["%032x" % dice.getrandbits(128) for _ in range(50_000)]
+    text = "é".join(words[:25_000]) + " token = abcdefgh12345 " + " ".join(words[25_000:])
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    began = time.time()
+    found = s.find_secrets(docs).first().secrets
+    clean = s.redact_secrets(docs, mark="#").first().text
+    assert time.time() - began < 100
+    assert len(found) == 50_001 and [text[x.start : x.end] for x in found if x.kind == "hex"] == words
+    assert clean == "é".join("#" * 25_000) + " # " + " ".join("#" * 25_000)

@@ -75,15 +75,35 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` for the value, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _in_blocks(array: str, name: str, each: str, body: str) -> str:
+    """SQL: ``body`` over ``blocks``, what ``each`` makes of the blocks ``name`` of an array that is not empty.
+
+    An array that grows by one element at a time is copied each time. In blocks of about the root of its length, and then
+    block by block, that costs the root of the length for each element and not the length.
+    """
+    cut = f"transform(sequence(0, cast((size(whole) - 1) div wide AS int)), b -> {_let('slice(whole, b * wide + 1, wide)', name, each)})"
+    return _let(array, "whole", _let("cast(ceil(sqrt(size(whole))) AS int)", "wide", _let(cut, "blocks", body)))
+
+
+_PLACES = "array<struct<start: int, end: int, value: string>>"
+
+
 def _places(text: str, pattern: str) -> str:
     """SQL: the matches of a pattern as an array of (start, end, value)."""
     p = _text(pattern)
-    return f"""CASE WHEN {text} RLIKE {p} THEN aggregate(
-        arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0)),
-        named_struct('at', 0, 'out', cast(array() AS array<struct<start: int, end: int, value: string>>)),
+    local = f"""aggregate(own, named_struct('at', 0, 'out', cast(array() AS {_PLACES})),
         (a, x) -> named_struct('at', a.at + length(x['0']) + coalesce(length(x['1']), 0), 'out', if(x['1'] IS NULL, a.out, concat(a.out,
-            array(named_struct('start', a.at + length(x['0']), 'end', a.at + length(x['0']) + length(x['1']), 'value', x['1']))))),
-        a -> a.out) ELSE cast(array() AS array<struct<start: int, end: int, value: string>>) END"""
+            array(named_struct('start', a.at + length(x['0']), 'end', a.at + length(x['0']) + length(x['1']), 'value', x['1']))))))"""
+    starts = "aggregate(blocks, array(0), (s, l) -> concat(s, array(element_at(s, -1) + l.at)))"
+    shifted = """flatten(transform(blocks, (l, i) -> transform(l.out,
+        m -> named_struct('start', m.start + starts[i], 'end', m.end + starts[i], 'value', m.value))))"""
+    found = _in_blocks(f"arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0))", "own", local, _let(starts, "starts", shifted))
+    return f"CASE WHEN {text} RLIKE {p} THEN {found} ELSE cast(array() AS {_PLACES}) END"
 
 
 def _codes(value: str, c: EntropyClass) -> str:
@@ -110,12 +130,16 @@ def _stretch(codes: str, c: EntropyClass) -> str:
         s -> named_struct('first', s.first, 'last', s.last))"""
 
 
-def _base(text: str) -> str:
-    found = []
-    for kind, pattern in BASE:
-        keep = f"length(regexp_extract(m.value, {_text(pattern)}, 2)) >= {LEAST[kind]}" if kind == "assign" else "true"
-        found.append(f"transform(filter({_places(text, pattern)}, m -> {keep}), m -> named_struct('kind', '{kind}', 'start', m.start, 'end', m.end))")
-    return f"concat({', '.join(found)})"
+def _base(text: str, kind: str, pattern: str) -> str:
+    """SQL: the places of a base kind, which do not overlap."""
+    keep = f"length(regexp_extract(m.value, {_text(pattern)}, 2)) >= {LEAST[kind]}" if kind == "assign" else "true"
+    return f"transform(filter({_places(text, pattern)}, m -> {keep}), m -> named_struct('kind', '{kind}', 'start', m.start, 'end', m.end))"
+
+
+def _mask(places: str) -> str:
+    """SQL: a byte for each character up to the last place, x inside places."""
+    return f"""cast(array_join(transform({places}, (m, i) -> concat(
+        repeat('.', m.start - if(i = 0, 0, {places}[greatest(i, 1) - 1].end)), repeat('x', m.end - m.start))), '') AS binary)"""
 
 
 def _entropy(text: str, allowed: tuple[str, ...]) -> str:
@@ -132,15 +156,18 @@ def _entropy(text: str, allowed: tuple[str, ...]) -> str:
 def _spans(flat: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
     """``flat`` with ``spans`` in place of the text in ``made``: by start, then kind as in ``KINDS``."""
     order = "CASE x.kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS)) + " END"
+    base = [f"base_{k}" for k, _ in BASE]
+    free = " AND ".join(f"instr(cast(substring(masks.{k}, x.start + 1, x.end - x.start) AS string), 'x') = 0" for k, _ in BASE)
+    # bound once outside the filter: a column used once is put in its place, and would be made again for each element
+    masks = "named_struct(" + ", ".join(f"'{k}', {_mask(f'base_{k}')}" for k, _ in BASE) + ")"
     return (
         flat.withColumn("made", F.coalesce("made", F.lit("")))
-        .withColumn("base", F.expr(_base("made")))
-        .withColumn("more", F.expr(_entropy("made", allowed)))
-        .withColumn("more", F.expr("filter(more, x -> NOT exists(base, b -> x.start < b.end AND b.start < x.end))"))
+        .withColumns({f"base_{k}": F.expr(_base("made", k, p)) for k, p in BASE} | {"more": F.expr(_entropy("made", allowed))})
+        .withColumn("more", F.expr(_let(masks, "masks", f"filter(more, x -> {free})")))
         .withColumn("made", F.expr(
-            f"transform(array_sort(transform(concat(base, more), x -> named_struct('start', x.start, 'rank', {order}, 'kind', x.kind, 'end', x.end))),"
+            f"transform(array_sort(transform(concat({', '.join(base)}, more), x -> named_struct('start', x.start, 'rank', {order}, 'kind', x.kind, 'end', x.end))),"
             " x -> named_struct('kind', x.kind, 'start', x.start, 'end', x.end))"))
-        .drop("base", "more")
+        .drop("more", *base)
     )
 
 
@@ -159,13 +186,23 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]",
     """``docs`` with each secret in the texts replaced by ``mark``; secrets that overlap are replaced as one."""
     own = f"c{docs.columns.index(text)}"
     found = _spans(beside(docs, [text], lambda t: t), allowed)
-    merged = """aggregate(made, cast(array() AS array<struct<start: int, end: int>>), (a, x) ->
-        if(size(a) > 0 AND x.start < element_at(a, -1).end,
-           concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(x.end, element_at(a, -1).end)))),
-           concat(a, array(named_struct('start', x.start, 'end', x.end)))))"""
-    clean = f"""CASE WHEN size(made) = 0 THEN {own} ELSE array_join(transform(sequence(0, size(made)), i -> substring({own},
-        if(i = 0, 0, made[greatest(i, 1) - 1].end) + 1,
-        if(i = size(made), length({own}), made[least(i, size(made) - 1)].start) - if(i = 0, 0, made[greatest(i, 1) - 1].end))), {_text(mark)}) END"""
+    some = "cast(array() AS array<struct<start: int, end: int>>)"
+    joined = f"""aggregate(own, {some}, (a, x) -> if(size(a) > 0 AND x.start < element_at(a, -1).end,
+        concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(x.end, element_at(a, -1).end)))),
+        concat(a, array(named_struct('start', x.start, 'end', x.end)))))"""
+    # the spans of a block that begin before the last one so far ends are part of it
+    further = _let("element_at(a, -1)", "e", """concat(slice(a, 1, size(a) - 1),
+        array(named_struct('start', e.start, 'end', greatest(e.end, coalesce(array_max(transform(filter(l, y -> y.start < e.end), y -> y.end)), 0)))),
+        filter(l, y -> y.start >= e.end))""")
+    merged = f"""CASE WHEN size(made) = 0 THEN {some} ELSE {_in_blocks("made", "own", joined,
+        f"aggregate(blocks, {some}, (a, l) -> if(size(a) = 0, l, {further}))")} END"""
+    # a block's part of the text is cut out first, so that a cut in it does not look through the whole text
+    cut = f"""array_join(transform(own, (x, i) -> concat(substring(part, if(i = 0, 0, own[greatest(i, 1) - 1].end - begin) + 1,
+        x.start - if(i = 0, begin, own[greatest(i, 1) - 1].end)), {_text(mark)})), '')"""
+    part = _let("if(b = 0, 0, whole[greatest(b * wide, 1) - 1].end)", "begin",
+                _let(f"substring({own}, begin + 1, element_at(own, -1).end - begin)", "part", cut))
+    clean = f"""CASE WHEN size(made) = 0 THEN {own} ELSE concat({_in_blocks("made", "own", part, "array_join(blocks, '')")},
+        substring({own}, element_at(made, -1).end + 1)) END"""
     return restore(found.withColumn("made", F.expr(merged)).withColumn(own, F.expr(clean)), docs.columns)
 
 
