@@ -190,10 +190,15 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     classes = _classes(prints, crowd)
     first = classes.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.min("print").alias("kept_print"), F.first("component_id", ignorenulls=True).alias("kept_id"))
-    marked = beside(docs, [text], lambda t: fingerprint_column(t, shingle))
-    own = f"c{docs.columns.index(doc_id)}"
-    kept = F.col("made") == F.col("kept_print"), F.col(own).eqNullSafe(F.col("kept_id"))
-    chosen = marked.join(first, kept[0] & kept[1], "left_semi")
-    if not prints.groupBy("doc_id", "print").count().filter("count > 1").isEmpty():
-        chosen = chosen.dropDuplicates(["made", own])
+    flat, own = beside(docs, [text], lambda t: t), f"c{docs.columns.index(doc_id)}"
+    # An id that one row has tells whether the row stays; only rows of other ids need their fingerprint beside it.
+    shared = settle(prints.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("shared_id")), "shared-ids")
+    alone = first.join(shared, F.col("kept_id").eqNullSafe(F.col("shared_id")), "left_anti")
+    chosen = flat.join(alone, F.col(own) == F.col("kept_id"), "left_semi")
+    if not shared.isEmpty():
+        marked = flat.join(shared, F.col(own).eqNullSafe(F.col("shared_id")), "left_semi").withColumn(
+            "made", fingerprint_column(F.col("made"), shingle))
+        kept = (F.col("made") == F.col("kept_print")) & F.col(own).eqNullSafe(F.col("kept_id"))
+        few = restore(marked.join(first, kept, "left_semi").dropDuplicates(["made", own]), docs.columns)
+        return restore(chosen, docs.columns).unionAll(few)
     return restore(chosen, docs.columns)
