@@ -1,6 +1,7 @@
 """Time the jobs on few long and on many short symbols; print one JSON line.
 
-"long" is the bars of the five segments, "many" the bars of the parts, each dated anew to the consecutive days before
+"long" is the bars of the five segments, "many" the bars of the parts, "deep" the latter under 200 symbols, whose histories are
+the longest; each dated anew to the consecutive days before
 ``RUN_END``, so that thousands of symbols have models. Stores are filled before the clock starts. Each job gets one warm-up run
 and two timed ones; the median counts. A daily refresh takes the next day in each run. Rows a second are by the rows a job works
 on: the bars of the window for D3, those of the day for the daily refresh, the landed lines for D1.
@@ -62,12 +63,16 @@ def main() -> None:
             taken.append(time.perf_counter() - start)
         seconds[name], rows[name] = round(statistics.median(taken[1:]), 3), n
 
-    for label, source in (("long", fx.segment_bars(spark, sf_dir)), ("many", fx.part_bars(spark, sf_dir))):
+    parts = fx.part_bars(spark, sf_dir)
+    deep = parts.withColumn("timestamp", F.col("timestamp") + F.expr("make_interval(0, 0, 0, 0, 0, 0, pmod(xxhash64(symbol), 86400))"))
+    deep = deep.withColumn("symbol", F.concat(F.lit("D"), F.pmod(F.xxhash64("symbol"), F.lit(200)))).dropDuplicates(["symbol", "timestamp"])
+    for label, source in (("long", fx.segment_bars(spark, sf_dir)), ("many", parts), ("deep", deep)):
         bars = dated_anew(source).persist()
         n = bars.count()
         days = [r[0] for r in bars.select("timestamp").distinct().orderBy(F.desc("timestamp")).limit(1 + TIMED_RUNS).collect()][::-1]
         store, daily = new_store(), new_store()
         store.commit(appends={"raw_bars": bars, "bars": bars})
+        listed = bars.select("symbol").distinct().persist() if label == "deep" else None  # the others refresh all symbols
         early = bars.filter(F.col("timestamp") < days[0])
         daily.commit(appends={"raw_bars": early, "bars": early})
         jobs.refresh_averages(daily)
@@ -80,7 +85,7 @@ def main() -> None:
 
         def next_day(turn):
             jobs.insert_bars(daily, bars.filter(F.col("timestamp") == days[turn]))
-            jobs.refresh_averages(daily)
+            jobs.refresh_averages(daily, listed)
 
         in_window = in_range(bars, f"{int(RUN_END[:4]) - 1}{RUN_END[4:]}", RUN_END).count()
         timed(f"states_sma20_{label}", n, flagship)
