@@ -87,10 +87,13 @@ def main() -> None:
             jobs.insert_bars(daily, bars.filter(F.col("timestamp") == days[turn]))
             jobs.refresh_averages(daily, listed)
 
-        in_window = in_range(bars, f"{int(RUN_END[:4]) - 1}{RUN_END[4:]}", RUN_END).count()
-        timed(f"states_sma20_{label}", n, flagship)
         timed(f"d04_rebuild_{label}", n, lambda _: jobs.refresh_averages(store, rebuild=True))
         timed(f"d04_append_day_{label}", bars.filter(F.col("timestamp") == days[-1]).count(), next_day)
+        if label == "deep":  # the length of histories matters to these two
+            bars.unpersist()
+            continue
+        in_window = in_range(bars, f"{int(RUN_END[:4]) - 1}{RUN_END[4:]}", RUN_END).count()
+        timed(f"states_sma20_{label}", n, flagship)
         timed(f"d03_transform_states_{label}", in_window, lambda _: jobs.transform_states(store, None, RUN_END))
         models = store.read("transition_probs").select("symbol").distinct().count()
         rows[f"models_{label}"] = models
