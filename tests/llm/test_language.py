@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 from cases import clashing, odd_documents
-from test_quality import is_held_out
+from test_quality_rules import is_held_out
 
 from tidebars.llm import language as lg
 
