@@ -8,10 +8,11 @@ from tidebars.catalog import fixtures as fx
 from tidebars.catalog.registry import query
 from tidebars.catalog.sql import BAR, STATE_CASE
 from tidebars.functions import scalars
-from tidebars.operators import quality
+from tidebars.operators import quality, sorted_keys
 from tidebars.operators.states import with_states
 from tidebars.plans.views import ordered
-from tidebars.schema import BAR_COLS
+from tidebars.schema import BAR_COLS, KEY
+from tidebars.session import scratch_dir
 from tidebars.sources.landing import next_day
 
 
@@ -84,6 +85,18 @@ def duplicate_keys(spark, sf_dir):
     return quality.duplicate_keys(fx.order_rows(spark, sf_dir))
 
 
+@query("a03_sorted_cells", """SELECT year("timestamp") AS year, sum(copies)::BIGINT AS n, min("timestamp") AS first_time, max("timestamp") AS last_time, max(copies) > 1 AS repeated
+FROM (SELECT symbol, "timestamp", count(*) AS copies FROM order_rows GROUP BY ALL) GROUP BY ALL""", uses="order_rows")
+def sorted_cells(spark, sf_dir):
+    """Repeated keys by year, found by neighbours in files laid out by ranges of the key."""
+    path, order = scratch_dir(spark, "sorted"), ["year", *KEY]
+    rows = fx.order_rows(spark, sf_dir).select(*KEY, F.year("timestamp").alias("year"))
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    found = sorted_keys.stretches(spark.read.parquet(path), F.col("year"), F.lit(0))
+    return sorted_keys.judged_cells(found).select(
+        "year", "n", F.col("first").alias("first_time"), F.col("last").alias("last_time"), F.col("doubtful").alias("repeated"))
+
+
 @query("o05_duplicate_sample", f"SELECT symbol, \"timestamp\", count(*) AS copies FROM order_rows GROUP BY ALL HAVING count(*) > 1 ORDER BY symbol, \"timestamp\" LIMIT 5", uses="order_rows")
 def duplicate_sample(spark, sf_dir):
     return quality.duplicate_sample(fx.order_rows(spark, sf_dir))

@@ -36,6 +36,26 @@ def range_scan(spark, sf_dir):
     return filled_store(spark, sf_dir).read("bars", "BUILDING", "1996-05-05", "2000-02-02").select(*BAR_COLS)
 
 
+@query("s08_scan_inside_a_year", f"""SELECT {BAR} FROM cent_bars
+WHERE "timestamp" >= TIMESTAMP '1997-05-05' AND "timestamp" <= TIMESTAMP '1997-06-20 12:00:00'""", uses="cent_bars")
+def scan_inside_a_year(spark, sf_dir):
+    """Bars of a few weeks from a store that was filled in three inserts; the folders of other times stay closed."""
+    store, bars = new_store(spark), fx.cent_bars(spark, sf_dir)
+    for months in ((1, 4), (5, 8), (9, 12)):
+        jobs.insert_bars(store, bars.filter(F.month("timestamp").between(*months)))
+    return store.read("raw_bars", start="1997-05-05", end="1997-06-20T12:00:00")
+
+
+@query("s08_part_spans", """SELECT part, year("timestamp") AS year, count(*) AS n, min("timestamp") AS first_time, max("timestamp") AS last_time
+FROM cent_bars CROSS JOIN (VALUES ('raw_bars'), ('bars')) AS t(part) GROUP BY ALL""", uses="cent_bars")
+def part_spans(spark, sf_dir):
+    """What the store notes of its folders, put together by table and year."""
+    spans = filled_store(spark, sf_dir).read("part_spans")
+    year = F.regexp_extract("part", "/year=([0-9]+)/", 1).cast("long")
+    return spans.groupBy(F.substring_index("part", "/", 1).alias("part"), year.alias("year")).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first_time"), F.max("last").alias("last_time"))
+
+
 @query("s09_ordered_scan", f"""SELECT {BAR} FROM cent_bars WHERE "timestamp" >= TIMESTAMP '1997-01-01' ORDER BY symbol, "timestamp" """, uses="cent_bars")
 def ordered_scan(spark, sf_dir):
     return views.ordered(filled_store(spark, sf_dir).read("bars", start="1997-01-01").select(*BAR_COLS))

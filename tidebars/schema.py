@@ -76,6 +76,16 @@ TAILS_SCHEMA = T.StructType(
     ]
 )
 
+# A row for each folder of bars: how many it holds, and their first and last time.
+SPANS_SCHEMA = T.StructType(
+    [
+        T.StructField("part", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("first", T.TimestampNTZType()),
+        T.StructField("last", T.TimestampNTZType()),
+    ]
+)
+
 TABLE_SCHEMAS = {
     "raw_bars": RAW_BARS_SCHEMA,
     "bars": BARS_SCHEMA,
@@ -83,4 +93,5 @@ TABLE_SCHEMAS = {
     "transition_probs": TRANSITIONS_SCHEMA,
     "symbol_marks": MARKS_SCHEMA,
     "average_tails": TAILS_SCHEMA,
+    "part_spans": SPANS_SCHEMA,
 }

@@ -11,6 +11,10 @@ Tables with a row per symbol have a cell per bucket. One of them, ``symbol_marks
 the same commit that adds raw bars, so the latest bar of a symbol and whether it has bars without averages
 are known without a look at the bars. The manifest also says which folders of bars are settled: every bar with a
 usable close in them has its averages.
+
+``part_spans`` has a row for each folder of bars: its number of rows, its first and its last time. It comes from the pass over
+the written keys that looks for repeated ones, and tells which folders a range of times needs, which can hold a key of an
+insert, and how many rows an update has to keep; no file is opened to learn this.
 """
 
 from __future__ import annotations
@@ -26,16 +30,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidebars.functions.times import as_time, time_literal
 from tidebars.operators.joins import restrict
 from tidebars.operators.quality import duplicate_sample
-from tidebars.schema import BAR_COLS, KEY, MA_COLS, TABLE_SCHEMAS
+from tidebars.operators.sorted_keys import judged_cells, stretches
+from tidebars.schema import BAR_COLS, KEY, MA_COLS, SPANS_SCHEMA, TABLE_SCHEMAS
+from tidebars.session import small_frame
 
 WHOLE = "all"
-WHOLE_TABLES = ("transition_probs",)
+WHOLE_TABLES = ("transition_probs", "part_spans")
 SYMBOL_TABLES = ("symbol_marks", "average_tails")
 BAR_TABLES = ("raw_bars", "bars", "bar_states")
 NO_YEAR = 0  # of the cells of a symbol table
 
 BUCKETS = 16  # of symbols; ``plans.jobs.rebucket`` changes the number
-
 # Averages hardly ever repeat, so building dictionaries for them is wasted work.
 WRITE_OPTIONS = {"compression": "zstd", **{f"parquet.enable.dictionary#{c}": "false" for c in MA_COLS}}
 
@@ -81,6 +86,18 @@ def _with_states(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return frames | {"bar_states": bars.filter(F.col("market_state").isNotNull()).select(*KEY, "market_state")}
 
 
+@dataclass(frozen=True)
+class Span:
+    """Rows of a folder of bars, its first and its last time."""
+
+    n: int
+    first: dt.datetime
+    last: dt.datetime
+
+    def meets(self, first: dt.datetime | None, last: dt.datetime | None) -> bool:
+        return (first is None or self.last >= first) and (last is None or self.first <= last)
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -92,6 +109,7 @@ class TableStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._spans: tuple[int, dict[str, Span]] = (-1, {})
         hadoop = spark._jvm.org.apache.hadoop
         self._path = hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -136,6 +154,24 @@ class TableStore:
 
     # -- reading ----------------------------------------------------------------------------
 
+    def spans(self, manifest: dict | None = None) -> dict[str, Span]:
+        """``part_spans`` of the folders of a manifest, which names each of them already."""
+        manifest = manifest or self.manifest()
+        if self._spans[0] != manifest["version"]:
+            paths = [f"{self.root}/{p}" for p in manifest["tables"].get("part_spans", {}).get(WHOLE, [])]
+            held = self.spark.read.schema(SPANS_SCHEMA).parquet(*paths).collect() if paths else []
+            self._spans = manifest["version"], {r.part: Span(r.n, r.first, r.last) for r in held}
+        return self._spans[1]
+
+    def row_count(self, table: str) -> int:
+        """Stored rows of a table."""
+        manifest = self.manifest()
+        return self._rows_in(table, manifest["tables"].get(table, {}), self.spans(manifest))
+
+    def _rows_in(self, table: str, parts: dict[str, list[str]], spans: dict[str, Span]) -> int:
+        known = [spans.get(p) for held in parts.values() for p in held]
+        return sum(s.n for s in known) if all(known) else self.part_rows(table, parts).count()
+
     def bucket(self, symbol: Column | str, manifest: dict) -> Column:
         return F.pmod(F.xxhash64(symbol), F.lit(manifest["buckets"])).cast("int")
 
@@ -144,7 +180,7 @@ class TableStore:
         return {r[0] for r in symbols.select(self.bucket("symbol", manifest)).distinct().collect()}
 
     def read(self, table: str, symbol: str | None = None, start=None, end=None) -> DataFrame:
-        """Rows of a table; cells of other years and other buckets are not even listed.
+        """Rows of a table; cells of other years and other buckets, and folders of other times, are not even listed.
 
         The declared schema is applied on read: older files with a narrower volume are widened and
         columns they lack are null.
@@ -166,8 +202,11 @@ class TableStore:
             timed = year == NO_YEAR or (lo is None or year >= lo.year) and (hi is None or year <= hi.year)
             return timed and (buckets is None or bucket in buckets)
 
+        spans = self.spans(manifest) if table in BAR_TABLES and (lo or hi) else {}
+
         def rows(name: str) -> DataFrame:
-            df = self.cell_rows(manifest, name, filter(wanted, manifest["tables"].get(name, {})))
+            held = manifest["tables"].get(name, {})
+            df = self.part_rows(name, {c: [p for p in held[c] if p not in spans or spans[p].meets(lo, hi)] for c in filter(wanted, held)})
             return in_range(df if symbol is None else one_symbol(df, symbol), start, end)
 
         df = rows(table)
@@ -220,28 +259,25 @@ class TableStore:
         version = base["version"] + 1
         state = {"buckets": base["buckets"], "tables": {n: {c: list(p) for c, p in parts.items()} for n, parts in base["tables"].items()}}
         tables, rows, fresh = state["tables"], {}, {}
+        spans = dict(self.spans(base))
         for name, df in _with_states(appends or {}).items():
-            written, rows[name] = self._stage(name, df, version, state)
+            written = self._stage(name, df, version, state)
             fresh[name] = self._staged(name, written)
-            if rows[name]:
-                self._refuse_copies(name, fresh[name])
-                stored = self.cell_rows(state, name, written).select(*KEY)
-                self._refuse_copies(name, fresh[name].select(*KEY).join(stored, KEY, "left_semi"), most=0)
+            rows[name] = self._judge(name, written, state, spans)
+            self._refuse_stored(name, written, tables.get(name, {}), fresh[name], spans)
             for cell, path in written.items():
                 tables.setdefault(name, {}).setdefault(cell, []).append(path)
         for name, df in _with_states(replaces or {}).items():
-            written, rows[name] = self._stage(name, df, version, state, ranged)
+            written = self._stage(name, df, version, state, ranged)
             fresh[name] = self._staged(name, written)
+            rows[name] = self._judge(name, written, state, spans)
             kept = {}
             if name in BAR_TABLES:
                 held = tables.get(name, {})
                 gone = (parts or {}).get(name) or {c: held.get(c, []) for c in written}
                 kept = {c: [p for p in held.get(c, []) if p not in gone.get(c, [])] for c in written}
-                self._refuse_copies(name, fresh[name])
-                if any(kept.values()):
-                    stored = self.part_rows(name, kept).select(*KEY)
-                    self._refuse_copies(name, stored.join(fresh[name].select(*KEY), KEY, "left_semi"), most=0)
-                before = self.part_rows(name, gone).count()
+                self._refuse_stored(name, written, kept, fresh[name], spans)
+                before = self._rows_in(name, gone, spans)
                 if rows[name] < before:
                     raise CommitError(f"{name}: {rows[name]} rows would replace {before}")
             for cell, path in written.items():
@@ -251,8 +287,10 @@ class TableStore:
         if then:
             further, done = then(fresh, tables)
             more, settled = more | further, settled | done
+        if any(name in BAR_TABLES for name in fresh):
+            more["part_spans"] = self._span_rows(tables, spans)
         for name, df in more.items():
-            written, _ = self._stage(name, df, version, state)
+            written = self._stage(name, df, version, state)
             tables.setdefault(name, {}).update({cell: [path] for cell, path in written.items()})
         self._publish(version, tables, base["buckets"], settled)
         return Commit(version, rows)
@@ -271,12 +309,16 @@ class TableStore:
         base = self.manifest()
         version, state, rows = base["version"] + 1, {"buckets": buckets}, {}
         tables = {name: {} for name in TABLE_SCHEMAS} | {n: base["tables"].get(n, {}) for n in WHOLE_TABLES}
+        spans = dict(self.spans(base))
         for name in (*BAR_TABLES, *SYMBOL_TABLES):
-            whole = self.cell_rows(base, name, base["tables"].get(name, {}))
-            written, rows[name] = self._stage(name, whole, version, state, ranged=True)
-            if rows[name] != whole.count():
-                raise CommitError(f"{name}: {rows[name]} rows written of {whole.count()}")
+            held = base["tables"].get(name, {})
+            written = self._stage(name, self.cell_rows(base, name, held), version, state, ranged=True)
+            rows[name], before = self._judge(name, written, state, spans), self._rows_in(name, held, spans)
+            if rows[name] != before:
+                raise CommitError(f"{name}: {rows[name]} rows written of {before}")
             tables[name] = {cell: [path] for cell, path in written.items()}
+        written = self._stage("part_spans", self._span_rows(tables, spans), version, state)
+        tables["part_spans"] = {cell: [path] for cell, path in written.items()}
         self._publish(version, tables, buckets, [])
         return Commit(version, rows)
 
@@ -285,11 +327,40 @@ class TableStore:
         if repeated:
             raise CommitError(f"{name}: repeated keys, e.g. {repeated}")
 
+    def _judge(self, name: str, written: dict[str, str], manifest: dict, spans: dict[str, Span]) -> int:
+        """Rows just written. Of bars, one pass over the sorted keys also adds to ``spans`` and refuses a key that is there twice;
+        only cells in which sorted stretches meet, those of a hot symbol that Spark has split, have their keys grouped."""
+        if name not in BAR_TABLES or not written:
+            return self._staged(name, written).count()
+        cells = judged_cells(stretches(self._staged(name, written), F.year("timestamp"), self.bucket("symbol", manifest))).collect()
+        spans.update({written[f"{r.year}/{r.bucket}"]: Span(r.n, r.first, r.last) for r in cells})
+        doubtful = {c: written[c] for r in cells if r.doubtful for c in [f"{r.year}/{r.bucket}"]}
+        if doubtful:
+            self._refuse_copies(name, self._staged(name, doubtful))
+        return sum(r.n for r in cells)
+
+    def _refuse_stored(self, name: str, written: dict[str, str], held: dict[str, list[str]], fresh: DataFrame,
+                       spans: dict[str, Span]) -> None:
+        """Refuse rows whose key a folder that stays has already; folders of other times cannot have it."""
+        near = {}
+        for cell, path in written.items():
+            own = spans.get(path)
+            near[cell] = [p for p in held.get(cell, []) if not own or p not in spans or spans[p].meets(own.first, own.last)]
+        if any(near.values()):
+            stored = self.part_rows(name, near).select(*KEY)
+            self._refuse_copies(name, fresh.select(*KEY).join(stored, KEY, "left_semi"), most=0)
+
+    def _span_rows(self, tables: dict, spans: dict[str, Span]) -> DataFrame:
+        """``part_spans`` of the folders that ``tables`` names."""
+        held = [p for name in BAR_TABLES for parts in tables.get(name, {}).values() for p in parts if p in spans]
+        return small_frame(self.spark, [(p, spans[p].n, spans[p].first, spans[p].last) for p in held],
+                           "part string, n long, first timestamp_ntz, last timestamp_ntz")
+
     def _staged(self, name: str, written: dict[str, str]) -> DataFrame:
         return self.cell_rows({"tables": {name: {c: [p] for c, p in written.items()}}}, name, written)
 
-    def _stage(self, name: str, df: DataFrame, version: int, manifest: dict, ranged: bool = False) -> tuple[dict[str, str], int]:
-        """Write one table's rows to an own folder; return its cell folders and the row count."""
+    def _stage(self, name: str, df: DataFrame, version: int, manifest: dict, ranged: bool = False) -> dict[str, str]:
+        """Write one table's rows to an own folder; return its cell folders."""
         folder = f"{name}/v={version:010d}-{dt.datetime.now().strftime('%H%M%S%f')}"
         df = df.select(*[f.name for f in TABLE_SCHEMAS[name].fields if f.name in df.columns])
         if name in WHOLE_TABLES:
@@ -311,8 +382,7 @@ class TableStore:
             for status in self._fs.globStatus(self._path(f"{self.root}/{folder}/year=*/bucket=*")) or []:
                 year, bucket = (p.split("=", 1)[1] for p in status.getPath().toString().rsplit("/", 2)[1:])
                 written[f"{year}/{bucket}"] = f"{folder}/year={year}/bucket={bucket}"
-        # What counts is what the files hold; parquet footers tell without reading rows.
-        return written, self._staged(name, written).count()
+        return written
 
     def make_folder(self, path: str) -> None:
         folder = self._path(path)
