@@ -90,6 +90,34 @@ def test_every_one_of_many_languages_is_learnt(spark):
     assert set(lg.fit_languages(docs, sample=300).languages) == kept
 
 
+def test_more_languages_than_landmarks_stay_small(spark):
+    """No number of languages is refused, and the weights are factors of the landmarks' size."""
+    rng = random.Random(4)
+    word = {k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöüéèñçøåß", k=7)) for k in range(2_100)}
+    rows = [(3 * k + i, f"{word[k]} {word[k]}{i}", f"l{k:04}") for k in word for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = lg.fit_languages(docs)
+    learnt = {r[2] for r in rows if not is_held_out(r[0])}
+    assert set(model.languages) == learnt and len(learnt) > 2_000
+    assert model.weights.shape[1] == len(model.mix) < 200 and model.mix.shape[1] == len(model.languages)
+    found = [lg.grams(r[1]) for r in rows[:300]]
+    assert model.scores(found) == pytest.approx(lg.LanguageModel(model.languages, model.terms, model.weights @ model.mix).scores(found), abs=1e-4)
+    assert lg.identify(docs.limit(20), model).filter("score BETWEEN 0 AND 1").count() == 20
+
+
+def test_bounded_terms_and_products_in_pieces(spark, learnt, monkeypatch):
+    docs, model = learnt
+    texts = [lg.grams(r.text) for r in docs.limit(50).collect()]
+    whole = model.scores(texts)
+    monkeypatch.setattr(lg, "_CELLS", 3 * len(model.terms))
+    assert model.scores(texts) == pytest.approx(whole, abs=1e-6)
+    monkeypatch.setattr(lg, "MOST_TERMS", 60)
+    few = lg.fit_languages(docs, landmarks=30, sample=90)
+    assert len(few.terms) == 60
+    rows = lg.identify(docs, few).collect()
+    assert sum(r.lang_pred == r.lang for r in rows) >= 0.95 * len(rows)
+
+
 def test_odd_rows(spark, learnt):
     docs = clashing(odd_documents(spark, ["ka to mi", "123 !!", "schungheit"]), "lang_pred", "Score", "LANG_")
     rows = {(r.doc_id, r.text): r for r in lg.identify(docs, learnt[1]).collect()}

@@ -6,7 +6,11 @@ each has. Kernel values against landmark texts stand for a text (Nyström), and
 values gives its score. All of it is linear in the presence of the landmarks' n-grams, so a batch of texts is scored by one
 product of a presence matrix and a weight matrix.
 
-A null text, or one without a letter, is ``und`` with score 0. Texts that tie take the language that sorts first. Without
+The sample is drawn in one pass and written; landmarks and kernel values come from that small table. With more languages than
+landmarks the weights stay two factors (by term and landmark, by landmark and language), so what tasks hold grows with neither
+texts nor the product of terms and languages.
+
+A null text, or one without a letter, is ``und`` with score 0 and teaches nothing. Repeated rows count as often as they occur. Texts that tie take the language that sorts first. Without
 anything to learn from, all texts are ``und``.
 """
 
@@ -19,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidebars.llm.frames import held_out, pick, prepare, with_results
+from tidebars.llm.frames import held_out, pick, prepare, settle, with_results
+from tidebars.session import small_frame
 
 #: Texts learnt from, and landmarks, about, over all languages; both are shared out evenly and chosen by a hash of text and id.
 SAMPLE, LANDMARKS = 3_000, 96
@@ -28,8 +33,10 @@ LEAST = 20
 RIDGE = 1e-3
 #: Texts scored by one product.
 BATCH = 128
-#: More distinct values of the language column than this are refused.
-MOST_LANGUAGES = 2_000
+#: N-grams of the landmarks that the model knows; of more, those that most landmarks have.
+MOST_TERMS = 200_000
+#: Cells of a presence matrix.
+_CELLS = 1 << 24
 UNKNOWN = "und"
 
 _RESULT = "struct<lang_pred: string, score: double>"
@@ -67,19 +74,25 @@ def grams(text: str | None) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """``terms``: the landmarks' n-grams, sorted; ``weights``: a row for each, a column for each language."""
+    """``terms``: the landmarks' n-grams, sorted; ``weights``: a row for each, a column for each language, or for each landmark
+    where ``mix`` has a row for each landmark and a column for each language."""
 
     languages: list[str]
     terms: np.ndarray
     weights: np.ndarray
+    mix: np.ndarray | None = None
 
     def scores(self, found: list[np.ndarray]) -> np.ndarray:
         """A row for each set of n-grams."""
-        present = np.zeros((len(found), len(self.terms)), dtype=np.float32)
-        for row, own in zip(present, found):
-            row[_places(self.terms, own)] = 1
+        step, out = max(1, _CELLS // max(1, len(self.terms))), []
+        for at in range(0, len(found), step):
+            present = np.zeros((len(found[at : at + step]), len(self.terms)), dtype=np.float32)
+            for row, own in zip(present, found[at : at + step]):
+                row[_places(self.terms, own)] = 1
+            product = present @ self.weights
+            out.append(product if self.mix is None else product @ self.mix)
         sizes = np.array([max(1, len(own)) for own in found])
-        return (present @ self.weights) / np.sqrt(sizes)[:, None]
+        return np.concatenate(out) / np.sqrt(sizes)[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         found = [grams(t) for t in texts]
@@ -103,18 +116,25 @@ def _kernel(terms: np.ndarray, marks: np.ndarray, sizes: np.ndarray, own: np.nda
     return marks[_places(terms, own)].sum(axis=0, dtype=np.float64) / np.sqrt(max(1, len(own)) * sizes)
 
 
-def _by_language(rows: DataFrame, counts: dict[str, int], bound: int, least: int = 0) -> DataFrame:
-    """About ``bound`` rows, as many of each language where there are enough, by a hash.
-
-    Shares so small that a language could draw fewer than ``least`` give way to the first rows by hash, those with a
-    letter before others: ``least`` of each language, or more if the bound allows.
-    """
-    each = max(1, bound // max(1, len(counts)))
-    if each < 3 * least:
-        order = Window.partitionBy("lang").orderBy(F.col("text").rlike(r"\p{L}").desc(), "hash")
-        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(least, each)).drop("rank")
-    share = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, each / n) * (1 << 30))))))
-    return rows.filter(F.pmod("hash", F.lit(1 << 30)) < share[F.col("lang")])
+def _draw(rows: DataFrame, sample: int, landmarks: int) -> DataFrame | None:
+    """(lang, text, rank, mark): about ``sample`` rows, as many of each language where there are enough, or ``LEAST`` of each, and
+    about ``landmarks`` rows marked, both by a hash. ``rank`` is by hash within a language."""
+    counts = rows.groupBy("lang").count().collect()  # a row for each language
+    if not counts:
+        return None
+    each = max(1.0, sample / len(counts))
+    told = each if each >= 3 * LEAST else 3.0 * LEAST  # so many by hash that hardly ever fewer than LEAST are there
+    span = 1 << 50
+    shares = small_frame(rows.sparkSession, [
+        (r["lang"], int(min(1.0, told / r["count"]) * span), int(min(1.0, landmarks / len(counts) / r["count"]) * span)) for r in counts
+    ], "name string, told long, marks long")
+    place = F.pmod("hash", F.lit(span))
+    drawn = rows.join(shares, F.col("lang") == F.col("name")).filter((place < F.col("told")) | (place < F.col("marks")))
+    drawn = settle(drawn.select("lang", "text", "hash", (place < F.col("told")).alias("told"), (place < F.col("marks")).alias("mark")), "language-sample")
+    if each < 3 * LEAST:
+        few = Window.partitionBy("lang").orderBy("hash")  # over the drawn rows, of which a language has about 3 * LEAST
+        return drawn.withColumn("told", F.row_number().over(few) <= max(LEAST, int(each)))
+    return drawn
 
 
 def _gram_rows(batches):
@@ -129,25 +149,24 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
                   landmarks: int = LANDMARKS) -> LanguageModel:
     """Learn from the texts with a language that are not held out, ``sample`` of them at most, about, or ``LEAST`` of each language."""
     prepare(docs.sparkSession)
-    rows = pick(docs, doc_id, text, lang).toDF("id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = pick(docs, doc_id, text, lang).toDF("id", "text", "lang").filter("lang IS NOT NULL").filter(F.col("text").rlike(r"\p{L}"))
     rows = rows.filter(~held_out(F.col("id"))).select("lang", "text", F.xxhash64("id", "text").alias("hash"))
-    counted = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counted) > MOST_LANGUAGES:
-        raise ValueError(f"over {MOST_LANGUAGES} languages")
-    if not counted:
+    drawn = _draw(rows, sample, landmarks)
+    if drawn is None:
         return LanguageModel([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32))
-    counts = {r["lang"]: r["count"] for r in sorted(counted, key=lambda r: r["lang"])}
     schema = "lang string, grams binary"
-    marked = _by_language(rows, counts, landmarks).select("lang", "text").mapInArrow(_gram_rows, schema).collect()
+    marked = drawn.filter("mark").select("lang", "text").mapInArrow(_gram_rows, schema).collect()
     sets = sorted((r["lang"], bytes(r["grams"])) for r in marked)
     sets = [np.frombuffer(g, dtype=np.uint64) for _, g in dict.fromkeys(sets)]
     if not sets:
         return LanguageModel([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32))
-    terms = np.unique(np.concatenate(sets))
+    terms, shared = np.unique(np.concatenate(sets), return_counts=True)
+    if len(terms) > MOST_TERMS:
+        terms = np.sort(terms[np.lexsort((terms, -shared))[:MOST_TERMS]])
     marks = np.zeros((len(terms), len(sets)), dtype=np.float32)
     for column, own in enumerate(sets):
-        marks[np.searchsorted(terms, own), column] = 1
-    sizes = marks.sum(axis=0, dtype=np.float64)
+        marks[np.searchsorted(terms, own[np.isin(own, terms)]), column] = 1
+    sizes = np.maximum(1, marks.sum(axis=0, dtype=np.float64))
     sent = docs.sparkSession.sparkContext.broadcast((terms, marks, sizes))
 
     def kernel_rows(batches):
@@ -158,7 +177,7 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
                     values = _kernel(*sent.value, own)
                     yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), pa.array([values.tolist()])], names=["lang", "values"])
 
-    told = _by_language(rows, counts, sample, LEAST).select("lang", "text").mapInArrow(kernel_rows, "lang string, values array<double>").collect()
+    told = drawn.filter("told").select("lang", "text").mapInArrow(kernel_rows, "lang string, values array<double>").collect()
     told = sorted((r["lang"], tuple(r["values"])) for r in told)
     languages = sorted({t[0] for t in told})
     values = np.array([t[1] for t in told])
@@ -171,7 +190,10 @@ def fit_languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     left = values.T @ (values * weight[:, None]) + RIDGE * len(languages) * among
     left += 1e-9 * np.trace(left) / len(left) * np.eye(len(left))
     solved = np.linalg.solve(left, target)
-    return LanguageModel(languages, terms, (marks @ (solved / np.sqrt(sizes)[:, None])).astype(np.float32))
+    solved = solved / np.sqrt(sizes)[:, None]
+    if len(languages) > len(sets):
+        return LanguageModel(languages, terms, marks, solved.astype(np.float32))
+    return LanguageModel(languages, terms, (marks @ solved).astype(np.float32))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
