@@ -62,6 +62,22 @@ def test_own_templates_and_none(spark):
     assert {tuple(r.licenses) for r in ls.find_licenses(docs, templates.limit(0)).collect()} == {()}
 
 
+def test_templates_in_several_blocks(spark):
+    rng = random.Random(2)
+    own = [(f"L{i % 40:02}", " ".join(rng.choices([f"w{k}" for k in range(30)], k=rng.randrange(1, 30)))) for i in range(60)]
+    templates = spark.createDataFrame([*own, own[0], ("N", None), (None, "w1")], "license string, text string")
+    docs = clashing(odd_documents(spark, [" ".join(t for _, t in rng.sample(own, 3)) for _ in range(40)]), "matches", "Licenses")
+    by_text = lambda df: sorted((r.doc_id or -1, r.text or "", r.licenses, [(m.license, m.first, m.last, m.contained) for m in sorted(
+        r.matches, key=lambda m: (m.license, m.first, m.last, m.contained))]) for r in df.collect())
+    one, many = ls.find_licenses(docs, templates), ls.find_licenses(docs, templates, block_bytes=700)
+    assert by_text(one) == by_text(many) and sum(len(r.matches) > 2 for r in many.collect()) >= 40
+    for r in many.collect():
+        assert [(m.license, m.template) for m in r.matches] == sorted((m.license, m.template) for m in r.matches)
+    number = {}
+    for m in (m for r in many.collect() for m in r.matches):
+        assert number.setdefault(m.template, m.license) == m.license and m.template < 60
+
+
 def test_rights_reserved_line(spark, sf_dir):
     docs = odd_documents(spark, ["some words. ALL rights\nreserved", "all rights are reserved", "Released under the MIT License. All rights reserved."])
     found = {r.doc_id: r.licenses for r in ls.find_licenses(docs).collect() if r.licenses}

@@ -9,7 +9,10 @@ Such a window and its template have a Jaccard similarity of at least 0.8 T / (2S
 function, so one band agrees with that probability; the number of bands is chosen for each S so that all fail together with a
 probability of ``MISS`` at most. Retrieval can thus miss a match once in a million; it never adds one.
 
-Null and empty texts have no match. Templates without an id or without words take no part; those that share an id count as
+Templates are held by every task in blocks of a checked size; more of them are searched for in several passes, each of which
+adds its matches to those of the last. A template's number counts through the blocks, within a block by id and text.
+
+Null and empty texts have no match; repeated documents are judged each on its own. Repeated templates count once. Templates without an id or without words take no part; those that share an id count as
 one license.
 """
 
@@ -22,14 +25,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidebars.llm.decontamination import words_of
-from tidebars.llm.frames import pick, prepare, with_results
+from tidebars.llm.frames import pick, prepare, settle, with_results
 
 SHINGLE, CONTAINED, MISS = 5, 0.8, 1e-6
-#: Templates are held by every task; more characters of them than this are refused.
-MOST_CHARS = 16_000_000
+#: Bytes of templates that a task holds at a time, about; their shingles take some fifty times as much.
+BLOCK_BYTES = 2_000_000
 #: Shingles of a text whose minima are taken at a time.
 _STRETCH = 1 << 14
 
@@ -110,8 +113,8 @@ class _Class:
 
 
 class TemplateIndex:
-    def __init__(self, templates: list[tuple[str, bytes]], contained: float = CONTAINED, miss: float = MISS):
-        self.contained, self.names, self.shingles, self.sizes = contained, [], [], []
+    def __init__(self, templates: list[tuple[str, bytes]], contained: float = CONTAINED, miss: float = MISS, first: int = 0):
+        self.contained, self.names, self.shingles, self.sizes, self.first = contained, [], [], [], first
         self.classes: list[_Class] = []
         groups: dict[tuple[int, int], list[int]] = {}
         for name, data in templates:
@@ -154,12 +157,36 @@ class TemplateIndex:
             for t, (share, first) in best.items():
                 places = [i for i in range(first, min(first + 2 * one.step, len(words) - one.size + 1))
                           if tuple(words[i : i + one.size]) in self.shingles[t]]
-                out.append({"license": self.names[t], "template": t, "first": places[0], "last": places[-1] + one.size - 1, "contained": share})
+                out.append({"license": self.names[t], "template": self.first + t, "first": places[0], "last": places[-1] + one.size - 1, "contained": share})
         return sorted(out, key=lambda m: (m["license"], m["template"]))
 
 
+def _blocks(templates: DataFrame | None, license_id: str, license_text: str, block_bytes: int, contained: float, miss: float):
+    """The indexes, one at a time. Templates are dealt to blocks by a hash of their id and text."""
+    if templates is None:
+        yield TemplateIndex([(name, text.encode()) for name, text in TEMPLATES], contained, miss)
+        return
+    given = pick(templates, license_id, license_text).toDF("name", "text").filter("name IS NOT NULL AND text IS NOT NULL")
+    given = given.select(F.col("name").cast("string").alias("name"), F.col("text").cast("binary").alias("data")).distinct()
+    size = given.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
+    count, first = max(1, -(-size // block_bytes)), 0
+    for number in range(count):
+        part = given.filter(F.pmod(F.xxhash64("name", "data"), F.lit(count)) == number) if count > 1 else given
+        index = TemplateIndex(sorted((r.name, bytes(r.data)) for r in part.collect()), contained, miss, first)
+        first += len(index.names)
+        yield index
+
+
+def _scan(index, arrow_type):
+    def scan(texts: pa.Array) -> pa.Array:
+        return pa.array([index.value.find(t.as_py()) for t in texts], type=arrow_type)
+
+    return scan
+
+
 def find_licenses(docs: DataFrame, templates: DataFrame | None = None, text: str = "text", license_id: str = "license",
-                  license_text: str = "text", contained: float = CONTAINED, miss: float = MISS) -> DataFrame:
+                  license_text: str = "text", contained: float = CONTAINED, miss: float = MISS,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``licenses`` (distinct ids, sorted) and ``matches`` (template, first and last word, containment).
 
     ``templates``: ids and texts; without it ``TEMPLATES``.
@@ -169,21 +196,19 @@ def find_licenses(docs: DataFrame, templates: DataFrame | None = None, text: str
 
     spark = docs.sparkSession
     prepare(spark)
-    own = [(name, text_.encode()) for name, text_ in TEMPLATES]
-    if templates is not None:
-        given = pick(templates, license_id, license_text).toDF("name", "text").filter("name IS NOT NULL AND text IS NOT NULL")
-        chars = given.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        if chars > MOST_CHARS:
-            raise ValueError(f"{chars} bytes of templates are over {MOST_CHARS}")
-        rows = given.select(F.col("name").cast("string").alias("name"), F.col("text").cast("binary").alias("data")).collect()
-        own = sorted((r.name, bytes(r.data)) for r in rows)
-    index = spark.sparkContext.broadcast(TemplateIndex(own, contained, miss))
     arrow_type = to_arrow_type(_parse_datatype_string(FOUND))
-
-    @F.arrow_udf(FOUND)
-    def scan(texts: pa.Array) -> pa.Array:
-        return pa.array([index.value.find(t.as_py()) for t in texts], type=arrow_type)
-
-    found = with_results(docs, [text], lambda t: F.struct(scan(t.cast("binary")).alias("matches")), ["matches"])
+    found = docs
+    for number, own in enumerate(_blocks(templates, license_id, license_text, block_bytes, contained, miss)):
+        scan = F.arrow_udf(_scan(spark.sparkContext.broadcast(own), arrow_type), FOUND)
+        if number:
+            found = settle(found, "licenses")  # a task holds one block at a time
+
+        def build(data: Column, *old: Column, scan=scan) -> Column:
+            new = scan(data.cast("binary"))
+            return F.struct((F.concat(old[0], new) if old else new).alias("matches"))
+
+        found = with_results(found, [text, *(["matches"] if number else [])], build, ["matches"])
+    order = lambda a, b: F.when(a["license"] < b["license"], -1).when(a["license"] > b["license"], 1).otherwise(a["template"] - b["template"])
+    found = with_results(found, ["matches"], lambda m: F.struct(F.array_sort(m, order).alias("matches")), ["matches"]) if number else found
     licenses = lambda m: F.struct(F.array_sort(F.array_distinct(F.transform(m, lambda x: x["license"]))).alias("licenses"))
     return with_results(found, ["matches"], licenses, ["licenses"])
