@@ -50,6 +50,17 @@ def test_shared_prefixes_are_computed_once():
     assert len(trie.least) == nodes + 3
 
 
+def test_long_pieces_leave_no_nodes(monkeypatch):
+    rng = random.Random(3)
+    piece = "".join(rng.choices(["th", "in", "er", "é", "x"], k=900)).encode()
+    expected = brute(piece)
+    assert t.PieceTrie(ranks()).count(piece) == expected
+    monkeypatch.setattr(t, "LONG", 500)
+    trie = t.PieceTrie(ranks())
+    assert trie.count(piece) == expected and trie.count(piece[:501]) == brute(piece[:501])
+    assert len(trie.least) == 1
+
+
 def test_texts_against_brute_force(spark):
     texts = TEXTS + random_texts(60, 5)
     docs = clashing(odd_documents(spark, texts), "n_tokens", "N_pieces")

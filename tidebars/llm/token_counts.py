@@ -3,9 +3,10 @@
 The cost of a token is -ln of a Zipf weight by its rank in the vocabulary, in whole millionths; a pre-token is cut into the
 tokens of the least total cost, of equals those that are fewest. The pre-tokens of a batch are inserted in a trie; the least
 cost of a prefix is computed once for its node, whatever number of pre-tokens share it, and the node where a pre-token ends
-gives its count. Counts of recent pre-tokens are remembered, so a text costs a look-up for each word.
+gives its count. A pre-token of over ``LONG`` bytes shares little and is counted by the same costs without nodes, with only the
+costs that a token can reach. Counts of recent pre-tokens are remembered, so a text costs a look-up for each word.
 
-Null and empty texts have no tokens. All single bytes are tokens, so every text has a count.
+Null and empty texts have no tokens; repeated rows are counted each on its own. All single bytes are tokens, so every text has a count.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import base64
 import functools
 import math
+from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -22,6 +24,8 @@ from tidebars.llm.pieces import Memo, keys, part, pieces
 
 #: Nodes that a trie may have before a new one is begun.
 MOST_NODES = 300_000
+#: Bytes of a pre-token that is not inserted.
+LONG = 10_000
 #: A cost holds the sum of the tokens' costs above, and their number in the lowest bits.
 COUNT_BITS = 40
 
@@ -56,6 +60,8 @@ class PieceTrie:
 
     def count(self, piece: bytes) -> int:
         """Insert a pre-token; the number of its tokens."""
+        if len(piece) > LONG:
+            return self._count_long(piece)
         if len(self.least) > self.most_nodes:
             self.clear()
         node, path, child, least, cost = 0, [0], self.child, self.least, self.costs
@@ -73,6 +79,17 @@ class PieceTrie:
             path.append(least[node])
         return path[-1] & ((1 << COUNT_BITS) - 1)
 
+    def _count_long(self, piece: bytes) -> int:
+        cost, path = self.costs, deque([0], maxlen=self.longest)
+        for end in range(1, len(piece) + 1):
+            best = None
+            for start, before in enumerate(path, end - len(path)):
+                own = cost.get(piece[start:end])
+                if own is not None and (best is None or before + own < best):
+                    best = before + own
+            path.append(best)
+        return path[-1] & ((1 << COUNT_BITS) - 1)
+
 
 class Counter:
     """(pieces, tokens) of texts."""
