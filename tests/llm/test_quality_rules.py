@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from cases import clashing, odd_documents
 
@@ -75,6 +76,20 @@ def test_bound_thins_the_sample(spark, learnt):
     assert 20 < q._sample(docs, labels, "doc_id", "text", "quality", 60).count() < 110
 
 
+def test_statistics_are_taken_of_labelled_texts_alone(spark, learnt, monkeypatch):
+    docs, labels, _ = learnt
+    seen, own = spark.sparkContext.accumulator(0), q._statistics
+
+    def counted(texts: pa.Array) -> pa.Array:
+        seen.add(len(texts))
+        return own(texts)
+
+    monkeypatch.setattr(q, "_statistics", counted)
+    told = sum(not is_held_out(i) for i in range(40))
+    assert q._sample(docs, labels.filter("doc_id < 40"), "doc_id", "text", "quality", 30_000).count() == told
+    assert told <= seen.value <= 2 * told  # once more for the ranges of the sort
+
+
 def test_paths_of_a_tree():
     tree = "x\n  If (feature 0 <= 1.5)\n   If (feature 2 <= 0.25)\n    Predict: 0.0\n   Else (feature 2 > 0.25)\n    Predict: 1.0\n  Else (feature 0 > 1.5)\n   Predict: 1.0\n"
     inf = math.inf

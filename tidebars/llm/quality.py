@@ -124,11 +124,13 @@ def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     known = known.groupBy("id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
     total = known.count()
     rows = pick(docs, doc_id, text).toDF("id", "text").filter("id IS NOT NULL").filter(~held_out(F.col("id")))
-    if total > bound:  # thinned before any statistics are taken
+    if total > bound:
         share = int(bound / total * (1 << 30))
         known, rows = (x.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share) for x in (known, rows))
-    rows = rows.select("id", statistics_column(F.col("text")).alias("made"))
-    return settle(rows.join(known, "id").select("id", "label", "made.*").sort("id", *STATISTICS), "quality-sample").coalesce(_TASKS)
+    # The written labels are bounded by ``bound``; by that size Spark sends them to the texts, and statistics are taken of
+    # labelled texts alone, also where few are labelled.
+    rows = rows.join(settle(known, "quality-labels"), "id").withColumn("made", statistics_column(F.col("text")))
+    return settle(rows.select("id", "label", "made.*").sort("id", *STATISTICS), "quality-sample").coalesce(_TASKS)
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
