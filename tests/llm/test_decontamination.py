@@ -50,6 +50,30 @@ def test_against_brute_force(spark, benchmark, block_chars):
     assert got == expected
 
 
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(d.WindowSet, "_hash", lambda self, words, starts, size: words[starts].astype("uint64") % 2)
+    items = [(str(i), t.encode()) for i, t in ITEMS if i is not None and t is not None]
+    windows = d.WindowSet(items, 3)
+    for text in [*TEXTS, "three four five one two", ""]:
+        hit, found = windows.find(d.words_of(text.encode()))
+        assert (len(hit), hit.sum(), found) == brute(text, ITEMS, 3)
+
+
+def test_bytes_of_a_block():
+    """A block of 4,500 items: some 400,000 windows of 30 bytes at most, beside the vocabulary."""
+    import pickle
+    import random
+
+    draw = random.Random(5)
+    vocabulary = [f"word{i}" for i in range(50_000)]
+    items = [(str(i), " ".join(draw.choices(vocabulary, k=100)).encode()) for i in range(4_500)]
+    windows = d.WindowSet(items, 13)
+    held = sum(a.nbytes for _, layer in windows.layers for a in layer) + windows.words.nbytes
+    assert held <= 30 * 4_500 * 88 and len(pickle.dumps(windows)) < 15_000_000
+    hit, found = windows.find(d.words_of(b"x " + items[7][1] + b" y"))
+    assert hit.sum() == 100 and found == ["7"]
+
+
 def test_copies_of_an_item_are_held_once(spark, benchmark, monkeypatch):
     copies = spark.range(500).selectExpr("cast(1 AS bigint) AS item_id", f"'{ITEM}' AS text")
     docs, more = odd_documents(spark, TEXTS), benchmark.unionAll(copies)

@@ -1,8 +1,8 @@
 """Benchmark decontamination: n-gram windows of test items are looked up in every document.
 
-The windows of the test items form a hash set that every task holds, split into blocks of a checked size. A task turns the
-words of a document into vocabulary numbers (0: in no test item), hashes only windows without a 0, looks the hashes up and
-compares the words of each hit exactly.
+The windows of the test items form a set of sorted hashes that every task holds, split into blocks of a checked size; a window
+costs some 24 bytes. A task turns the words of a document into vocabulary numbers (0: in no test item), hashes only windows
+without a 0, looks the hashes up and compares the words of each hit exactly.
 
 Words: A-Z are lower-cased; a word is a run of digits, letters a-z and non-ASCII characters. A null text has no words. An
 item with fewer words than a window is one window; an item without words, or whose id is null, takes no part. Items that
@@ -11,6 +11,8 @@ share an id count as one. Repeated documents are judged each on its own.
 
 from __future__ import annotations
 
+import array
+import functools
 import itertools
 
 import numpy as np
@@ -35,49 +37,81 @@ def words_of(data: bytes | None) -> list[bytes]:
 
 
 class WindowSet:
-    """The windows of some test items, by length."""
+    """The windows of some test items, by length, as packed arrays.
+
+    ``words`` holds the vocabulary numbers of all items one after the other. A layer holds sorted hashes, for each the place
+    in ``words`` of one window that has it, and the items of that window. Different windows of one hash lie in further layers.
+    """
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.numbers: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], set[str]] = {}
+        self.names = sorted({item for item, _ in items})
+        number_of = {name: n for n, name in enumerate(self.names)}
+        words, starts = array.array("I"), {}
         for item, data in items:
-            words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(data)]
-            size = min(window, len(words))
-            for at in range(len(words) - size + 1 if size else 0):
-                self.items.setdefault(tuple(words[at : at + size]), set()).add(item)
-        by_length: dict[int, list[tuple[int, ...]]] = {}
-        for key in self.items:
-            by_length.setdefault(len(key), []).append(key)
-        self.hashes = {n: np.unique(self._hash(np.array(keys, dtype=np.uint64).T)) for n, keys in by_length.items()}
-
-    @staticmethod
-    def _hash(columns) -> np.ndarray:
-        out = np.zeros(len(columns[0]), dtype=np.uint64)
-        for column in columns:
-            out = (out ^ column) * _STEP
+            numbers = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(data)]
+            size = min(window, len(numbers))
+            if size:
+                starts.setdefault(size, []).append((len(words), len(numbers) - size + 1, number_of[item]))
+                words.extend(numbers)
+        self.words = np.array(words, dtype=np.uint32)
+        self.layers = [(size, layer) for size, runs in starts.items() for layer in self._layers(size, np.array(runs, dtype=np.int64))]
+
+    def _hash(self, words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        out = np.zeros(len(starts), dtype=np.uint64)
+        for j in range(size):
+            out = (out ^ words[starts + j].astype(np.uint64)) * _STEP
             out ^= out >> np.uint64(29)
         return out
 
-    def find(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
-        """Which words lie inside a window, and the items whose windows occur."""
-        n, items = len(words), set()
-        hit = np.zeros(n, dtype=bool)
-        numbers = np.fromiter(map(self.numbers.get, words, itertools.repeat(0)), dtype=np.uint64, count=n)
+    def _equal(self, words: np.ndarray, starts: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
+        same = np.ones(len(starts), dtype=bool)
+        for j in range(size):
+            same &= words[starts + j] == self.words[heads + j]
+        return same
+
+    def _layers(self, size: int, runs: np.ndarray):
+        """(hashes, heads, first member, members) of the windows that start in ``runs``: (first word, windows, item)."""
+        counts = runs[:, 1]
+        before = np.cumsum(counts) - counts
+        starts = np.repeat(runs[:, 0] - before, counts) + np.arange(counts.sum())
+        owners = np.repeat(runs[:, 2], counts).astype(np.uint32)
+        hashes = self._hash(self.words, starts, size)
+        while len(starts):
+            order = np.lexsort((owners, hashes))
+            starts, owners, hashes = starts[order], owners[order], hashes[order]
+            new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+            heads, number = starts[new], np.cumsum(new) - 1
+            same = self._equal(self.words, starts, heads[number], size)
+            held, of = owners[same], number[same]
+            once = np.concatenate(([True], (of[1:] != of[:-1]) | (held[1:] != held[:-1])))
+            first = np.searchsorted(of[once], np.arange(len(heads) + 1))
+            yield hashes[new], heads.astype(np.uint32), first.astype(np.uint32), held[once]
+            starts, owners, hashes = starts[~same], owners[~same], hashes[~same]
+
+    def find(self, words: list[bytes]) -> tuple[np.ndarray, list[str]]:
+        """Which words lie inside a window, and the items whose windows occur, sorted."""
+        n, items = len(words), []
+        edges = np.zeros(n + 1, dtype=np.int64)
+        numbers = np.fromiter(map(self.numbers.get, words, itertools.repeat(0)), dtype=np.uint32, count=n)
         known = np.concatenate(([0], np.cumsum(numbers > 0)))
-        for size, hashes in self.hashes.items():
+        for size, (hashes, heads, first, members) in self.layers:
             if n < size:
                 continue
             starts = np.flatnonzero(known[size:] - known[:-size] == size)
             if not len(starts):
                 continue
-            keys = self._hash([numbers[starts + j] for j in range(size)])
+            keys = self._hash(numbers, starts, size)
             near = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
-            for start in starts[hashes[near] == keys].tolist():
-                found = self.items.get(tuple(numbers[start : start + size].tolist()))
-                if found:
-                    items |= found
-                    hit[start : start + size] = True
-        return hit, items
+            met = hashes[near] == keys
+            starts, near = starts[met], near[met]
+            same = self._equal(numbers, starts, heads[near].astype(np.int64), size)
+            starts, near = starts[same], near[same]
+            np.add.at(edges, starts, 1)
+            np.add.at(edges, starts + size, -1)
+            items += [members[first[w] : first[w + 1]] for w in np.unique(near)]
+        found = np.unique(np.concatenate(items)) if items else []
+        return np.cumsum(edges[:n]) > 0, [self.names[i] for i in found]
 
 
 def _runs(hit: np.ndarray) -> list[dict]:
@@ -86,22 +120,35 @@ def _runs(hit: np.ndarray) -> list[dict]:
 
 
 def _scan(block, arrow_type):
-    def scan(text: pa.Array, before: pa.Array) -> pa.Array:
+    def scan(text: pa.Array) -> pa.Array:
         windows, out = block.value, []
-        for data, old in zip(text, before):
+        for data in text:
             words = words_of(data.as_py())
             hit, items = windows.find(words)
-            old = old.as_py()
-            if old:
-                for run in old["hits"]:
-                    hit[run["first"] : run["last"] + 1] = True
-                items |= set(old["items"])
-            out.append({"n_words": len(words), "n_hit": int(hit.sum()), "items": sorted(items), "hits": _runs(hit)})
+            out.append({"n_words": len(words), "n_hit": int(hit.sum()), "items": items, "hits": _runs(hit)})
         return pa.array(out, type=arrow_type)
 
     return scan
 
 
+def _union(arrow_type):
+    """What all blocks found in a document, together."""
+
+    def union(found: pa.Array) -> pa.Array:
+        out = []
+        for parts in found:
+            parts = parts.as_py()
+            hit, items = np.zeros(parts[0]["n_words"], dtype=bool), set()
+            for part in parts:
+                items.update(part["items"])
+                for run in part["hits"]:
+                    hit[run["first"] : run["last"] + 1] = True
+            out.append({"n_words": len(hit), "n_hit": int(hit.sum()), "items": sorted(items), "hits": _runs(hit)})
+        return pa.array(out, type=arrow_type)
+
+    return union
+
+
 def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_chars: int):
     """The window sets, one at a time. Items are dealt to blocks by a hash of their id and text, repeated ones once."""
     items = pick(benchmark, item_id, text).toDF("item", "text").filter("item IS NOT NULL AND text IS NOT NULL")
@@ -124,18 +171,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     prepare(spark)
     arrow_type = to_arrow_type(_parse_datatype_string(FOUND))
     results = ["n_words", "n_hit", "items", "hits"]
-    out = docs
-    for number, windows in enumerate(_blocks(benchmark, item_id, item_text, window, block_chars)):
-        scan = F.arrow_udf(_scan(spark.sparkContext.broadcast(windows), arrow_type), FOUND)
-        if number:
-            out = settle(out, "contamination")  # a task holds one block at a time
-
-        def build(data: Column, *old: Column, scan=scan) -> Column:
-            before = F.struct(*(o.alias(r) for o, r in zip(old, results))) if old else F.lit(None).cast(FOUND)
-            return scan(data.cast("binary"), before)
-
-        out = with_results(out, [text, *(results if number else [])], build, results)
-    return out
+    blocks = _blocks(benchmark, item_id, item_text, window, block_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        scan = F.arrow_udf(_scan(spark.sparkContext.broadcast(first), arrow_type), FOUND)
+        return with_results(docs, [text], lambda data: scan(data.cast("binary")), results)
+
+    # a task holds one block at a time: the texts are written once, and each block adds its hits by row
+    keyed = settle(beside(docs, [text], lambda data: data).withColumn("row", F.monotonically_increasing_id()), "contamination-texts")
+    parts = []
+    for windows in itertools.chain([first, second], blocks):
+        sent = spark.sparkContext.broadcast(windows)
+        part = keyed.select("row", F.arrow_udf(_scan(sent, arrow_type), FOUND)(F.col("made").cast("binary")).alias("found"))
+        parts.append(settle(part.filter("found.n_hit > 0") if parts else part, "contamination-hits"))
+        sent.destroy()
+    found = functools.reduce(DataFrame.unionAll, parts).groupBy("row").agg(F.collect_list("found").alias("found"))
+    found = found.select("row", F.arrow_udf(_union(arrow_type), FOUND)("found").alias("found"))
+    taken = set(results)
+    keep = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in taken]
+    return keyed.join(found, "row").select(*keep, *(F.col(f"found.{r}").alias(r) for r in results))
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:
