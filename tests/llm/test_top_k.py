@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from cases import clashing
 
 from tidebars.llm import top_k as t
 
@@ -32,7 +33,7 @@ def got(spark, rows, **how):
     return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found)
 
 
-@pytest.mark.parametrize("how", [{}, {"block": 50, "batch": 4}])
+@pytest.mark.parametrize("how", [{}, {"block": 50, "batch": 4}, {"block": 7, "batch": 2, "tile": (3, 2)}, {"block": 10, "tile": (1, 1)}])
 def test_against_brute_force(spark, how):
     rows = vectors(300)
     assert got(spark, rows, **how) == brute(rows)
@@ -57,6 +58,13 @@ def test_large_components(spark, size):
         assert len(got(spark, rows)) == len(expected)
 
 
+def test_clashing_columns(spark):
+    rows = vectors(90)
+    table = clashing(spark.createDataFrame(rows, SCHEMA), "VEC_ID", "score", "rank", "place", "Embedding")
+    found = t.top_k(table, block=40, batch=3).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == brute(rows)
+
+
 def test_few_or_no_rows(spark):
     assert got(spark, vectors(5)) == brute(vectors(5))
     assert got(spark, vectors(1)) == []

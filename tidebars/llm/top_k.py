@@ -7,8 +7,9 @@ each segment the components that are left bound what a score can still change (t
 vector). Once few vectors can still belong to the k best of a query, they are scored exactly and the query ends there; no
 query ends without that proof. Vectors that might tie count as possible members.
 
-Queries are met with blocks by an equality join on the numbers of a query batch and a group of blocks; both sides are bounded
-rows.
+Queries meet blocks in tiles, each of at most sixteen blocks and eight batches of queries, both packed: a block is sent once
+for each band of batches and a batch once for each group of blocks, and a tile returns the k best of a query, not those of
+each block.
 
 Vectors that are null or hold a null, a NaN or an infinity take no part, nor do rows with a null id. Missing dimensions count
 as zero. Repeated query rows are one query; repeated candidates count each. Rows with the query's id are its own. Scores beyond
@@ -17,16 +18,25 @@ a long end at its limits.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidebars.llm.frames import pick, prepare, settle
+from tidebars.session import small_frame
 
 #: Vectors in a block, queries in a batch (about).
 BLOCK, BATCH = 8_192, 1_024
 #: Bounds of the segments, as shares of the largest impact of a block, largest first.
 SEGMENTS = (0.25, 0.125, 0.0625)
+#: Blocks and batches in a tile, at most.
+TILE = 16, 8
+#: Tasks that tiles are dealt to, at most.
+_TASKS = 20_000
+#: Numbers of rows that monotonically_increasing_id keeps for each task.
+_PER_TASK = 1 << 33
 #: A query ends early once at most this share of a block can still be among its best.
 FEW = 0.02
 _EXACT_32, _EXACT_64 = 1 << 24, 1 << 53
@@ -154,38 +164,64 @@ def whole_vectors(table: DataFrame, vec_id: str, vector: str, scale: int) -> Dat
     return rows.filter(sound).select("vec_id", F.transform("vector", lambda x: F.floor(x * scale)).alias("parts"))
 
 
+def _pack_batch(rows):
+    """The queries of a batch, packed like a block."""
+    for group in rows:
+        for row in group.to_pylist():
+            values = pack([o["vec_id"] for o in row["own"]], [o["parts"] for o in row["own"]])
+            types = pa.binary(), pa.binary(), pa.string(), pa.int32()
+            yield pa.RecordBatch.from_arrays([pa.array([row["number"]], pa.int32()), *(pa.array([v], t) for v, t in zip(values, types))],
+                                             names=["number", "ids", "parts", "wide", "n"])
+
+
+def _meet(k: int):
+    """The k best of each query of a tile's batches among the vectors of its blocks."""
+    types = {"number": pa.int32(), "place": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
+
+    def meet(blocks: pa.Table, batches: pa.Table) -> pa.Table:
+        blocks, out = [unpack(b) for b in blocks.to_pylist()], {name: [] for name in types}
+        for batch in batches.to_pylist() if blocks else []:
+            ids, q = unpack(batch)
+            for place, found in enumerate(zip(*(search_block((ids, q), block, k) for block in blocks))):
+                vec_ids, scores = (np.concatenate(part) for part in zip(*found))
+                best = np.lexsort((vec_ids, ~scores))[:k]
+                fixed = batch["number"], place, ids[place]
+                for name, values in zip(types, (*(np.full(len(best), v) for v in fixed), vec_ids[best], scores[best])):
+                    out[name].append(values)
+        return pa.table({name: pa.array(np.concatenate(out[name]) if out[name] else [], t) for name, t in types.items()})
+
+    return meet
+
+
 def top_k(table: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 64,
-          block: int = BLOCK, batch: int = BATCH) -> DataFrame:
+          block: int = BLOCK, batch: int = BATCH, tile: tuple[int, int] = TILE) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best partners, among all rows, of the rows whose id ``every`` divides."""
     spark = table.sparkSession
     prepare(spark)
     vectors = whole_vectors(table, vec_id, vector, scale)
     blocks = settle(vectors.mapInArrow(_pack_blocks(block), PACKED).withColumn("place", F.monotonically_increasing_id()), "vector-blocks")
     asked = settle(vectors.filter(F.col("vec_id") % every == 0).distinct(), "vector-queries")
-    batches, groups = max(1, -(-asked.count() // batch)), max(1, blocks.count())
-    number = F.pmod(F.xxhash64("vec_id", "parts"), F.lit(batches)).cast("int")
+
+    # the blocks that one task packed make groups of tile[0]; one number for each task comes to the driver
+    task = F.floor(F.col("place") / _PER_TASK)
+    sizes = sorted(tuple(r) for r in blocks.groupBy(task.alias("task")).agg(F.count("*")).collect())
+    ends = list(itertools.accumulate(-(-n // tile[0]) for _, n in sizes))
+    starts = small_frame(spark, [(t, end - -(-n // tile[0])) for (t, n), end in zip(sizes, ends)], "task bigint, first bigint")
+    groups, batches = max([1, *ends]), max(1, -(-asked.count() // batch))
+    bands = -(-batches // tile[1])
     packed = settle(
-        asked.withColumn("number", number).groupBy("number")
-        .agg(F.collect_list(F.struct("vec_id", "parts")).alias("own")).select("number", "own"), "query-batches")
-    every_group = packed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    every_batch = blocks.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(groups)).cast("int")).withColumn(
-        "number", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-
-    def run(rows):
-        for group in rows:
-            for row in group.to_pylist():
-                ids = np.array([o["vec_id"] for o in row["own"]], dtype=np.int64)
-                q = unpack(dict(zip(("ids", "parts", "wide", "n"), pack(ids, [o["parts"] for o in row["own"]]))))
-                found = search_block(q, unpack(row), k)
-                sizes = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(len(ids)), sizes)), pa.array(np.repeat(ids, sizes)),
-                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found])),
-                     pa.array([row["number"]] * sum(sizes), pa.int32())],
-                    names=["place", "query_id", "vec_id", "score", "number"])
-
-    met = every_batch.join(every_group, ["number", "part"]).select("number", "own", "ids", "parts", "wide", "n")
-    found = met.mapInArrow(run, "place bigint, query_id bigint, vec_id bigint, score bigint, number int")
+        asked.groupBy(F.pmod(F.xxhash64("vec_id", "parts"), F.lit(batches)).cast("int").alias("number"))
+        .agg(F.collect_list(F.struct("vec_id", "parts")).alias("own")).mapInArrow(_pack_batch, f"number int, {PACKED}"), "query-batches")
+
+    tasks = min(2 * groups * bands, _TASKS)
+    every_band = blocks.withColumn("task", task).join(starts, "task").select(
+        (F.col("first") + F.floor(F.col("place") % _PER_TASK / tile[0])).alias("part"),
+        F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"), "ids", "parts", "wide", "n")
+    every_group = packed.select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("part"),
+        F.floor(F.col("number") / tile[1]).cast("int").alias("band"), "number", "ids", "parts", "wide", "n")
+    sides = [side.repartition(tasks, "part", "band").groupBy("part", "band") for side in (every_band, every_group)]
+    found = sides[0].cogroup(sides[1]).applyInArrow(_meet(k), "number int, place bigint, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("number", "place", "query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
