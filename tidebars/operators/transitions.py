@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidebars.operators.states import scoring_rows, training_rows
 from tidebars.schema import FEATURE_COLS
-from tidebars.session import scratch_dir, ship_package
+from tidebars.session import Rounds, ship_package
 
 MODEL_SCHEMA = "symbol string, classes array<string>, weights array<array<double>>, status string"
 #: Training rows of a symbol that one task fits at most, whatever the size of the table.
@@ -187,27 +187,22 @@ def _advance(batches):
         yield pd.DataFrame({"symbol": pdf["symbol"], "label": pdf["label"]} | {c: list(v) for c, v in columns.items()})
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _fit_large(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Models of the symbols in ``classes``, by rounds over their ``rows``. Where each model stands is a row of a table in
     the shared folder, so any number of symbols may be large and nothing of theirs comes to the driver."""
     labels = F.when(F.size("classes") == 2, F.slice("classes", 2, 1)).when(F.size("classes") > 2, F.col("classes"))
     zeros = F.array(*[F.lit(0.0)] * N_WEIGHTS)
-    standing = _written(classes.select("symbol", F.explode(labels).alias("label")).select(
+    written = Rounds(rows.sparkSession, "standing")
+    standing = written.write(classes.select("symbol", F.explode(labels).alias("label")).select(
         "symbol", "label", zeros.alias("w"), zeros.alias("kept_w"), F.lit(float("inf")).alias("kept_loss"), zeros.alias("step"),
-        F.lit(False).alias("done")), "standing")
+        F.lit(False).alias("done")))
     for _ in range(MAX_ROUNDS):
         open_ = standing.filter(~F.col("done"))
         if open_.isEmpty():
             break
         sums = model_sums(rows, open_.select("symbol", "label", "w"))
         moved = open_.join(sums, ["symbol", "label"]).mapInPandas(_advance, _STANDING)
-        standing = _written(standing.filter("done").unionByName(moved), "standing")
+        standing = written.write(standing.filter("done").unionByName(moved))
     # one row per class, of which there are five at most
     fitted = standing.groupBy("symbol").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("label", "w"))), lambda m: m["w"]).alias("weights"),
@@ -230,9 +225,9 @@ def fit_transitions(features: DataFrame, group_rows: int | None = None) -> DataF
     rows = training_rows(features).select("symbol", "timestamp", *FEATURE_COLS, "target_state")
     undefined = F.col("history") & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in FEATURE_COLS])
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*FEATURE_COLS, "target_state"]])
-    counts = _written(features.groupBy("symbol").agg(
+    counts = Rounds(features.sparkSession, "model-counts").write(features.groupBy("symbol").agg(
         F.count_if(complete).alias("n"), F.count_if(undefined).alias("dropped"),
-        F.array_sort(F.collect_set(F.when(complete, F.col("target_state")))).alias("found")), "model-counts")
+        F.array_sort(F.collect_set(F.when(complete, F.col("target_state")))).alias("found")))
     large = counts.filter(F.col("n") > limit)
     any_large = not large.isEmpty()
     small = rows.join(large.select("symbol"), "symbol", "left_anti") if any_large else rows

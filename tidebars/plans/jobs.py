@@ -17,6 +17,7 @@ from tidebars.operators.runs import MIN_SEGMENT_ROWS, SymbolSizes
 from tidebars.operators.states import classified_features, last_states, with_states
 from tidebars.operators.transitions import fit_transitions, transition_probs
 from tidebars.schema import BAR_COLS, DEFAULT_START, KEY, STANDARD_PERIODS, STATE_WINDOW_DAYS
+from tidebars.session import scratch_run
 from tidebars.sources import landing as landed
 from tidebars.sources.tables import BAR_TABLES, Commit, TableStore, cell_place, usable
 
@@ -297,13 +298,18 @@ class TransformResult(JobResult):
 
 
 def transform_states(store: TableStore, universe: DataFrame | None, run_end, labels: str = "fresh") -> TransformResult:
-    """Classify the trailing 365 days, store the states, fit the model, store its matrix.
+    """Classify the trailing 365 days, store the states, fit the model, store its matrix. Scratch tables go at the end.
 
     Without a ``universe`` all symbols are in the run, and the stored matrices are those of this run.
     ``labels="fresh"`` trains on the states of this run; ``"stored"`` on those stored before it.
     """
     if labels not in ("fresh", "stored"):
         raise ValueError(f"labels must be fresh or stored: {labels}")
+    with scratch_run(store.spark):
+        return _transform_states(store, universe, run_end, labels)
+
+
+def _transform_states(store: TableStore, universe: DataFrame | None, run_end, labels: str) -> TransformResult:
     end = as_time(run_end)
     start = end - dt.timedelta(days=STATE_WINDOW_DAYS)
     base = store.manifest()

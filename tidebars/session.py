@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import os
 import pathlib
@@ -14,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: The folder of the run that is open in this thread, if any.
+_RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch_run", default=None)
+
+
 def get_session(app: str = "tidebars", master: str | None = None, **conf) -> SparkSession:
     """A session with UTC time, adaptive execution and no web page; ``conf`` overrides."""
     settings = {
@@ -55,14 +61,51 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path in the shared folder named by ``spark.checkpoint.dir``, or in that of the open ``scratch_run``.
 
     Only a session that names no such folder (local tests) falls back to a temporary one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base(spark)
+    base = _RUN.get() or spark.conf.get("spark.checkpoint.dir", None) or _local_base(spark)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this library wrote; nothing happens if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch_run(spark: SparkSession, keep: bool = False):
+    """Scratch tables that are written inside go at the end, also after an error, unless told to ``keep`` them.
+
+    Frames are lazy: write what is wanted of them inside, to a path that was chosen outside.
+    """
+    folder = scratch_dir(spark, "run")
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        if not keep:
+            remove_folder(spark, folder)
+
+
+class Rounds:
+    """Written tables of which each is made from the one before: that one goes once the next is complete."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self._last = spark, label, None
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = scratch_dir(self.spark, self.label)
+        df.write.parquet(path)
+        if self._last:
+            remove_folder(self.spark, self._last)
+        self._last = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"tidebars-{application}-")
