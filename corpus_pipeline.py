@@ -1,7 +1,12 @@
 """A corpus from raw documents: quality, near-copies, contamination, secrets, token ids.
 
-Each stage takes the documents that its predecessor kept, all of them, and all but the last return the same columns. ``run``
-writes what a stage returns as Parquet in the shared folder and reads it again, so a lost executor repeats one stage at most.
+Each stage takes the documents that its predecessor kept, all of them, and all but the last return the same columns, other
+ones of any name included. ``run`` writes what a stage returns as Parquet in the shared folder and reads it again, so a lost
+executor repeats one stage at most; scratch tables of a stage, and what the stage before it returned, go once that is written.
+
+Null and empty texts count as texts without words: all of them have one fingerprint, so one of them stays if the classifier
+keeps it. A row without an id is a document like any other. Repeated rows are near-copies of each other: one stays. An empty
+table gives an empty result; without labels nothing is rejected.
 """
 
 from __future__ import annotations
@@ -12,8 +17,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidebars.llm import bpe, decontamination, quality as quality_rules, secret_scan, simhash
-from tidebars.llm.frames import documents, settle
+from tidebars.llm.frames import documents
 from tidebars.llm.queries import BYTE_BPE, coded_digests
+from tidebars.session import remove_folder, scratch_dir, scratch_run
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +61,13 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage."""
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with scratch_run(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return docs

@@ -1,10 +1,11 @@
 import hashlib
+import os
 import re
 
 import numpy as np
 import pytest
 import public_tokenizers
-from cases import odd_documents
+from cases import clashing, odd_documents
 from test_bpe import library_ids
 from test_decontamination import brute as contamination
 from test_secret_scan import brute as secrets
@@ -76,11 +77,25 @@ def test_run_gives_the_last_stage(spark, sf_dir, staged):
 
 
 def test_odd_rows_and_an_empty_table(spark, folder):
-    docs = odd_documents(spark, ["The same words over and over again.", "Different words, once."])
+    docs = clashing(odd_documents(spark, ["The same words over and over again.", "Different words, once."]),
+                    "score", "made", "print", "component_id", "n_hit", "row", "secrets", "ids", "c1")
     for frame, name in ((docs, "odd"), (docs.limit(0), "none")):
         frame.write.parquet(f"{folder}/{name}/documents.parquet")
         spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/{name}/labels.parquet")
         spark.createDataFrame([(1, "some item")], "item_id bigint, text string").write.parquet(f"{folder}/{name}/benchmark.parquet")
     rows = p.run(spark, f"{folder}/odd").collect()
-    assert {r.doc_id for r in rows} >= {0, 1, None} and p.run(spark, f"{folder}/none").count() == 0
+    # one of the row that is there twice, one of the null, empty and blank texts
+    assert sorted(str(r.doc_id) for r in rows) == ["0", "1", "2", "5", "None"] and p.run(spark, f"{folder}/none").count() == 0
     assert re.fullmatch("[0-9a-f]{64}", rows[0].ids_sha256) and public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_a_run_keeps_its_last_stage_alone(spark, sf_dir, folder):
+    from tidebars import session
+
+    token = session._RUN.set(f"{folder}/scratch")
+    try:
+        rows = p.run(spark, sf_dir).count()
+        left = os.listdir(f"{folder}/scratch")
+    finally:
+        session._RUN.reset(token)
+    assert rows and len(left) == 1 and left[0].startswith("pipeline-token_ids")

@@ -5,8 +5,8 @@ greedily; a token may follow another only if the merges, applied to the two side
 not, the next shorter prefix token is tried; if none is left, the last token is taken back and its end is never tried
 again. Each end is closed at most once, so the work is linear in the piece and the result is what the merges give.
 
-Null texts count as empty. Texts are cut at the tokens that the vocabulary file adds (special tokens), which stand for
-themselves. Ids travel as little-endian unsigned 32-bit integers.
+Null texts count as empty; repeated rows are coded each on its own. Texts are cut at the tokens that the vocabulary file adds
+(special tokens), which stand for themselves. Ids travel as little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations

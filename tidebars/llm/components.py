@@ -1,10 +1,10 @@
-"""Connected components by alternating star contractions, each round a written table."""
+"""Connected components by alternating star contractions, each round a written table that replaces the one before."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidebars.llm.frames import settle
+from tidebars.session import Rounds
 
 
 def _digest(edges: DataFrame):
@@ -33,10 +33,11 @@ def connected(edges: DataFrame) -> DataFrame:
     Ends when a round leaves the edges as they are: then each component is one star. A node with very many edges is split
     by the skew join, minima are taken before rows are shuffled.
     """
-    edges = settle(edges.distinct(), "edges")
+    written = Rounds(edges.sparkSession, "edges")
+    edges = written.write(edges.distinct())
     before = _digest(edges)
     while before[0]:
-        edges = settle(_small_star(_large_star(edges)), "edges")
+        edges = written.write(_small_star(_large_star(edges)))
         now = _digest(edges)
         if tuple(now) == tuple(before):
             break

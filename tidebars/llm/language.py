@@ -10,8 +10,8 @@ The sample is drawn in one pass and written; landmarks and kernel values come fr
 landmarks the weights stay two factors (by term and landmark, by landmark and language), so what tasks hold grows with neither
 texts nor the product of terms and languages.
 
-A null text, or one without a letter, is ``und`` with score 0 and teaches nothing. Repeated rows count as often as they occur. Texts that tie take the language that sorts first. Without
-anything to learn from, all texts are ``und``.
+A null text, or one without a letter, is ``und`` with score 0 and teaches nothing. Repeated rows count as often as they occur.
+Texts that tie take the language that sorts first. Without anything to learn from, all texts are ``und``.
 """
 
 from __future__ import annotations

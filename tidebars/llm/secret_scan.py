@@ -6,7 +6,7 @@ each, the counts of its letters and the sum of c * log2(c) over them change by o
 stretch from the first to the last window whose entropy reaches the class's bound is a secret, unless the candidate is on the
 allow-list or the stretch touches a base secret.
 
-A null text counts as empty. Places are code points, ends excluded.
+A null text counts as empty; repeated rows are scanned each on its own. Places are code points, ends excluded.
 """
 
 from __future__ import annotations

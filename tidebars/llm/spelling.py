@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidebars.llm.frames import pick, prepare, settle
+from tidebars.session import Rounds
 
 MIN_LETTERS = 6
 MIN_COUNT = 5
@@ -203,12 +204,13 @@ def near_words(vocab: DataFrame, tile: int = TILE, block: int = BLOCK) -> DataFr
 
 def _roots(forms: DataFrame) -> DataFrame:
     """``word, root``: the end of the chain of forms. Counts rise along a chain, so it ends; each round doubles the reach."""
-    links = settle(forms.select("word", F.col("form").alias("root")), "spelling-roots")
+    written = Rounds(forms.sparkSession, "spelling-roots")
+    links = written.write(forms.select("word", F.col("form").alias("root")))
     while True:
         further = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
         if links.join(further, "root", "left_semi").isEmpty():
             return links
-        links = settle(links.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "spelling-roots")
+        links = written.write(links.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")))
 
 
 def group_variants(vocab: DataFrame, more: int = MORE, tile: int = TILE, block: int = BLOCK) -> DataFrame:
