@@ -66,6 +66,20 @@ def test_links_connect_what_brute_force_connects(spark, crowd):
             assert {got[m] for m in members} == {min(members)}
 
 
+def test_all_two_bit_patterns_share_a_codeword():
+    """The code is linear, so one word for each of the 2,048 syndromes stands for all words."""
+    syndromes, words = np.unique(s._syndrome(np.arange(1 << 16)), return_index=True)
+    assert len(syndromes) == 2048
+    bits = [1 << a for a in range(23)]
+    patterns = np.array([0, *bits, *(a | b for a in bits for b in bits if a < b)])
+    rows, indices = (np.asarray(x, dtype=np.int64) for x in s.codeword_indices(words))
+    own = np.unique(rows << 12 | indices)
+    others = (words[:, None] ^ patterns).ravel()
+    rows, indices = (np.asarray(x, dtype=np.int64) for x in s.codeword_indices(others))
+    met = np.isin(rows // len(patterns) << 12 | indices, own)
+    assert len(others) == 2048 * 277 and len(np.unique(rows[met])) == len(others)
+
+
 def test_two_bits_share_a_codeword():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 1 << 23, 3000)
