@@ -137,3 +137,28 @@ def test_no_group_is_larger_than_the_limit(features):
     with pytest.MonkeyPatch.context() as m:
         m.setattr(tr, "GROUP_ROWS", 5)
         assert {r.status for r in tr.fit_transitions(features).collect()} <= {"ok", "single_class"}
+
+
+def test_rows_of_one_large_symbol_lie_in_many_tasks(spark):
+    f = tiny(spark, ["Slight Up", "Stable", "Strong Up"] * 400).coalesce(1)
+    classes = tr.classes_per_symbol(f)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = tr.pack_rows(st.training_rows(f), classes).groupBy(F.spark_partition_id()).agg(F.sum("size").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r.n for r in held) == 1200 and len(held) == 4
+    assert max(r.n for r in held) < 600
+
+
+def test_block_sums_are_those_of_the_rows(features):
+    rows, classes = st.training_rows(features), tr.classes_per_symbol(features)
+    weights = F.array(*[F.lit(0.1 * i - 0.2) for i in range(tr.N_WEIGHTS)])
+    models = classes.select("symbol", F.transform("classes", lambda c, i: F.struct(i.alias("place"), weights.alias("w"))).alias("models"))
+    parts = tr.pack_rows(rows, classes).join(models, "symbol").mapInPandas(tr._block_sums, tr._SUMS_SCHEMA)
+    got = {(r.symbol, r.place): r for r in parts.groupBy("symbol", "place").agg(*[F.sum(c).alias(c) for c in tr._SUMS]).collect()}
+    plain = tr.model_sums(rows, classes.select("symbol", F.explode("classes").alias("label"), weights.alias("w"))).collect()
+    place = {(r.symbol, c): i for r in classes.collect() for i, c in enumerate(r.classes)}
+    assert len(got) == len(plain)
+    for r in plain:
+        np.testing.assert_allclose([got[r.symbol, place[r.symbol, r.label]][c] for c in tr._SUMS], [r[c] for c in tr._SUMS], rtol=1e-9, atol=1e-9)

@@ -13,7 +13,9 @@ from tidebars.catalog.registry import query
 from tidebars.catalog.windows import FEATURES, state_features
 from tidebars.operators import states as st
 from tidebars.operators import transitions as tr
+from tidebars.operators.runs import symbol_sizes
 from tidebars.schema import FEATURE_COLS
+from tidebars.session import Rounds
 
 COMPLETE = "ret_lag_20 IS NOT NULL AND target_state IS NOT NULL"
 
@@ -108,8 +110,17 @@ def _slopes(features, group_rows=None):
 
 
 def tick_features(spark, sf_dir):
-    labelled = st.with_states(fx.tick_bars(spark, sf_dir)).withColumnRenamed("new_state", "market_state")
-    return st.lag_features(labelled)
+    bars = fx.tick_bars(spark, sf_dir)
+    sizes = symbol_sizes(bars)
+    labelled = st.with_states(bars, sizes).withColumnRenamed("new_state", "market_state")
+    return st.lag_features(labelled, sizes=sizes)
+
+
+def _fitted(features, group_rows=None):
+    """Features and their models, each computed once and written: fit and scoring read both again and again. Rows of few
+    long symbols come out of their windows in as many tasks as there are symbols; they are dealt anew."""
+    features = Rounds(features.sparkSession, "features").write(features.repartition("symbol", "timestamp"))
+    return features, Rounds(features.sparkSession, "models").write(tr.fit_transitions(features, group_rows))
 
 
 @query("m05_row_sums", f"""SELECT c.symbol, c.label AS from_state, CASE WHEN s.symbol IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS total,
@@ -129,7 +140,7 @@ def row_sums(spark, sf_dir):
   FROM (SELECT DISTINCT symbol, target_state FROM features WHERE {COMPLETE})) c ON c.symbol = f.symbol
 WHERE k > 2 OR (k = 2 AND i = 2)""", uses="features")
 def fitted(spark, sf_dir):
-    models = tr.fit_transitions(state_features(spark, sf_dir))
+    _, models = _fitted(state_features(spark, sf_dir))
     return models.join(_per_label(models), "symbol").select("symbol", "status", "n", "dropped", "label")
 
 
@@ -187,8 +198,8 @@ FROM ({_CLASSES}) a JOIN ({_CLASSES}) b ON a.symbol = b.symbol LEFT JOIN (
   SELECT DISTINCT symbol, market_state FROM tick_features WHERE ret_lag_20 IS NOT NULL AND market_state IS NOT NULL) s
 ON s.symbol = a.symbol AND s.market_state = a.label""", uses="tick_features")
 def transition_matrix(spark, sf_dir):
-    features = tick_features(spark, sf_dir)
-    probs = tr.transition_probs(features, tr.fit_transitions(features))
+    features, models = _fitted(tick_features(spark, sf_dir))
+    probs = tr.transition_probs(features, models)
     return probs.select("symbol", "from_state", "to_state", (F.col("prob") == 0).alias("never_current"))
 
 

@@ -6,7 +6,8 @@ penalised like the rest. Two classes need one model, for the later class.
 
 Symbols of up to ``GROUP_ROWS`` training rows are fitted whole, many side by side, after a single shuffle.
 Larger ones, of which there may be any number, are fitted by rounds of partially aggregated gradient and
-Hessian sums over their rows; a row for each model holds where its iteration stands.
+Hessian sums over blocks of their rows, which are dealt evenly over the tasks once; a row for each model
+holds where its iteration stands.
 
 A fit counts as done when the gradient is zero for all practical purposes, not when steps get short. One
 that does not get there in ``MAX_ROUNDS`` has the status ``not_converged``, no weights and no matrix.
@@ -18,12 +19,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidebars.operators.states import scoring_rows, training_rows
 from tidebars.schema import FEATURE_COLS
-from tidebars.session import Rounds, ship_package
+from tidebars.session import Rounds, remove_folder, scratch_dir, ship_package
 
 MODEL_SCHEMA = "symbol string, classes array<string>, weights array<array<double>>, status string"
 #: Training rows of a symbol that one task fits at most, whatever the size of the table.
@@ -170,7 +170,40 @@ def model_sums(rows: DataFrame, weights: DataFrame) -> DataFrame:
     return placed.groupBy("symbol", "label").agg(F.sum(loss).alias("loss"), *gradient, *hessian)
 
 
-_STANDING = "symbol string, label string, w array<double>, kept_w array<double>, kept_loss double, step array<double>, done boolean"
+_BLOCK_SCHEMA = "symbol string, size int, x binary, code binary"
+_SUMS = ["loss"] + [f"g{i}" for i in range(N_WEIGHTS)] + [f"h{i}_{j}" for i, j in zip(*_UPPER)]
+_SUMS_SCHEMA = "symbol string, place int, " + ", ".join(f"{c} double" for c in _SUMS)
+
+
+def _pack(batches):
+    """Blocks of rows of one symbol, as bytes, from rows in which symbols stand together: features and the target's place."""
+    for pdf in batches:
+        symbols, code = pdf["symbol"].to_numpy(), pdf["code"].to_numpy(dtype=np.int8)
+        x = pdf[FEATURE_COLS].to_numpy(dtype=float)
+        starts = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1]))) if len(pdf) else []
+        for a, b in zip(starts, [*starts[1:], len(pdf)]):
+            yield pd.DataFrame({"symbol": [symbols[a]], "size": [b - a], "x": [x[a:b].tobytes()], "code": [code[a:b].tobytes()]})
+
+
+def _block_sums(batches):
+    """Sums of one Newton round, the penalty left out, for each block and open model of its symbol."""
+    for pdf in batches:
+        out = []
+        for symbol, size, packed, code, models in zip(*(pdf[c] for c in ("symbol", "size", "x", "code", "models"))):
+            x = np.ones((N_WEIGHTS, size))
+            x[:-1] = np.frombuffer(packed).reshape(size, -1).T
+            places = [m["place"] for m in models]
+            y = np.where(np.frombuffer(code, dtype=np.int8) == np.array(places)[:, None], 1.0, -1.0)
+            margin = y * (np.array([m["w"] for m in models], dtype=float) @ x)
+            tail = np.exp(-np.abs(margin))
+            loss = np.log1p(tail).sum(axis=1) - np.minimum(margin, 0.0).sum(axis=1)
+            gradient = -(y * np.where(margin > 0.0, tail, 1.0) / (1.0 + tail)) @ x.T
+            spread = tail / (1.0 + tail) ** 2
+            out += [(symbol, k, a, *g, *((x * d) @ x.T)[_UPPER]) for k, a, g, d in zip(places, loss, gradient, spread)]
+        yield pd.DataFrame(out, columns=["symbol", "place", *_SUMS])
+
+
+_STANDING = "symbol string, place int, w array<double>, kept_w array<double>, kept_loss double, step array<double>, done boolean"
 
 
 def _advance(batches):
@@ -184,28 +217,40 @@ def _advance(batches):
         loss = pdf["loss"].to_numpy(dtype=float) + 0.5 * np.einsum("ij,ij->i", w, w)
         made = newton_step(w, kept_w, pdf["kept_loss"].to_numpy(dtype=float), step, loss, gradient, hessian)
         columns = dict(zip(("w", "kept_w", "kept_loss", "step", "done"), made))
-        yield pd.DataFrame({"symbol": pdf["symbol"], "label": pdf["label"]} | {c: list(v) for c, v in columns.items()})
+        yield pd.DataFrame({"symbol": pdf["symbol"], "place": pdf["place"]} | {c: list(v) for c, v in columns.items()})
+
+
+def pack_rows(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Training rows of the symbols in ``classes`` as blocks (symbol, size, x, code), dealt evenly over the tasks however few
+    symbols there are: (symbol, timestamp) is unique, and a symbol may lie in any number of tasks."""
+    place = (F.array_position("classes", F.col("target_state")) - 1).cast("int").alias("code")
+    coded = rows.join(classes, "symbol").select("symbol", "timestamp", *FEATURE_COLS, place)
+    dealt = coded.repartition("symbol", "timestamp").sortWithinPartitions("symbol").drop("timestamp")
+    return dealt.mapInPandas(_pack, _BLOCK_SCHEMA)
 
 
-def _fit_large(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Models of the symbols in ``classes``, by rounds over their ``rows``. Where each model stands is a row of a table in
-    the shared folder, so any number of symbols may be large and nothing of theirs comes to the driver."""
-    labels = F.when(F.size("classes") == 2, F.slice("classes", 2, 1)).when(F.size("classes") > 2, F.col("classes"))
+def _fit_large(blocks: DataFrame, classes: DataFrame) -> DataFrame:
+    """Models of the symbols in ``classes``, by rounds over the ``blocks`` of their rows. Where each model stands is a row of a
+    table in the shared folder, so any number of symbols may be large and nothing of theirs comes to the driver."""
     zeros = F.array(*[F.lit(0.0)] * N_WEIGHTS)
-    written = Rounds(rows.sparkSession, "standing")
-    standing = written.write(classes.select("symbol", F.explode(labels).alias("label")).select(
-        "symbol", "label", zeros.alias("w"), zeros.alias("kept_w"), F.lit(float("inf")).alias("kept_loss"), zeros.alias("step"),
+    written = Rounds(blocks.sparkSession, "standing")
+    # of two classes the later one has a model, of one class none
+    own = (F.size("classes") > 2) | ((F.size("classes") == 2) & (F.col("place") == 1))
+    standing = written.write(classes.select("symbol", "classes", F.posexplode("classes").alias("place", "label")).filter(own).select(
+        "symbol", "place", zeros.alias("w"), zeros.alias("kept_w"), F.lit(float("inf")).alias("kept_loss"), zeros.alias("step"),
         F.lit(False).alias("done")))
     for _ in range(MAX_ROUNDS):
         open_ = standing.filter(~F.col("done"))
         if open_.isEmpty():
             break
-        sums = model_sums(rows, open_.select("symbol", "label", "w"))
-        moved = open_.join(sums, ["symbol", "label"]).mapInPandas(_advance, _STANDING)
+        models = open_.groupBy("symbol").agg(F.collect_list(F.struct("place", "w")).alias("models"))
+        parts = blocks.join(models, "symbol").mapInPandas(_block_sums, _SUMS_SCHEMA)
+        sums = parts.groupBy("symbol", "place").agg(*[F.sum(c).alias(c) for c in _SUMS])
+        moved = open_.join(sums, ["symbol", "place"]).mapInPandas(_advance, _STANDING)
         standing = written.write(standing.filter("done").unionByName(moved))
     # one row per class, of which there are five at most
     fitted = standing.groupBy("symbol").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("label", "w"))), lambda m: m["w"]).alias("weights"),
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "w"))), lambda m: m["w"]).alias("weights"),
         F.bool_and("done").alias("done"))
     status = F.when(F.size("classes") < 2, "single_class").when(F.col("done"), "ok").otherwise("not_converged")
     none = F.array().cast("array<array<double>>")
@@ -233,11 +278,13 @@ def fit_transitions(features: DataFrame, group_rows: int | None = None) -> DataF
     small = rows.join(large.select("symbol"), "symbol", "left_anti") if any_large else rows
     models = small.drop("timestamp").repartition("symbol").sortWithinPartitions("symbol").mapInPandas(_fit_sorted, MODEL_SCHEMA)
     if any_large:
-        own = rows.join(large.select("symbol"), "symbol", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+        classes = large.select("symbol", F.col("found").alias("classes"))
+        path = scratch_dir(features.sparkSession, "blocks")
         try:
-            models = models.unionByName(_fit_large(own, large.select("symbol", F.col("found").alias("classes"))))
+            pack_rows(rows, classes).write.parquet(path)
+            models = models.unionByName(_fit_large(features.sparkSession.read.schema(_BLOCK_SCHEMA).parquet(path), classes))
         finally:
-            own.unpersist()
+            remove_folder(features.sparkSession, path)
     return counts.join(models, "symbol", "left").select(
         "symbol", "classes", "weights", F.coalesce("status", F.lit("no_data")).alias("status"), "n", "dropped"
     )
