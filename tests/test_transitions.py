@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidebars.catalog import fixtures as fx
+from tidebars.catalog import fixtures as fx, model
 from tidebars.operators import states as st
 from tidebars.operators import transitions as tr
 from tidebars.schema import FEATURE_COLS
@@ -162,3 +162,16 @@ def test_block_sums_are_those_of_the_rows(features):
     assert len(got) == len(plain)
     for r in plain:
         np.testing.assert_allclose([got[r.symbol, place[r.symbol, r.label]][c] for c in tr._SUMS], [r[c] for c in tr._SUMS], rtol=1e-9, atol=1e-9)
+
+
+def test_queries_compute_features_once(spark, features):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    n = features.count()
+    slopes = model._slopes(features.mapInPandas(counted, features.schema), group_rows=10)
+    assert slopes.count() > 0 and seen.value == n

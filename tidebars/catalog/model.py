@@ -102,7 +102,8 @@ def fit_is_optimal(spark, sf_dir):
 
 
 def _slopes(features, group_rows=None):
-    weights = _per_label(tr.fit_transitions(features, group_rows))
+    features, models = _fitted(features, group_rows)
+    weights = _per_label(models)
     sums = tr.model_sums(st.training_rows(features), weights).join(weights, ["symbol", "label"])
     return sums.select("symbol", "label", *[
         F.abs(F.round(F.col(f"g{i}") + F.col("w")[i], 5)).alias(f"g{i}") for i in range(tr.N_WEIGHTS)
