@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tidebars.catalog import fixtures as fx
+from tidebars.catalog import averages, fixtures as fx
 from tidebars.operators import moving_averages as ma
 from tidebars.operators.runs import symbol_sizes
 
@@ -146,3 +146,33 @@ def test_exponential_averages_of_split_symbols_borrow_no_rows(spark, monkeypatch
         assert key(x) == key(y)
         for c in wanted:
             assert (x[c] is None) == (y[c] is None) and (x[c] is None or x[c] == pytest.approx(y[c], rel=1e-12)), (c, x, y)
+
+
+def test_averages_in_a_row_shuffle_once(spark, sf_dir):
+    bars = fx.part_bars(spark, sf_dir).localCheckpoint()
+    sizes = ma.symbol_sizes(bars)
+    out = bars.transform(ma.moving_average("close", 15, sizes=sizes)).transform(ma.moving_average("close", 15, "wma", sizes=sizes))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_rows_left_out_change_no_other(spark):
+    rows = [(s, i, None if (i + len(s)) % 3 == 0 else float("nan") if i % 7 == 5 else float(i * i + len(s))) for s in ("A", "BB") for i in range(40)]
+    wanted = {"sma_3": ("sma", "close", 3), "wma_4": ("wma", "close", 4), "ema_5": ("ema", "close", 5)}
+    schema = "symbol string, timestamp int, close double"
+    df = spark.createDataFrame(rows, schema)
+    full = spark.createDataFrame([r for r in rows if r[2] is not None and r[2] == r[2]], schema)
+    short = {"sma_3": wanted["sma_3"]}
+    for names in (wanted, short):
+        got = {(r.symbol, r.timestamp): [r[n] for n in names] for r in ma.add_averages(df, names).collect()}
+        expected = {(r.symbol, r.timestamp): [r[n] for n in names] for r in ma.add_averages(full, names).collect()}
+        assert len(got) == len(rows)
+        for key, values in got.items():
+            assert values == expected.get(key, [None] * len(names))
+
+
+def test_named_averages_look_for_long_symbols_once(spark, sf_dir, monkeypatch):
+    calls = []
+    monkeypatch.setattr(ma, "symbol_sizes", lambda df, find=ma.symbol_sizes: calls.append(1) or find(df))
+    assert averages.named_average(spark, sf_dir).columns == ["symbol", "timestamp", "sma_15", "wma_15", "ema_15"]
+    assert len(calls) == 1

@@ -105,8 +105,9 @@ def volume_averages(spark, sf_dir):
 JOIN ({ema_query("part_bars", {"ema_15": (15, "close")}, 0)}) e ON a.symbol = e.symbol AND a."timestamp" = e."timestamp" """, uses="part_bars")
 def named_average(spark, sf_dir):
     bars = fx.part_bars(spark, sf_dir)
+    sizes = ma.symbol_sizes(bars)
     for kind in ("SMA", "Ema", "wma"):
-        bars = bars.transform(ma.moving_average("close", 15, kind))
+        bars = bars.transform(ma.moving_average("close", 15, kind, sizes=sizes))
     return bars.select("symbol", "timestamp", "sma_15", "wma_15", F.round("ema_15", 0).alias("ema_15"))
 
 
@@ -155,6 +156,7 @@ ON a.symbol = p.symbol AND a."timestamp" = p."timestamp" """, uses="part_bars")
 def missing_values(spark, sf_dir):
     """Bars without a close count in no frame, on the short path (SMA 3) and on the other."""
     bars = fx.part_bars(spark, sf_dir).withColumn("close", F.when(F.col("volume") % 7 != 0, F.col("close")))
-    short = ma.add_averages(bars, {"sma_3": ("sma", "close", 3)})
-    out = ma.add_averages(short, {"sma_50": ("sma", "close", 50), "wma_5": ("wma", "close", 5)})
+    sizes = ma.symbol_sizes(bars)
+    short = ma.add_averages(bars, {"sma_3": ("sma", "close", 3)}, sizes)
+    out = ma.add_averages(short, {"sma_50": ("sma", "close", 50), "wma_5": ("wma", "close", 5)}, sizes)
     return out.select("symbol", "timestamp", "sma_3", "sma_50", "wma_5")

@@ -26,19 +26,19 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _roll_up(rows: DataFrame, price: str, order: F.Column | str, volume) -> DataFrame:
+def _roll_up(rows: DataFrame, price: str, first: F.Column, last: F.Column, volume) -> DataFrame:
     return rows.groupBy("symbol", "timestamp").agg(
-        F.min_by(price, order).alias("open"),
+        first.alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, order).alias("close"),
+        last.alias("close"),
         volume.alias("volume"),
     )
 
 
 def segment_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few long symbols: orders per market segment and day."""
-    return _roll_up(order_rows(spark, sf_dir), "close", "ordinal", F.count(F.lit(1)))
+    return _roll_up(order_rows(spark, sf_dir), "close", F.min_by("close", "ordinal"), F.max_by("close", "ordinal"), F.count(F.lit(1)))
 
 
 def in_cents(bars: DataFrame) -> DataFrame:
@@ -70,7 +70,8 @@ def part_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_quantity",
     )
     order = F.struct("l_orderkey", "l_linenumber", "price")
-    return _roll_up(lines, "price", order, F.sum("l_quantity").cast("bigint"))
+    # The order ends with the price, so its least and its largest value hold the prices too.
+    return _roll_up(lines, "price", F.min(order)["price"], F.max(order)["price"], F.sum("l_quantity").cast("bigint"))
 
 
 def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from tidebars.functions import kernels
 from tidebars.operators.runs import Runs, SymbolSizes, ordered_runs, symbol_sizes
@@ -78,10 +78,15 @@ def _add_split(df: DataFrame, wanted: dict[str, tuple[str, str, int]], sizes: Sy
     return done.unionByName(df.filter(~sound).drop(*wanted), allowMissingColumns=True)
 
 
+def _sound_first(keys: tuple[str, ...]) -> WindowSpec:
+    """Runs by their keys alone, so that rows which a window has dealt by these are not shuffled again; rows left out come last."""
+    return Window.partitionBy(*keys).orderBy(F.desc("_sound"), "timestamp")
+
+
 def _through_kernel(rows: DataFrame, wanted: dict[str, tuple[str, str, int]], known: dict[str, str], keys: tuple[str, ...]) -> DataFrame:
-    """``rows`` with the wanted columns; rows that are not ``_sound`` form runs of their own, behind the same shuffle and sort."""
+    """``rows`` with the wanted columns; rows that are not ``_sound`` come last in their run, so no other row sees them."""
     ship_package(rows.sparkSession)
-    window = Window.partitionBy(*keys, "_sound").orderBy("timestamp")
+    window = _sound_first(keys)
     placed = rows.withColumn("_pos", F.when(F.col("_sound"), 1).otherwise(-1) * F.row_number().over(window)).drop("_sound")
     kept = [f for f in placed.schema.fields if f.name != "_pos"]
     schema = T.StructType(kept + [T.StructField(name, T.DoubleType()) for name in wanted])
@@ -123,7 +128,7 @@ def add_averages(df: DataFrame, wanted: dict[str, tuple[str, str, int]], sizes:
     rows = runs.df.withColumn("_sound", sound)
     if not known and all(kind == "sma" for kind, _, _ in wanted.values()) and sum(p for _, _, p in wanted.values()) <= 64:
         # Short plain averages alone stay in the JVM.
-        window = Window.partitionBy(*runs.keys, "_sound").orderBy("timestamp")
+        window = _sound_first(runs.keys)
         out = rows.select("*", *[
             F.when(F.col("_sound"), F.avg(col).over(window.rowsBetween(-(p - 1), 0))).alias(name)
             for name, (_, col, p) in wanted.items()
